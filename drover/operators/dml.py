@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators.ordering import all_of, col, names, rank_in_group
+from drover.operators.ordering import all_of, col, names, order_chunks, rank_in_group
 from drover.operators.reconcile import (
     CardinalityError,
     last_per_key,
@@ -28,9 +28,7 @@ CREATED = "RESULTS_created"
 def _last_changes(changes: DataFrame, key: str, columns: Sequence[str], order_by) -> DataFrame:
     """One row of changes per key: the last in `order_by`, or the only one if none is given."""
     if order_by is not None:
-        wanted = dict.fromkeys([key, *columns, *names(order_by)])
-        latest = last_per_key(changes.select(*[col(c) for c in wanted]), key, order_by)
-        return latest.select(col(key), *[col(c) for c in columns])
+        return last_per_key(changes, key, order_by, columns)
     repeated = repeated_keys(changes, key).limit(1).collect()
     if repeated:
         raise CardinalityError(f"changes repeat a key, so they need order_by: {repeated[0]}")
@@ -91,7 +89,15 @@ def update_first_document(
     order = names(target_order)
     fields = [c for c in changes.columns if c != key]
     latest = _last_changes(changes, key, fields, order_by)
-    firsts = target.groupBy(col(key).alias("_key")).agg(
+    # Changes are few as a rule: their keys thin out the target before it is grouped.
+    candidates = with_keys(
+        target.select(*[col(c) for c in dict.fromkeys([key, *order])]),
+        latest,
+        key,
+        nulls_match=True,
+        unique=True,
+    )
+    firsts = candidates.groupBy(col(key).alias("_key")).agg(
         F.min(F.struct(*[col(c) for c in order])).alias("_first")
     )
     # The join key holds the position, so copies of a hot key spread out.
@@ -144,7 +150,9 @@ def delete_one_each(
     listed = keys.groupBy(col(keys_on or on).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     untouched = without_keys(target, listed, on, "_key", nulls_match=True, unique=True)
     touched = with_keys(target, listed, on, "_key", nulls_match=True, unique=True)
-    ranked = rank_in_group(touched, on, target_order, "_rank", **chunking)
+    # Groups are touched as a whole, so chunks may be laid out on the target itself.
+    chunks = order_chunks(target, [on, *names(target_order)], **chunking)
+    ranked = rank_in_group(touched, on, target_order, "_rank", chunks=chunks)
     survivors = (
         ranked.join(listed, col(on).eqNullSafe(F.col("_key")), "inner")
         .filter(F.col("_rank") > F.col("_n"))
@@ -174,7 +182,9 @@ def upsert(
         external_id,
         [*fields, CREATED],
     )
-    created = without_keys(latest, target, external_id).unionByName(
+    # Only ids that come in are looked for, so the target's other ids need not move.
+    known = with_keys(target.select(col(external_id)), latest, external_id, unique=True)
+    created = without_keys(latest, known, external_id).unionByName(
         incoming.filter(col(external_id).isNull()).select(*[col(c) for c in latest.columns])
     )
     return updated.unionByName(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from drover.functions.scalars import sql_quote
 from drover.operators.ordering import ROWS_PER_CHUNK, col, with_row_index
+from drover.session import stage
 
 # Largest number of values that may be put into one text.
 TEXT_LIMIT = 100_000
@@ -36,9 +37,8 @@ def in_lists(
     NULL is left out, as it matches nothing in a list. Deletes and filters in
     this package join key frames instead; the text is for use elsewhere.
     """
-    numbered = with_row_index(
-        _distinct_values(df, column), "_value", "_at", rows_per_chunk=rows_per_chunk
-    )
+    values = stage(_distinct_values(df, column), "key-list")
+    numbered = with_row_index(values, "_value", "_at", rows_per_chunk=rows_per_chunk)
     part = F.floor(F.col("_at") / per_list).cast("bigint").alias("part")
     return numbered.groupBy(part).agg(_in_list(one_per_line).alias("in_list"))
 

@@ -15,9 +15,12 @@ each a narrow pass over the input.
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,24 +48,12 @@ def all_of(conditions: Sequence[Column]) -> Column:
 
 @dataclass(frozen=True)
 class Chunks:
-    """`column` numbers a row's chunk; `bounds` holds the first key of chunks 1, 2, .."""
+    """`column` numbers a row's chunk; `bounds` holds the first key of chunks 1, 2, .. as text."""
 
     count: int
     column: Column
-    fields: tuple[T.StructField, ...]
-    bounds: tuple[tuple, ...]
-
-    def bound_array(self) -> Column:
-        rows = [
-            F.struct(
-                *[
-                    F.lit(value).cast(field.dataType).alias(f"k{i}")
-                    for i, (field, value) in enumerate(zip(self.fields, bound))
-                ]
-            )
-            for bound in self.bounds
-        ]
-        return F.sort_array(F.array(*rows))
+    fields: tuple[T.StructField, ...] = ()
+    bounds: tuple[tuple[str | None, ...], ...] = ()
 
 
 def order_chunks(
@@ -73,11 +64,10 @@ def order_chunks(
 ) -> Chunks:
     """Chunks of about `rows_per_chunk` rows along `order_by`."""
     order = names(order_by)
-    fields = tuple(df.schema[name] for name in order)
     rows = df.count()
     wanted = min(max_chunks, -(-rows // rows_per_chunk))
     if wanted <= 1:
-        return Chunks(1, F.lit(0), fields, ())
+        return Chunks(1, F.lit(0))
 
     # At most about max_chunks * SAMPLES_PER_CHUNK short rows reach the driver.
     fraction = min(1.0, wanted * SAMPLES_PER_CHUNK / rows)
@@ -91,24 +81,65 @@ def order_chunks(
     stride = max(1, len(sample) // wanted)
     bounds = tuple(dict.fromkeys(tuple(row) for row in sample[stride::stride]))
     if not bounds:
-        return Chunks(1, F.lit(0), fields, ())
-    unplaced = Chunks(len(bounds) + 1, F.lit(0), fields, bounds)
-    key = F.struct(*[col(name).alias(f"k{i}") for i, name in enumerate(order)])
-    return Chunks(
-        unplaced.count, _bounds_up_to(unplaced.bound_array(), len(bounds), key), fields, bounds
-    )
+        return Chunks(1, F.lit(0))
+    fields = tuple(df.schema[name] for name in order)
+    # Never NULL; saying so spares joins on the chunk a second evaluation as a NULL filter.
+    column = F.coalesce(_bounds_up_to(bounds, fields), F.lit(0))
+    return Chunks(len(bounds) + 1, column, fields, bounds)
 
 
-def _bounds_up_to(bounds: Column, count: int, key: Column) -> Column:
-    """How many of the sorted `bounds` are <= `key`, by halving steps."""
-    steps = [F.lit(1 << k) for k in reversed(range(count.bit_length()))]
-    return F.aggregate(
-        F.array(*steps),
-        F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= count) & (F.get(bounds, found + step - 1) <= key), found + step
-        ).otherwise(found),
-    )
+def _literal_array(texts: Sequence[str | None], element: T.DataType) -> Column:
+    """An array constant; the optimizer folds it before any row is read."""
+    array = F.from_json(F.lit(json.dumps(texts)), T.ArrayType(T.StringType()))
+    return array.cast(T.ArrayType(element))
+
+
+def _bounds_up_to(
+    bounds: tuple[tuple[str | None, ...], ...], fields: tuple[T.StructField, ...]
+) -> Column:
+    """How many of the sorted `bounds` are at or before the row's key.
+
+    A search by halving steps on the first column; only where a bound has the
+    row's value there does the search go on among those bounds by the next
+    column. Comparing column by column is several times faster than comparing
+    structs.
+    """
+    positions = range(len(bounds))
+
+    def search(depth: int, low: Column, high: Column, span: int) -> Column:
+        field, values = fields[depth], [bound[depth] for bound in bounds]
+        literals = _literal_array(values, field.dataType)
+        key = col(field.name)
+
+        def up_to(at: Column) -> Column:
+            bound = F.get(literals, at)
+            if None in values:  # NULL sorts first
+                return F.coalesce(bound <= key, bound.isNull())
+            return bound <= key
+
+        # Per bound: where the bounds with the same leading values begin.
+        starts = list(positions)
+        for i in positions[1:]:
+            if bounds[i][: depth + 1] == bounds[i - 1][: depth + 1]:
+                starts[i] = starts[i - 1]
+        longest = max(i - start + 1 for i, start in enumerate(starts))
+        begins = _literal_array([str(start) for start in starts], T.IntegerType())
+
+        def next_column(found: Column) -> Column:
+            same = (found > low) & F.get(literals, found - 1).eqNullSafe(key)
+            first = F.get(begins, found - 1)
+            return F.when(same, search(depth + 1, first, found, longest)).otherwise(found)
+
+        return F.aggregate(
+            F.array(*[F.lit(1 << k) for k in reversed(range(span.bit_length()))]),
+            low,
+            lambda found, step: F.when(
+                (found + step <= high) & up_to(found + step - 1), found + step
+            ).otherwise(found),
+            next_column if depth + 1 < len(fields) else None,
+        )
+
+    return search(0, F.lit(0), F.lit(len(bounds)), len(bounds))
 
 
 def with_row_index(
@@ -144,16 +175,47 @@ def _carried(per_chunk: DataFrame, total: str, name: str) -> DataFrame:
     )
 
 
+def rows_between(
+    df: DataFrame,
+    order_by: str | Sequence[str],
+    start: int,
+    stop: int,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """Rows at positions [start, stop) in `order_by`; only the chunks they lie in are sorted."""
+    order = names(order_by)
+    chunks = order_chunks(df, order, rows_per_chunk)
+    chunked = df.withColumn(CHUNK, chunks.column)
+    # One row per chunk reaches the driver.
+    sizes = dict(chunked.groupBy(CHUNK).count().collect())
+    ends = list(accumulate(sizes.get(c, 0) for c in range(chunks.count)))
+    first, last = bisect_right(ends, start), bisect_left(ends, stop)
+    before = ends[first - 1] if first else 0
+    needed = chunked.filter(F.col(CHUNK).between(first, last))
+    offsets = F.array(*[F.lit(e).cast("bigint") for e in [before, *ends[first:last]]])
+    inside = Window.partitionBy(CHUNK).orderBy(*[col(c) for c in order])
+    at = F.row_number().over(inside) - 1 + F.get(offsets, F.col(CHUNK) - first)
+    return (
+        needed.withColumn("_position", at)
+        .filter((F.col("_position") >= start) & (F.col("_position") < stop))
+        .select(*[col(c) for c in df.columns])
+    )
+
+
 def rank_in_group(
     df: DataFrame,
     group_by: str | Sequence[str],
     order_by: str | Sequence[str],
     name: str = "rank",
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    chunks: Chunks | None = None,
 ) -> DataFrame:
-    """Add 1, 2, .. within each group (NULLs form a group) in `order_by`."""
+    """Add 1, 2, .. within each group (NULLs form a group) in `order_by`.
+
+    `chunks` may come from a frame that is cheaper to sample than `df`.
+    """
     group, order = names(group_by), names(order_by)
-    chunks = order_chunks(df, group + order, rows_per_chunk)
+    chunks = chunks or order_chunks(df, group + order, rows_per_chunk)
     inside = Window.partitionBy(CHUNK, *[col(c) for c in group]).orderBy(*[col(c) for c in order])
     chunked = df.withColumn(CHUNK, chunks.column)
     ranked = chunked.withColumn("_rn", F.row_number().over(inside).cast("bigint"))
@@ -163,11 +225,11 @@ def rank_in_group(
 
     # A group lies in more than one chunk only if some bound falls inside it,
     # so at most one group per bound needs a carried count.
-    split_groups = (
-        df.sparkSession.range(1)
-        .select(F.explode(chunks.bound_array()).alias("b"))
-        .select(*[F.col(f"b.k{i}").alias(f"_g{i}") for i in range(len(group))])
-        .distinct()
+    distinct = list(dict.fromkeys(bound[: len(group)] for bound in chunks.bounds))
+    split_groups = df.sparkSession.createDataFrame(
+        distinct, T.StructType([T.StructField(f"_g{i}", T.StringType()) for i in range(len(group))])
+    ).select(
+        *[F.col(f"_g{i}").cast(f.dataType).alias(f"_g{i}") for i, f in enumerate(chunks.fields[: len(group)])]
     )
     same_split = all_of([col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)])
     counts = (

@@ -35,65 +35,85 @@ class CardinalityError(ValueError):
 
 
 class _Layout:
-    """Names of the joined columns: keys of one name fall together, other clashes get suffixes."""
+    """The two sides of a join and the names of its output columns.
+
+    Keys of one name fall together, other clashes get suffixes. The sides are
+    told apart by alias rather than renamed, so that the joins of one merge have
+    like inputs and can share their shuffles.
+    """
 
     def __init__(self, left, right, left_on, right_on, suffixes):
-        self.left_on, self.right_on = names(left_on), names(right_on)
-        if len(self.left_on) != len(self.right_on):
+        self.left, self.right = left.alias("_l"), right.alias("_r")
+        self.on = {"left": names(left_on), "right": names(right_on)}
+        if len(self.on["left"]) != len(self.on["right"]):
             raise ValueError("key lists differ in length")
-        shared = {lk for lk, rk in zip(self.left_on, self.right_on) if lk == rk}
-        clash = (set(left.columns) & set(right.columns)) - shared
-        self.left_out = [c + suffixes[0] if c in clash else c for c in left.columns]
-        right_kept = [c for c in right.columns if c not in shared]
-        self.right_out = [c + suffixes[1] if c in clash else c for c in right_kept]
-        self.left_in = [f"_l{i}" for i in range(len(left.columns))]
-        self._right_names = {c: f"_r{i}" for i, c in enumerate(right.columns)}
-        self.right_in = [self._right_names[c] for c in right_kept]
-        self.left = left.toDF(*self.left_in)
-        self.right = right.toDF(*self._right_names.values())
-        self._left_names = dict(zip(left.columns, self.left_in))
-        self._shared = shared
-        self._types = {
-            **dict(zip(self.left_in, (f.dataType for f in left.schema.fields))),
-            **dict(zip(self._right_names.values(), (f.dataType for f in right.schema.fields))),
-        }
-
-    def keys(self, side: str) -> list[str]:
-        if side == "left":
-            return [self._left_names[k] for k in self.left_on]
-        return [self._right_names[k] for k in self.right_on]
+        self.shared = {a for a, b in zip(self.on["left"], self.on["right"]) if a == b}
+        clash = (set(left.columns) & set(right.columns)) - self.shared
 
-    def condition(self) -> Column:
-        return null_safe(self.keys("left"), self.keys("right"))
+        def renamed(df, suffix):
+            return [(f, f.name + suffix if f.name in clash else f.name) for f in df.schema.fields]
 
-    def select(self, joined: DataFrame, provenance: str | Column | None) -> DataFrame:
-        """Output columns of a join; a side that is not in `joined` is NULL."""
-        present = set(joined.columns)
-        mirror = {self._left_names[k]: self._right_names[k] for k in self._shared}
+        self.left_out = renamed(left, suffixes[0])
+        self.right_out = [
+            (f, out) for f, out in renamed(right, suffixes[1]) if f.name not in self.shared
+        ]
 
-        def value(name: str) -> Column:
-            options = [F.col(n) for n in (name, mirror.get(name)) if n in present]
-            if not options:
-                return F.lit(None).cast(self._types[name])
-            return options[0] if len(options) == 1 else F.coalesce(*options)
+    def value(self, side: str, name: str) -> Column:
+        return F.col(f"_{side[0]}." + "`" + name.replace("`", "``") + "`")
 
-        out = [value(n).alias(o) for n, o in zip(self.left_in, self.left_out)]
-        out += [value(n).alias(o) for n, o in zip(self.right_in, self.right_out)]
+    def condition(self) -> Column:
+        pairs = zip(self.on["left"], self.on["right"])
+        return all_of(
+            [self.value("left", a).eqNullSafe(self.value("right", b)) for a, b in pairs]
+        )
+
+    def select(
+        self, joined: DataFrame, sides: Sequence[str], provenance: str | Column | None
+    ) -> DataFrame:
+        """Output columns of a join; a side that is not in `sides` is NULL."""
+        chosen = []
+        for side, fields in (("left", self.left_out), ("right", self.right_out)):
+            for field, out in fields:
+                found = [side] if side in sides else []
+                if field.name in self.shared:
+                    found = list(sides)
+                values = [self.value(s, field.name) for s in found]
+                if not values:
+                    chosen.append(F.lit(None).cast(field.dataType).alias(out))
+                else:
+                    value = values[0] if len(values) == 1 else F.coalesce(*values)
+                    chosen.append(value.alias(out))
         if provenance is not None:
             tag = F.lit(provenance) if isinstance(provenance, str) else provenance
-            out.append(tag.alias(PROVENANCE))
-        return joined.select(*out)
-
-    def both(self) -> DataFrame:
-        return self.left.join(self.right, self.condition(), "inner")
-
-    def only(self, side: str) -> DataFrame:
-        mine, other = (
-            (self.left, self.right) if side == "left" else (self.right, self.left)
+            chosen.append(tag.alias(PROVENANCE))
+        return joined.select(*chosen)
+
+    def both(self, provenance: str | None) -> DataFrame:
+        joined = self.left.join(self.right, self.condition(), "inner")
+        return self.select(joined, ("left", "right"), provenance)
+
+    def only(self, side: str, provenance: str | None, other_is_unique: bool = False) -> DataFrame:
+        """Rows of one side whose key the other side lacks."""
+        mine, other, other_side = (
+            (self.left, self.right, "right")
+            if side == "left"
+            else (self.right, self.left, "left")
         )
-        other_side = "right" if side == "left" else "left"
-        other_keys = other.select(*self.keys(other_side)).distinct()
-        return mine.join(other_keys, self.condition(), "left_anti")
+        keys = other.select(*[self.value(other_side, k) for k in self.on[other_side]])
+        if not other_is_unique:
+            keys = keys.distinct()
+        joined = mine.join(keys.alias(f"_{other_side[0]}"), self.condition(), "left_anti")
+        return self.select(joined, (side,), provenance)
+
+    def kept(self, side: str, provenance: bool) -> DataFrame:
+        """All rows of one side beside their match on the other, which is unique."""
+        mine, other, other_alias = (
+            (self.left, self.right, "_r") if side == "left" else (self.right, self.left, "_l")
+        )
+        marked = other.withColumn("_found", F.lit(True)).alias(other_alias)
+        joined = mine.join(marked, self.condition(), "left")
+        tag = F.when(F.col(f"{other_alias}._found"), "both").otherwise(f"{side}_only")
+        return self.select(joined, ("left", "right"), tag if provenance else None)
 
 
 def null_safe(left_on: Sequence[str], right_on: Sequence[str]) -> Column:
@@ -129,24 +149,19 @@ def merge(
         return value if indicator else None
 
     if how == "inner":
-        return layout.select(layout.both(), tag("both"))
+        return layout.both(tag("both"))
     if how == "left" and right_is_unique:
-        marked = layout.right.withColumn("_found", F.lit(True))
-        joined = layout.left.join(marked, layout.condition(), "left")
-        found = F.when(F.col("_found"), "both").otherwise("left_only")
-        return layout.select(joined, tag(found))
+        return layout.kept("left", indicator)
     if how == "right" and left_is_unique:
-        marked = layout.left.withColumn("_found", F.lit(True))
-        joined = layout.right.join(marked, layout.condition(), "left")
-        found = F.when(F.col("_found"), "both").otherwise("right_only")
-        return layout.select(joined, tag(found))
+        return layout.kept("right", indicator)
 
     parts = {"left": ("left",), "right": ("right",), "outer": ("left", "right")}
     if how not in parts:
         raise ValueError(f"unknown join: {how}")
-    merged = layout.select(layout.both(), tag("both"))
+    other_is_unique = {"left": right_is_unique, "right": left_is_unique}
+    merged = layout.both(tag("both"))
     for side in parts[how]:
-        merged = merged.unionByName(layout.select(layout.only(side), tag(f"{side}_only")))
+        merged = merged.unionByName(layout.only(side, tag(f"{side}_only"), other_is_unique[side]))
     return merged
 
 
@@ -158,7 +173,7 @@ def _cross(left, right, suffixes, indicator) -> DataFrame:
         joined = F.broadcast(layout.left).crossJoin(layout.right)
     else:
         raise ValueError(f"a cross join needs one side of at most {CROSS_LIMIT} rows")
-    return layout.select(joined, "both" if indicator else None)
+    return layout.select(joined, ("left", "right"), "both" if indicator else None)
 
 
 def diff(
@@ -172,16 +187,19 @@ def diff(
 ) -> Diff:
     """Rows in both frames, in the left only and in the right only; each part is its own plan."""
     layout = _Layout(left, right, left_on, right_on, suffixes)
+    left_is_unique = right_is_unique = False
     if validate is not None:
-        check_cardinality(left, right, left_on, right_on, validate)
+        left_is_unique, right_is_unique = check_cardinality(
+            left, right, left_on, right_on, validate
+        )
 
     def tag(value):
         return None if drop_provenance else value
 
     return Diff(
-        layout.select(layout.both(), tag("both")),
-        layout.select(layout.only("left"), tag("left_only")),
-        layout.select(layout.only("right"), tag("right_only")),
+        layout.both(tag("both")),
+        layout.only("left", tag("left_only"), right_is_unique),
+        layout.only("right", tag("right_only"), left_is_unique),
     )
 
 
@@ -191,10 +209,18 @@ def only_part(merged: DataFrame, part: str) -> DataFrame:
 
 
 def net_new(
-    source: DataFrame, target: DataFrame, source_on: Keys, target_on: Keys
+    source: DataFrame,
+    target: DataFrame,
+    source_on: Keys,
+    target_on: Keys,
+    nulls_match: bool = True,
 ) -> DataFrame:
-    """Source rows whose key the target lacks."""
-    return without_keys(source, target, source_on, target_on, nulls_match=True)
+    """Source rows whose key the target lacks.
+
+    Plain equality (`nulls_match=False`) saves a shuffle of the target's keys
+    and does as well where the source's key is never NULL.
+    """
+    return without_keys(source, target, source_on, target_on, nulls_match)
 
 
 def _match(df, keys, on, keys_on, nulls_match, unique, how) -> DataFrame:
@@ -287,29 +313,31 @@ def check_cardinality(
     return left_many == "1", right_many == "1"
 
 
-def first_per_key(df: DataFrame, on: Keys, order_by: Keys) -> DataFrame:
+def first_per_key(
+    df: DataFrame, on: Keys, order_by: Keys, columns: Sequence[str] | None = None
+) -> DataFrame:
     """One row per key, the first in `order_by`; pre-aggregated before the shuffle."""
-    return _one_per_key(df, on, order_by, F.min_by)
+    return _one_per_key(df, on, order_by, columns, F.min_by)
 
 
-def last_per_key(df: DataFrame, on: Keys, order_by: Keys) -> DataFrame:
+def last_per_key(
+    df: DataFrame, on: Keys, order_by: Keys, columns: Sequence[str] | None = None
+) -> DataFrame:
     """One row per key, the last in `order_by`; pre-aggregated before the shuffle."""
-    return _one_per_key(df, on, order_by, F.max_by)
+    return _one_per_key(df, on, order_by, columns, F.max_by)
 
 
-def _one_per_key(df, on, order_by, pick) -> DataFrame:
+def _one_per_key(df, on, order_by, columns, pick) -> DataFrame:
     keys = names(on)
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[col(c) for c in names(order_by)])
+    wanted = df.columns if columns is None else [*keys, *[c for c in columns if c not in keys]]
+    rest = [c for c in wanted if c not in keys]
     if not rest:
-        return df.distinct()
+        return df.select(*[col(k) for k in keys]).distinct()
+    order = F.struct(*[col(c) for c in names(order_by)])
     picked = pick(F.struct(*[col(c) for c in rest]), order).alias("_row")
     grouped = df.groupBy(*[col(k) for k in keys]).agg(picked)
     return grouped.select(
-        *[
-            col(c) if c in keys else F.col("_row").getField(c).alias(c)
-            for c in df.columns
-        ]
+        *[col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in wanted]
     )
 
 

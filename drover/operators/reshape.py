@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drover.operators.ordering import ROWS_PER_CHUNK, col, names, with_row_index
+from drover.operators.ordering import ROWS_PER_CHUNK, col, names, rows_between, with_row_index
 
-# Up to this many rows a slice is taken by a top-k plan, beyond it by row index.
+# Slices that end by this row are taken by a top-k plan, others by position.
 TOP_K_LIMIT = 10_000
 
 
@@ -74,8 +74,7 @@ def slice_rows(
     order = names(order_by)
     if start + count <= TOP_K_LIMIT:
         return df.orderBy(*[col(c) for c in order]).offset(start).limit(count)
-    indexed = with_row_index(df, order, "_at")
-    return indexed.filter((F.col("_at") >= start) & (F.col("_at") < start + count)).drop("_at")
+    return rows_between(df, order, start, start + count)
 
 
 def renumber(

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drover.operators.ordering import ROWS_PER_CHUNK, col, names, running_sums, with_row_index
+from drover.session import stage
+
+# Workers get these functions with the task, so they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BATCH_SIZE = 1_000
 BATCH = "batch_id"
@@ -163,13 +169,18 @@ def split_results(results: DataFrame) -> Outcome:
 
 
 def batch_totals(results: DataFrame, flag: str = SUCCESS) -> DataFrame:
-    """Passed and failed rows per batch, and both summed up to the batch."""
+    """Passed and failed rows per batch, and both summed up to the batch.
+
+    Reads `results` once, which should be stored results.
+    """
     per_batch = results.groupBy(BATCH).agg(
         F.count_if(col(flag)).cast("bigint").alias("passed"),
         F.count_if(~col(flag)).cast("bigint").alias("failed"),
     )
     return running_sums(
-        per_batch, BATCH, {"passed_so_far": "passed", "failed_so_far": "failed"}
+        stage(per_batch, "batch-totals"),
+        BATCH,
+        {"passed_so_far": "passed", "failed_so_far": "failed"},
     )
 
 

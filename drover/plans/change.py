@@ -27,8 +27,11 @@ def new_records(
     whole_numbers: Sequence[str] = (),
     flag: str = MIGRATED_FLAG,
 ) -> DataFrame:
-    """Staged rows the target lacks, under the target's field names and flagged as migrated."""
-    fresh = net_new(staged, migrated, staged_key, migrated_key)
+    """Staged rows the target lacks, under the target's field names and flagged as migrated.
+
+    `staged_key` is the staging table's primary key, so it holds no NULL.
+    """
+    fresh = net_new(staged, migrated, staged_key, migrated_key, nulls_match=False)
     whole = cast_columns(fresh, {c: "bigint" for c in whole_numbers})
     return add_literals(rename(keep(whole, list(fields)), fields), {flag: True})
 

@@ -11,6 +11,7 @@ from drover.functions.scalars import concat_blank, prefixed, year_end_after
 from drover.operators.ordering import col, names
 from drover.operators.reconcile import attach_parent
 from drover.operators.reshape import discard, renumber, union_all
+from drover.session import stage
 
 
 def children_with_parent(
@@ -49,14 +50,9 @@ def contract_lines(
     The i-th row of each line frame belongs to the i-th contract in the given
     orders. Service levels name the account's `sla`.
     """
-    numbered = renumber(
-        contracts.select(
-            *dict.fromkeys(
-                ["account_number_external_id", "contract_number", *names(contract_order)]
-            )
-        ),
-        contract_order,
-    )
+    wanted = ["account_number_external_id", "contract_number", *names(contract_order)]
+    # All three kinds join the numbered contracts, so number them once.
+    numbered = stage(renumber(contracts.select(*dict.fromkeys(wanted)), contract_order), "contracts")
 
     def lines(kind: DataFrame) -> DataFrame:
         return renumber(kind, line_order).join(
