@@ -1,0 +1,101 @@
+from datetime import date
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from drover.functions import scalars
+
+
+def one(spark, value, expression, kind="string"):
+    df = spark.createDataFrame([(v,) for v in value], f"c {kind}")
+    return [r[0] for r in df.select(expression(F.col("c"))).collect()]
+
+
+SPECIAL = [
+    "", "plain text ~!", "é", "ა", "\U0001f600", "a\tb\nc\rd", "back\\slash", "\x00\x1f\x7f\xff",
+    "mix é\\€ end", None, "line sep", "[]\\^",
+]
+
+
+def python_escape(text):
+    return None if text is None else text.encode("unicode_escape").decode("utf-8")
+
+
+def test_escape_text(spark):
+    assert one(spark, SPECIAL, scalars.escape_text) == [python_escape(t) for t in SPECIAL]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"])), min_size=1, max_size=200))
+def test_escape_any_text(spark, texts):
+    assert one(spark, texts, scalars.escape_text) == [python_escape(t) for t in texts]
+
+
+def test_escape_columns_leaves_others(spark):
+    df = spark.createDataFrame([(1, "é", ["é"])], "a int, b string, c array<string>")
+    assert tuple(scalars.escape_columns(df).first()) == (1, "\\xe9", ["é"])
+
+
+def test_iso_date(spark):
+    texts = ["1/5/2024", "02/29/2024", None, "", " ", "13/45/2024", "NaT", "1/5/24"]
+    want = ["2024-01-05", "2024-02-29"] + [None] * 6
+    assert one(spark, texts, scalars.iso_date) == want
+    with pytest.raises(Exception, match="13/45/2024"):
+        one(spark, ["13/45/2024"], lambda c: scalars.iso_date(c, strict=True))
+    df = spark.createDataFrame([("1/5/2024", "3/1/2023", "x")], "a string, b string, c string")
+    assert tuple(scalars.iso_date_columns(df, ["a", "b"]).first()) == ("2024-01-05", "2023-03-01", "x")
+    assert scalars.iso_date_columns(df, "a").first()["b"] == "3/1/2023"
+
+
+def test_year_end(spark):
+    days = [date(2024, 2, 29), date(2023, 2, 28), date(2023, 3, 1), None]
+    want = [date(2025, 2, 27), date(2024, 2, 27), date(2024, 2, 29), None]
+    assert one(spark, days, scalars.year_end_after, "date") == want
+
+
+def test_parse_date_and_drop_time(spark):
+    texts = ["2024-02-29", "2/29/2024", "2024/2/9", "5-Mar-2024", "20240305", "soon", None]
+    want = [date(2024, 2, 29), date(2024, 2, 29), date(2024, 2, 9), date(2024, 3, 5), date(2024, 3, 5), None, None]
+    assert one(spark, texts, scalars.parse_date) == want
+    assert one(spark, ["2024-02-29 23:59:59"], lambda c: scalars.drop_time(c.cast("timestamp"))) == [date(2024, 2, 29)]
+
+
+def test_text(spark):
+    df = spark.createDataFrame([("a", "1"), (None, "2"), ("c", None), (None, None)], "a string, b string")
+    joined = df.select(scalars.concat_blank(F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in joined] == ["a-1", "-2", "c-", "-"]
+    assert one(spark, ["x", None], lambda c: scalars.prefixed("sla - ", c)) == ["sla - x", None]
+    assert one(spark, ["it's", "x"], scalars.sql_quote) == ["'it''s'", "'x'"]
+    assert one(spark, ["NaT", "", " ", "  ", "x"], scalars.tokens_to_null) == [None, None, None, "  ", "x"]
+
+
+def test_blanks_and_nan(spark):
+    df = spark.createDataFrame([(None, None, float("nan")), ("x", 1, 2.0)], "a string, b int, c double")
+    assert [tuple(r)[:2] for r in scalars.fill_blank(df).collect()] == [("", None), ("x", 1)]
+    assert scalars.fill_blank(df, ["b"]).first()["a"] is None
+    assert [r["c"] for r in scalars.nan_to_null(df).collect()] == [None, 2.0]
+
+
+def test_casts(spark):
+    df = spark.createDataFrame([("7", 2.9, None, "true")], "a string, b double, c string, d string")
+    got = scalars.cast_by_position(df, ("int", "int", "str", "bool"))
+    assert tuple(got.first()) == (7, 2, None, True)
+    assert [t for _, t in got.dtypes] == ["bigint", "bigint", "string", "boolean"]
+    assert scalars.cast_by_position(df, ("float",)).dtypes[1:] == df.dtypes[1:]
+    bad = spark.createDataFrame([("x",)], "a string")
+    assert scalars.cast_columns(bad, {"a": "int"}, strict=False).first()["a"] is None
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        scalars.cast_columns(bad, {"a": "int"}).collect()
+    with pytest.raises(ValueError):
+        scalars.cast_columns(bad, {"zz": "int"})
+    same = scalars.cast_columns(bad, {"a": "date"})
+    assert same.dtypes == bad.dtypes
+
+
+def test_records_and_run_id(spark):
+    df = spark.createDataFrame([(1, None, "é")], "a int, `b.c` string, d string")
+    assert scalars.json_record(df).first()["record"] == '{"a":1,"b.c":null,"d":"é"}'
+    text = spark.range(1).select(scalars.run_id()).first()[0]
+    assert len(text) == 20 and text[10:12] == "__"
