@@ -147,40 +147,57 @@ def run_id() -> Column:
     return F.date_format(F.current_timestamp(), RUN_ID_FORMAT)
 
 
-# Printable ASCII without the backslash, and the short escapes.
-PLAIN_RUN = r"[ -\[\]-~]+"
+# Printable ASCII, the same without the backslash, and the short escapes.
+PRINTABLE = " -~"
+PLAIN = r" -\[\]-~"
 SHORT_ESCAPES = {"\\": "\\\\", "\t": "\\t", "\n": "\\n", "\r": "\\r"}
+# With more kinds of special characters than this, a text is cut into pieces.
+FEW_KINDS = 32
 
 
 def escape_text(c: Column) -> Column:
     """Backslash escapes for all but printable ASCII.
 
-    Text is cut into plain runs and single other characters, so the work per
-    value follows the number of characters that need an escape; values that
-    need none are returned as they are.
+    Most texts hold few kinds of special characters, and each kind is replaced
+    in one go. Others are cut into plain runs and single special characters,
+    so that the work stays in proportion to the length of the text.
     """
-    # DOTALL, so that the single character may be a line break.
-    pieces = F.regexp_extract_all(c, F.lit(f"(?s){PLAIN_RUN}|."), F.lit(0))
-    escaped = F.array_join(F.transform(pieces, _escape_piece), "")
-    return F.when(c.rlike(f"^(?:{PLAIN_RUN})?\\z"), c).otherwise(escaped)
+    kinds = F.array_distinct(F.regexp_extract_all(c, F.lit(f"[^{PRINTABLE}]"), F.lit(0)))
+    pieces = F.regexp_extract_all(c, F.lit(f"(?s)[{PLAIN}]+|."), F.lit(0))
+
+    def replaced(found: Column) -> Column:
+        # The backslash goes first, because the other escapes bring in new ones.
+        text = F.replace(c, F.lit("\\"), F.lit(SHORT_ESCAPES["\\"]))
+        return F.aggregate(found, text, lambda t, kind: F.replace(t, kind, _escape_char(kind)))
+
+    def choose(found: Column) -> Column:
+        cut = F.array_join(F.transform(pieces, _escape_piece), "")
+        return F.when(F.size(found) <= FEW_KINDS, replaced(found)).otherwise(cut)
+
+    return F.transform(F.array(kinds), choose)[0]
 
 
 def _escape_piece(piece: Column) -> Column:
     code = F.ascii(piece)
+    plain = (code >= 0x20) & (code < 0x7F) & (code != ord("\\"))
+    return F.when(plain, piece).otherwise(_escape_char(piece))
+
+
+def _escape_char(char: Column) -> Column:
+    code = F.ascii(char)
 
     def digits(width: int) -> Column:
         return F.lpad(F.lower(F.hex(code)), width, "0")
 
-    other = (
+    short = F.lit(None)
+    for raw, text in SHORT_ESCAPES.items():
+        short = F.when(code == ord(raw), F.lit(text)).otherwise(short)
+    return F.coalesce(
+        short,
         F.when(code < 0x100, F.concat(F.lit("\\x"), digits(2)))
         .when(code < 0x10000, F.concat(F.lit("\\u"), digits(4)))
-        .otherwise(F.concat(F.lit("\\U"), digits(8)))
+        .otherwise(F.concat(F.lit("\\U"), digits(8))),
     )
-    plain = ((code >= 0x20) & (code < 0x7F) & (code != ord("\\")))
-    result = F.when(plain, piece)
-    for raw, text in SHORT_ESCAPES.items():
-        result = result.when(code == ord(raw), F.lit(text))
-    return result.otherwise(other)
 
 
 def escape_columns(df: DataFrame) -> DataFrame:

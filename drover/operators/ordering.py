@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_CHUNK = 20_000
-MAX_CHUNKS = 4_096
+MAX_CHUNKS = 16_384
 SAMPLES_PER_CHUNK = 20
 
 CHUNK = "_chunk"
@@ -69,12 +69,14 @@ def order_chunks(
     if wanted <= 1:
         return Chunks(1, F.lit(0))
 
-    # At most about max_chunks * SAMPLES_PER_CHUNK short rows reach the driver.
+    # About max_chunks * SAMPLES_PER_CHUNK short rows at most, so one task may sort
+    # them; a distributed sort would read the input a second time for its own bounds.
     fraction = min(1.0, wanted * SAMPLES_PER_CHUNK / rows)
     sample = (
         df.select(*[col(name) for name in order])
         .sample(fraction, seed=17)
-        .orderBy(*[col(name) for name in order])
+        .repartition(1)
+        .sortWithinPartitions(*[col(name) for name in order])
         .select(*[col(name).cast("string") for name in order])
         .collect()
     )
@@ -108,14 +110,16 @@ def _bounds_up_to(
 
     def search(depth: int, low: Column, high: Column, span: int) -> Column:
         field, values = fields[depth], [bound[depth] for bound in bounds]
-        literals = _literal_array(values, field.dataType)
+        # One element in front, so that element i is the i-th bound; past the end is NULL.
+        literals = _literal_array([None, *values], field.dataType)
         key = col(field.name)
 
         def up_to(at: Column) -> Column:
             bound = F.get(literals, at)
+            reached = bound <= key
             if None in values:  # NULL sorts first
-                return F.coalesce(bound <= key, bound.isNull())
-            return bound <= key
+                reached = F.coalesce(reached, bound.isNull() & (at <= len(values)))
+            return reached if depth == 0 else (at <= high) & reached
 
         # Per bound: where the bounds with the same leading values begin.
         starts = list(positions)
@@ -126,16 +130,14 @@ def _bounds_up_to(
         begins = _literal_array([str(start) for start in starts], T.IntegerType())
 
         def next_column(found: Column) -> Column:
-            same = (found > low) & F.get(literals, found - 1).eqNullSafe(key)
+            same = (found > low) & F.get(literals, found).eqNullSafe(key)
             first = F.get(begins, found - 1)
             return F.when(same, search(depth + 1, first, found, longest)).otherwise(found)
 
         return F.aggregate(
             F.array(*[F.lit(1 << k) for k in reversed(range(span.bit_length()))]),
             low,
-            lambda found, step: F.when(
-                (found + step <= high) & up_to(found + step - 1), found + step
-            ).otherwise(found),
+            lambda found, step: F.when(up_to(found + step), found + step).otherwise(found),
             next_column if depth + 1 < len(fields) else None,
         )
 
@@ -276,6 +278,7 @@ def running_sums(
     per_chunk = chunked.groupBy(CHUNK).agg(
         *[F.sum(col(source)).alias(f"_total_{new}") for new, source in sums.items()]
     )
+    # One row per chunk, so this window is small.
     earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(
         CHUNK, *[F.sum(f"_total_{new}").over(earlier).alias(f"_before_{new}") for new in sums]

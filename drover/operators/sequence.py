@@ -79,7 +79,7 @@ def number_runs(
         )
     )
 
-    # One row per chunk: its ends, its steps and where its last run began.
+    # One row per chunk, hence small: its ends, its steps and where its last run began.
     ends = compared.groupBy(CHUNK).agg(
         F.min_by("_now", F.when(F.col("_first"), F.lit(0)).otherwise(F.lit(1))).alias("_head"),
         F.max_by("_now", F.struct(*[col(c) for c in order])).alias("_tail"),

@@ -280,22 +280,23 @@ def dml_reports(t: Tables):
       FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))
     WHERE n = 1""")
 def stream_net_new(t: Tables):
-    """Events land in three files, one per batch; a user is kept once, from the first batch."""
+    """Events land in three lots, one batch each; a user is kept once, from the first batch."""
     landing, output = shared_path(t.spark, "landing"), shared_path(t.spark, "stream")
+    checkpoint = shared_path(t.spark, "stream-checkpoint")
     rows = t.events.select("event_id", "user_id")
-    for at, kinds in enumerate((["click", "view"], ["purchase"], ["error", "signup"])):
-        part = t.events.filter(F.col("event_type").isin(kinds)).select("event_id", "user_id")
-        part.coalesce(1).write.parquet(f"{landing}/{at}")
-    stream = net_new_stream(
-        t.spark,
-        f"{landing}/*",
-        rows.schema,
-        t.customer.filter("c_acctbal < 0"),
-        "user_id",
-        "c_custkey",
-        "event_id",
-        output,
-        shared_path(t.spark, "stream-checkpoint"),
-    )
-    stream.awaitTermination()
+    for kinds in (["click", "view"], ["purchase"], ["error", "signup"]):
+        lot = t.events.filter(F.col("event_type").isin(kinds)).select("event_id", "user_id")
+        lot.write.mode("append").parquet(landing)
+        net_new_stream(
+            t.spark,
+            landing,
+            rows.schema,
+            t.customer.filter("c_acctbal < 0"),
+            "user_id",
+            "c_custkey",
+            "event_id",
+            output,
+            checkpoint,
+            files_per_batch=1_000_000,
+        ).awaitTermination()
     return t.spark.read.schema(rows.schema).parquet(output).select("user_id", "event_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -15,7 +15,6 @@ class TableSpec:
     columns: dict[str, str]
     key: tuple[str, ...]
     not_null: tuple[str, ...] = ()
-    parent: tuple[str, str, str] | None = field(default=None)  # (column, table, parent key)
 
     @property
     def required(self) -> tuple[str, ...]:
@@ -67,7 +66,6 @@ CONTACTS = TableSpec(
     },
     key=("first_name", "last_name"),
     not_null=("email", "title", "department", "languages"),
-    parent=("account_number_external_id", "accounts", "account_number_external_id"),
 )
 
 CONTRACTS = TableSpec(
@@ -80,7 +78,6 @@ CONTRACTS = TableSpec(
     },
     key=("contract_number",),
     not_null=("account_number_external_id", "start_date", "end_date"),
-    parent=("account_number_external_id", "accounts", "account_number_external_id"),
 )
 
 CONTRACT_LINES = TableSpec(
@@ -93,7 +90,6 @@ CONTRACT_LINES = TableSpec(
     },
     key=("contract_line_number",),
     not_null=("contract_number", "product", "quantity"),
-    parent=("contract_number", "contracts", "contract_number"),
 )
 
 SOURCE_TABLES = {t.name: t for t in (ACCOUNTS, CONTACTS, CONTRACTS, CONTRACT_LINES)}
@@ -102,7 +98,7 @@ SOURCE_TABLES = {t.name: t for t in (ACCOUNTS, CONTACTS, CONTRACTS, CONTRACT_LIN
 def staging(spec: TableSpec) -> TableSpec:
     """The staging twin of a source table; staged accounts allow no NULL at all."""
     not_null = tuple(spec.columns) if spec.name == "accounts" else spec.not_null
-    return TableSpec(f"stg_{spec.name}", spec.columns, spec.key, not_null, spec.parent)
+    return TableSpec(f"stg_{spec.name}", spec.columns, spec.key, not_null)
 
 
 STAGING_TABLES = {name: staging(spec) for name, spec in SOURCE_TABLES.items()}
