@@ -16,6 +16,7 @@ from drover.operators.ordering import all_of, col, names, order_chunks, rank_in_
 from drover.operators.reconcile import (
     CardinalityError,
     last_per_key,
+    match_grouped,
     null_safe,
     repeated_keys,
     with_keys,
@@ -60,7 +61,7 @@ def _overwrite(
         F.lit(True).alias("_found"),
         *[col(c).alias(f"_new{i}") for i, c in enumerate(columns)],
     )
-    joined = target.join(incoming, col(key) == F.col("_key"), "left")
+    joined = target.join(incoming, match_grouped([key], ["_key"]), "left")
     return joined.select(
         *[
             F.when(F.col("_found"), F.col(f"_new{columns.index(f.name)}").cast(f.dataType))

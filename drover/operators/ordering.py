@@ -85,9 +85,7 @@ def order_chunks(
     if not bounds:
         return Chunks(1, F.lit(0))
     fields = tuple(df.schema[name] for name in order)
-    # Never NULL; saying so spares joins on the chunk a second evaluation as a NULL filter.
-    column = F.coalesce(_bounds_up_to(bounds, fields), F.lit(0))
-    return Chunks(len(bounds) + 1, column, fields, bounds)
+    return Chunks(len(bounds) + 1, _bounds_up_to(bounds, fields), fields, bounds)
 
 
 def _literal_array(texts: Sequence[str | None], element: T.DataType) -> Column:
@@ -97,17 +95,33 @@ def _literal_array(texts: Sequence[str | None], element: T.DataType) -> Column:
 
 
 def _bounds_up_to(
-    bounds: tuple[tuple[str | None, ...], ...], fields: tuple[T.StructField, ...]
+    bounds: tuple[tuple[str | None, ...], ...],
+    fields: tuple[T.StructField, ...],
+    skip: int = 0,
+    low: Column | None = None,
+    high: Column | None = None,
 ) -> Column:
     """How many of the sorted `bounds` are at or before the row's key.
 
     A search by halving steps on the first column; only where a bound has the
     row's value there does the search go on among those bounds by the next
     column. Comparing column by column is several times faster than comparing
-    structs.
+    structs. With `skip` the row's first columns are known to equal those of
+    the bounds `low` up to `high`, and the search starts there.
     """
     positions = range(len(bounds))
 
+    def longest(starts: list[int]) -> int:
+        return max(i - start + 1 for i, start in enumerate(starts))
+
+    def run_starts(depth: int) -> list[int]:
+        """Per bound: where the bounds with the same first `depth` values begin."""
+        starts = list(positions)
+        for i in positions[1:]:
+            if bounds[i][:depth] == bounds[i - 1][:depth]:
+                starts[i] = starts[i - 1]
+        return starts
+
     def search(depth: int, low: Column, high: Column, span: int) -> Column:
         field, values = fields[depth], [bound[depth] for bound in bounds]
         # One element in front, so that element i is the i-th bound; past the end is NULL.
@@ -121,18 +135,13 @@ def _bounds_up_to(
                 reached = F.coalesce(reached, bound.isNull() & (at <= len(values)))
             return reached if depth == 0 else (at <= high) & reached
 
-        # Per bound: where the bounds with the same leading values begin.
-        starts = list(positions)
-        for i in positions[1:]:
-            if bounds[i][: depth + 1] == bounds[i - 1][: depth + 1]:
-                starts[i] = starts[i - 1]
-        longest = max(i - start + 1 for i, start in enumerate(starts))
+        starts = run_starts(depth + 1)
         begins = _literal_array([str(start) for start in starts], T.IntegerType())
 
         def next_column(found: Column) -> Column:
             same = (found > low) & F.get(literals, found).eqNullSafe(key)
             first = F.get(begins, found - 1)
-            return F.when(same, search(depth + 1, first, found, longest)).otherwise(found)
+            return F.when(same, search(depth + 1, first, found, longest(starts))).otherwise(found)
 
         return F.aggregate(
             F.array(*[F.lit(1 << k) for k in reversed(range(span.bit_length()))]),
@@ -141,7 +150,12 @@ def _bounds_up_to(
             next_column if depth + 1 < len(fields) else None,
         )
 
-    return search(0, F.lit(0), F.lit(len(bounds)), len(bounds))
+    if skip:
+        found = search(skip, low, high, longest(run_starts(skip)))
+    else:
+        found = search(0, F.lit(0), F.lit(len(bounds)), len(bounds))
+    # Never NULL; saying so spares joins on the chunk a second evaluation as a NULL filter.
+    return F.coalesce(found, F.lit(0))
 
 
 def with_row_index(
@@ -215,48 +229,56 @@ def rank_in_group(
     """Add 1, 2, .. within each group (NULLs form a group) in `order_by`.
 
     `chunks` may come from a frame that is cheaper to sample than `df`.
+
+    Groups that fit into a chunk or two are ranked whole. Only larger ones, told
+    by the bounds that fall into them, are cut into parts, and each part starts
+    from the number of rows in the parts before it.
     """
     group, order = names(group_by), names(order_by)
     chunks = chunks or order_chunks(df, group + order, rows_per_chunk)
-    inside = Window.partitionBy(CHUNK, *[col(c) for c in group]).orderBy(*[col(c) for c in order])
-    chunked = df.withColumn(CHUNK, chunks.column)
-    ranked = chunked.withColumn("_rn", F.row_number().over(inside).cast("bigint"))
-    kept = [col(c) for c in df.columns]
-    if chunks.count == 1:
-        return ranked.select(*kept, col("_rn").alias(name))
-
-    # A group lies in more than one chunk only if some bound falls inside it,
-    # so at most one group per bound needs a carried count.
-    distinct = list(dict.fromkeys(bound[: len(group)] for bound in chunks.bounds))
-    split_groups = df.sparkSession.createDataFrame(
-        distinct, T.StructType([T.StructField(f"_g{i}", T.StringType()) for i in range(len(group))])
-    ).select(
-        *[F.col(f"_g{i}").cast(f.dataType).alias(f"_g{i}") for i, f in enumerate(chunks.fields[: len(group)])]
+    by_order = [col(c) for c in order]
+    spans: dict[tuple, tuple[int, int]] = {}
+    for i, bound in enumerate(chunks.bounds):
+        low, _ = spans.get(bound[: len(group)], (i, i))
+        spans[bound[: len(group)]] = (low, i + 1)
+    large = [(*key, low, high) for key, (low, high) in spans.items() if high - low > 1]
+    if not large:
+        whole = Window.partitionBy(*[col(c) for c in group]).orderBy(*by_order)
+        return df.withColumn(name, F.row_number().over(whole).cast("bigint"))
+
+    # Fewer rows than bounds: safe to broadcast.
+    keys = [f"_g{i}" for i in range(len(group))]
+    text = T.StructType(
+        [T.StructField(k, T.StringType()) for k in keys]
+        + [T.StructField(c, T.IntegerType()) for c in ("_low", "_high")]
     )
-    same_split = all_of([col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)])
-    counts = (
-        chunked.join(F.broadcast(split_groups), same_split, "left_semi")
-        .groupBy(CHUNK, *[col(c).alias(f"_g{i}") for i, c in enumerate(group)])
-        .agg(F.count(F.lit(1)).alias("_rows"))
+    large_groups = df.sparkSession.createDataFrame(large, text).select(
+        *[F.col(k).cast(f.dataType).alias(k) for k, f in zip(keys, chunks.fields)], "_low", "_high"
     )
-    earlier = (
-        Window.partitionBy(*[f"_g{i}" for i in range(len(group))])
-        .orderBy(CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    same = all_of([col(c).eqNullSafe(F.col(k)) for c, k in zip(group, keys)])
+    part = _bounds_up_to(
+        chunks.bounds, chunks.fields, len(group), F.col("_low"), F.col("_high")
     )
+    parted = (
+        df.join(F.broadcast(large_groups), same, "left")
+        .withColumn(CHUNK, F.when(F.col("_low").isNotNull(), part).otherwise(0))
+        .select(*[col(c) for c in df.columns], CHUNK, F.col("_low").isNotNull().alias("_large"))
+    )
+    inside = Window.partitionBy(*[col(c) for c in group], CHUNK).orderBy(*by_order)
+    ranked = parted.withColumn("_rn", F.row_number().over(inside).cast("bigint"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        counts.withColumn("_before", F.sum("_rows").over(earlier))
-        .filter(F.col("_before").isNotNull())
-        .select(
-            F.col(CHUNK).alias("_carried_chunk"),
-            F.col("_before"),
-            *[f"_g{i}" for i in range(len(group))],
-        )
+        parted.filter("_large")
+        .groupBy(*[col(c).alias(k) for c, k in zip(group, keys)], F.col(CHUNK).alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_before", F.sum("_rows").over(earlier))
     )
-    # Two rows per bound at most: safe to broadcast.
-    in_chunk = (F.col(CHUNK) == F.col("_carried_chunk")) & same_split
-    return ranked.join(F.broadcast(carried), in_chunk, "left").select(
-        *kept, (col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).alias(name)
+    # At most one row per bound and large group: safe to broadcast.
+    return ranked.join(
+        F.broadcast(carried), same & (F.col(CHUNK) == F.col("_part")), "left"
+    ).select(
+        *[col(c) for c in df.columns],
+        (F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).alias(name),
     )
 
 

@@ -9,8 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators.ordering import all_of, col, names
-from drover.operators.reconcile import repeated_keys
+from drover.operators.ordering import col, names
+from drover.operators.reconcile import match_grouped, repeated_keys
 from drover.schemas import TableSpec
 from drover.session import stage
 
@@ -80,11 +80,9 @@ def tag_rejects(
 
 
 def _flag(df: DataFrame, keys: DataFrame, on: list[str], flag: str) -> DataFrame:
-    listed = keys.select(
-        *[col(k).alias(f"{flag}{i}") for i, k in enumerate(on)], F.lit(True).alias(flag)
-    )
-    same = all_of([col(k) == F.col(f"{flag}{i}") for i, k in enumerate(on)])
-    return df.join(listed, same, "left").drop(*[f"{flag}{i}" for i in range(len(on))])
+    aliases = [f"{flag}{i}" for i in range(len(on))]
+    listed = keys.select(*[col(k).alias(a) for k, a in zip(on, aliases)], F.lit(True).alias(flag))
+    return df.join(listed, match_grouped(on, aliases), "left").drop(*aliases)
 
 
 def check_rows(

@@ -120,6 +120,21 @@ def null_safe(left_on: Sequence[str], right_on: Sequence[str]) -> Column:
     return all_of([col(a).eqNullSafe(col(b)) for a, b in zip(left_on, right_on)])
 
 
+def match_grouped(
+    left_on: Sequence[str], right_on: Sequence[str], nulls_match: bool = False
+) -> Column:
+    """Key condition for a join with a right side that was grouped by its keys.
+
+    Written with null-safe equality even where NULL must not match: Spark then
+    shuffles the grouped (short) side once more for the join, and only joins
+    between two plain shuffles get their hot keys split at run time.
+    """
+    same = null_safe(left_on, right_on)
+    if nulls_match:
+        return same
+    return same & all_of([col(a).isNotNull() for a in left_on])
+
+
 def merge(
     left: DataFrame,
     right: DataFrame,
@@ -209,28 +224,20 @@ def only_part(merged: DataFrame, part: str) -> DataFrame:
 
 
 def net_new(
-    source: DataFrame,
-    target: DataFrame,
-    source_on: Keys,
-    target_on: Keys,
-    nulls_match: bool = True,
+    source: DataFrame, target: DataFrame, source_on: Keys, target_on: Keys
 ) -> DataFrame:
-    """Source rows whose key the target lacks.
-
-    Plain equality (`nulls_match=False`) saves a shuffle of the target's keys
-    and does as well where the source's key is never NULL.
-    """
-    return without_keys(source, target, source_on, target_on, nulls_match)
+    """Source rows whose key the target lacks."""
+    return without_keys(source, target, source_on, target_on, nulls_match=True)
 
 
 def _match(df, keys, on, keys_on, nulls_match, unique, how) -> DataFrame:
     aliases = [f"_k{i}" for i in range(len(names(on)))]
     listed = keys.select(*[col(k).alias(a) for k, a in zip(names(keys_on or on), aliases)])
+    if not unique:
+        return df.join(listed.distinct(), match_grouped(names(on), aliases, nulls_match), how)
     if nulls_match:
-        condition = null_safe(names(on), aliases)
-    else:
-        condition = all_of([col(a) == F.col(b) for a, b in zip(names(on), aliases)])
-    return df.join(listed if unique else listed.distinct(), condition, how)
+        return df.join(listed, null_safe(names(on), aliases), how)
+    return df.join(listed, all_of([col(a) == F.col(b) for a, b in zip(names(on), aliases)]), how)
 
 
 def with_keys(
