@@ -96,7 +96,6 @@ def update_first_document(
         latest,
         key,
         nulls_match=True,
-        unique=True,
     )
     firsts = candidates.groupBy(col(key).alias("_key")).agg(
         F.min(F.struct(*[col(c) for c in order])).alias("_first")
@@ -149,13 +148,13 @@ def delete_one_each(
 ) -> DataFrame:
     """Each row of `keys` drops one document: a key listed n times drops its first n."""
     listed = keys.groupBy(col(keys_on or on).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    untouched = without_keys(target, listed, on, "_key", nulls_match=True, unique=True)
-    touched = with_keys(target, listed, on, "_key", nulls_match=True, unique=True)
+    untouched = without_keys(target, listed, on, "_key", nulls_match=True)
+    touched = with_keys(target, listed, on, "_key", nulls_match=True)
     # Groups are touched as a whole, so chunks may be laid out on the target itself.
     chunks = order_chunks(target, [on, *names(target_order)], **chunking)
     ranked = rank_in_group(touched, on, target_order, "_rank", chunks=chunks)
     survivors = (
-        ranked.join(listed, col(on).eqNullSafe(F.col("_key")), "inner")
+        ranked.join(listed, match_grouped([on], ["_key"], nulls_match=True), "inner")
         .filter(F.col("_rank") > F.col("_n"))
         .select(*[col(c) for c in target.columns])
     )
@@ -183,9 +182,7 @@ def upsert(
         external_id,
         [*fields, CREATED],
     )
-    # Only ids that come in are looked for, so the target's other ids need not move.
-    known = with_keys(target.select(col(external_id)), latest, external_id, unique=True)
-    created = without_keys(latest, known, external_id).unionByName(
+    created = without_keys(latest, target, external_id).unionByName(
         incoming.filter(col(external_id).isNull()).select(*[col(c) for c in latest.columns])
     )
     return updated.unionByName(

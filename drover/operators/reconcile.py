@@ -125,14 +125,18 @@ def match_grouped(
 ) -> Column:
     """Key condition for a join with a right side that was grouped by its keys.
 
-    Written with null-safe equality even where NULL must not match: Spark then
-    shuffles the grouped (short) side once more for the join, and only joins
-    between two plain shuffles get their hot keys split at run time.
+    Compares the keys as structs (in which NULL equals NULL). Spark then does
+    not take the grouped, short side as already laid out for the join, and
+    shuffles it once more; only joins between two plain shuffles get their hot
+    keys split at run time.
     """
-    same = null_safe(left_on, right_on)
+    sides = [
+        F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(on)]) for on in (left_on, right_on)
+    ]
+    same = sides[0] == sides[1]
     if nulls_match:
         return same
-    return same & all_of([col(a).isNotNull() for a in left_on])
+    return same & all_of([col(c).isNotNull() for c in left_on])
 
 
 def merge(
@@ -251,7 +255,7 @@ def with_keys(
     """Rows whose key is in the key frame; by default NULL is in no list.
 
     `unique` says that the key frame repeats no key, which saves the step that
-    folds repeated keys before they are shuffled.
+    folds repeated keys before they are shuffled. Leave it off for grouped frames.
     """
     return _match(df, keys, on, keys_on, nulls_match, unique, "left_semi")
 

@@ -95,13 +95,13 @@ def doc_delete_where(t: Tables):
 
 
 @query("""
-    WITH k AS (SELECT DISTINCT nullif(s_nationkey, 3) AS k FROM supplier WHERE s_acctbal > 5000)
+    WITH k AS (SELECT DISTINCT nullif(s_nationkey, 3) AS k FROM supplier WHERE s_acctbal > 9800)
     SELECT c_custkey, nation FROM (SELECT c_custkey, nullif(c_nationkey, 3) AS nation FROM customer)
     WHERE NOT EXISTS (SELECT 1 FROM k WHERE k IS NOT DISTINCT FROM nation)""")
 def doc_delete_many(t: Tables):
     return dml.delete_documents(
         t.customer.selectExpr("c_custkey", "nullif(c_nationkey, 3) AS nation"),
-        t.supplier.filter("s_acctbal > 5000").selectExpr("nullif(s_nationkey, 3) AS nation"),
+        t.supplier.filter("s_acctbal > 9800").selectExpr("nullif(s_nationkey, 3) AS nation"),
         "nation",
     )
 
