@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drover.operators.ordering import ROWS_PER_CHUNK, col, names, running_sums, with_row_index
+from drover.operators.ordering import ROWS_PER_CHUNK, col, running_sums, with_row_index
 from drover.session import stage
 
 # Workers get these functions with the task, so they need not have the package.
@@ -53,8 +53,12 @@ def assign_batches(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add `batch_id`: rows [0, n) in `order_by` are batch 0, the next n batch 1, .."""
+    return _numbered_batches(df, order_by, batch_size, rows_per_chunk).drop(ROW)
+
+
+def _numbered_batches(df, order_by, batch_size, rows_per_chunk=ROWS_PER_CHUNK) -> DataFrame:
     indexed = with_row_index(df, order_by, ROW, rows_per_chunk=rows_per_chunk)
-    return indexed.withColumn(BATCH, F.floor(F.col(ROW) / batch_size).cast("bigint")).drop(ROW)
+    return indexed.withColumn(BATCH, F.floor(F.col(ROW) / batch_size).cast("bigint"))
 
 
 def submit(
@@ -69,23 +73,22 @@ def submit(
     Rows that the submitter gives no outcome for have NULL outcomes. The
     returned frame is lazy: store it once (`run_dml` does) before splitting it.
     """
-    order = names(order_by)
-    batched = assign_batches(df, order, batch_size)
+    batched = _numbered_batches(df, order_by, batch_size)
     sent = df.columns
     schema = T.StructType(
         [
-            *batched.schema.fields,
+            *batched.drop(ROW).schema.fields,
             *[T.StructField(RESULT_PREFIX + n, t) for n, _, t in RESULT_FIELDS],
         ]
     )
 
     def send(batch: pa.Table) -> pa.Table:
-        batch = batch.sort_by([(c, "ascending") for c in order])
+        batch = batch.sort_by(ROW)
         try:
             results = submitter(batch.select(sent))
         except Exception as error:
             results = failed_batch(batch.num_rows, str(error))
-        return _attach_results(batch, results)
+        return _attach_results(batch.drop_columns([ROW]), results)
 
     return batched.groupBy(BATCH).applyInArrow(send, schema)
 

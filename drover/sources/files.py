@@ -46,9 +46,10 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header from any file system Spark can reach.
 
-    With a schema every column is read as text, missing-value texts become
-    NULL, and then the columns are cast: bad values raise, or become NULL if
-    `strict` is off. Codes with leading zeros belong in the schema as string.
+    With a schema its columns are picked by name and read as text, missing-value
+    texts become NULL, and then the columns are cast: bad values raise, or
+    become NULL if `strict` is off. Codes with leading zeros belong in the
+    schema as string. Files whose headers differ from the first one's raise.
     Without a schema types are inferred, which costs another pass over the
     files. `file_column` adds the path of the row's file.
     """
@@ -62,9 +63,11 @@ def read_csv(
         ]
     else:
         wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
-        # The files may order their columns in another way than the schema.
-        df = reader.option("enforceSchema", False).schema(text).csv(paths)
+        header = reader.csv(paths).schema  # reads one line
+        missing = [f.name for f in wanted.fields if f.name not in header.names]
+        if missing:
+            raise ValueError(f"no such columns in the file: {missing}")
+        df = reader.option("enforceSchema", False).schema(header).csv(paths)
         values = []
         for f in wanted.fields:
             value = F.when(~col(f.name).isin(*MISSING_TEXTS), col(f.name))

@@ -32,6 +32,17 @@ def test_csv(spark, tmp_path):
         sources.read_csv(spark, str(file), "code string, n int").collect()
 
 
+def test_csv_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,other,code\n7,zz,01\n")
+    got = sources.read_csv(spark, str(tmp_path), "code string, n int")
+    assert rows(got) == [("01", 7)] and got.columns == ["code", "n"]
+    with pytest.raises(ValueError, match="lost"):
+        sources.read_csv(spark, str(tmp_path), "code string, lost int")
+    (tmp_path / "b.csv").write_text("code,other,n\n02,zz,8\n")
+    with pytest.raises(Exception, match="header"):
+        sources.read_csv(spark, str(tmp_path), "code string, n int").collect()
+
+
 def test_csv_files_in_order(spark, tmp_path):
     for i in (2, 1):
         (tmp_path / f"part_{i}.csv").write_text(f"id,v\n1,a{i}\n2,b{i}\n")
