@@ -149,16 +149,12 @@ def delete_one_each(
     """Each row of `keys` drops one document: a key listed n times drops its first n."""
     listed = keys.groupBy(col(keys_on or on).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     untouched = without_keys(target, listed, on, "_key", nulls_match=True)
-    touched = with_keys(target, listed, on, "_key", nulls_match=True)
+    touched = target.join(listed, match_grouped([on], ["_key"], nulls_match=True), "inner")
     # Groups are touched as a whole, so chunks may be laid out on the target itself.
     chunks = order_chunks(target, [on, *names(target_order)], **chunking)
     ranked = rank_in_group(touched, on, target_order, "_rank", chunks=chunks)
-    survivors = (
-        ranked.join(listed, match_grouped([on], ["_key"], nulls_match=True), "inner")
-        .filter(F.col("_rank") > F.col("_n"))
-        .select(*[col(c) for c in target.columns])
-    )
-    return untouched.unionByName(survivors)
+    survivors = ranked.filter(F.col("_rank") > F.col("_n"))
+    return untouched.unionByName(survivors.select(*[col(c) for c in target.columns]))
 
 
 def upsert(

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_CHUNK = 20_000
+ROWS_PER_CHUNK = 50_000
 MAX_CHUNKS = 16_384
 SAMPLES_PER_CHUNK = 20
 
