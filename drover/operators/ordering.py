@@ -297,6 +297,9 @@ def running_sums(
         .orderBy(*[col(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    if chunks.count == 1:
+        totals = [F.sum(col(source)).over(so_far).alias(new) for new, source in sums.items()]
+        return chunked.select(*[col(c) for c in df.columns], *totals)
     per_chunk = chunked.groupBy(CHUNK).agg(
         *[F.sum(col(source)).alias(f"_total_{new}") for new, source in sums.items()]
     )

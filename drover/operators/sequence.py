@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drover.operators.ordering import (
@@ -79,6 +79,14 @@ def number_runs(
         )
     )
 
+    def numbered(joined: DataFrame, offset: Column, entry_start: Column) -> DataFrame:
+        began = F.coalesce(offset + F.col("_start"), entry_start)
+        number = F.lit(base) + F.lit(step) * (offset + F.col("_steps") - began)
+        return joined.select(*[col(c) for c in df.columns], number.cast("bigint").alias(name))
+
+    if chunks.count == 1:
+        return numbered(compared, F.lit(0), F.lit(0))
+
     # One row per chunk, hence small: its ends, its steps and where its last run began.
     ends = compared.groupBy(CHUNK).agg(
         F.min_by("_now", F.when(F.col("_first"), F.lit(0)).otherwise(F.lit(1))).alias("_head"),
@@ -116,11 +124,8 @@ def number_runs(
             .alias("_entry_start"),
         )
     )
-    began = F.coalesce(F.col("_offset") + F.col("_start"), F.col("_entry_start"))
-    number = F.lit(base) + F.lit(step) * (F.col("_offset") + F.col("_steps") - began)
-    return compared.join(F.broadcast(carried), CHUNK).select(
-        *[col(c) for c in df.columns], number.cast("bigint").alias(name)
-    )
+    joined = compared.join(F.broadcast(carried), CHUNK)
+    return numbered(joined, F.col("_offset"), F.col("_entry_start"))
 
 
 def number_groups(
