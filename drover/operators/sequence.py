@@ -49,21 +49,20 @@ def number_runs(
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = F.struct(*[col(c).alias(f"w{i}") for i, c in enumerate(watched)])
 
-    def starts_run(now: str, before: str):
-        same_group = all_of(
-            [F.col(f"{now}.w{i}").eqNullSafe(F.col(f"{before}.w{i}")) for i in range(len(group))]
-        )
-        if not changes or hold:
-            return ~same_group
-        return ~same_group | _unchanged(now, before)
-
-    def _unchanged(now: str, before: str):
-        at = range(len(group), len(watched))
+    def equal(now: str, before: str, at: range) -> Column:
         return all_of([F.col(f"{now}.w{i}").eqNullSafe(F.col(f"{before}.w{i}")) for i in at])
 
-    def advances(now: str, before: str):
+    in_group, in_changes = range(len(group)), range(len(group), len(watched))
+
+    def starts_run(now: str, before: str) -> Column:
+        new_group = ~equal(now, before, in_group)
+        return new_group if not changes or hold else new_group | equal(now, before, in_changes)
+
+    def advances(now: str, before: str) -> Column:
         """Whether the row counts a step when it does not start a run."""
-        return (~_unchanged(now, before)).cast("bigint") if hold else F.lit(1).cast("bigint")
+        if not hold:
+            return F.lit(1).cast("bigint")
+        return (~equal(now, before, in_changes)).cast("bigint")
 
     compared = (
         df.withColumn(CHUNK, chunks.column)

@@ -88,3 +88,17 @@ def test_append_and_matched(spark, target):
     assert rows(dml.append_rows(target, new))[-1] == (9, "z", "t", 0.5)
     got = dml.matched_updates(target, new.union(new), ["id"], ["id"], "id", {"Type": "Prospect"})
     assert rows(got) == []
+
+
+def test_keys_of_other_types(spark, target):
+    changes = spark.createDataFrame([(1, "new"), (9, "none")], "id bigint, v string")
+    got = dml.keyed_update(target, changes, "id", ["v"])
+    assert [r["v"] for r in got.orderBy("id").collect()] == ["new", "q", "r", "s"]
+    assert [r["id"] for r in rows_of(dml.delete_keys(target, changes, "id"))] == [2, 3, 4]
+    decimals = changes.selectExpr("CAST(id AS decimal(12,2)) AS id")
+    assert [r["id"] for r in rows_of(dml.delete_documents(target, decimals, "id"))] == [2, 3, 4]
+    assert dml.upsert(target.drop("w"), changes, "id").filter("RESULTS_created").count() == 1
+
+
+def rows_of(df):
+    return sorted(df.collect(), key=str)
