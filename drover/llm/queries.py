@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drover.llm import fingerprints, language, licenses, packing, sharding, urls
+from drover.llm import fingerprints, language, licenses, near, packing, sharding, urls
 from drover.llm.shipping import ship
 
 QUERIES = {}
@@ -123,3 +123,9 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(docs.where(~held_out(5)))
     found = language.identify(docs.drop("lang"), model)
     return found.select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
