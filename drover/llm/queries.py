@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drover.llm import fingerprints, language, licenses, near, packing, sharding, urls
+from drover.llm import fingerprints, language, licenses, near, packing, repeats, sharding, urls
 from drover.llm.shipping import ship
 
 QUERIES = {}
@@ -125,6 +125,12 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op7_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return repeats.measure(docs, repeats.find_repeats(docs))
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
