@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drover.llm import fingerprints, language, licenses, near, packing, repeats, sharding, urls
+from drover.llm import decontamination, fingerprints, language, licenses, near, packing, repeats, sharding, urls
 from drover.llm.shipping import ship
 
 QUERIES = {}
@@ -131,6 +131,19 @@ def op7_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.measure(docs, repeats.find_repeats(docs))
 
 
+def benchmark_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Test items with their last sentence as the answer."""
+    return table(spark, folder, "benchmark").select(
+        "item_id", *decontamination.question_and_answer("text")
+    )
+
+
+@query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return decontamination.find_leaks(docs, benchmark_items(spark, folder))
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
