@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drover.llm import decontamination, fingerprints, language, licenses, near, packing, repeats, sharding, urls
+from drover.llm import ctw, decontamination, fingerprints, language, licenses, near, packing, repeats, sharding, urls
 from drover.llm.shipping import ship
 
 QUERIES = {}
@@ -71,6 +71,12 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_with_edits(docs, fingerprints.lexicon(docs))
 
 
+@query
+def op4_context_tree_weighting(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", held_out(10).alias("held_out"))
+    return ctw.score(docs)
+
+
 @query
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
