@@ -2,36 +2,67 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 #: Words whose ids a Python worker keeps; the store starts anew when it is full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_000_000
 
 _tokenizers: dict[str, tuple[Tokenizer, dict[str, bytes]]] = {}
+_bytes_as_letters = ByteLevel(add_prefix_space=False, use_regex=False)
 
 
 def _encode_words(tokenizer: Tokenizer, words: list[str], store: dict[str, bytes]) -> None:
-    """Put the ids of each word into `store`, as little-endian unsigned 32-bit numbers."""
-    for at in range(0, len(words), 512):
-        some = words[at : at + 512]
-        encoding = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoding.ids, dtype="<u4")
-        owner = np.array(encoding.word_ids, dtype=np.int64)
-        bounds = np.searchsorted(owner, np.arange(len(some) + 1))
-        for k, word in enumerate(some):
-            store[word] = ids[bounds[k] : bounds[k + 1]].tobytes()
+    """Put the ids of each word into `store`, as little-endian unsigned 32-bit numbers.
+
+    A lower-case word of letters passes the tokenizer's normaliser and splitter
+    as it is, so it goes to the merges at once.
+    """
+    merges = tokenizer.model.tokenize
+    for word in words:
+        if word.isalpha() and word.islower():
+            letters = word if word.isascii() else _bytes_as_letters.pre_tokenize_str(word)[0][0]
+            ids = [token.id for token in merges(letters)]
+        else:
+            ids = tokenizer.encode(word, add_special_tokens=False).ids
+        store[word] = array("I", ids).tobytes()
+
+
+def _plain(text: str) -> str:
+    """The text in lower case where that is sure to leave its ids the same.
+
+    The tokenizer composes characters and lower-cases each by itself. Python
+    agrees on composed text but for the sigma at a word's end.
+    """
+    if text.isascii():
+        return text.lower()
+    if unicodedata.is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text:
+        return text.lower()
+    return text
+
+
+def _learn(tokenizer: Tokenizer, new: set[str], store: dict[str, bytes]) -> None:
+    """Store the ids of new words; a stop or comma after letters is a token of its own."""
+    ended = {w for w in new if w[-1:] in (".", ",") and w[:-1].isalpha()}
+    stems = new - ended | {w[:-1] for w in ended} | {".", ","}
+    _encode_words(tokenizer, sorted(stems - store.keys()), store)
+    for word in ended:
+        store[word] = store[word[:-1]] + store[word[-1]]
 
 
-def token_bytes(path: str, texts: list[str]) -> list[bytes]:
-    """Ids of each text, as bytes of little-endian unsigned 32-bit numbers.
+def token_ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after the other, and where each text's ids begin (one more: the end).
 
     The tokenizer splits at white space and drops it, so the ids of a text are
     those of the parts between its blanks and line breaks, one after the other;
@@ -40,13 +71,23 @@ def token_bytes(path: str, texts: list[str]) -> list[bytes]:
     if path not in _tokenizers:
         _tokenizers[path] = Tokenizer.from_file(path), {}
     tokenizer, store = _tokenizers[path]
-    split = [text.replace("\n", " ").split(" ") for text in texts]
-    new = set().union(*split) - store.keys()
+    column = pa.array([_plain(text) for text in texts], pa.large_string())
+    split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+    parts = pc.list_flatten(split).dictionary_encode()
+    words = parts.dictionary.to_pylist()
+    new = {word for word in words if word not in store}
     if len(store) + len(new) > KEPT_WORDS:
         store.clear()
-        new = set().union(*split)
-    _encode_words(tokenizer, sorted(new), store)
-    return [b"".join([store[word] for word in words]) for words in split]
+        new = set(words)
+    _learn(tokenizer, new, store)
+    known = [store[word] for word in words]
+    flat = np.frombuffer(b"".join(known), dtype="<u4")
+    size = np.array([len(ids) for ids in known], dtype=np.int64) // 4
+    begin = np.cumsum(size) - size
+    code = parts.indices.to_numpy()
+    ends = np.concatenate([[0], np.cumsum(size[code])])
+    ids = flat[np.repeat(begin[code] - ends[:-1], size[code]) + np.arange(ends[-1])]
+    return ids, ends[split.offsets.to_numpy()]
 
 
 def lengths(total: int, longest: int) -> list[int]:
@@ -89,8 +130,9 @@ def pack(
     def some(doc_ids: list, texts: list[str]) -> pa.RecordBatch:
         rows: list[tuple] = []
         ids: list[np.ndarray] = []
-        for doc_id, found in zip(doc_ids, token_bytes(tokenizer_path, texts)):
-            found += end
+        flat, bounds = token_ids(tokenizer_path, texts)
+        for doc_id, low, high in zip(doc_ids, bounds, bounds[1:]):
+            found = flat[low:high].tobytes() + end
             total, start = len(found) // 4, 0
             for length in lengths(total, longest):
                 piece = found[4 * start : 4 * (start + length)]
@@ -100,8 +142,8 @@ def pack(
                 start += length
         columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
         if with_ids:
-            bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            columns.insert(3, pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(ids))))
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            columns.insert(3, pa.ListArray.from_arrays(starts, pa.array(np.concatenate(ids))))
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +153,7 @@ def pack(
                 doc_ids.append(doc_id)
                 texts.append(text.as_py() or "")
                 size += len(texts[-1])
-                if size > 2_000_000:
+                if size > 8_000_000:
                     yield some(doc_ids, texts)
                     doc_ids, texts, size = [], [], 0
             if doc_ids:
