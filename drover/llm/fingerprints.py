@@ -25,7 +25,7 @@ LEVELS = 12
 SUBSETS = 16
 DIGITS = 2
 
-_SALTS = np.random.default_rng(41).integers(1, 2**63, LEVELS * SUBSETS, dtype=np.uint64)
+_SALTS = np.random.default_rng(41).integers(1, 2**63, SUBSETS, dtype=np.uint64)
 
 
 def distinct_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,14 +89,16 @@ def imatch(texts: pa.Array, band: np.ndarray) -> list[str]:
         owner, term = owner[inside], term[inside]
         table = np.zeros((count, LEVELS * SUBSETS), dtype=np.uint64)
         for k, salt in enumerate(_SALTS):
-            drawn = mix(term ^ salt)
-            level = k // SUBSETS
-            chosen = (drawn & np.uint64((1 << level) - 1)) == 0
-            who = owner[chosen]
-            first = runs(who)
-            if len(first):
-                sums = np.add.reduceat(mix(drawn[chosen] + salt), first)
-                table[who[first], k] = mix(sums) % modulus + np.uint64(1)
+            drawn, who = mix(term ^ salt), owner
+            for level in range(LEVELS):
+                if level:  # one more zero bit: half of the terms stay
+                    chosen = (drawn & np.uint64(1 << (level - 1))) == 0
+                    drawn, who = drawn[chosen], who[chosen]
+                first = runs(who)
+                if not len(first):
+                    break
+                sums = mix(np.add.reduceat(mix(drawn), first))
+                table[who[first], level * SUBSETS + k] = sums % modulus + np.uint64(1)
         prints += [row.tobytes().hex() for row in table.astype(np.uint8)]
     return prints
 
