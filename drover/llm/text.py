@@ -57,7 +57,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def lots(column: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def lots(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about `limit` bytes: first row, end row, bytes, offsets."""
     data, offsets = utf8(column)
     at, rows = 0, len(offsets) - 1
