@@ -47,6 +47,8 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = True) -
 
 def cast_by_position(df: DataFrame, types: Sequence[str], strict: bool = True) -> DataFrame:
     """Cast the first `len(types)` columns in order; further columns pass through."""
+    if len(types) > len(df.columns):
+        raise ValueError(f"{len(types)} types for {len(df.columns)} columns")
     return cast_columns(df, dict(zip(df.columns, types)), strict)
 
 
@@ -94,15 +96,15 @@ def tokens_to_null(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-def iso_date(c: Column, pattern: str = "M/d/yyyy", strict: bool = False) -> Column:
-    """Date text -> 'yyyy-MM-dd'. Blank and bad text give NULL; `strict` raises on bad text."""
+def iso_date(c: Column, pattern: str = "M/d/yyyy", strict: bool = True) -> Column:
+    """Date text -> 'yyyy-MM-dd'. Blank text gives NULL; bad text raises, or gives NULL if `strict` is off."""
     text = tokens_to_null(c)
     day = F.to_date(text, pattern) if strict else F.try_to_date(text, pattern)
     return F.date_format(day, "yyyy-MM-dd")
 
 
 def iso_date_columns(
-    df: DataFrame, columns: str | Sequence[str], pattern: str = "M/d/yyyy", strict: bool = False
+    df: DataFrame, columns: str | Sequence[str], pattern: str = "M/d/yyyy", strict: bool = True
 ) -> DataFrame:
     for name in [columns] if isinstance(columns, str) else columns:
         df = df.withColumn(name, iso_date(col(name), pattern, strict))
@@ -113,9 +115,24 @@ def iso_date_columns(
 DATE_PATTERNS = ("yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "d-MMM-yyyy", "yyyyMMdd")
 
 
-def parse_date(c: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
-    """First layout that fits; NULL if none does."""
-    return F.coalesce(*[F.try_to_date(c, pattern) for pattern in patterns])
+def parse_date(
+    c: Column, patterns: Sequence[str] = DATE_PATTERNS, strict: bool = True
+) -> Column:
+    """First layout that fits. If none does, the text raises, or gives NULL if `strict` is off."""
+    found = F.coalesce(*[F.try_to_date(c, pattern) for pattern in patterns])
+    if not strict:
+        return found
+    bad = F.raise_error(F.concat(F.lit("not a date: "), c)).cast("date")
+    return F.when(found.isNull() & c.isNotNull(), bad).otherwise(found)
+
+
+def split_dates(
+    df: DataFrame, column: str, patterns: Sequence[str] = DATE_PATTERNS
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose text is missing or a date, with the date in its place, and the other rows as they are."""
+    day = parse_date(col(column), patterns, strict=False)
+    bad = col(column).isNotNull() & day.isNull()
+    return df.filter(~bad).withColumn(column, day), df.filter(bad)
 
 
 def drop_time(c: Column) -> Column:

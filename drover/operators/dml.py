@@ -12,16 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators.ordering import all_of, col, names, order_chunks, rank_in_group
+from drover.operators.ordering import all_of, col, fresh, names, rank_in_group
 from drover.operators.reconcile import (
     CardinalityError,
     last_per_key,
     match_grouped,
     null_safe,
     repeated_keys,
-    with_keys,
     without_keys,
 )
+from drover.session import stage
 
 CREATED = "RESULTS_created"
 
@@ -48,10 +48,17 @@ def keyed_update(
     A NULL in `changes` overwrites. Keys without a target row do nothing. If a
     key comes several times its last row in `order_by` wins.
     """
+    _require_columns(target, [key, *columns])
     present = changes.filter(col(key).isNotNull())
     return _overwrite(target, _last_changes(present, key, columns, order_by), key, columns)
 
 
+def _require_columns(target: DataFrame, columns: Sequence[str]) -> None:
+    unknown = [c for c in columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
+
+
 def _overwrite(
     target: DataFrame, latest: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
@@ -90,14 +97,7 @@ def update_first_document(
     order = names(target_order)
     fields = [c for c in changes.columns if c != key]
     latest = _last_changes(changes, key, fields, order_by)
-    # Changes are few as a rule: their keys thin out the target before it is grouped.
-    candidates = with_keys(
-        target.select(*[col(c) for c in dict.fromkeys([key, *order])]),
-        latest,
-        key,
-        nulls_match=True,
-    )
-    firsts = candidates.groupBy(col(key).alias("_key")).agg(
+    firsts = target.groupBy(col(key).alias("_key")).agg(
         F.min(F.struct(*[col(c) for c in order])).alias("_first")
     )
     # The join key holds the position, so copies of a hot key spread out.
@@ -147,14 +147,19 @@ def delete_one_each(
     **chunking,
 ) -> DataFrame:
     """Each row of `keys` drops one document: a key listed n times drops its first n."""
-    listed = keys.groupBy(col(keys_on or on).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    untouched = without_keys(target, listed, on, "_key", nulls_match=True)
-    touched = target.join(listed, match_grouped([on], ["_key"], nulls_match=True), "inner")
-    # Groups are touched as a whole, so chunks may be laid out on the target itself.
-    chunks = order_chunks(target, [on, *names(target_order)], **chunking)
-    ranked = rank_in_group(touched, on, target_order, "_rank", chunks=chunks)
-    survivors = ranked.filter(F.col("_rank") > F.col("_n"))
-    return untouched.unionByName(survivors.select(*[col(c) for c in target.columns]))
+    key, count = (fresh([*target.columns, on], n) for n in ("_key", "_n"))
+    listed = keys.groupBy(col(keys_on or on).alias(key)).agg(F.count(F.lit(1)).alias(count))
+    # Joined once; the rows that were hit are ranked, the others go through.
+    joined = target.join(listed, match_grouped([on], [key], nulls_match=True), "left").drop(key)
+    joined = stage(joined, "delete-one-each")
+    rank = fresh([*joined.columns], "_rank")
+    touched = joined.filter(col(count).isNotNull())
+    survivors = rank_in_group(touched, on, target_order, rank, **chunking).filter(
+        col(rank) > col(count)
+    )
+    untouched = joined.filter(col(count).isNull())
+    kept = [col(c) for c in target.columns]
+    return untouched.select(*kept).unionByName(survivors.select(*kept))
 
 
 def upsert(
@@ -169,7 +174,8 @@ def upsert(
     inserted rows, false for updated ones, NULL for rows not touched. Rows
     without an external id are inserted as they are.
     """
-    fields = [c for c in incoming.columns if c != external_id and c in target.columns]
+    _require_columns(target, incoming.columns)
+    fields = [c for c in incoming.columns if c != external_id]
     named = incoming.filter(col(external_id).isNotNull())
     latest = _last_changes(named, external_id, fields, order_by)
     updated = _overwrite(
@@ -187,7 +193,8 @@ def upsert(
 
 
 def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Next state after an insert, aligned by name."""
+    """Next state after an insert, aligned by name; both sides have the same columns."""
+    _require_columns(target, rows.columns)
     return target.unionByName(rows.select(*[col(c) for c in target.columns]))
 
 

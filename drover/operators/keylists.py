@@ -9,9 +9,6 @@ from drover.functions.scalars import sql_quote
 from drover.operators.ordering import ROWS_PER_CHUNK, col, with_row_index
 from drover.session import stage
 
-# Largest number of values that may be put into one text.
-TEXT_LIMIT = 100_000
-
 
 def _distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(col(column).alias("_value")).filter(F.col("_value").isNotNull()).distinct()
@@ -41,16 +38,3 @@ def in_lists(
     numbered = with_row_index(values, "_value", "_at", rows_per_chunk=rows_per_chunk)
     part = F.floor(F.col("_at") / per_list).cast("bigint").alias("part")
     return numbered.groupBy(part).agg(_in_list(one_per_line).alias("in_list"))
-
-
-def in_list_text(
-    df: DataFrame, column: str, one_per_line: bool = False, limit: int = TEXT_LIMIT
-) -> str:
-    """All distinct values as one text; more than `limit` of them is an error."""
-    values = _distinct_values(df, column)
-    found = values.limit(limit + 1).count()
-    if found > limit:
-        raise ValueError(f"over {limit} values: use in_lists")
-    if not found:
-        return "(NULL)"
-    return values.agg(_in_list(one_per_line).alias("t")).first()["t"]

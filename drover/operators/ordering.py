@@ -1,36 +1,29 @@
 """Row numbers, ranks and running sums without a single-task window.
 
-Every function cuts its input into chunks along the full sort key, runs the
-window inside the chunks and adds what the earlier chunks carry over. Chunk
-bounds come from a sample of the sort key, so chunks are of like size however
-the rows are spread over groups: one group with a third of all rows is spread
-over a third of the chunks. The bounds are literals in the plan, hence any
-recomputed task puts a row into the same chunk as before.
-
-`order_by` names ascending columns that together are unique (within the
-group, for ranks). Frames that are costly to compute should go through
-`drover.session.stage` first: the size, the sample and the carried totals are
-each a narrow pass over the input.
+Every function deals its input to ranges of the full sort key, sorts inside the
+ranges and stores the result once in the shared folder. A row's place in its
+range is then fixed, so repeated tasks and rows with equal keys can't move it;
+what the earlier ranges carry over is one row per range. The number of ranges
+follows the number of rows, without an upper limit, and a group with a third of
+all rows is spread over a third of the ranges.
+
+`order_by` names ascending columns, NULL first. Rows with equal values keep an
+arbitrary order among themselves, but one order for good; all copies of a value
+fall into one range, so name enough columns to tell rows apart.
 """
 
 from __future__ import annotations
 
-import json
-from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-ROWS_PER_CHUNK = 50_000
-MAX_CHUNKS = 16_384
-SAMPLES_PER_CHUNK = 20
+from drover.session import stage
 
-CHUNK = "_chunk"
+ROWS_PER_CHUNK = 100_000
 
 
 def names(columns: str | Sequence[str]) -> list[str]:
@@ -46,116 +39,62 @@ def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-@dataclass(frozen=True)
-class Chunks:
-    """`column` numbers a row's chunk; `bounds` holds the first key of chunks 1, 2, .. as text."""
+def fresh(taken: Sequence[str], name: str) -> str:
+    """`name`, with underscores in front until no column has it."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name = "_" + name
+    return name
 
-    count: int
-    column: Column
-    fields: tuple[T.StructField, ...] = ()
-    bounds: tuple[tuple[str | None, ...], ...] = ()
 
+@dataclass(frozen=True)
+class Ordered:
+    """Stored rows with the number of their chunk and their place in it, from 0."""
+
+    rows: DataFrame
+    columns: list[str]
+    chunk: str
+    place: str
+
+    def kept(self) -> list[Column]:
+        return [col(c) for c in self.columns]
+
+    def in_chunk(self) -> Window:
+        return Window.partitionBy(col(self.chunk)).orderBy(col(self.place))
+
+    def before(self, name: str) -> DataFrame:
+        """Rows of the earlier chunks, one row per chunk."""
+        sizes = self.rows.groupBy(col(self.chunk)).agg(F.count(F.lit(1)).alias(name))
+        earlier = Window.orderBy(col(self.chunk)).rowsBetween(Window.unboundedPreceding, -1)
+        return sizes.select(
+            col(self.chunk), F.coalesce(F.sum(col(name)).over(earlier), F.lit(0)).alias(name)
+        )
 
-def order_chunks(
-    df: DataFrame,
-    order_by: str | Sequence[str],
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    max_chunks: int = MAX_CHUNKS,
-) -> Chunks:
-    """Chunks of about `rows_per_chunk` rows along `order_by`."""
-    order = names(order_by)
-    rows = df.count()
-    wanted = min(max_chunks, -(-rows // rows_per_chunk))
-    if wanted <= 1:
-        return Chunks(1, F.lit(0))
-
-    # About max_chunks * SAMPLES_PER_CHUNK short rows at most, so one task may sort
-    # them; a distributed sort would read the input a second time for its own bounds.
-    fraction = min(1.0, wanted * SAMPLES_PER_CHUNK / rows)
-    sample = (
-        df.select(*[col(name) for name in order])
-        .sample(fraction, seed=17)
-        .repartition(1)
-        .sortWithinPartitions(*[col(name) for name in order])
-        .select(*[col(name).cast("string") for name in order])
-        .collect()
+
+def in_order(
+    df: DataFrame, order_by: str | Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK
+) -> Ordered:
+    """Store `df` in chunks of about `rows_per_chunk` rows along `order_by`."""
+    chunk = fresh(df.columns, "_chunk")
+    place = fresh([*df.columns, chunk], "_place")
+    order = [col(name) for name in names(order_by)]
+    chunks = max(1, -(-df.count() // rows_per_chunk))
+    dealt = df.repartitionByRange(chunks, *order) if chunks > 1 else df.repartition(1)
+    rows = dealt.sortWithinPartitions(*order).select(
+        *[col(c) for c in df.columns],
+        F.spark_partition_id().alias(chunk),
+        # The lower 33 bits count the rows of a partition.
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(place),
     )
-    stride = max(1, len(sample) // wanted)
-    bounds = tuple(dict.fromkeys(tuple(row) for row in sample[stride::stride]))
-    if not bounds:
-        return Chunks(1, F.lit(0))
-    fields = tuple(df.schema[name] for name in order)
-    return Chunks(len(bounds) + 1, _bounds_up_to(bounds, fields), fields, bounds)
-
-
-def _literal_array(texts: Sequence[str | None], element: T.DataType) -> Column:
-    """An array constant; the optimizer folds it before any row is read."""
-    array = F.from_json(F.lit(json.dumps(texts)), T.ArrayType(T.StringType()))
-    return array.cast(T.ArrayType(element))
-
-
-def _bounds_up_to(
-    bounds: tuple[tuple[str | None, ...], ...],
-    fields: tuple[T.StructField, ...],
-    skip: int = 0,
-    low: Column | None = None,
-    high: Column | None = None,
-) -> Column:
-    """How many of the sorted `bounds` are at or before the row's key.
-
-    A search by halving steps on the first column; only where a bound has the
-    row's value there does the search go on among those bounds by the next
-    column. Comparing column by column is several times faster than comparing
-    structs. With `skip` the row's first columns are known to equal those of
-    the bounds `low` up to `high`, and the search starts there.
-    """
-    positions = range(len(bounds))
-
-    def longest(starts: list[int]) -> int:
-        return max(i - start + 1 for i, start in enumerate(starts))
-
-    def run_starts(depth: int) -> list[int]:
-        """Per bound: where the bounds with the same first `depth` values begin."""
-        starts = list(positions)
-        for i in positions[1:]:
-            if bounds[i][:depth] == bounds[i - 1][:depth]:
-                starts[i] = starts[i - 1]
-        return starts
-
-    def search(depth: int, low: Column, high: Column, span: int) -> Column:
-        field, values = fields[depth], [bound[depth] for bound in bounds]
-        # One element in front, so that element i is the i-th bound; past the end is NULL.
-        literals = _literal_array([None, *values], field.dataType)
-        key = col(field.name)
-
-        def up_to(at: Column) -> Column:
-            bound = F.get(literals, at)
-            reached = bound <= key
-            if None in values:  # NULL sorts first
-                reached = F.coalesce(reached, bound.isNull() & (at <= len(values)))
-            return reached if depth == 0 else (at <= high) & reached
-
-        starts = run_starts(depth + 1)
-        begins = _literal_array([str(start) for start in starts], T.IntegerType())
-
-        def next_column(found: Column) -> Column:
-            same = (found > low) & F.get(literals, found).eqNullSafe(key)
-            first = F.get(begins, found - 1)
-            return F.when(same, search(depth + 1, first, found, longest(starts))).otherwise(found)
-
-        return F.aggregate(
-            F.array(*[F.lit(1 << k) for k in reversed(range(span.bit_length()))]),
-            low,
-            lambda found, step: F.when(up_to(found + step), found + step).otherwise(found),
-            next_column if depth + 1 < len(fields) else None,
-        )
+    return Ordered(stage(rows, "ordered"), list(df.columns), chunk, place)
 
-    if skip:
-        found = search(skip, low, high, longest(run_starts(skip)))
-    else:
-        found = search(0, F.lit(0), F.lit(len(bounds)), len(bounds))
-    # Never NULL; saying so spares joins on the chunk a second evaluation as a NULL filter.
-    return F.coalesce(found, F.lit(0))
+
+def _positions(ordered: Ordered, start: int = 0) -> tuple[DataFrame, Column]:
+    """The rows beside what their chunk has before it, and the column of positions."""
+    before = fresh([*ordered.columns, ordered.chunk, ordered.place], "_before")
+    # One row per chunk, so it is as small against the rows as one against rows_per_chunk.
+    joined = ordered.rows.join(F.broadcast(ordered.before(before)), ordered.chunk)
+    return joined, col(ordered.place) + col(before) + F.lit(start)
 
 
 def with_row_index(
@@ -166,29 +105,9 @@ def with_row_index(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add the row's position in `order_by`, counted from `start`."""
-    order = names(order_by)
-    chunks = order_chunks(df, order, rows_per_chunk)
-    chunked = df.withColumn(CHUNK, chunks.column)
-    inside = Window.partitionBy(CHUNK).orderBy(*[col(c) for c in order])
-    numbered = chunked.withColumn("_rn", F.row_number().over(inside).cast("bigint"))
-    if chunks.count == 1:
-        position = col("_rn") + F.lit(start - 1)
-        return numbered.select(*[col(c) for c in df.columns], position.alias(name))
-    offsets = _carried(
-        chunked.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_rows")), "_rows", "_before"
-    )
-    position = col("_rn") + col("_before") + F.lit(start - 1)
-    return numbered.join(F.broadcast(offsets), CHUNK).select(
-        *[col(c) for c in df.columns], position.alias(name)
-    )
-
-
-def _carried(per_chunk: DataFrame, total: str, name: str) -> DataFrame:
-    """Sum of `total` over the earlier chunks; one row per chunk, so a small frame."""
-    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    return per_chunk.select(
-        CHUNK, F.coalesce(F.sum(total).over(earlier), F.lit(0)).cast("bigint").alias(name)
-    )
+    ordered = in_order(df, order_by, rows_per_chunk)
+    joined, position = _positions(ordered, start)
+    return joined.select(*ordered.kept(), position.alias(name))
 
 
 def rows_between(
@@ -198,24 +117,10 @@ def rows_between(
     stop: int,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Rows at positions [start, stop) in `order_by`; only the chunks they lie in are sorted."""
-    order = names(order_by)
-    chunks = order_chunks(df, order, rows_per_chunk)
-    chunked = df.withColumn(CHUNK, chunks.column)
-    # One row per chunk reaches the driver.
-    sizes = dict(chunked.groupBy(CHUNK).count().collect())
-    ends = list(accumulate(sizes.get(c, 0) for c in range(chunks.count)))
-    first, last = bisect_right(ends, start), bisect_left(ends, stop)
-    before = ends[first - 1] if first else 0
-    needed = chunked.filter(F.col(CHUNK).between(first, last))
-    offsets = F.array(*[F.lit(e).cast("bigint") for e in [before, *ends[first:last]]])
-    inside = Window.partitionBy(CHUNK).orderBy(*[col(c) for c in order])
-    at = F.row_number().over(inside) - 1 + F.get(offsets, F.col(CHUNK) - first)
-    return (
-        needed.withColumn("_position", at)
-        .filter((F.col("_position") >= start) & (F.col("_position") < stop))
-        .select(*[col(c) for c in df.columns])
-    )
+    """Rows at positions [start, stop) in `order_by`."""
+    ordered = in_order(df, order_by, rows_per_chunk)
+    joined, position = _positions(ordered)
+    return joined.filter((position >= start) & (position < stop)).select(*ordered.kept())
 
 
 def rank_in_group(
@@ -224,61 +129,47 @@ def rank_in_group(
     order_by: str | Sequence[str],
     name: str = "rank",
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    chunks: Chunks | None = None,
 ) -> DataFrame:
     """Add 1, 2, .. within each group (NULLs form a group) in `order_by`.
 
-    `chunks` may come from a frame that is cheaper to sample than `df`.
-
-    Groups that fit into a chunk or two are ranked whole. Only larger ones, told
-    by the bounds that fall into them, are cut into parts, and each part starts
-    from the number of rows in the parts before it.
+    Ranks are counted inside the part of a group that lies in one chunk; a group
+    that goes over several chunks adds the sizes of its parts before.
     """
     group, order = names(group_by), names(order_by)
-    chunks = chunks or order_chunks(df, group + order, rows_per_chunk)
-    by_order = [col(c) for c in order]
-    spans: dict[tuple, tuple[int, int]] = {}
-    for i, bound in enumerate(chunks.bounds):
-        low, _ = spans.get(bound[: len(group)], (i, i))
-        spans[bound[: len(group)]] = (low, i + 1)
-    large = [(*key, low, high) for key, (low, high) in spans.items() if high - low > 1]
-    if not large:
-        whole = Window.partitionBy(*[col(c) for c in group]).orderBy(*by_order)
-        return df.withColumn(name, F.row_number().over(whole).cast("bigint"))
-
-    # Fewer rows than bounds: safe to broadcast.
-    keys = [f"_g{i}" for i in range(len(group))]
-    text = T.StructType(
-        [T.StructField(k, T.StringType()) for k in keys]
-        + [T.StructField(c, T.IntegerType()) for c in ("_low", "_high")]
-    )
-    large_groups = df.sparkSession.createDataFrame(large, text).select(
-        *[F.col(k).cast(f.dataType).alias(k) for k, f in zip(keys, chunks.fields)], "_low", "_high"
+    ordered = in_order(df, group + order, rows_per_chunk)
+    taken = [*ordered.columns, ordered.chunk, ordered.place]
+    count, carried, number = (fresh(taken, n) for n in ("_rows", "_carried", "_rn"))
+    keys = [col(c) for c in group]
+    part = Window.partitionBy(col(ordered.chunk), *keys).orderBy(col(ordered.place))
+    ranked = ordered.rows.withColumn(number, F.row_number().over(part).cast("bigint"))
+    # Only the first group of a chunk can have begun before it.
+    parts = ordered.rows.groupBy(col(ordered.chunk), *keys).agg(
+        F.count(F.lit(1)).alias(count), F.min(col(ordered.place)).alias(ordered.place)
     )
-    same = all_of([col(c).eqNullSafe(F.col(k)) for c, k in zip(group, keys)])
-    part = _bounds_up_to(
-        chunks.bounds, chunks.fields, len(group), F.col("_low"), F.col("_high")
+    aliases = [fresh(taken, f"_group{i}") for i in range(len(group))]
+    earlier = (
+        Window.partitionBy(*keys).orderBy(col(ordered.chunk)).rowsBetween(Window.unboundedPreceding, -1)
     )
-    parted = (
-        df.join(F.broadcast(large_groups), same, "left")
-        .withColumn(CHUNK, F.when(F.col("_low").isNotNull(), part).otherwise(0))
-        .select(*[col(c) for c in df.columns], CHUNK, F.col("_low").isNotNull().alias("_large"))
+    begun = (
+        parts.withColumn(carried, F.sum(col(count)).over(earlier))
+        .filter((col(ordered.place) == 0) & col(carried).isNotNull())
+        .select(
+            col(ordered.chunk),
+            *[k.alias(a) for k, a in zip(keys, aliases)],
+            col(carried),
+        )
     )
-    inside = Window.partitionBy(*[col(c) for c in group], CHUNK).orderBy(*by_order)
-    ranked = parted.withColumn("_rn", F.row_number().over(inside).cast("bigint"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        parted.filter("_large")
-        .groupBy(*[col(c).alias(k) for c, k in zip(group, keys)], F.col(CHUNK).alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.sum("_rows").over(earlier))
+    other = fresh(taken, "_other")
+    begun = begun.withColumnRenamed(ordered.chunk, other)
+    same = all_of(
+        [
+            col(ordered.chunk) == col(other),
+            *[k.eqNullSafe(col(a)) for k, a in zip(keys, aliases)],
+        ]
     )
-    # At most one row per bound and large group: safe to broadcast.
-    return ranked.join(
-        F.broadcast(carried), same & (F.col(CHUNK) == F.col("_part")), "left"
-    ).select(
-        *[col(c) for c in df.columns],
-        (F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).alias(name),
+    # At most one row per chunk.
+    return ranked.join(F.broadcast(begun), same, "left").select(
+        *ordered.kept(), (col(number) + F.coalesce(col(carried), F.lit(0))).alias(name)
     )
 
 
@@ -289,37 +180,20 @@ def running_sums(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add running totals `{new column: summed column}` in `order_by`."""
-    order = names(order_by)
-    chunks = order_chunks(df, order, rows_per_chunk)
-    chunked = df.withColumn(CHUNK, chunks.column)
-    so_far = (
-        Window.partitionBy(CHUNK)
-        .orderBy(*[col(c) for c in order])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = in_order(df, order_by, rows_per_chunk)
+    taken = [*ordered.columns, ordered.chunk, ordered.place]
+    totals = {new: fresh(taken, f"_total_{new}") for new in sums}
+    so_far = ordered.in_chunk().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.orderBy(col(ordered.chunk)).rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = ordered.rows.groupBy(col(ordered.chunk)).agg(
+        *[F.sum(col(source)).alias(totals[new]) for new, source in sums.items()]
     )
-    if chunks.count == 1:
-        totals = [F.sum(col(source)).over(so_far).alias(new) for new, source in sums.items()]
-        return chunked.select(*[col(c) for c in df.columns], *totals)
-    per_chunk = chunked.groupBy(CHUNK).agg(
-        *[F.sum(col(source)).alias(f"_total_{new}") for new, source in sums.items()]
-    )
-    # One row per chunk, so this window is small.
-    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(
-        CHUNK, *[F.sum(f"_total_{new}").over(earlier).alias(f"_before_{new}") for new in sums]
+        col(ordered.chunk), *[F.sum(col(t)).over(earlier).alias(t) for t in totals.values()]
     )
-    totals = [
-        (F.sum(col(source)).over(so_far)).alias(f"_inside_{new}") for new, source in sums.items()
-    ]
-    kept = [col(c) for c in df.columns]
-    return (
-        chunked.select(*kept, CHUNK, *totals)
-        .join(F.broadcast(carried), CHUNK)
-        .select(
-            *kept,
-            *[
-                (F.col(f"_inside_{new}") + F.coalesce(F.col(f"_before_{new}"), F.lit(0))).alias(new)
-                for new in sums
-            ],
-        )
+    inside = {new: F.sum(col(source)).over(so_far) for new, source in sums.items()}
+    # One row per chunk is carried.
+    return ordered.rows.join(F.broadcast(carried), ordered.chunk).select(
+        *ordered.kept(),
+        *[(inside[new] + F.coalesce(col(totals[new]), F.lit(0))).alias(new) for new in sums],
     )

@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators.ordering import col, names
+from drover.operators.ordering import col, fresh, names
 from drover.operators.reconcile import match_grouped, repeated_keys
 from drover.schemas import TableSpec
 from drover.session import stage
@@ -71,16 +71,18 @@ def tag_rejects(
     if key is not None:
         keys = names(key)
         # The frames joined here hold one row per key, and few keys repeat.
-        tagged = _flag(tagged, repeated_keys(df, keys), keys, "_repeats")
-        reasons.append(F.when(F.col("_repeats"), "duplicate_key"))
+        repeats = fresh(df.columns, "_repeats")
+        tagged = _flag(tagged, repeated_keys(df, keys), keys, repeats)
+        reasons.append(F.when(col(repeats), "duplicate_key"))
         if target is not None:
-            tagged = _flag(tagged, target.select(*[col(k) for k in keys]).distinct(), keys, "_exists")
-            reasons.append(F.when(F.col("_exists"), "key_exists"))
+            exists = fresh(tagged.columns, "_exists")
+            tagged = _flag(tagged, target.select(*[col(k) for k in keys]).distinct(), keys, exists)
+            reasons.append(F.when(col(exists), "key_exists"))
     return tagged.select(*kept, F.array_compact(F.array(*reasons)).alias(REASONS))
 
 
 def _flag(df: DataFrame, keys: DataFrame, on: list[str], flag: str) -> DataFrame:
-    aliases = [f"{flag}{i}" for i in range(len(on))]
+    aliases = [fresh(df.columns, f"{flag}{i}") for i in range(len(on))]
     listed = keys.select(*[col(k).alias(a) for k, a in zip(on, aliases)], F.lit(True).alias(flag))
     return df.join(listed, match_grouped(on, aliases), "left").drop(*aliases)
 
@@ -92,7 +94,11 @@ def check_rows(
 
     `settle` writes the checked rows once, so that using both parts does not
     check twice and a later change of the target does not change the outcome.
+    Columns that the table lacks raise.
     """
+    unknown = [c for c in df.columns if c not in spec.columns]
+    if unknown:
+        raise ConstraintError(f"{spec.name} has no columns {unknown}")
     aligned = df.select(*[col(c) for c in spec.columns])
     tagged = tag_rejects(aligned, spec_reasons(spec), spec.key, target)
     if settle:

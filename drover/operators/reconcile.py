@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from drover.operators.ordering import all_of, col, names
 
 PROVENANCE = "_merge"
-# A cross join broadcasts one side, which may hold no more rows than this.
-CROSS_LIMIT = 10_000
 
 Keys = str | Sequence[str]
 
@@ -57,6 +55,10 @@ class _Layout:
         self.right_out = [
             (f, out) for f, out in renamed(right, suffixes[1]) if f.name not in self.shared
         ]
+        out = [name for _, name in [*self.left_out, *self.right_out]]
+        twice = sorted({name for name in out if out.count(name) > 1})
+        if twice:
+            raise ValueError(f"columns would come twice: {twice}")
 
     def value(self, side: str, name: str) -> Column:
         return F.col(f"_{side[0]}." + "`" + name.replace("`", "``") + "`")
@@ -71,6 +73,10 @@ class _Layout:
         self, joined: DataFrame, sides: Sequence[str], provenance: str | Column | None
     ) -> DataFrame:
         """Output columns of a join; a side that is not in `sides` is NULL."""
+        if provenance is not None:
+            taken = [name for _, name in [*self.left_out, *self.right_out] if name == PROVENANCE]
+            if taken:
+                raise ValueError(f"a side has a column {PROVENANCE}; rename it or pass indicator=False")
         chosen = []
         for side, fields in (("left", self.left_out), ("right", self.right_out)):
             for field, out in fields:
@@ -151,12 +157,10 @@ def merge(
 ) -> DataFrame:
     """Equi-join on paired keys, with `_merge` saying which side a row was found in.
 
-    `how` is inner, left, right, outer or cross. `validate` takes '1:1', '1:m',
+    `how` is inner, left, right or outer. `validate` takes '1:1', '1:m',
     'm:1' or 'm:m' and raises `CardinalityError` if a "1" side repeats a key;
     it also lets a left or right join go as one plain join.
     """
-    if how == "cross":
-        return _cross(left, right, suffixes, indicator)
     layout = _Layout(left, right, left_on, right_on, suffixes)
     left_is_unique = right_is_unique = False
     if validate is not None:
@@ -184,17 +188,6 @@ def merge(
     return merged
 
 
-def _cross(left, right, suffixes, indicator) -> DataFrame:
-    layout = _Layout(left, right, (), (), suffixes)
-    if right.limit(CROSS_LIMIT + 1).count() <= CROSS_LIMIT:
-        joined = layout.left.crossJoin(F.broadcast(layout.right))
-    elif left.limit(CROSS_LIMIT + 1).count() <= CROSS_LIMIT:
-        joined = F.broadcast(layout.left).crossJoin(layout.right)
-    else:
-        raise ValueError(f"a cross join needs one side of at most {CROSS_LIMIT} rows")
-    return layout.select(joined, ("left", "right"), "both" if indicator else None)
-
-
 def diff(
     left: DataFrame,
     right: DataFrame,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drover.operators.ordering import ROWS_PER_CHUNK, col, names, rows_between, with_row_index
+from drover.operators.ordering import ROWS_PER_CHUNK, col, fresh, names, rows_between, with_row_index
 
 # Slices that end by this row are taken by a top-k plan, others by position.
 TOP_K_LIMIT = 10_000
@@ -84,8 +84,9 @@ def renumber(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Replace column `name` by 1..n in `order_by`, which may include the old `name`."""
-    indexed = with_row_index(df, order_by, "_new_id", start=1, rows_per_chunk=rows_per_chunk)
-    return discard(indexed, [name], strict=False).withColumnRenamed("_new_id", name)
+    number = fresh([*df.columns, name], "_number")
+    indexed = with_row_index(df, order_by, number, start=1, rows_per_chunk=rows_per_chunk)
+    return discard(indexed, [name], strict=False).withColumnRenamed(number, name)
 
 
 def zip_rows(
@@ -104,7 +105,7 @@ def zip_rows(
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    at = index or "_at"
+    at = index or fresh([*left.columns, *right.columns], "_at")
     joined = with_row_index(left, left_order, at).join(
         with_row_index(right, right_order, at), at, how
     )

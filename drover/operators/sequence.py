@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drover.operators.ordering import (
-    CHUNK,
     ROWS_PER_CHUNK,
     all_of,
     col,
+    fresh,
+    in_order,
     names,
-    order_chunks,
     rank_in_group,
 )
+from drover.session import stage
 
 
 def number_runs(
@@ -41,12 +42,9 @@ def number_runs(
         raise ValueError("hold needs changing columns")
     group, order = names(group_by), names(order_by)
     changes = names(changing) if changing is not None else []
-    chunks = order_chunks(df, order, rows_per_chunk)
+    ordered = in_order(df, order, rows_per_chunk)
     watched = group + changes
-
-    # Inside a chunk: the row before, whether it ends a run, and steps counted so far.
-    inside = Window.partitionBy(CHUNK).orderBy(*[col(c) for c in order])
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chunk = col(ordered.chunk)
     seen = F.struct(*[col(c).alias(f"w{i}") for i, c in enumerate(watched)])
 
     def equal(now: str, before: str, at: range) -> Column:
@@ -64,67 +62,68 @@ def number_runs(
             return F.lit(1).cast("bigint")
         return (~equal(now, before, in_changes)).cast("bigint")
 
+    # The input's columns in one struct, so that no helper's name can clash.
+    found = ordered.rows.select(
+        F.struct(*ordered.kept()).alias("row"),
+        chunk.alias("chunk"),
+        col(ordered.place).alias("place"),
+        seen.alias("now"),
+    )
+    by_place = Window.partitionBy("chunk").orderBy("place")
+    so_far = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     compared = (
-        df.withColumn(CHUNK, chunks.column)
-        .withColumn("_now", seen)
-        .withColumn("_prev", F.lag("_now").over(inside))
-        .withColumn("_first", F.col("_prev").isNull())
-        .withColumn("_break", ~F.col("_first") & starts_run("_now", "_prev"))
-        .withColumn("_step", F.when(F.col("_first"), F.lit(0)).otherwise(advances("_now", "_prev")))
-        .withColumn("_steps", F.sum("_step").over(so_far))
-        .withColumn(
-            "_start",
-            F.max(F.when(F.col("_break"), F.col("_steps"))).over(so_far),
-        )
+        found.withColumn("prev", F.lag("now").over(by_place))
+        .withColumn("first", F.col("prev").isNull())
+        .withColumn("break", ~F.col("first") & starts_run("now", "prev"))
+        .withColumn("step", F.when(F.col("first"), F.lit(0)).otherwise(advances("now", "prev")))
+        .withColumn("steps", F.sum("step").over(so_far))
+        .withColumn("start", F.max(F.when(F.col("break"), F.col("steps"))).over(so_far))
+        .drop("prev", "break")
     )
-
-    def numbered(joined: DataFrame, offset: Column, entry_start: Column) -> DataFrame:
-        began = F.coalesce(offset + F.col("_start"), entry_start)
-        number = F.lit(base) + F.lit(step) * (offset + F.col("_steps") - began)
-        return joined.select(*[col(c) for c in df.columns], number.cast("bigint").alias(name))
-
-    if chunks.count == 1:
-        return numbered(compared, F.lit(0), F.lit(0))
+    # Both the ends of the chunks and the result are read from here.
+    compared = stage(compared, "runs")
 
     # One row per chunk, hence small: its ends, its steps and where its last run began.
-    ends = compared.groupBy(CHUNK).agg(
-        F.min_by("_now", F.when(F.col("_first"), F.lit(0)).otherwise(F.lit(1))).alias("_head"),
-        F.max_by("_now", F.struct(*[col(c) for c in order])).alias("_tail"),
-        F.sum("_step").alias("_total"),
-        F.max("_start").alias("_last_start"),
+    ends = compared.groupBy("chunk").agg(
+        F.min_by("now", "place").alias("head"),
+        F.max_by("now", "place").alias("tail"),
+        F.sum("step").alias("total"),
+        F.max("start").alias("last_start"),
     )
-    by_chunk = Window.orderBy(CHUNK)
+    by_chunk = Window.orderBy("chunk")
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        ends.withColumn("_before", F.lag("_tail").over(by_chunk))
-        .withColumn("_opens", F.col("_before").isNull() | starts_run("_head", "_before"))
+        ends.withColumn("before", F.lag("tail").over(by_chunk))
+        .withColumn("opens", F.col("before").isNull() | starts_run("head", "before"))
         .withColumn(
-            "_entry",
-            F.when(F.col("_before").isNull(), F.lit(0)).otherwise(advances("_head", "_before")),
+            "entry", F.when(F.col("before").isNull(), F.lit(0)).otherwise(advances("head", "before"))
         )
         .withColumn(
-            "_offset",
-            F.coalesce(F.sum(F.col("_total") + F.col("_entry")).over(earlier), F.lit(0))
-            + F.col("_entry"),
+            "offset",
+            F.coalesce(F.sum(F.col("total") + F.col("entry")).over(earlier), F.lit(0))
+            + F.col("entry"),
         )
         .withColumn(
-            "_latest",
+            "latest",
             F.coalesce(
-                F.col("_offset") + F.col("_last_start"),
-                F.when(F.col("_opens"), F.col("_offset")),
+                F.col("offset") + F.col("last_start"), F.when(F.col("opens"), F.col("offset"))
             ),
         )
-        .withColumn("_open_start", F.last("_latest", ignorenulls=True).over(earlier))
+        .withColumn("open_start", F.last("latest", ignorenulls=True).over(earlier))
         .select(
-            CHUNK,
-            "_offset",
-            F.when(F.col("_opens"), F.col("_offset"))
-            .otherwise(F.col("_open_start"))
-            .alias("_entry_start"),
+            "chunk",
+            "offset",
+            F.when(F.col("opens"), F.col("offset"))
+            .otherwise(F.col("open_start"))
+            .alias("entry_start"),
         )
     )
-    joined = compared.join(F.broadcast(carried), CHUNK)
-    return numbered(joined, F.col("_offset"), F.col("_entry_start"))
+    began = F.coalesce(F.col("offset") + F.col("start"), F.col("entry_start"))
+    number = F.lit(base) + F.lit(step) * (F.col("offset") + F.col("steps") - began)
+    return compared.join(F.broadcast(carried), "chunk").select(
+        *[F.col("row").getField(c).alias(c) for c in df.columns],
+        number.cast("bigint").alias(name),
+    )
 
 
 def number_groups(
@@ -137,6 +136,7 @@ def number_groups(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Sort by group and `order_by`, then number each group from `base` by `step`."""
-    ranked = rank_in_group(df, group_by, order_by, "_rank", rows_per_chunk)
-    number = F.lit(base) + F.lit(step) * (F.col("_rank") - 1)
+    rank = fresh(df.columns, "_rank")
+    ranked = rank_in_group(df, group_by, order_by, rank, rows_per_chunk)
+    number = F.lit(base) + F.lit(step) * (col(rank) - 1)
     return ranked.select(*[col(c) for c in df.columns], number.cast("bigint").alias(name))

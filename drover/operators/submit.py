@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 
 from drover.operators.ordering import ROWS_PER_CHUNK, col, running_sums, with_row_index
 from drover.session import stage
+from drover.sinks.files import write_csv
 
 # Workers get these functions with the task, so they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -115,54 +115,6 @@ def _attach_results(batch: pa.Table, results: pa.Table) -> pa.Table:
     return batch
 
 
-def offline_submitter(
-    id_column: str,
-    required: Sequence[str] = (),
-    max_length: Mapping[str, int] | None = None,
-    refuse: tuple[str, Sequence] | None = None,
-    operation: str = "insert",
-) -> Submitter:
-    """A submitter that checks rows in place of a remote service.
-
-    It fails rows that lack the id or a required column, hold text over a
-    maximum length or a refused value, and echoes the id of the others.
-    """
-    if operation not in OPERATIONS:
-        raise ValueError(f"unknown operation: {operation}")
-    needed = tuple(dict.fromkeys([id_column, *required]))
-    limits = dict(max_length or {})
-
-    def check(batch: pa.Table) -> pa.Table:
-        error = pa.nulls(batch.num_rows, pa.string())
-
-        def note(broken, text):
-            nonlocal error
-            found = pc.and_(pc.fill_null(broken, False), pc.is_null(error))
-            error = pc.if_else(found, text, error)
-
-        for name in needed:
-            note(pc.is_null(batch.column(name).combine_chunks()), f"REQUIRED_FIELD_MISSING: {name}")
-        for name, limit in limits.items():
-            length = pc.utf8_length(batch.column(name).combine_chunks())
-            note(pc.greater(length, limit), f"STRING_TOO_LONG: {name}")
-        if refuse is not None:
-            name, values = refuse
-            column = batch.column(name).combine_chunks()
-            note(pc.is_in(column, pa.array(values, column.type)), f"REFUSED: {name}")
-        passed = pc.is_null(error)
-        ids = batch.column(id_column).combine_chunks().cast(pa.string())
-        return pa.table(
-            {
-                "success": passed,
-                "id": pc.if_else(passed, ids, pa.scalar(None, pa.string())),
-                "created": pc.and_(passed, operation == "insert"),
-                "errors": error,
-            }
-        )
-
-    return check
-
-
 def split_results(results: DataFrame) -> Outcome:
     """Rows that passed, rows that failed, and rows without an outcome."""
     flag = F.col(SUCCESS)
@@ -196,10 +148,10 @@ def run_dml(
     run_id: str,
     batch_size: int = BATCH_SIZE,
 ) -> Outcome | None:
-    """Submit once, keep the results, and report success and fallout as CSV.
+    """Submit once, keep the results, and report success, fallout and unknown outcomes as CSV.
 
     Everything goes below `output/operation=../run_id=..`. Results are written
-    before they are split, so no row is sent a second time by the two reports.
+    before they are split, so no row is sent a second time by the reports.
     An empty frame is not submitted and gives None.
     """
     if operation not in OPERATIONS:
@@ -211,6 +163,11 @@ def run_dml(
     submitted.write.mode("errorifexists").parquet(f"{base}/results")
     results = df.sparkSession.read.schema(submitted.schema).parquet(f"{base}/results")
     outcome = split_results(results)
-    outcome.success.write.csv(f"{base}/success", header=True)
-    outcome.fallout.write.csv(f"{base}/fallout", header=True)
+    report(outcome, base)
     return outcome
+
+
+def report(outcome: Outcome, base: str) -> None:
+    """Three CSV reports, which together hold every row: passed, failed, and without an outcome."""
+    for name, part in outcome._asdict().items():
+        write_csv(part, f"{base}/{name}")

@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drover.functions.scalars import cast_columns, escape_columns
+from drover.functions.scalars import cast_columns
 from drover.operators.dml import matched_updates
 from drover.operators.ordering import col
+from drover.operators.outcomes import Applied, perform
 from drover.operators.reconcile import filter_by_lookup, net_new
 from drover.operators.reshape import add_literals, discard, keep, rename, slice_rows
 from drover.operators.submit import BATCH_SIZE, Outcome, Submitter, run_dml
@@ -43,7 +44,8 @@ def insert_new_accounts(
 ) -> Outcome | None:
     """Send the accounts that are staged but not yet among the migrated target accounts."""
     key = ACCOUNT_FIELDS["account_number_external_id"]
-    migrated = escape_columns(target_accounts.filter(col(MIGRATED_FLAG)).select(col(key)))
+    # Keys are compared as they are on both sides.
+    migrated = target_accounts.filter(col(MIGRATED_FLAG)).select(col(key))
     records = new_records(
         staged,
         migrated,
@@ -100,7 +102,7 @@ def rows_to_purge(
         rows = filter_by_lookup(rows, hops, wanted)
     else:
         rows = rows.filter(wanted)
-    return escape_columns(rows.select(col(id_column)))
+    return rows.select(col(id_column))
 
 
 def purge_all(
@@ -149,7 +151,7 @@ def slice_to_update(
 ) -> DataFrame:
     """Target ids of a slice of a file, each with the constants to set."""
     chosen = slice_rows(df, order_by, start, count)
-    ids = escape_columns(target.select(col(id_column), col(key)))
+    ids = target.select(col(id_column), col(key))
     return matched_updates(ids, chosen, [key], [key], id_column, dict(values))
 
 
@@ -162,4 +164,29 @@ def created_by(
 ) -> DataFrame:
     """Ids of the rows that the named user created."""
     found = filter_by_lookup(rows, [(creator, users, id_column)], F.col("Name") == name)
-    return escape_columns(found.select(col(id_column)))
+    return found.select(col(id_column))
+
+
+def purge_states(
+    tables: Mapping[str, DataFrame], purges: Sequence[Purge] = PURGES, id_column: str = "Id"
+) -> dict[str, Applied]:
+    """Outcomes of every purge and what is left of each object.
+
+    All rows are selected, and stored, before the first delete.
+    """
+    selected = {p.table: stage(rows_to_purge(tables, p), f"purge-{p.table}") for p in purges}
+    return {
+        p.table: perform("delete", tables[p.table], selected[p.table], id_column)
+        for p in reversed(purges)
+    }
+
+
+def account_inserts(staged: DataFrame, target_accounts: DataFrame, **mapping) -> Applied:
+    """The target's accounts after the staged ones that it lacks were inserted, and their outcomes.
+
+    `mapping` is that of `new_records`: migrated_key, staged_key, fields, whole_numbers.
+    """
+    key = mapping["fields"][mapping["staged_key"]]
+    migrated = target_accounts.filter(col(MIGRATED_FLAG)).select(col(mapping["migrated_key"]))
+    fresh_rows = stage(new_records(staged, migrated, **mapping), "net-new")
+    return perform("insert", target_accounts, fresh_rows, key)

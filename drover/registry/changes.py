@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators import dml, quality, submit
+from drover.operators import dml, outcomes, quality, submit
 from drover.operators.reconcile import with_keys
 from drover.registry.base import Query, Tables, registrar
 
@@ -199,34 +199,78 @@ def batch_totals(t: Tables):
     return submit.batch_totals(submit.assign_batches(flagged, "o_orderkey"))
 
 
-def _submitted(t: Tables) -> DataFrame:
-    """Orders sent in batches to a submitter that refuses those already final."""
-    submitter = submit.offline_submitter("o_orderkey", refuse=("o_orderstatus", ["F"]))
-    return submit.submit(t.orders.select("o_orderkey", "o_orderstatus"), submitter, "o_orderkey")
+def _inserted(t: Tables) -> DataFrame:
+    """Stored outcomes of inserting the orders, a third of them twice, where urgent ones are known."""
+    target = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_orderstatus")
+    rows = t.orders.selectExpr(
+        "CASE WHEN o_orderkey % 50 <> 1 THEN o_orderkey END AS o_orderkey", "o_orderstatus"
+    )
+    rows = rows.unionByName(rows.filter("o_orderkey % 3 = 0"))
+    return outcomes.perform("insert", target, rows, "o_orderkey").results
+
+
+RESULTS_SQL = """
+    WITH i AS (SELECT CASE WHEN o_orderkey % 50 <> 1 THEN o_orderkey END AS o_orderkey, o_orderstatus FROM orders),
+    s AS (SELECT * FROM i UNION ALL SELECT * FROM i WHERE o_orderkey % 3 = 0),
+    e AS (SELECT s.*, concat_ws(';',
+            CASE WHEN o_orderkey % 3 = 0 THEN 'duplicate_key' END,
+            CASE WHEN o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
+                 THEN 'key_exists' END,
+            CASE WHEN o_orderkey IS NULL THEN 'null:o_orderkey' END) AS errors FROM s),
+    r AS (SELECT o_orderkey, o_orderstatus, errors = '' AS "RESULTS_success",
+                 CASE WHEN errors = '' THEN CAST(o_orderkey AS varchar) END AS "RESULTS_id",
+                 errors = '' AS "RESULTS_created", nullif(errors, '') AS "RESULTS_errors" FROM e)
+    SELECT * FROM r"""
 
 
-RESULTS_SQL = BATCHES_SQL + """,
-    r AS (SELECT o_orderkey, o_orderstatus, batch_id, o_orderstatus <> 'F' AS "RESULTS_success",
-                 CASE WHEN o_orderstatus <> 'F' THEN CAST(o_orderkey AS varchar) END AS "RESULTS_id",
-                 o_orderstatus <> 'F' AS "RESULTS_created",
-                 CASE WHEN o_orderstatus = 'F' THEN 'REFUSED: o_orderstatus' END AS "RESULTS_errors"
-          FROM b)
-    SELECT * FROM r"""
+@query(RESULTS_SQL)
+def dml_insert_outcomes(t: Tables):
+    return _inserted(t)
 
 
 @query(RESULTS_SQL)
 def submit_results(t: Tables):
-    return _submitted(t)
+    return _inserted(t)
 
 
 @query(RESULTS_SQL + """ WHERE "RESULTS_success" """)
 def split_success(t: Tables):
-    return submit.split_results(_submitted(t)).success
+    return submit.split_results(_inserted(t)).success
 
 
 @query(RESULTS_SQL + """ WHERE NOT "RESULTS_success" """)
 def split_fallout(t: Tables):
-    return submit.split_results(_submitted(t)).fallout
+    return submit.split_results(_inserted(t)).fallout
+
+
+def _changed(created: str, known: str) -> str:
+    return f"""
+    SELECT p_partkey AS c_custkey, p_brand AS c_mktsegment, {known} AS "RESULTS_success",
+           CASE WHEN {known} THEN CAST(p_partkey AS varchar) END AS "RESULTS_id",
+           {created} AS "RESULTS_created",
+           CASE WHEN NOT {known} THEN 'unknown_key' END AS "RESULTS_errors"
+    FROM part LEFT JOIN customer ON p_partkey = c_custkey"""
+
+
+def _part_changes(t: Tables, operation: str) -> DataFrame:
+    rows = t.part.selectExpr("p_partkey AS c_custkey", "p_brand AS c_mktsegment")
+    target = t.customer.select("c_custkey", "c_mktsegment")
+    return outcomes.perform(operation, target, rows, "c_custkey").results
+
+
+@query(_changed("FALSE", "(c_custkey IS NOT NULL)"))
+def dml_update_outcomes(t: Tables):
+    return _part_changes(t, "update")
+
+
+@query(_changed("FALSE", "(c_custkey IS NOT NULL)"))
+def dml_delete_outcomes(t: Tables):
+    return _part_changes(t, "delete")
+
+
+@query(_changed("c_custkey IS NULL", "TRUE"))
+def dml_upsert_outcomes(t: Tables):
+    return _part_changes(t, "upsert")
 
 
 @query("""

@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators import dml, reshape, submit
+from drover.functions import scalars
+from drover.operators import dml, outcomes, reshape, submit
 from drover.plans import change, load, prepare
 from drover.registry.base import Query, Tables, registrar
 from drover.schemas import SOURCE_TABLES, STAGING_TABLES, TableSpec
-from drover.session import shared_path
+from drover.session import shared_path, stage
 from drover.sinks import files as sinks
 from drover.sinks import tables
 from drover.sources import files as sources
@@ -69,13 +70,77 @@ def _accounts(t: Tables) -> DataFrame:
            CAST(c_custkey AS int) AS sla_serial_number
     FROM customer WHERE c_nationkey <> 5""")
 def load_and_stage(t: Tables):
-    tag = uuid.uuid4().hex
-    source = tables.create_table(t.spark, SOURCE_TABLES["accounts"], f"accounts_{tag}")
-    load.load_source(_accounts(t), "accounts", source)
-    staged = tables.create_table(t.spark, STAGING_TABLES["accounts"], f"stg_accounts_{tag}")
     # Accounts without a head count are legal in the source but not in staging.
-    load.source_to_staging(t.spark, "accounts", source, staged, mode="quarantine")
-    return t.spark.table(staged)
+    return _loaded_and_staged(t, _accounts(t), "accounts")
+
+
+def _loaded_and_staged(t: Tables, prepared: DataFrame, entity: str) -> DataFrame:
+    """The staging table after a load and a copy; the tables are dropped again."""
+    tag = uuid.uuid4().hex
+    source = tables.create_table(t.spark, SOURCE_TABLES[entity], f"{entity}_{tag}")
+    staged = tables.create_table(t.spark, STAGING_TABLES[entity], f"stg_{entity}_{tag}")
+    try:
+        load.load_source(prepared, entity, source, mode="quarantine")
+        load.source_to_staging(t.spark, entity, source, staged, mode="quarantine")
+        return stage(t.spark.table(staged), "staged")
+    finally:
+        for name in (source, staged):
+            t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@query("""
+    SELECT c_name AS account_number_external_id, 'F' || o_orderkey AS first_name,
+           'L' || o_orderkey % 7 AS last_name, o_orderpriority AS email, o_orderstatus AS title,
+           coalesce(nullif(o_orderpriority, '5-LOW'), '') AS department, 'é' AS languages
+    FROM orders JOIN customer ON o_custkey = c_custkey""")
+def load_and_stage_contacts(t: Tables):
+    """Contacts with the key of their account; their own key has two columns."""
+    contacts = t.orders.selectExpr(
+        "o_custkey AS id", "concat('F', o_orderkey) AS first_name",
+        "concat('L', o_orderkey % 7) AS last_name", "o_orderpriority AS email",
+        "o_orderstatus AS title", "nullif(o_orderpriority, '5-LOW') AS department", "'é' AS languages",
+    )
+    accounts = t.customer.selectExpr("c_custkey AS id", "c_name AS account_number_external_id")
+    return _loaded_and_staged(t, prepare.contacts_with_accounts(accounts, [contacts]), "contacts")
+
+
+def _contracts(t: Tables) -> DataFrame:
+    parts = t.orders.selectExpr(
+        "o_custkey AS id", "concat('K', o_orderkey) AS contract_number",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS start_date",
+    )
+    accounts = t.customer.selectExpr("c_custkey AS id", "c_name AS account_number_external_id")
+    return prepare.contracts_with_accounts(accounts, [parts])
+
+
+@query("""
+    SELECT c_name AS account_number_external_id, 'K' || o_orderkey AS contract_number,
+           CAST(o_orderdate AS date) AS start_date,
+           CAST(CAST(o_orderdate AS date) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS date) AS end_date
+    FROM orders JOIN customer ON o_custkey = c_custkey""")
+def load_and_stage_contracts(t: Tables):
+    return _loaded_and_staged(t, _contracts(t), "contracts")
+
+
+@query("""
+    WITH k AS (SELECT 'K' || o_orderkey AS contract_number,
+                      row_number() OVER (ORDER BY 'K' || o_orderkey) AS n
+               FROM orders JOIN customer ON o_custkey = c_custkey),
+         g AS (SELECT 'G' || p_partkey AS contract_line_number, p_brand || '-' || p_type AS product,
+                      row_number() OVER (ORDER BY 'G' || p_partkey) AS n FROM part)
+    SELECT contract_line_number, contract_number, product, 1 AS quantity FROM g JOIN k USING (n)
+    WHERE length(product) <= 50""")
+def load_and_stage_contract_lines(t: Tables):
+    """Generator lines of the contracts, in the order of their numbers."""
+    accounts = t.customer.selectExpr("c_name AS account_number_external_id", "'Gold' AS sla")
+    generators = t.part.selectExpr(
+        "concat('G', p_partkey) AS contract_line_number", "p_brand AS gen_type", "p_type AS gen_type_capacity"
+    )
+    none = t.part.limit(0).selectExpr("concat('I', p_partkey) AS contract_line_number", "p_name AS installation")
+    lines = prepare.contract_lines(
+        accounts, stage(_contracts(t), "contracts"), generators, none, none.drop("installation")
+    )
+    return _loaded_and_staged(t, lines, "contract_lines")
 
 
 @query("""
@@ -86,6 +151,7 @@ def stage_rejects(t: Tables):
     staged = tables.create_table(t.spark, STAGING_TABLES["accounts"], f"stg_accounts_{tag}")
     rows = load.staged_rows(load.source_rows(_accounts(t)), "accounts")
     rejected = tables.insert(rows, STAGING_TABLES["accounts"], staged, mode="quarantine")
+    t.spark.sql(f"DROP TABLE {staged}")  # the rejected rows are stored by themselves
     return rejected.select(
         "account_number_external_id", F.array_join("reject_reasons", ";").alias("reasons")
     )
@@ -243,32 +309,196 @@ def publish_state(t: Tables):
     changes = t.part.selectExpr("p_partkey AS c_custkey", "p_brand AS segment")
     state = dml.keyed_update(t.spark.table(name), changes, "c_custkey", ["segment"])
     tables.publish(t.spark, name, state)
-    return t.spark.table(name)
+    tables.remove_superseded(t.spark, name)
+    committed = stage(t.spark.table(name), "committed")
+    t.spark.sql(f"DROP TABLE {name}")
+    return committed
 
 
 @query("""
-    SELECT 'success' AS report, CAST(count(*) AS bigint) AS n_rows FROM orders WHERE o_orderstatus <> 'F'
+    WITH r AS (SELECT o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 5) AS known FROM orders)
+    SELECT 'success' AS report, CAST(count(*) AS bigint) AS n_rows FROM r WHERE known
     UNION ALL
-    SELECT 'fallout', count(*) FROM orders WHERE o_orderstatus = 'F'
+    SELECT 'fallout', count(*) FROM r WHERE NOT known
     UNION ALL
-    SELECT 'results', count(*) FROM orders""")
+    SELECT 'unknown', 0 FROM r WHERE FALSE""")
 def dml_reports(t: Tables):
+    """The reports of a delete, read back: every row that was sent is in one of them."""
     output = shared_path(t.spark, "dml")
-    submitter = submit.offline_submitter("o_orderkey", refuse=("o_orderstatus", ["F"]))
+    target = t.lineitem.filter("l_linenumber = 5").selectExpr("l_orderkey AS o_orderkey")
     orders = t.orders.select("o_orderkey", "o_orderstatus")
-    submit.run_dml(orders, submitter, "insert", "o_orderkey", output, "run")
-    base = f"{output}/operation=insert/run_id=run"
+    results = outcomes.perform("delete", target, orders, "o_orderkey").results
+    submit.report(submit.split_results(results), output)
+    read = [
+        sources.read_csv(t.spark, f"{output}/{name}", "o_orderkey bigint").withColumn("report", F.lit(name))
+        for name in ("success", "fallout", "unknown")
+    ]
+    return reshape.union_all(read).groupBy("report").agg(F.count(F.lit(1)).alias("n_rows"))
 
-    def counted(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("n_rows"))
 
-    return reshape.union_all(
-        [
-            counted("success", t.spark.read.csv(f"{base}/success", header=True)),
-            counted("fallout", t.spark.read.csv(f"{base}/fallout", header=True)),
-            counted("results", t.spark.read.parquet(f"{base}/results")),
-        ]
+@query("SELECT doc_id, text FROM documents")
+def csv_text_round_trip(t: Tables):
+    """Whole texts with quotes, commas, line breaks and outer blanks through a CSV file."""
+    path = shared_path(t.spark, "csv-texts")
+    sinks.write_csv(t.documents.select("doc_id", "text"), path)
+    return sources.read_csv(t.spark, path, "doc_id bigint, text string")
+
+
+@query("""
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || 'x' AS day
+    FROM orders WHERE o_orderstatus = 'P'""")
+def date_rejects(t: Tables):
+    """Texts that are no date come back as they are; the others were parsed."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    spoilt = F.when(F.col("o_orderstatus") == "P", F.concat(day, F.lit("x"))).otherwise(day)
+    good, bad = scalars.split_dates(t.orders.select("o_orderkey", spoilt.alias("day")), "day")
+    return bad
+
+
+@query("SELECT event_id, event_type, CAST(ts AS date) AS day FROM events")
+def drop_time(t: Tables):
+    return t.events.select("event_id", "event_type", scalars.drop_time(F.col("ts")).alias("day"))
+
+
+@query("SELECT event_id, user_id, value FROM events WHERE event_type IS DISTINCT FROM 'view'")
+def object_read(t: Tables):
+    """An extract of an object, read without its soft-deleted rows."""
+    path = shared_path(t.spark, "object")
+    t.events.withColumn("IsDeleted", F.col("event_type") == "view").write.parquet(path)
+    return sources.read_object(t.spark, path).select("event_id", "user_id", "value")
+
+
+@query("""
+    SELECT o_orderkey AS "Id", o_totalprice AS "Total", c_name AS "Account.Name"
+    FROM orders JOIN customer ON o_custkey = c_custkey""")
+def query_result_read(t: Tables):
+    """Result pages with nested parents, one JSON object each, as a flat frame."""
+    path = shared_path(t.spark, "pages")
+    record = F.expr("""struct(named_struct('type', 'Order') AS attributes, o_orderkey AS Id,
+        o_totalprice AS Total, struct(c_name AS Name) AS Account)""")
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    pages = joined.groupBy((F.col("o_orderkey") % 50).alias("page")).agg(F.collect_list(record).alias("records"))
+    pages.repartition("page").write.partitionBy("page").json(path)
+    schema = "records array<struct<attributes: struct<type: string>, Id: bigint, Total: double, Account: struct<Name: string>>>"
+    return sources.read_query_result(t.spark, f"{path}/page=*", schema)
+
+
+@query("SELECT o_orderkey FROM orders WHERE FALSE")
+def empty_submission(t: Tables):
+    """Nothing is sent, and nothing written, for a frame without rows."""
+    none = t.orders.filter("o_orderkey < 0").select("o_orderkey")
+    sent = submit.run_dml(none, lambda batch: batch, "insert", "o_orderkey", shared_path(t.spark, "none"), "run")
+    return none if sent is None else sent.success
+
+
+# The purge of nine objects: which of the test tables stand for them. Ids are not ASCII.
+OBJECTS_SQL = """
+    WITH lines AS (SELECT DISTINCT l_orderkey, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id FROM lineitem),
+    accounts AS (SELECT 'é' || c_custkey AS id, c_mktsegment = 'MACHINERY' AS flag FROM customer),
+    contacts AS (SELECT 'c' || o_orderkey AS id, 'é' || o_custkey AS parent FROM orders),
+    opportunities AS (SELECT 'o' || event_id AS id, 'é' || user_id AS parent FROM events),
+    quotes AS (SELECT 'é' || p_partkey AS id, p_partkey % 3 = 0 AS flag FROM part),
+    quote_lines AS (SELECT 's' || s_suppkey AS id, s_acctbal < 0 AS flag FROM supplier),
+    orders_ AS (SELECT 'r' || o_orderkey AS id, 'é' || o_custkey AS parent FROM orders),
+    order_lines AS (SELECT 'n' || n_nationkey AS id, n_regionkey = 1 AS flag FROM nation),
+    contracts AS (SELECT 'k' || id AS id, 'r' || l_orderkey AS parent FROM lines),
+    subscriptions AS (SELECT 'u' || id AS id, 'k' || id AS parent FROM lines),
+    gone_a AS (SELECT id FROM accounts WHERE flag), gone_q AS (SELECT id FROM quotes WHERE flag),
+    gone_r AS (SELECT id FROM orders_ WHERE parent IN (SELECT id FROM gone_q)),
+    gone_k AS (SELECT id FROM contracts WHERE parent IN (SELECT id FROM gone_r))"""
+
+
+def _objects(t: Tables) -> dict[str, DataFrame]:
+    line = "concat_ws('-', l_orderkey, l_linenumber, l_partkey)"
+    lines = t.lineitem.selectExpr("l_orderkey", f"{line} AS id").distinct()
+    flag = "AS Migrated_Record__c"
+    return {
+        "accounts": t.customer.selectExpr("concat('é', c_custkey) AS Id", f"c_mktsegment = 'MACHINERY' {flag}"),
+        "contacts": t.orders.selectExpr("concat('c', o_orderkey) AS Id", "concat('é', o_custkey) AS AccountId"),
+        "opportunities": t.events.selectExpr("concat('o', event_id) AS Id", "concat('é', user_id) AS AccountId"),
+        "quotes": t.part.selectExpr("concat('é', p_partkey) AS Id", f"p_partkey % 3 = 0 {flag}"),
+        "quote_lines": t.supplier.selectExpr("concat('s', s_suppkey) AS Id", f"s_acctbal < 0 {flag}"),
+        "orders": t.orders.selectExpr("concat('r', o_orderkey) AS Id", "concat('é', o_custkey) AS QuoteId"),
+        "order_lines": t.nation.selectExpr("concat('n', n_nationkey) AS Id", f"n_regionkey = 1 {flag}"),
+        "contracts": lines.selectExpr("concat('k', id) AS Id", "concat('r', l_orderkey) AS OrderId"),
+        "subscriptions": lines.selectExpr("concat('u', id) AS Id", "concat('k', id) AS ContractId"),
+    }
+
+
+@query(OBJECTS_SQL + """
+    SELECT 'accounts' AS object, id AS "Id" FROM accounts WHERE NOT flag
+    UNION ALL SELECT 'contacts', id FROM contacts WHERE parent NOT IN (SELECT id FROM gone_a)
+    UNION ALL SELECT 'opportunities', id FROM opportunities WHERE coalesce(parent NOT IN (SELECT id FROM gone_a), TRUE)
+    UNION ALL SELECT 'quotes', id FROM quotes WHERE NOT flag
+    UNION ALL SELECT 'quote_lines', id FROM quote_lines WHERE NOT flag
+    UNION ALL SELECT 'orders', id FROM orders_ WHERE id NOT IN (SELECT id FROM gone_r)
+    UNION ALL SELECT 'order_lines', id FROM order_lines WHERE NOT flag
+    UNION ALL SELECT 'contracts', id FROM contracts WHERE id NOT IN (SELECT id FROM gone_k)
+    UNION ALL SELECT 'subscriptions', id FROM subscriptions WHERE parent NOT IN (SELECT id FROM gone_k)""")
+def purge_nine_objects(t: Tables):
+    """What is left of each object after the whole purge."""
+    done = change.purge_states(_objects(t))
+    left = [applied.state.select(F.lit(name).alias("object"), "Id") for name, applied in done.items()]
+    return reshape.union_all(left)
+
+
+@query("""
+    WITH target AS (SELECT o_custkey AS k, min(o_orderkey) AS o FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+    fresh AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT k FROM target))
+    SELECT 'é' || k AS "Account_Number_External_ID__c", 'old ' || o AS "Name",
+           CAST(NULL AS bigint) AS "AnnualRevenue", TRUE AS "Migrated_Record__c" FROM target
+    UNION ALL
+    SELECT 'é' || c_custkey, c_name, CAST(trunc(c_acctbal) AS bigint), TRUE FROM fresh""")
+def net_new_state(t: Tables):
+    """The target's accounts after the insert; keys that aren't ASCII are found on both sides."""
+    key = "Account_Number_External_ID__c"
+    target = (
+        t.orders.filter("o_orderpriority = '1-URGENT'")
+        .groupBy(F.concat(F.lit("é"), "o_custkey").alias(key))
+        .agg(F.concat(F.lit("old "), F.min("o_orderkey")).alias("Name"))
+        .selectExpr(key, "Name", "CAST(NULL AS bigint) AS AnnualRevenue", "true AS Migrated_Record__c")
+    )
+    staged = t.customer.selectExpr("concat('é', c_custkey) AS number", "c_name AS name", "c_acctbal AS revenue")
+    applied = change.account_inserts(
+        staged, target, staged_key="number", migrated_key=key, whole_numbers=["revenue"],
+        fields={"number": key, "name": "Name", "revenue": "AnnualRevenue"},
+    )
+    return applied.state
+
+
+@query("""
+    SELECT c_custkey, c_name, c_acctbal AS "Amount_Paid__c", TRUE AS "Migrated_Record__c"
+    FROM customer ORDER BY c_custkey LIMIT 10 OFFSET 5""")
+def slice_insert_state(t: Tables):
+    rows = t.customer.selectExpr(
+        "c_custkey", "c_name", "c_acctbal AS AmountPaid", "true AS IsActive", "c_nationkey AS CreatedDate"
     )
+    wanted = change.slice_to_insert(rows, "c_custkey", 5, 10)
+    return outcomes.perform("insert", wanted.limit(0), wanted, "c_custkey").state
+
+
+@query("""
+    WITH s AS (SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 5 OFFSET 5)
+    SELECT 'é' || c_custkey AS "Id", c_custkey AS part_key,
+           CASE WHEN p_partkey IS NULL THEN c_mktsegment ELSE 'Government' END AS "Industry"
+    FROM customer LEFT JOIN s ON c_custkey = p_partkey""")
+def slice_update_state(t: Tables):
+    target = t.customer.selectExpr("concat('é', c_custkey) AS Id", "c_custkey AS part_key", "c_mktsegment AS Industry")
+    parts = t.part.selectExpr("p_partkey AS part_key")
+    changes = change.slice_to_update(target, parts, "part_key", "part_key", 5, 5, {"Industry": "Government"})
+    return outcomes.perform("update", target, changes, "Id").state
+
+
+@query("""
+    SELECT 'é' || o_orderkey AS "Id", o_custkey AS "CreatedById" FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_name = (SELECT max(c_name) FROM customer))""")
+def created_by_state(t: Tables):
+    """What is left after all rows that one user created were deleted by their raw ids."""
+    name = t.customer.agg(F.max("c_name")).first()[0]
+    rows = t.orders.selectExpr("concat('é', o_orderkey) AS Id", "o_custkey AS CreatedById")
+    users = t.customer.selectExpr("c_custkey AS Id", "c_name AS Name")
+    found = change.created_by(rows, users, name)
+    return outcomes.perform("delete", rows, found, "Id").state
 
 
 @query("""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +14,6 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_local_roots: dict[str, str] = {}
-
 
 def get_session(app: str = "drover", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators are tuned for; `conf` keys use `__` for dots."""
@@ -33,19 +30,13 @@ def get_session(app: str = "drover", master: str | None = None, **conf: str) ->
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A new folder under `spark.checkpoint.dir`.
+    """A new folder under `spark.checkpoint.dir`, which every executor must see.
 
-    Only a local session may go without that setting; every executor of a
-    cluster must see the folder, so there it is an error to leave it unset.
+    For data that may be deleted after the job; tables don't belong there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_roots.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="drover-")
-        )
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -13,8 +13,13 @@ MANIFEST = "_manifest"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header; `path` is a folder on any file system Spark can reach."""
-    df.write.mode(mode).option("escape", '"').csv(path, header=True)
+    """CSV with a header; `path` is a folder on any file system Spark can reach.
+
+    Outer blanks, quotes and line breaks are kept; `read_csv` reads them back.
+    """
+    writer = df.write.mode(mode).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path, header=True)
 
 
 def insert_documents(df: DataFrame, path: str, format: str = "json") -> None:
@@ -26,7 +31,10 @@ def write_named_outputs(outputs: Mapping[str, DataFrame], path: str, format: str
     """One folder per name below `path`, and a manifest that keeps their order."""
     spark = next(iter(outputs.values())).sparkSession
     for name, df in outputs.items():
-        df.write.format(format).option("header", True).save(f"{path}/{name}")
+        if format == "csv":
+            write_csv(df, f"{path}/{name}")
+        else:
+            df.write.format(format).save(f"{path}/{name}")
     manifest = spark.createDataFrame(list(enumerate(outputs)), "position int, name string")
     manifest.coalesce(1).write.json(f"{path}/{MANIFEST}")
 

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from drover.operators.ordering import col
 from drover.operators.quality import check_rows, require_valid
 from drover.schemas import TableSpec
-from drover.session import shared_path
 
 
 def create_table(
     spark: SparkSession, spec: TableSpec, name: str | None = None, location: str | None = None
 ) -> str:
-    """Drop the table if it is there and make it anew, empty. Returns its name."""
+    """Drop the table if it is there and make it anew, empty. Returns its name.
+
+    Without `location` its data lies in the warehouse.
+    """
     name = name or spec.name
-    location = location or shared_path(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({spec.ddl()}) USING parquet LOCATION '{location}'")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {name} ({spec.ddl()}) USING parquet{place}")
     return name
 
 
@@ -42,15 +46,45 @@ def insert(
     return rejected
 
 
+def _states(spark: SparkSession, name: str) -> str:
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_states/{name}"
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
 def publish(spark: SparkSession, name: str, state: DataFrame, location: str | None = None) -> str:
     """Commit the next state of a table: write it aside, then point the table to it.
 
     Readers see the old rows or the new ones, never a mix; a failed write
-    leaves the table as it was. Returns the new location.
+    leaves the table as it was. States lie in the warehouse unless a location is
+    given. Returns the new location; `remove_superseded` deletes earlier ones.
+    Columns that the table lacks raise.
     """
-    location = location or shared_path(spark, name.replace(".", "_"))
+    location = location or f"{_states(spark, name)}/{uuid.uuid4().hex}"
     columns = spark.table(name).columns
+    if set(state.columns) != set(columns):
+        raise ValueError(f"{name} has columns {columns}, its next state {state.columns}")
     state.select(*[col(c) for c in columns]).write.parquet(location)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.sql(f"REFRESH TABLE {name}")
     return location
+
+
+def remove_superseded(spark: SparkSession, name: str) -> int:
+    """Delete the states that `publish` put into the warehouse and that are not the table's own.
+
+    For when no job reads them any more. Returns how many there were.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_states(spark, name))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return 0
+    current = _location(spark, name).rstrip("/").rpartition("/")[2]
+    old = [s.getPath() for s in system.listStatus(path) if s.getPath().getName() != current]
+    for state in old:
+        system.delete(state, True)
+    return len(old)

@@ -43,9 +43,13 @@ def read_csv(
     schema: T.StructType | str | None = None,
     strict: bool = True,
     file_column: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header from any file system Spark can reach.
 
+    Quoted line breaks belong to their value. A file is then read by one task;
+    turn `multi_line` off for files that have none, so that large ones are split.
+
     With a schema its columns are picked by name and read as text, missing-value
     texts become NULL, and then the columns are cast: bad values raise, or
     become NULL if `strict` is off. Codes with leading zeros belong in the
@@ -53,7 +57,7 @@ def read_csv(
     Without a schema types are inferred, which costs another pass over the
     files. `file_column` adds the path of the row's file.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         df = reader.option("inferSchema", True).csv(paths)
         texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
@@ -63,11 +67,11 @@ def read_csv(
         ]
     else:
         wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        header = reader.csv(paths).schema  # reads one line
+        header = reader.option("multiLine", False).csv(paths).schema  # reads one line
         missing = [f.name for f in wanted.fields if f.name not in header.names]
         if missing:
             raise ValueError(f"no such columns in the file: {missing}")
-        df = reader.option("enforceSchema", False).schema(header).csv(paths)
+        df = reader.option("multiLine", multi_line).option("enforceSchema", False).schema(header).csv(paths)
         values = []
         for f in wanted.fields:
             value = F.when(~col(f.name).isin(*MISSING_TEXTS), col(f.name))

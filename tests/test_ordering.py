@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from drover.operators.ordering import (
-    CHUNK,
-    order_chunks,
+    in_order,
     rank_in_group,
     rows_between,
     running_sums,
@@ -74,12 +73,17 @@ def test_hot_group_is_spread_over_chunks(spark):
     df = spark.range(3_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), "id"
     )
-    chunks = order_chunks(df, ["g", "id"], rows_per_chunk=100)
-    sizes = df.withColumn(CHUNK, chunks.column).groupBy(CHUNK).count().collect()
+    ordered = in_order(df, ["g", "id"], rows_per_chunk=100)
+    sizes = ordered.rows.groupBy(ordered.chunk).count().collect()
     assert len(sizes) > 20
     assert max(r["count"] for r in sizes) < 400
 
 
+def test_chunks_have_no_upper_limit(spark):
+    ordered = in_order(spark.range(20_000), "id", rows_per_chunk=8)
+    assert ordered.rows.select(ordered.chunk).distinct().count() > 2_000
+
+
 @pytest.mark.parametrize(
     "kind,make",
     [
@@ -100,12 +104,23 @@ def test_key_types(spark, kind, make):
     assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
 
 
-def test_chunks_are_the_same_when_recomputed(spark):
-    df = spark.range(1_000).select((F.col("id") * 7 % 1_000).alias("k"))
-    chunks = order_chunks(df, "k", rows_per_chunk=50)
-    once = df.select("k", chunks.column.alias("c")).collect()
-    again = df.repartition(9).select("k", chunks.column.alias("c")).collect()
-    assert sorted(once) == sorted(again)
+def test_struct_keys_and_taken_names(spark):
+    names = "id int, _chunk int, _place int, _before string, _rn int, _rows int, _carried int, _group0 int, _other int"
+    data = [(i, *[i % 3] * 2, "x", *[i % 5] * 5) for i in range(90)]
+    df = spark.createDataFrame(data, names).withColumn("k", F.struct(F.lit(1).alias("a"), "id"))
+    got = with_row_index(df, "k", "at", rows_per_chunk=7).collect()
+    assert all(r["at"] == r["id"] and r["_before"] == "x" for r in got) and len(got) == 90
+    ranks = rank_in_group(df, "_chunk", "k", "n", rows_per_chunk=7).collect()
+    assert all(r["n"] == r["id"] // 3 + 1 for r in ranks) and len(ranks) == 90
+    sums = running_sums(df, "k", {"total": "_rows"}, rows_per_chunk=7).collect()
+    assert all(r["total"] == sum(i % 5 for i in range(r["id"] + 1)) for r in sums)
+
+
+def test_ties_keep_one_order_for_good(spark):
+    df = spark.range(1_000).select((F.col("id") % 3).alias("k"), "id").repartition(9)
+    indexed = with_row_index(df, "k", "at", rows_per_chunk=50)
+    once, again = sorted(indexed.collect()), sorted(indexed.collect())
+    assert once == again and sorted(r["at"] for r in once) == list(range(1_000))
 
 
 def test_empty(spark):

@@ -111,14 +111,19 @@ def test_cardinality(frames):
         merge(left, right, "k", "j", validate="2:1")
 
 
-def test_cross_needs_a_small_side(spark, frames, monkeypatch):
+def test_no_cross_join_and_no_column_twice(spark, frames):
     left, right = frames
-    assert merge(left, right, how="cross").count() == 12
-    monkeypatch.setattr(reconcile, "CROSS_LIMIT", 3)
-    assert merge(left, right, how="cross").count() == 12
-    monkeypatch.setattr(reconcile, "CROSS_LIMIT", 2)
-    with pytest.raises(ValueError):
-        merge(left, right, how="cross")
+    with pytest.raises(ValueError, match="unknown join"):
+        merge(left, right, "k", "j", how="cross")
+    tagged = spark.createDataFrame([("a", "x")], "k string, _merge string")
+    with pytest.raises(ValueError, match="_merge"):
+        merge(tagged, right, "k", "j")
+    assert "_merge" in merge(tagged, right, "k", "j", indicator=False).columns
+    with pytest.raises(ValueError, match="twice"):
+        merge(
+            spark.createDataFrame([(1, 1, 1)], "k int, v int, v_left int"),
+            spark.createDataFrame([(1, 1)], "k int, v int"), "k", "k",
+        )
 
 
 def test_key_lists_and_null(frames):

@@ -1,5 +1,6 @@
 import pyarrow as pa
 import pytest
+from offline import offline_submitter
 
 from drover.operators import submit
 
@@ -16,7 +17,7 @@ def test_batches(sent):
 
 
 def test_each_row_has_an_outcome(sent):
-    check = submit.offline_submitter("id", required=["big"], refuse=("kind", ["bad"]))
+    check = offline_submitter("id", required=["big"], refuse=("kind", ["bad"]))
     results = submit.submit(sent, check, "id", 10)
     rows = {r["id"]: r for r in results.collect()}
     assert len(rows) == 25
@@ -59,7 +60,7 @@ def test_no_results_at_all(sent):
 
 
 def test_totals(sent):
-    results = submit.submit(sent, submit.offline_submitter("id", refuse=("kind", ["bad"])), "id", 10)
+    results = submit.submit(sent, offline_submitter("id", refuse=("kind", ["bad"])), "id", 10)
     rows = sorted(tuple(r) for r in submit.batch_totals(results).collect())
     assert rows == [(0, 7, 3, 7, 3), (1, 8, 2, 15, 5), (2, 3, 2, 18, 7)]
 
@@ -73,7 +74,7 @@ def test_run_dml_sends_once(spark, sent, tmp_path):
         from pathlib import Path
 
         (Path(log) / uuid.uuid4().hex).write_text(str(batch.num_rows))
-        return submit.offline_submitter("id", refuse=("kind", ["bad"]))(batch)
+        return offline_submitter("id", refuse=("kind", ["bad"]))(batch)
 
     outcome = submit.run_dml(sent, count, "insert", "id", str(tmp_path / "out"), "r1", 10)
     assert (outcome.success.count(), outcome.fallout.count()) == (18, 7)
