@@ -40,7 +40,9 @@ SIMILARITY = (75, 100)
 #: Largest number of prefix matches that a document may ask for.
 MOST_MATCHES = 8
 #: Counters of the frequency table, whose size is fixed.
-COUNTERS = 1 << 22
+COUNTERS = 1 << 23
+#: Bits of the signature that every set carries.
+SIGNATURE = 512
 SLICES = 64
 
 
@@ -73,7 +75,10 @@ def _new(keys: np.ndarray, wanted: np.ndarray, seen: set) -> np.ndarray:
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """One row per document (doc_id, n, key), and slices of counts of all shingles by hash bucket."""
+    """One row per document (doc_id, n, key, packed), and slices of counts of all shingles by hash bucket.
+
+    `packed` is a set's signature or a slice of the counts.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.uint32)
@@ -87,7 +92,10 @@ def survey(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for at, n, key, owner, value in _sets(batch.column(1)):
                 some = batch.slice(at, len(n))
-                yield rows(some.column(0), n, np.where(n > 0, key, 0), [None] * len(n), [None] * len(n))
+                place = owner * SIGNATURE + (value >> np.uint64(40)).astype(np.int64) % SIGNATURE
+                odd = np.bincount(place, minlength=len(n) * SIGNATURE).reshape(len(n), SIGNATURE) & 1
+                signs = [x.tobytes() for x in np.packbits(odd.astype(np.uint8), axis=1)]
+                yield rows(some.column(0), n, np.where(n > 0, key, 0), [None] * len(n), signs)
                 first = _new(key, n > 0, seen)
                 bucket = (value[first[owner]] % np.uint64(COUNTERS)).astype(np.int64)
                 np.add.at(counts, bucket, 1)
@@ -131,16 +139,19 @@ def _frequency_levels(parts: DataFrame) -> np.ndarray:
 
 @dataclass
 class Prefixes:
-    """Prefix rows of sets: the set's row, the shingle, its extension number, and matches asked for."""
+    """Prefix rows of sets: the set's row, the shingle and its rank; of each set the matches it asks
+    for, and how many in 127 of its shingles are rare.
+    """
 
     row: np.ndarray
     token: np.ndarray
-    step: np.ndarray
+    rank: np.ndarray
     asks: np.ndarray
+    rare: np.ndarray
 
 
 def prefixes(n: np.ndarray, owner: np.ndarray, value: np.ndarray, levels: np.ndarray) -> Prefixes:
-    """Rare shingles first; the base prefix has step 1, each further shingle one more.
+    """Rare shingles first, as far as MOST_MATCHES needs them.
 
     The cost of asking for m matches is the number of other documents met at the
     prefix's shingles, plus the comparisons with those (at most the meetings
@@ -152,9 +163,10 @@ def prefixes(n: np.ndarray, owner: np.ndarray, value: np.ndarray, levels: np.nda
     first = np.concatenate([[0], np.cumsum(n)])[:-1]
     rank = np.arange(len(owner)) - first[owner]
     base = n - _least_overlap(n) + 1
+    rare = np.bincount(owner, weights=level == 0, minlength=len(n)) * 127 // np.maximum(n, 1)
     step = np.maximum(rank - base[owner] + 2, 1)
     keep = step <= MOST_MATCHES
-    owner, value, level, step = owner[keep], value[keep], level[keep], step[keep]
+    owner, value, level, step, rank = owner[keep], value[keep], level[keep], step[keep], rank[keep]
     meets = np.where(level > 0, 8.0 * 2.0 ** ((level.astype(float) - 1) / 2), 0.01)
     best = np.full(len(n), np.inf)
     asks = np.ones(len(n), dtype=np.int64)
@@ -165,11 +177,17 @@ def prefixes(n: np.ndarray, owner: np.ndarray, value: np.ndarray, levels: np.nda
         cost[m > _least_overlap(n)] = np.inf
         better = cost < best
         best[better], asks[better] = cost[better], m
-    return Prefixes(owner, value, step, asks)
+    return Prefixes(owner, value, rank, asks, rare.astype(np.int64))
+
 
+def _pack(n, rank, rare, asks) -> np.ndarray:
+    """Size, rank, rare part and matches asked for in one number: 27, 25, 7 and 4 bits."""
+    return (n.astype(np.int64) << 36) | (rank << 11) | (rare << 4) | asks
 
-def _pack(n, step, asks) -> np.ndarray:
-    return (n.astype(np.int64) << 8) | (step.astype(np.int64) << 4) | asks.astype(np.int64)
+
+SIZE, RANK, RARE, ASKS = (
+    "shiftright({0}, 36)", "(shiftright({0}, 11) & 33554431)", "(shiftright({0}, 4) & 127)", "({0} & 15)",
+)
 
 
 def _postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
@@ -183,7 +201,7 @@ def _postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 first = _new(key, n > 0, seen)
                 kept = first[owner]
                 found = prefixes(np.where(first, n, 0), owner[kept], value[kept], state.value)
-                meta = _pack(n[found.row], found.step, found.asks[found.row])
+                meta = _pack(n[found.row], found.rank, found.rare[found.row], found.asks[found.row])
                 arrays = [pa.array(x) for x in (found.token.view(np.int64), key[found.row], meta)]
                 yield pa.RecordBatch.from_arrays(arrays, ["token", "key", "meta"])
 
@@ -191,42 +209,58 @@ def _postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of shingles that several classes hold, each with the class of the least key."""
+    """Postings of shingles that several classes hold, each with its hub.
+
+    The hub is the class with the least part of rare shingles: in a group of
+    near copies that is the one most others come from.
+    """
     same = Window.partitionBy("token")
+    central = F.struct(F.expr(RARE.format("meta")).alias("rare"), "key", "meta")
     return (
         postings.withColumns(
             {
-                "hub": F.min(F.struct("key", "meta")).over(same),
+                "hub": F.min(central).over(same),
+                "least": F.min("key").over(same),
                 "last": F.max("key").over(same),
             }
         )
-        .where("hub.key <> last")
+        .where("least <> last")
         .select("token", "key", "meta", F.col("hub.key").alias("hub"), F.col("hub.meta").alias("hub_meta"))
     )
 
 
-def _size(meta: str):
-    return F.shiftright(F.col(meta), 8)
+#: Shingles that sets of sizes x.n and y.n must share, and what their signatures must have in common.
+_OVERLAP = f"(({SIMILARITY[0]} * (x.n + y.n) + {sum(SIMILARITY) - 1}) DIV {sum(SIMILARITY)})"
+_UNLIKE = " + ".join(f"bit_count(x.s{k} ^ y.s{k})" for k in range(SIGNATURE // 64))
+#: Sets differ in at least as many shingles as their signatures do in bits.
+_ALIKE = f"{_UNLIKE} <= x.n + y.n - 2 * {_OVERLAP}"
+_SIGNS = [f"s{k}" for k in range(SIGNATURE // 64)]
 
 
-def _stars(shared: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a class and a hub that share half of the shorter base prefix."""
-    n, m = _size("meta"), _size("hub_meta")
-    least = F.least(n, m)
-    base = least - F.ceil(least * SIMILARITY[0] / SIMILARITY[1]) + 1
-    pairs = shared.where("key <> hub").where(
-        F.least(n, m) * SIMILARITY[1] >= F.greatest(n, m) * SIMILARITY[0]
+def _stars(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a class and a hub that it meets, unless sizes or signatures rule them out."""
+    n, m = SIZE.format("meta"), SIZE.format("hub_meta")
+    met = (
+        shared.where("key <> hub")
+        .where(f"least({n}, {m}) * {SIMILARITY[1]} >= greatest({n}, {m}) * {SIMILARITY[0]}")
+        .select(F.col("key").alias("a"), F.col("hub").alias("b"))
+        .distinct()
     )
     return (
-        pairs.groupBy(F.col("key").alias("a"), F.col("hub").alias("b"))
-        .agg(F.count(F.lit(1)).alias("matches"), F.first(base).alias("base"))
-        .where("2 * matches >= base")
-        .select("a", "b")
+        met.alias("p")
+        .join(classes.alias("x"), F.expr("p.a = x.key"))
+        .join(classes.alias("y"), F.expr("p.b = y.key"))
+        .where(_ALIKE)
+        .select("p.a", "p.b")
     )
 
 
-def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that aren't connected yet and share as many shingles as the larger asks for."""
+def _across(shared: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that aren't connected yet and share as many shingles as the larger asks for.
+
+    A pair must have its matches within the prefixes that belong to the overlap
+    its sizes demand, which are shorter than those that each set has to list.
+    """
     located = (
         shared.select("token", "key", "meta")
         .dropDuplicates(["token", "key"])
@@ -237,19 +271,17 @@ def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
     mixed = (
         located.withColumns({"low": F.min("root").over(same), "high": F.max("root").over(same)})
         .where("low <> high")
-        .select(
-            "token", "key", "root",
-            _size("meta").alias("n"),
-            F.shiftright("meta", 4).bitwiseAND(F.lit(15)).alias("step"),
-            F.col("meta").bitwiseAND(F.lit(15)).alias("asks"),
+        .selectExpr(
+            "token", "key", "root", f"{RANK.format('meta')} AS rank", f"{ASKS.format('meta')} AS asks"
         )
-    )
-    met = mixed.where("step <= asks").alias("x").join(
+        .join(classes, "key")
+    )
+    met = mixed.alias("x").join(
         mixed.alias("y"),
         F.expr(
-            "x.token = y.token AND x.root <> y.root AND y.step <= x.asks "
-            "AND (x.n > y.n OR (x.n = y.n AND x.key > y.key)) "
-            f"AND y.n * {SIMILARITY[1]} >= x.n * {SIMILARITY[0]}"
+            "x.token = y.token AND x.root <> y.root AND (x.n > y.n OR (x.n = y.n AND x.key > y.key)) "
+            f"AND y.n * {SIMILARITY[1]} >= x.n * {SIMILARITY[0]} "
+            f"AND x.rank < x.n - {_OVERLAP} + x.asks AND y.rank < y.n - {_OVERLAP} + x.asks AND {_ALIKE}"
         ),
     )
     return (
@@ -317,12 +349,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     found = stage(survey(docs), "near-survey")
     rows = found.where("part IS NULL").select("doc_id", "n", "key")
+    signs = F.hex(F.first("packed"))
+    classes = (
+        found.where("part IS NULL AND n > 0")
+        .groupBy("key")
+        .agg(F.first("n").cast("long").alias("n"), signs.alias("signs"))
+        .select(
+            "key",
+            "n",
+            *(
+                F.conv(F.substring("signs", 1 + 16 * k, 16), 16, -10).cast("long").alias(name)
+                for k, name in enumerate(_SIGNS)
+            ),
+        )
+    )
+    classes = stage(classes, "near-classes")
     levels = _frequency_levels(found.where("part IS NOT NULL"))
     shared = stage(_shared(_postings(docs, levels)), "near-shared")
 
-    links = stage(_verified(docs, stage(_stars(shared), "near-stars")), "near-links")
+    links = stage(_verified(docs, stage(_stars(shared, classes), "near-stars")), "near-links")
     roots = components(links)
-    more = stage(_across(shared, roots), "near-pairs")
+    more = stage(_across(shared, roots, classes), "near-pairs")
     if not more.isEmpty():
         links = links.unionByName(stage(_verified(docs, more), "near-links"))
         roots = components(links)
