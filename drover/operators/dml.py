@@ -174,8 +174,13 @@ def upsert(
     inserted rows, false for updated ones, NULL for rows not touched. Rows
     without an external id are inserted as they are.
     """
-    _require_columns(target, incoming.columns)
-    fields = [c for c in incoming.columns if c != external_id]
+    # Columns that are there for the order alone don't reach the target.
+    ordering = [] if order_by is None else names(order_by)
+    fields = [
+        c for c in incoming.columns
+        if c != external_id and (c in target.columns or c not in ordering)
+    ]
+    _require_columns(target, [external_id, *fields])
     named = incoming.filter(col(external_id).isNotNull())
     latest = _last_changes(named, external_id, fields, order_by)
     updated = _overwrite(

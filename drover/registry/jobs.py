@@ -85,7 +85,7 @@ def _loaded_and_staged(t: Tables, prepared: DataFrame, entity: str) -> DataFrame
         return stage(t.spark.table(staged), "staged")
     finally:
         for name in (source, staged):
-            t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            tables.drop_table(t.spark, name)
 
 
 @query("""
@@ -151,7 +151,7 @@ def stage_rejects(t: Tables):
     staged = tables.create_table(t.spark, STAGING_TABLES["accounts"], f"stg_accounts_{tag}")
     rows = load.staged_rows(load.source_rows(_accounts(t)), "accounts")
     rejected = tables.insert(rows, STAGING_TABLES["accounts"], staged, mode="quarantine")
-    t.spark.sql(f"DROP TABLE {staged}")  # the rejected rows are stored by themselves
+    tables.drop_table(t.spark, staged)  # the rejected rows are stored by themselves
     return rejected.select(
         "account_number_external_id", F.array_join("reject_reasons", ";").alias("reasons")
     )
@@ -311,7 +311,7 @@ def publish_state(t: Tables):
     tables.publish(t.spark, name, state)
     tables.remove_superseded(t.spark, name)
     committed = stage(t.spark.table(name), "committed")
-    t.spark.sql(f"DROP TABLE {name}")
+    tables.drop_table(t.spark, name)
     return committed
 
 

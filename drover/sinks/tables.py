@@ -16,12 +16,12 @@ def create_table(
 ) -> str:
     """Drop the table if it is there and make it anew, empty. Returns its name.
 
-    Without `location` its data lies in the warehouse.
+    Without `location` its data lies in a folder of its own in the warehouse.
     """
     name = name or spec.name
+    location = location or _new_state(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {name} ({spec.ddl()}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE {name} ({spec.ddl()}) USING parquet LOCATION '{location}'")
     return name
 
 
@@ -51,6 +51,10 @@ def _states(spark: SparkSession, name: str) -> str:
     return f"{warehouse}/_states/{name}"
 
 
+def _new_state(spark: SparkSession, name: str) -> str:
+    return f"{_states(spark, name)}/{uuid.uuid4().hex}"
+
+
 def _location(spark: SparkSession, name: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
     return described.first()["data_type"]
@@ -64,7 +68,7 @@ def publish(spark: SparkSession, name: str, state: DataFrame, location: str | No
     given. Returns the new location; `remove_superseded` deletes earlier ones.
     Columns that the table lacks raise.
     """
-    location = location or f"{_states(spark, name)}/{uuid.uuid4().hex}"
+    location = location or _new_state(spark, name)
     columns = spark.table(name).columns
     if set(state.columns) != set(columns):
         raise ValueError(f"{name} has columns {columns}, its next state {state.columns}")
@@ -79,12 +83,21 @@ def remove_superseded(spark: SparkSession, name: str) -> int:
 
     For when no job reads them any more. Returns how many there were.
     """
+    return _remove_states(spark, name, _location(spark, name).rstrip("/").rpartition("/")[2])
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop the table and all its states in the warehouse."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _remove_states(spark, name)
+
+
+def _remove_states(spark: SparkSession, name: str, but: str | None = None) -> int:
     path = spark._jvm.org.apache.hadoop.fs.Path(_states(spark, name))
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(path):
         return 0
-    current = _location(spark, name).rstrip("/").rpartition("/")[2]
-    old = [s.getPath() for s in system.listStatus(path) if s.getPath().getName() != current]
+    old = [s.getPath() for s in system.listStatus(path) if s.getPath().getName() != but]
     for state in old:
         system.delete(state, True)
     return len(old)

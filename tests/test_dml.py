@@ -83,6 +83,17 @@ def test_upsert(spark, target):
     )
 
 
+def test_unknown_columns_raise(spark, target):
+    odd = spark.createDataFrame([("a", "x")], "k string, other string")
+    for change in (
+        lambda: dml.upsert(target, odd, "k"),
+        lambda: dml.append_rows(target, odd),
+        lambda: dml.keyed_update(target, odd, "k", ["other"]),
+    ):
+        with pytest.raises(ValueError, match="other"):
+            change()
+
+
 def test_append_and_matched(spark, target):
     new = spark.createDataFrame([("z", 9, 0.5, "t")], "k string, id int, w double, v string")
     assert rows(dml.append_rows(target, new))[-1] == (9, "z", "t", 0.5)

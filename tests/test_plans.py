@@ -18,7 +18,6 @@ FORBIDDEN = (
     "FlatMapGroupsInPandas",
     "Scan ExistingRDD",
 )
-SENDING = {"submit_results", "split_success", "split_fallout"}
 # These order fewer rows than fill one chunk.
 ONE_CHUNK = {"renumber_rows", "sql_in_list", "sql_in_list_parts", "batch_totals"}
 
@@ -33,8 +32,7 @@ def test_plan(spark, name):
     plan = lines(ALL[name].run(spark, FOLDER))
     for node in FORBIDDEN:
         assert not [line for line in plan if line.startswith(node)], node
-    python = [line for line in plan if "FlatMapGroupsInArrow" in line]
-    assert bool(python) == (name in SENDING)
+    assert not [line for line in plan if "FlatMapGroupsInArrow" in line]
     # Only aggregates, one row per chunk at most, go to a single task.
     for line, below in zip(plan, plan[1:]):
         if line.startswith("Exchange SinglePartition") and name not in ONE_CHUNK:

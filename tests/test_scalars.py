@@ -41,9 +41,9 @@ def test_escape_columns_leaves_others(spark):
 def test_iso_date(spark):
     texts = ["1/5/2024", "02/29/2024", None, "", " ", "13/45/2024", "NaT", "1/5/24"]
     want = ["2024-01-05", "2024-02-29"] + [None] * 6
-    assert one(spark, texts, scalars.iso_date) == want
+    assert one(spark, texts, lambda c: scalars.iso_date(c, strict=False)) == want
     with pytest.raises(Exception, match="13/45/2024"):
-        one(spark, ["13/45/2024"], lambda c: scalars.iso_date(c, strict=True))
+        one(spark, ["13/45/2024"], scalars.iso_date)
     df = spark.createDataFrame([("1/5/2024", "3/1/2023", "x")], "a string, b string, c string")
     assert tuple(scalars.iso_date_columns(df, ["a", "b"]).first()) == ("2024-01-05", "2023-03-01", "x")
     assert scalars.iso_date_columns(df, "a").first()["b"] == "3/1/2023"
@@ -58,7 +58,14 @@ def test_year_end(spark):
 def test_parse_date_and_drop_time(spark):
     texts = ["2024-02-29", "2/29/2024", "2024/2/9", "5-Mar-2024", "20240305", "soon", None]
     want = [date(2024, 2, 29), date(2024, 2, 29), date(2024, 2, 9), date(2024, 3, 5), date(2024, 3, 5), None, None]
-    assert one(spark, texts, scalars.parse_date) == want
+    assert one(spark, texts, lambda c: scalars.parse_date(c, strict=False)) == want
+    with pytest.raises(Exception, match="not a date: soon"):
+        one(spark, texts, scalars.parse_date)
+    df = spark.createDataFrame([(t,) for t in texts], "day string")
+    good, bad = scalars.split_dates(df, "day")
+    assert [r["day"] for r in good.collect()] == [*want[:5], None] and [r["day"] for r in bad.collect()] == ["soon"]
+    with pytest.raises(ValueError, match="2 types for 1"):
+        scalars.cast_by_position(df, ["str", "str"])
     assert one(spark, ["2024-02-29 23:59:59"], lambda c: scalars.drop_time(c.cast("timestamp"))) == [date(2024, 2, 29)]
 
 

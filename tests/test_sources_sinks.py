@@ -154,6 +154,25 @@ def test_publish_a_state_that_reads_the_table(spark, lines_table):
     assert spark.table(lines_table).count() == 0
 
 
+def test_tables_outlive_the_scratch_folder(spark, lines_table):
+    good = spark.createDataFrame([("1", "c", "gen", 1)], CONTRACT_LINES.schema)
+    tables.insert(good, CONTRACT_LINES, lines_table)
+    place = tables.publish(spark, lines_table, spark.table(lines_table))
+    assert spark.conf.get("spark.checkpoint.dir") not in place
+    assert tables.remove_superseded(spark, lines_table) >= 1
+    assert tables.remove_superseded(spark, lines_table) == 0
+    assert spark.table(lines_table).count() == 1
+    with pytest.raises(ValueError, match="columns"):
+        tables.publish(spark, lines_table, spark.table(lines_table).selectExpr("*", "1 AS more"))
+
+
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark, tmp_path):
+    data = [(1, " lead"), (2, "trail\t "), (3, 'q"uote\\x'), (4, "two\nlines\r\nthree"), (5, "a,b"), (6, None)]
+    df = spark.createDataFrame(data, "id int, text string")
+    sinks.write_csv(df, str(tmp_path / "csv"))
+    assert rows(sources.read_csv(spark, str(tmp_path / "csv"), "id int, text string")) == rows(df)
+
+
 def test_schemas():
     assert [f.dataType.simpleString() for f in ACCOUNTS.schema.fields][3] == "decimal(16,2)"
     assert "`start_date` date" in CONTRACTS.ddl()
