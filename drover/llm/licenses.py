@@ -50,12 +50,13 @@ class Templates:
 
         The terms left out of a template have a norm below threshold times the
         template's, so by Cauchy-Schwarz a text with only those stays below it.
+        Long words are taken first, as they are rarer in other texts.
         """
         chosen: set[str] = set()
         for vector, norm in zip(self.vectors, self.norms):
             left = norm * norm
             for term, weight in sorted(
-                vector.items(), key=lambda x: (x[0] in COMMON, -x[1], x[0])
+                vector.items(), key=lambda x: (x[0] in COMMON, -len(x[0]), x[0])
             ):
                 if left < (threshold * norm) ** 2 * (1 - 1e-9):
                     break
@@ -65,9 +66,11 @@ class Templates:
 
 
 def _matches(texts: DataFrame, templates: Templates) -> DataFrame:
-    """The best template of each `notice`, as struct (score, license); notices without terms are left out.
+    """The best template of each notice (id, notice), as struct (score, license).
 
-    Vectors are rows (notice, term, weight). The template side has one row per
+    Notices without terms are left out.
+
+    Vectors are rows (id, term, weight). The template side has one row per
     template and term, so its size is that of the templates given.
     """
     spark = texts.sparkSession
@@ -86,24 +89,24 @@ def _matches(texts: DataFrame, templates: Templates) -> DataFrame:
     )
     weights = (
         texts.select(
-            "notice",
+            "id",
             F.explode(F.regexp_extract_all(F.lower("notice"), F.lit(f"({WORD})"), 1)).alias("term"),
         )
-        .groupBy("notice", "term")
+        .groupBy("id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
         .join(F.broadcast(terms), "term", "left")
         .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(templates.unseen)))
     )
-    norms = weights.groupBy("notice").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     products = (
         weights.join(F.broadcast(vectors), "term")
-        .groupBy("notice", "template", "license", "length")
+        .groupBy("id", "template", "license", "length")
         .agg(F.sum(F.col("w") * F.col("part")).alias("product"))
     )
     cosine = F.round(F.least(F.col("product") / (F.col("norm") * F.col("length")), F.lit(1.0)), 6)
     return (
-        products.join(norms, "notice")
-        .groupBy("notice")
+        products.join(norms, "id")
+        .groupBy("id")
         .agg(F.max(F.struct(cosine.alias("score"), "license")).alias("match"))
     )
 
@@ -163,11 +166,13 @@ def scan_licenses(
     noted = (
         files.where(F.rlike("text", F.lit(telling)))
         .select(digest.alias("digest"), F.explode(F.array_distinct(notices)).alias("notice"))
-        .distinct()
+        .withColumn("id", F.unhex(F.sha2("notice", 256)))
     )
-    matches = _matches(noted.select("notice").distinct(), templates)
+    matches = _matches(noted.select("id", "notice").dropDuplicates(["id"]), templates)
     own = (
-        noted.join(matches.where(F.col("match.score") >= threshold), "notice")
+        noted.select("digest", "id")
+        .distinct()
+        .join(matches.where(F.col("match.score") >= threshold), "id")
         .groupBy("digest")
         .agg(F.max("match").alias("match"))
     )
