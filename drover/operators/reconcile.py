@@ -159,7 +159,8 @@ def merge(
 
     `how` is inner, left, right or outer. `validate` takes '1:1', '1:m',
     'm:1' or 'm:m' and raises `CardinalityError` if a "1" side repeats a key;
-    it also lets a left or right join go as one plain join.
+    it also lets a left or right join go as one plain join, and an outer join as
+    two in place of three.
     """
     layout = _Layout(left, right, left_on, right_on, suffixes)
     left_is_unique = right_is_unique = False
@@ -182,6 +183,12 @@ def merge(
     if how not in parts:
         raise ValueError(f"unknown join: {how}")
     other_is_unique = {"left": right_is_unique, "right": left_is_unique}
+    if how == "outer" and (left_is_unique or right_is_unique):
+        # One join keeps all rows of one side; only the other side's rest is missing.
+        side, rest = ("left", "right") if right_is_unique else ("right", "left")
+        return layout.kept(side, indicator).unionByName(
+            layout.only(rest, tag(f"{rest}_only"), other_is_unique[rest])
+        )
     merged = layout.both(tag("both"))
     for side in parts[how]:
         merged = merged.unionByName(layout.only(side, tag(f"{side}_only"), other_is_unique[side]))

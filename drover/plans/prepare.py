@@ -51,8 +51,9 @@ def contract_lines(
     orders. Service levels name the account's `sla`.
     """
     wanted = ["account_number_external_id", "contract_number", *names(contract_order)]
-    # All three kinds join the numbered contracts, so number them once.
-    numbered = stage(renumber(contracts.select(*dict.fromkeys(wanted)), contract_order), "contracts")
+    # Numbering passes over its input several times, and all three kinds join what it gives.
+    chosen = stage(contracts.select(*dict.fromkeys(wanted)), "contracts")
+    numbered = stage(renumber(chosen, contract_order), "numbered-contracts")
 
     def lines(kind: DataFrame) -> DataFrame:
         return renumber(kind, line_order).join(

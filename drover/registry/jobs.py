@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame
@@ -510,23 +511,24 @@ def created_by_state(t: Tables):
       FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))
     WHERE n = 1""")
 def stream_net_new(t: Tables):
-    """Events land in three lots, one batch each; a user is kept once, from the first batch."""
+    """Events land in three lots, which one start takes as one batch each; a user is kept once, from the first."""
     landing, output = shared_path(t.spark, "landing"), shared_path(t.spark, "stream")
-    checkpoint = shared_path(t.spark, "stream-checkpoint")
     rows = t.events.select("event_id", "user_id")
+    files = 4
     for kinds in (["click", "view"], ["purchase"], ["error", "signup"]):
         lot = t.events.filter(F.col("event_type").isin(kinds)).select("event_id", "user_id")
-        lot.write.mode("append").parquet(landing)
-        net_new_stream(
-            t.spark,
-            landing,
-            rows.schema,
-            t.customer.filter("c_acctbal < 0"),
-            "user_id",
-            "c_custkey",
-            "event_id",
-            output,
-            checkpoint,
-            files_per_batch=1_000_000,
-        ).awaitTermination()
+        lot.repartition(files).write.mode("append").parquet(landing)
+        time.sleep(0.05)  # files are taken in the order of their times
+    net_new_stream(
+        t.spark,
+        landing,
+        rows.schema,
+        t.customer.filter("c_acctbal < 0"),
+        "user_id",
+        "c_custkey",
+        "event_id",
+        output,
+        shared_path(t.spark, "stream-checkpoint"),
+        files_per_batch=files,
+    ).awaitTermination()
     return t.spark.read.schema(rows.schema).parquet(output).select("user_id", "event_id")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from drover.operators.reconcile import first_per_key, net_new, without_keys
+from drover.operators.ordering import col
+from drover.operators.reconcile import net_new
 from drover.operators.submit import BATCH_SIZE, Submitter, submit
 
 
@@ -53,24 +54,48 @@ def net_new_stream(
     output: str,
     checkpoint: str,
     submitter: Submitter | None = None,
-    **reading,
+    files_per_batch: int = 1,
+    format: str = "parquet",
+    **options: str,
 ) -> StreamingQuery:
     """Keep rows whose key neither the target nor an earlier batch holds.
 
     Within a batch the first row in `order_by` stands for its key. Rows go to
     `output/batch=<id>`, with `RESULTS_*` columns if a submitter sends them.
+    What was seen is kept in the stream's state, one row per key; no batch reads
+    earlier output, and all files that are there are taken in one start.
     """
+    stream = (
+        spark.readStream.format(format)
+        .schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .options(**options)
+        .load(landing)
+    )
+    # A key whose first and last batch are the same is new. The time is that of the batch.
+    seen = (
+        stream.select(
+            col(key).alias("key"),
+            F.struct(*[col(c) for c in schema.names]).alias("row"),
+            F.struct(col(order_by).alias("at")).alias("place"),
+            F.current_timestamp().alias("batch_time"),
+        )
+        .groupBy("key")
+        .agg(
+            F.min_by("row", "place").alias("row"),
+            F.min("batch_time").alias("first"),
+            F.max("batch_time").alias("last"),
+        )
+    )
 
     def apply(rows: DataFrame, batch_id: int) -> None:
-        fresh = net_new(first_per_key(rows, key, order_by), target, key, target_key)
-        if batch_id > 0:
-            # Earlier batches only: a batch that runs again must not see its own rows.
-            kept = T.StructType([schema[key], T.StructField("batch", T.LongType())])
-            earlier = rows.sparkSession.read.schema(kept).parquet(output)
-            earlier = earlier.filter(F.col("batch") < batch_id)
-            fresh = without_keys(fresh, earlier, key, nulls_match=True, unique=True)
+        new = rows.filter("first = last").select(
+            *[F.col("row").getField(c).alias(c) for c in schema.names]
+        )
+        fresh = net_new(new, target, key, target_key)
         if submitter is not None:
             fresh = submit(fresh, submitter, [key, order_by], BATCH_SIZE)
         fresh.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
-    return stream_batches(spark, landing, schema, apply, checkpoint, **reading)
+    writer = seen.writeStream.outputMode("update").foreachBatch(apply)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -111,6 +111,15 @@ def test_cardinality(frames):
         merge(left, right, "k", "j", validate="2:1")
 
 
+def test_outer_with_a_unique_side(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    right = spark.createDataFrame([("a", 10), ("c", 30), (None, 40)], "k string, w int")
+    plain = rows(merge(left, right, "k", "k", how="outer"))
+    assert rows(merge(left, right, "k", "k", how="outer", validate="m:1")) == plain
+    other = [(k, w, v, m.replace("left", "x").replace("right", "left").replace("x", "right")) for k, v, w, m in plain]
+    assert rows(merge(right, left, "k", "k", how="outer", validate="1:m")) == sorted(other, key=str)
+
+
 def test_no_cross_join_and_no_column_twice(spark, frames):
     left, right = frames
     with pytest.raises(ValueError, match="unknown join"):
