@@ -123,6 +123,37 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+
+SQL["op9_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(words) >= 5
+            THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
+        ELSE CAST([] AS varchar[]) END) AS shingle
+    FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT x, y FROM common JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id
+    WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT e.y, r.other FROM reach r JOIN edges e ON r.doc_id = e.x)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS bigint) AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reach r ON d.doc_id = r.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
+GROUP BY d.doc_id
+"""
+
+
 @query
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -137,6 +168,31 @@ def op7_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.measure(docs, repeats.find_repeats(docs))
 
 
+SQL["op7_suffix_repeats"] = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM t WHERE length(h) >= 400),
+windows AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS k FROM places),
+repeated AS (
+    SELECT doc_id, i FROM windows WHERE k IN (SELECT k FROM windows GROUP BY k HAVING count(*) > 1)),
+steps AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens
+    FROM repeated),
+numbered AS (
+    SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM steps),
+spans AS (SELECT doc_id, span, min(i) AS low, max(i) + 200 AS high FROM numbered GROUP BY doc_id, span),
+gaps AS (
+    SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS after FROM spans),
+kept AS (
+    SELECT g.doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
+        string_agg(substr(h, 2 * after + 1, 2 * (low - after)), '' ORDER BY low) AS front
+    FROM gaps g JOIN t ON g.doc_id = t.doc_id GROUP BY g.doc_id)
+SELECT t.doc_id, CAST(length(h) // 2 AS bigint) AS n_bytes,
+    CAST(coalesce(n_removed, 0) AS bigint) AS n_removed, CAST(coalesce(n_spans, 0) AS bigint) AS n_spans,
+    sha256(unhex(coalesce(front || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id
+"""
+
+
 def benchmark_items(spark: SparkSession, folder: str) -> DataFrame:
     """Test items with their last sentence as the answer."""
     return table(spark, folder, "benchmark").select(
