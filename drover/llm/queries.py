@@ -59,6 +59,66 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(files)
 
 
+def _license_sql() -> str:
+    """The licence scan in SQL, with the templates' vectors as values."""
+    known = licenses.Templates()
+    parts = ", ".join(
+        f"('{name}', {number}, {norm:.17e}, '{term}', {weight:.17e})"
+        for number, (name, vector, norm) in enumerate(zip(known.names, known.vectors, known.norms))
+        for term, weight in vector.items()
+    )
+    idf = ", ".join(f"('{term}', {value:.17e})" for term, value in known.idf.items())
+    return f"""
+WITH parts(license, template, length, term, part) AS (VALUES {parts}),
+idf(term, idf) AS (VALUES {idf}),
+files AS (
+    SELECT doc_id, coalesce(text, '') AS text, CASE
+        WHEN doc_id % 1000 = 0 THEN source || '/LICENSE'
+        WHEN doc_id % 250 = 0 THEN source || '/' || doc_id // 1000 || '/LICENSE'
+        WHEN doc_id % 25 = 0 THEN source || '/' || doc_id // 1000 || '/' || doc_id // 100 % 10 || '/LICENSE'
+        ELSE source || '/' || doc_id // 1000 || '/' || doc_id // 100 % 10 || '/' || doc_id || '.txt' END AS path
+    FROM documents),
+placed AS (
+    SELECT *, regexp_replace(path, '/[^/]*$', '') AS directory, ends_with(path, '/LICENSE') AS declares FROM files),
+notices AS (
+    SELECT DISTINCT * FROM (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS notice FROM placed
+        UNION ALL SELECT doc_id, array_to_string(string_split(text, chr(10))[1:20], chr(10)) FROM placed
+        UNION ALL SELECT doc_id, text FROM placed WHERE declares)),
+terms AS (SELECT doc_id, notice, unnest(regexp_extract_all(lower(notice), '{licenses.WORD}')) AS term FROM notices),
+weights AS (
+    SELECT doc_id, notice, term, count(*) * any_value(coalesce(idf, {known.unseen:.17e})) AS w
+    FROM terms LEFT JOIN idf USING (term) GROUP BY doc_id, notice, term),
+norms AS (SELECT doc_id, notice, sqrt(sum(w * w)) AS norm FROM weights GROUP BY doc_id, notice),
+products AS (
+    SELECT doc_id, notice, license, length, sum(w * part) AS product
+    FROM weights JOIN parts USING (term) GROUP BY doc_id, notice, template, license, length),
+scores AS (
+    SELECT doc_id, license, round(least(product / (norm * length), 1e0), 6) AS score
+    FROM products JOIN norms USING (doc_id, notice)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license DESC) AS place
+    FROM scores WHERE score >= 0.8),
+found AS (
+    SELECT p.doc_id, path, directory, declares, license, score
+    FROM placed p LEFT JOIN ranked r ON p.doc_id = r.doc_id AND place = 1),
+declared AS (
+    SELECT directory, license FROM found WHERE declares AND license IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, license DESC) = 1),
+nearest AS (
+    SELECT f.doc_id, d.directory AS above, d.license FROM found f JOIN declared d
+        ON f.directory = d.directory OR starts_with(f.directory, d.directory || '/')
+    WHERE f.license IS NULL
+    QUALIFY row_number() OVER (PARTITION BY f.doc_id ORDER BY length(d.directory) DESC) = 1)
+SELECT f.doc_id, path, directory, f.license AS own_license, score AS own_score,
+    coalesce(f.license, n.license) AS license, above AS inherited_from
+FROM found f LEFT JOIN nearest n ON f.doc_id = n.doc_id
+"""
+
+
+SQL["op1_license_scans"] = _license_sql()
+
+
 @query
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
