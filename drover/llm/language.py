@@ -23,7 +23,7 @@ SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
 #: Rejected are texts whose cosine is below this part of the least one that training texts
 #: of as many n-grams have, or below the floor.
-SLACK = 0.5
+SLACK = 0.25
 FLOOR = 0.02
 UNDETERMINED = "und"
 
