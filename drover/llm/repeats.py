@@ -9,7 +9,7 @@ they take the place of the Burrows-Wheeler column.
 1. Every shard (task) lists its anchors with hashes of the anchor and of its
    whole context. Anchors that occur once can't be in a repeated window. A
    context that occurs twice has all its windows repeated.
-2. The other contexts of repeated anchors are fetched once each. Blocks of
+2. Where an anchor has several contexts, they are fetched once each. Blocks of
    suffixes with the same anchor are refined: each round partitions the
    interleaved suffixes of a block stably by their next symbol, and a boundary
    that appears gives the common prefix of its two neighbours. Blocks with one
@@ -113,11 +113,29 @@ def _copied(docs: DataFrame) -> DataFrame:
     return found.groupBy("key").count().where("count > 1").select("key")
 
 
+def _repeated_anchors(docs: DataFrame) -> DataFrame:
+    """Hashes (key) of anchors that occur twice or more; tasks count their own first."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            hashes = [np.zeros(0, dtype=np.int64)]
+            for _, _, data, offsets in lots(batch.column(0)):
+                found = Anchors(data, offsets)
+                hashes.append(found.hash[_first_seen(found.key, seen)[found.text]])
+            yield _batch(["key", "n"], *np.unique(np.concatenate(hashes), return_counts=True))
+
+    counts = docs.select("text").mapInArrow(tally, "key long, n long").groupBy("key")
+    return counts.agg(F.sum("n").alias("n")).where("n > 1").select("key")
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """Anchors that occur twice or more: hash, context, key, place, and how often each context occurs.
+    """Anchors that occur twice or more, and by chance a few others: hash, context, key, place.
 
-    `place` holds the anchor's position and how far before it its first and last window start.
+    `place` holds the anchor's position and how far before it its first and last
+    window start. Texts that occur more than once may be listed once for each task.
     """
+    state = docs.sparkSession.sparkContext.broadcast(key_filter(_repeated_anchors(docs)))
     names = ["hash", "context", "key", "place"]
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,30 +143,19 @@ def _occurrences(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in lots(batch.column(0)):
                 found = Anchors(data, offsets)
-                fresh = _first_seen(found.key, seen)[found.text]
+                fresh = _first_seen(found.key, seen)[found.text] & in_filter(state.value, found.hash)
                 at, text = found.at[fresh], found.text[fresh]
                 place = ((at - offsets[text]) << 16) | ((at - found.first[fresh]) << 8)
                 place |= at - found.last[fresh]
                 yield _batch(names, found.hash[fresh], found.context[fresh], found.key[text], place)
 
-    anchors = docs.select("text").mapInArrow(listed, "hash long, context long, key long, place long")
-    return (
-        anchors.repartition("hash")
-        .dropDuplicates(names)
-        .withColumns(
-            {
-                "alike": F.count(F.lit(1)).over(Window.partitionBy("hash", "context")),
-                "total": F.count(F.lit(1)).over(Window.partitionBy("hash")),
-            }
-        )
-        .where("total > 1")
-    )
+    return docs.select("text").mapInArrow(listed, "hash long, context long, key long, place long")
 
 
-def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The context bytes of anchors in `wanted`, once for each task that has them."""
+def _contexts(docs: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The context bytes of the anchors with these hashes, once for each task that has them."""
     state = docs.sparkSession.sparkContext.broadcast(
-        key_filter(wanted.select(F.col("context").alias("key")))
+        key_filter(hashes.select(F.col("hash").alias("key")))
     )
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +163,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in lots(batch.column(0)):
                 found = Anchors(data, offsets)
-                rows = np.flatnonzero(in_filter(state.value, found.context))
+                rows = np.flatnonzero(in_filter(state.value, found.hash))
                 rows = rows[_first_seen(found.context[rows], seen)]
                 first, end = found.first[rows], found.last[rows] + LENGTH
                 view = data.tobytes()
@@ -301,16 +308,19 @@ def find_repeats(docs: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
     """
     copied = stage(_copied(docs), "repeats-copied")
     found = stage(_occurrences(docs), "repeats-anchors")
-    resolved = found.where("alike > 1").selectExpr(
+    counts = stage(found.groupBy("hash", "context").count(), "repeats-counts")
+    # A context that occurs twice has only repeated windows.
+    twice = counts.where("count > 1").select("hash", "context")
+    resolved = found.join(twice, ["hash", "context"]).selectExpr(
         "key",
         "shiftright(place, 16) - (shiftright(place, 8) & 255) AS low",
         f"shiftright(place, 16) - (place & 255) + {LENGTH} AS high",
     )
-    mixed = found.where("alike < total")
-    wanted = mixed.select("hash", "context").distinct()
-    contexts = stage(_contexts(docs, wanted), "repeats-contexts")
-    groups = wanted.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-    large = stage(groups.where(F.col("n") > large_group).select("hash"), "repeats-large")
+    groups = stage(
+        counts.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeats-groups"
+    )
+    contexts = stage(_contexts(docs, groups.select("hash")), "repeats-contexts")
+    large = groups.where(F.col("n") > large_group).select("hash")
     buckets = 1 + contexts.count() * (2 * LENGTH) // BUCKET_BYTES
     if large.isEmpty():
         covered = _refined(contexts, buckets)
@@ -319,8 +329,8 @@ def find_repeats(docs: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
         covered = covered.unionByName(
             _counted(contexts.join(large, "hash", "left_semi").select(contexts.columns))
         )
-    single = mixed.where("alike = 1").select("context", "key", F.shiftright("place", 16).alias("at"))
-    partly = single.join(covered, "context").selectExpr("key", "at + low AS low", "at + high AS high")
+    places = found.select("context", "key", F.shiftright("place", 16).alias("at"))
+    partly = places.join(covered, "context").selectExpr("key", "at + low AS low", "at + high AS high")
     spans = (
         resolved.unionByName(partly)
         .join(copied, "key", "left_anti")
