@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drover.functions import scalars
@@ -110,16 +111,33 @@ ESCAPE_SQL = r"""
           FROM documents)"""
 
 
-@query(ESCAPE_SQL)
-def escape_unicode(t: Tables):
-    escaped = scalars.escape_columns(t.documents.select("doc_id", "text"))
-    return escaped.select(
+def _escaped(texts: DataFrame) -> DataFrame:
+    return scalars.escape_columns(texts).select(
         "doc_id",
         F.md5(F.col("text").cast("binary")).alias("digest"),
         F.char_length("text").cast("bigint").alias("n_chars"),
     )
 
 
+@query(ESCAPE_SQL)
+def escape_unicode(t: Tables):
+    return _escaped(t.documents.select("doc_id", "text"))
+
+
+# 48 characters outside ASCII, more than a text may hold to be escaped kind by kind.
+MANY_KINDS = "".join(chr(0x100 + 7 * k) for k in range(48))
+
+
+@query(ESCAPE_SQL.replace(
+    "FROM documents)",
+    f"FROM (SELECT doc_id, text || CASE WHEN doc_id % 2 = 0 THEN '{MANY_KINDS}' ELSE '' END AS text FROM documents))",
+))
+def escape_many_kinds(t: Tables):
+    """Texts on both sides of the limit above which they are escaped piece by piece."""
+    more = F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit(MANY_KINDS))).otherwise(F.col("text"))
+    return _escaped(t.documents.select("doc_id", more.alias("text")))
+
+
 @query("""
     SELECT CAST(to_json({o_orderkey: o_orderkey, o_custkey: o_custkey,
                          o_orderstatus: nullif(o_orderstatus, 'P'),
