@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm.text import Words, lots, runs, utf8
+from drover.llm.text import Words, runs, utf8
 from drover.session import shared_path
 
 DEPTH = 5
@@ -96,9 +96,16 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
 
 def _lots(packed: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole texts of about 1 MB, of which one is unpacked at a time."""
     unpress = zstandard.ZstdDecompressor()
-    texts = [unpress.decompress(x.as_buffer()).decode() if len(x.as_buffer()) else "" for x in packed]
-    yield from lots(pa.array(texts, pa.large_string()), 1 << 21)
+    first, parts, size = 0, [], 0
+    for row, text in enumerate(packed):
+        parts.append(unpress.decompress(text.as_buffer()))
+        size += len(parts[-1])
+        if size >= 1 << 20 or row + 1 == len(packed):
+            offsets = np.cumsum([0, *map(len, parts)])
+            yield first, row + 1, np.frombuffer(b"".join(parts), dtype=np.uint8), offsets
+            first, parts, size = row + 1, [], 0
 
 
 def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -142,9 +149,10 @@ def _asked(blocks: DataFrame) -> DataFrame:
                             counts.append(count * value)
                     keys.append(np.array([END]))
                     counts.append(np.array([int((~out).sum())]))
-                if len(keys) > 40:
-                    key, count = _tally(keys, counts)
-                    keys, counts = [key], [count]
+                    waiting = sum(map(len, keys[1:]))
+                    if waiting > 1 << 20:
+                        key, count = _tally(keys, counts)
+                        keys, counts = [key], [count]
         if current is not None:
             yield flush()
 
@@ -377,8 +385,8 @@ def score(docs: DataFrame) -> DataFrame:
         end = words_(np.array([END]))[0]
         found = []
         packed = texts.column("packed").combine_chunks()
-        for _, many, data, offsets in _lots(packed):
-            many = len(offsets) - 1
+        for first_row, end_row, data, offsets in _lots(packed):
+            many = end_row - first_row
             words = Words(data, offsets)
             owner, code = sequences(words, many)
             size = np.bincount(owner, minlength=many)
