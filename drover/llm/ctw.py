@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm.text import Words, runs, utf8
+from drover.llm.text import Words, runs, tidy, utf8
 from drover.session import shared_path
 
 DEPTH = 5
@@ -73,6 +73,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
     """Texts stored in the shared folder, compressed, with their block and whether they are held out."""
     names = ["block", "doc_id", "held_out", "packed"]
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, size = zstandard.ZstdCompressor(level=1), 0
         for batch in batches:
@@ -119,6 +120,7 @@ def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 def _asked(blocks: DataFrame) -> DataFrame:
     """(block, key, count): strings and words of each block, with their counts in its training texts."""
 
+    @tidy
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, keys, counts = None, [], []
 
@@ -330,6 +332,7 @@ def score(docs: DataFrame) -> DataFrame:
             table.column("count").to_numpy()[order].astype(np.float64),
         )
 
+    @tidy
     def summits(table: pa.Table) -> pa.Table:
         code, count = arrays(table)
         level = subtree(code, count, 2)[0]
@@ -359,6 +362,7 @@ def score(docs: DataFrame) -> DataFrame:
     )
     state = spark.sparkContext.broadcast(top)
 
+    @tidy
     def priced(table: pa.Table) -> pa.Table:
         code, count = arrays(table)
         return pa.table({"key": code.view(np.int64), "value": log_probabilities(code, count, state.value)})
@@ -377,6 +381,7 @@ def score(docs: DataFrame) -> DataFrame:
         "base_score double, score double, bits_per_byte double"
     )
 
+    @tidy
     def judged(texts: pa.Table, values: pa.Table) -> pa.Table:
         key, first = np.unique(values.column("key").to_numpy().view(np.uint64), return_index=True)
         value = values.column("value").to_numpy()[first]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm.text import Words, lots, mix, runs, utf8
+from drover.llm.text import Words, lots, mix, runs, tidy, utf8
 
 K1 = 1.2
 B = 0.75
@@ -257,6 +257,7 @@ def build_indexes(items: DataFrame, threshold: float = THRESHOLD, index_bytes: i
     text = F.concat_ws(" ", "question", "answer")
     frame = items.select("item_id", "question", "answer").withColumn("text", text)
 
+    @tidy
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in lots(batch.column(0)):
@@ -272,6 +273,7 @@ def build_indexes(items: DataFrame, threshold: float = THRESHOLD, index_bytes: i
     if not sizes["items"]:
         return
 
+    @tidy
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count = Words(*utf8(batch.column(0))).counts
@@ -310,6 +312,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     for index in build_indexes(items, **options):
         state = spark.sparkContext.broadcast(index)
 
+        @tidy
         def task(batches, state=state):
             for batch in batches:
                 rows = list(state.value.leaks(batch.column(1)))
@@ -341,6 +344,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     for index in build_indexes(items, **options):
         state = spark.sparkContext.broadcast(index)
 
+        @tidy
         def task(batches, state=state):
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)

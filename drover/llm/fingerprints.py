@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from drover.llm.text import Words, lots, mix, runs, utf8
+from drover.llm.text import Words, lots, mix, runs, tidy, utf8
 from drover.session import stage
 
 #: Band of document frequency, as parts of all documents. In a corpus with D distinct words in
@@ -45,15 +45,25 @@ def lexicon(docs: DataFrame, least_part: float = LEAST_PART, most_part: float =
     texts first; only the words in the band reach the driver.
     """
 
+    @tidy
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [distinct_terms(data, offsets)[1] for _, _, data, offsets in lots(batch.column(0))]
-            found.append(np.zeros(0, dtype=np.uint64))
+        found, size = [np.zeros(0, dtype=np.uint64)], 0
+
+        def tally() -> pa.RecordBatch:
             term, count = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(term.view(np.int64)), pa.array(count.astype(np.int32))], ["term", "docs"]
             )
 
+        for batch in batches:
+            for _, _, data, offsets in lots(batch.column(0)):
+                found.append(distinct_terms(data, offsets)[1])
+                size += len(found[-1])
+                if size > 1 << 21:
+                    yield tally()
+                    found, size = [np.zeros(0, dtype=np.uint64)], 0
+        yield tally()
+
     total = docs.count()
     least, most = max(1, math.ceil(least_part * total)), math.floor(most_part * total)
     found = (
@@ -127,6 +137,7 @@ def fingerprint(docs: DataFrame, band: np.ndarray) -> DataFrame:
     docs = docs.drop("fingerprint")
     state = docs.sparkSession.sparkContext.broadcast(band)
 
+    @tidy
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = pa.array(imatch(batch.column(1), state.value), pa.string())
@@ -188,6 +199,7 @@ def compare_with_edits(docs: DataFrame, band: np.ndarray) -> DataFrame:
     state = spark.sparkContext.broadcast(band)
     schema = from_arrow_schema(EDIT_FIELDS)
 
+    @tidy
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -211,6 +223,7 @@ def compare_with_edits(docs: DataFrame, band: np.ndarray) -> DataFrame:
         columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), EDIT_FIELDS)]
         return pa.RecordBatch.from_arrays(columns, schema=EDIT_FIELDS)
 
+    @tidy
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
         ids, texts, size, task, last, started = [], [], 0, None, None, False
@@ -242,6 +255,7 @@ def compare_with_edits(docs: DataFrame, band: np.ndarray) -> DataFrame:
     tails = ends.where("n_chars = 1").select("doc_id", "task", "packed").join(order, "task")
     pairs = tails.join(heads, "head").select("doc_id", "packed", "after")
 
+    @tidy
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:

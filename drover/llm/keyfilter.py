@@ -9,7 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from drover.llm.text import mix
+from drover.llm.text import mix, tidy
 
 #: Bits of the filter. Beyond its capacity more is fetched than needed, never less.
 FILTER_BITS = 1 << 24
@@ -20,6 +20,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     """Bitmap of fixed size that holds every `key`, and by chance a few others."""
     size = FILTER_BITS // SLICES
 
+    @tidy
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS, dtype=bool)
         for batch in batches:
@@ -34,6 +35,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
                     [pa.array([part], pa.int32()), pa.array([packed], pa.binary())], ["part", "packed"]
                 )
 
+    @tidy
     def united(table: pa.Table) -> pa.Table:
         unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         bits = np.zeros(size // 8, dtype=np.uint8)

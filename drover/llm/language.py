@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from drover.llm.text import LOWER, lots, mix
+from drover.llm.text import LOWER, lots, mix, tidy
 from drover.session import stage
 
 #: Buckets that byte n-grams are hashed to.
@@ -122,6 +122,7 @@ def fit(
     # At most sample_per_language rows for each language.
     sample = stage(rows.join(F.broadcast(chosen), ["lang", "doc_id"]), "language-sample")
 
+    @tidy
     def held(batches):
         for batch in batches:
             df = np.zeros(DIMENSIONS, dtype=np.int64)
@@ -144,6 +145,7 @@ def fit(
     if len(found):
         idf[found.term] = np.log((1 + found.total) / (1 + found.docs)) + 0.05
 
+    @tidy
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("doc_id", kind="stable")
         lots_of = [c for _, _, c in vectors(pa.array(frame["text"], pa.string()))]
@@ -195,6 +197,7 @@ def identify(docs: DataFrame, model: Model, slack: float = SLACK, floor: float =
     )
     state = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = state.value
         for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 
 from drover.llm.components import components
 from drover.llm.keyfilter import in_filter, key_filter
-from drover.llm.text import Words, lots, mix, runs, shingles
+from drover.llm.text import Words, lots, mix, runs, shingles, tidy
 from drover.session import stage
 
 WORDS = 5
@@ -80,6 +80,7 @@ def survey(docs: DataFrame) -> DataFrame:
     `packed` is a set's signature or a slice of the counts.
     """
 
+    @tidy
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.uint32)
         seen: set = set()
@@ -112,6 +113,7 @@ def survey(docs: DataFrame) -> DataFrame:
 def _frequency_levels(parts: DataFrame) -> np.ndarray:
     """Level of each hash bucket: 0 for the usual count, then one more for each factor of root 2."""
 
+    @tidy
     def summed(table: pa.Table) -> pa.Table:
         unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         total = np.zeros(COUNTERS // SLICES, dtype=np.uint32)
@@ -194,6 +196,7 @@ def _postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     """(token, key, meta) for every prefix shingle of every class."""
     state = docs.sparkSession.sparkContext.broadcast(levels)
 
+    @tidy
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
@@ -297,6 +300,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     state = docs.sparkSession.sparkContext.broadcast(key_filter(ends))
 
+    @tidy
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
@@ -308,6 +312,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     [pa.array(key[first]), pa.array(sets, pa.binary())], ["key", "shingles"]
                 )
 
+    @tidy
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             alike = []

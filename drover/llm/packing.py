@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
+from drover.llm.text import tidy
+
 #: Words whose ids a Python worker keeps; the store starts anew when it is full.
 KEPT_WORDS = 1_000_000
 
@@ -146,9 +148,10 @@ def pack(
             columns.insert(3, pa.ListArray.from_arrays(starts, pa.array(np.concatenate(ids))))
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
+    @tidy
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc_ids, texts, size = [], [], 0
         for batch in batches:
-            doc_ids, texts, size = [], [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 doc_ids.append(doc_id)
                 texts.append(text.as_py() or "")
@@ -156,8 +159,8 @@ def pack(
                 if size > 8_000_000:
                     yield some(doc_ids, texts)
                     doc_ids, texts, size = [], [], 0
-            if doc_ids:
-                yield some(doc_ids, texts)
+        if doc_ids:
+            yield some(doc_ids, texts)
 
     packed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         task, from_arrow_schema(schema)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from drover.llm.keyfilter import in_filter, key_filter
-from drover.llm.text import Prefix, lots, mix, runs, utf8
+from drover.llm.text import Prefix, lots, mix, runs, tidy, utf8
 from drover.session import stage
 
 LENGTH = 200
@@ -103,6 +103,7 @@ def _batch(names: list[str], *arrays) -> pa.RecordBatch:
 def _copied(docs: DataFrame) -> DataFrame:
     """Keys of texts that occur more than once and are long enough to be removed."""
 
+    @tidy
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in lots(batch.column(0)):
@@ -116,6 +117,7 @@ def _copied(docs: DataFrame) -> DataFrame:
 def _repeated_anchors(docs: DataFrame) -> DataFrame:
     """Hashes (key) of anchors that occur twice or more; tasks count their own first."""
 
+    @tidy
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
@@ -138,6 +140,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     state = docs.sparkSession.sparkContext.broadcast(key_filter(_repeated_anchors(docs)))
     names = ["hash", "context", "key", "place"]
 
+    @tidy
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
@@ -158,6 +161,7 @@ def _contexts(docs: DataFrame, hashes: DataFrame) -> DataFrame:
         key_filter(hashes.select(F.col("hash").alias("key")))
     )
 
+    @tidy
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
@@ -254,6 +258,7 @@ def repeated_windows(
 def _refined(contexts: DataFrame, buckets: int) -> DataFrame:
     """(context, low, high): byte runs covered by repeated windows, counted from the anchor."""
 
+    @tidy
     def merged(table: pa.Table) -> pa.Table:
         context = table.column("context").to_numpy()
         _, rows = np.unique(context, return_index=True)
@@ -277,6 +282,7 @@ def _refined(contexts: DataFrame, buckets: int) -> DataFrame:
 def _counted(contexts: DataFrame) -> DataFrame:
     """The same as `_refined`, by counting every window's hash; spreads one anchor over many tasks."""
 
+    @tidy
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for context, back, least, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
@@ -371,6 +377,7 @@ def measure(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     state = docs.sparkSession.sparkContext.broadcast(key_filter(partly))
     names = ["doc_id", "n_bytes", "key", "sha", "packed"]
 
+    @tidy
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -390,6 +397,7 @@ def measure(docs: DataFrame, repeats: DataFrame) -> DataFrame:
                     pa.array(packed, pa.binary()),
                 )
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
@@ -438,6 +446,7 @@ def remove_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     frame = docs.select(row, "text")
     kind = frame.schema["row"].dataType.simpleString()
 
+    @tidy
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
@@ -457,6 +466,7 @@ def remove_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
             b -= 1
         return a, b
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []

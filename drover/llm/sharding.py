@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from drover.llm.text import tidy
 from drover.session import stage
 
 #: Bytes of text that one bucket should hold.
@@ -54,6 +55,7 @@ def shuffle_rows(
         "bucket", F.pmod(F.xxhash64(F.lit("bucket"), "draw"), F.lit(buckets)).cast("int")
     )
 
+    @tidy
     def shuffled(table: pa.Table) -> pa.Table:
         table = table.sort_by("draw")
         bucket = table.column("bucket")[0].as_py()

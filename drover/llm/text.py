@@ -6,7 +6,10 @@ lower-cased. Words and word sequences are compared by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,39 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _tables: dict[int, np.ndarray] = {}
 
 
+def release() -> None:
+    """Give free memory back to the system; the Python worker lives on and its next task may need little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(function: Callable) -> Callable:
+    """A task or group function that releases its memory when it is done."""
+    if inspect.isgeneratorfunction(function):
+
+        @functools.wraps(function)
+        def stream(batches):
+            try:
+                yield from function(batches)
+            finally:
+                release()
+
+        return stream
+
+    def whole(*tables):
+        try:
+            return function(*tables)
+        finally:
+            release()
+
+    # Spark counts the parameters, so they are spelled out.
+    if len(inspect.signature(function).parameters) == 1:
+        return functools.wraps(function)(lambda table: whole(table))
+    return functools.wraps(function)(lambda left, right: whole(left, right))
+
+
 def _powers(base: np.uint64, length: int) -> np.ndarray:
     """base ** 0 .. base ** (length - 1) modulo 2 ** 64; kept for the next call."""
     table = _tables.get(int(base))
