@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,35 +29,120 @@ NOTICES = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, version 2.0."),
 )
-#: Function words, which tell little about a licence.
-COMMON = frozenset("a an and any are at by for in is of or that the this to under with without".split())
+GPL_HEADER = (
+    "This {program} is free software{colon} you can redistribute it and/or modify it under the terms of "
+    "the GNU {kind}General Public License as published by the Free Software Foundation, either version "
+    "{version} of the License, or (at your option) any later version."
+)
+#: The standard notices that files carry at their top.
+HEADERS = (
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
+                   "file except in compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("GPL-2.0", GPL_HEADER.format(program="program", colon=";", kind="", version="2")),
+    ("GPL-3.0", GPL_HEADER.format(program="program", colon=":", kind="", version="3")),
+    ("LGPL-2.1", GPL_HEADER.format(program="library", colon=";", kind="Lesser ", version="2.1")),
+    ("LGPL-3.0", GPL_HEADER.format(program="library", colon=":", kind="Lesser ", version="3")),
+    ("AGPL-3.0", GPL_HEADER.format(program="program", colon=":", kind="Affero ", version="3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+                "copy of the MPL was not distributed with this file, You can obtain one at "
+                "http://mozilla.org/MPL/2.0/."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the "
+                     "LICENSE file."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+                     "International License."),
+)
+#: Names that stand alone on a line, mostly at the top of a licence file.
+TITLES = (
+    ("MIT", "MIT License"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "GNU General Public License v2.0"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "GNU General Public License v3.0"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-4.0", "Attribution 4.0 International"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Attribution-NonCommercial 4.0 International"),
+)
+#: SPDX identifiers of each licence.
+TAGS = (
+    ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("BSD-2-Clause", "BSD-2-Clause"),
+    ("BSD-3-Clause", "BSD-3-Clause"), ("MPL-2.0", "MPL-2.0"), ("CC-BY-4.0", "CC-BY-4.0"),
+    ("CC-BY-NC-4.0", "CC-BY-NC-4.0"),
+    *((name, name + form) for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+      for form in ("", "-only", "-or-later")),
+)
+#: Folder of whole licence texts, each named by its licence; only the driver reads them.
+TEXTS = Path(__file__).parent / "licence_texts"
+#: Function words, which tell little about a licence; all are weighted `LITTLE` and no template holds them.
+COMMON = frozenset(
+    "a all an and any are as at be but by can do does for from has have if in into is it its may must no "
+    "not of on one only or other shall should such than that the their them then there these they this "
+    "those to under was we when where which who will with without you your".split()
+)
+LITTLE = 1e-4
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
 
+def known_templates() -> list[tuple[str, str, str]]:
+    """All templates as (licence, kind, text); kinds are file, header, title and tag."""
+    texts = sorted(TEXTS.glob("*.txt"))
+    return [
+        *((name, "header", text) for name, text in (*NOTICES, *HEADERS)),
+        *((name, "title", text) for name, text in TITLES),
+        *((name, "tag", f"SPDX-License-Identifier: {text}") for name, text in TAGS),
+        *((path.stem, "file", path.read_text("utf-8")) for path in texts),
+    ]
+
+
 class Templates:
-    """TF-IDF vectors of template texts; terms that no template holds get the highest IDF."""
+    """TF-IDF vectors of template texts; terms that no template holds get the highest IDF.
 
-    def __init__(self, notices=NOTICES):
-        self.names = [name for name, _ in notices]
-        bags = [Counter(re.findall(WORD, text.lower())) for _, text in notices]
+    A title or tag of two terms counts both alike, so that neither alone reaches 0.8.
+    """
+
+    def __init__(self, templates=None):
+        templates = known_templates() if templates is None else templates
+        self.names = [name for name, _, _ in templates]
+        self.kinds = [kind for _, kind, _ in templates]
+        self.words = [re.findall(WORD, text.lower()) for _, _, text in templates]
+        bags = [Counter(w for w in words if w not in COMMON) for words in self.words]
         held = Counter(term for bag in bags for term in bag)
         self.unseen = math.log(1 + len(bags)) + 1
         self.idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in sorted(held.items())}
-        self.vectors = [{t: n * self.idf[t] for t, n in sorted(bag.items())} for bag in bags]
+        self.vectors = [
+            {
+                t: 1.0 if kind in ("title", "tag") and len(bag) == 2 else n * self.idf[t]
+                for t, n in sorted(bag.items())
+            }
+            for kind, bag in zip(self.kinds, bags)
+        ]
         self.norms = [math.sqrt(sum(w * w for w in v.values())) for v in self.vectors]
+        self.idf |= {t: LITTLE for t in sorted(COMMON)}
 
     def telling(self, threshold: float) -> list[str]:
         """Terms of which a text must hold one to reach `threshold` with any template.
 
         The terms left out of a template have a norm below threshold times the
         template's, so by Cauchy-Schwarz a text with only those stays below it.
-        Long words are taken first, as they are rarer in other texts.
+        Of short templates long words are taken first, as they are rarer in other
+        texts, of whole licences the heaviest, and before all those chosen already.
         """
         chosen: set[str] = set()
-        for vector, norm in zip(self.vectors, self.norms):
+        for kind, vector, norm in zip(self.kinds, self.vectors, self.norms):
             left = norm * norm
             for term, weight in sorted(
-                vector.items(), key=lambda x: (x[0] in COMMON, -len(x[0]), x[0])
+                vector.items(),
+                key=lambda x: (x[0] not in chosen, -x[1] if kind == "file" else -len(x[0]), x[0]),
             ):
                 if left < (threshold * norm) ** 2 * (1 - 1e-9):
                     break
@@ -65,6 +151,13 @@ class Templates:
         return sorted(chosen)
 
 
+def _any_of(terms: list[str]) -> str:
+    """A pattern of all terms, dealt by first letters so that few are tried at each place."""
+    heads = sorted({t[0] for t in terms})
+    tails = ["|".join(re.escape(t[1:]) for t in terms if t[0] == head) for head in heads]
+    return "(?:" + "|".join(f"{head}(?:{tail})" for head, tail in zip(heads, tails)) + ")"
+
+
 def _matches(texts: DataFrame, templates: Templates) -> DataFrame:
     """The best template of each notice (id, notice), as struct (score, license).
 
@@ -137,8 +230,7 @@ def scan_licenses(
     templates = templates or Templates()
     added = ("directory", "own_license", "own_score", "license", "inherited_from")
     # A text without any telling term can't reach the threshold, so most rows end here.
-    telling = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, templates.telling(threshold)))
-    telling += ")(?![a-z0-9])"
+    telling = r"(?i)(?<![a-z0-9])" + _any_of(templates.telling(threshold)) + "(?![a-z0-9])"
     name = F.element_at(F.split("path", "/"), -1)
     named = F.coalesce(F.rlike(name, F.lit(licence_file)), F.lit(False))
     kept = [c for c in files.columns if c not in (*added, "text")]

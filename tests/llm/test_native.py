@@ -130,3 +130,36 @@ def test_licence_query_like_plain_python(spark):
     expected = scanned([(d["doc_id"], rows[d["doc_id"]]["path"], d["text"]) for d in docs])
     for key, row in rows.items():
         assert (row["own_license"], row["own_score"], row["license"], row["inherited_from"]) == expected[key]
+
+
+DECLARED = [
+    ("SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("SPDX-License-Identifier: ISC", None),
+    ("MIT License", "MIT"), ("The MIT License (MIT)", "MIT"), ("MIT", None), ("license", None),
+    ("Apache License Version 2.0, January 2004", "Apache-2.0"), ("BSD 3-Clause License", "BSD-3-Clause"),
+    ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "GPL-3.0"), ("GNU General Public License", None),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General"
+     " Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your"
+     " option) any later version.", "GPL-3.0"),
+    ("Use of this source code is governed by a BSD-style\nlicense that can be found in the LICENSE file.", "BSD-3-Clause"),
+    ("Creative Commons Attribution-NonCommercial 4.0 International Public License", "CC-BY-NC-4.0"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International Public License", None),
+]
+
+
+def test_headers_titles_and_tags(spark):
+    frame = spark.createDataFrame([(k, f"{k}/x.py", f"import x\n{t}") for k, (t, _) in enumerate(DECLARED)], "id int, path string, text string")
+    found = {r["id"]: r["own_license"] for r in licenses.scan_licenses(frame).collect()}
+    assert {t: found[k] for k, (t, _) in enumerate(DECLARED)} == dict(DECLARED)
+
+
+def test_whole_licence_files(spark):
+    """Each with a holder above, and with its lines broken elsewhere, so that no line of its is a template."""
+    files = []
+    for path in licenses.TEXTS.glob("*.txt"):
+        words = path.read_text("utf-8").split()
+        text = "Copyright (c) 2024 Jane Doe and contributors\n" + "\n".join(" ".join(words[k : k + 7]) for k in range(0, len(words), 7))
+        files += [(path.stem, f"{path.stem}/LICENSE", text), (path.stem, f"{path.stem}/src/x.py", "x = 1")]
+    assert len(files) == 22
+    for r in licenses.scan_licenses(spark.createDataFrame(files, "id string, path string, text string")).collect():
+        assert r["license"] == r["id"]
