@@ -10,7 +10,7 @@ import re
 from collections import Counter
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
@@ -91,6 +91,8 @@ COMMON = frozenset(
 )
 LITTLE = 1e-4
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
+#: Kinds of templates that are looked for inside a text; titles and whole licences are not.
+WINDOWED = ("header", "tag")
 
 
 def known_templates() -> list[tuple[str, str, str]]:
@@ -150,6 +152,23 @@ class Templates:
                 left -= weight * weight
         return sorted(chosen)
 
+    def anchors(self, threshold: float) -> dict[str, list[tuple[int, int]]]:
+        """By term: its places in headers and tags, as (words before it, words of the template).
+
+        A text that reaches `threshold` with such a template holds one of its
+        heaviest terms (see `telling`), so its window lies around that term.
+        """
+        found: dict[str, set[tuple[int, int]]] = {}
+        for kind, words, vector, norm in zip(self.kinds, self.words, self.vectors, self.norms):
+            left = norm * norm
+            for term, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+                if kind not in WINDOWED or left < (threshold * norm) ** 2 * (1 - 1e-9):
+                    break
+                places = {(k, len(words)) for k, word in enumerate(words) if word == term}
+                found.setdefault(term, set()).update(places)
+                left -= weight * weight
+        return {term: sorted(places) for term, places in sorted(found.items())}
+
 
 def _any_of(terms: list[str]) -> str:
     """A pattern of all terms, dealt by first letters so that few are tried at each place."""
@@ -158,9 +177,49 @@ def _any_of(terms: list[str]) -> str:
     return "(?:" + "|".join(f"{head}(?:{tail})" for head, tail in zip(heads, tails)) + ")"
 
 
+def _windows(words: Column, anchors: dict[str, list[tuple[int, int]]]) -> Column:
+    """Runs of `words` as long as a template and placed so that one of its anchors fits."""
+    spans = F.create_map(
+        *(
+            column
+            for term, places in anchors.items()
+            for column in (
+                F.lit(term),
+                F.array(
+                    *(
+                        F.struct(F.lit(before).alias("before"), F.lit(length).alias("length"))
+                        for before, length in places
+                    )
+                ),
+            )
+        )
+    )
+    places = F.filter(
+        F.transform(words, lambda word, at: F.struct(word.alias("word"), at.alias("at"))),
+        lambda place: place["word"].isin(*anchors),
+    )
+
+    def cut(place: Column) -> Column:
+        return F.transform(
+            F.element_at(spans, place["word"]),
+            lambda span: F.concat_ws(
+                " ",
+                F.slice(
+                    words,
+                    F.greatest(place["at"] - span["before"], F.lit(0)) + 1,
+                    span["length"] + F.least(place["at"] - span["before"], F.lit(0)),
+                ),
+            ),
+        )
+
+    return F.flatten(F.transform(places, cut))
+
+
 def _matches(texts: DataFrame, templates: Templates) -> DataFrame:
     """The best template of each notice (id, notice), as struct (score, license).
 
+    `match` is the best of all templates, `inside` of those looked for in windows.
+
     Notices without terms are left out.
 
     Vectors are rows (id, term, weight). The template side has one row per
@@ -172,13 +231,13 @@ def _matches(texts: DataFrame, templates: Templates) -> DataFrame:
     )
     vectors = spark.createDataFrame(
         [
-            (name, number, norm, t, w)
-            for number, (name, vector, norm) in enumerate(
-                zip(templates.names, templates.vectors, templates.norms)
+            (name, kind in WINDOWED, number, norm, t, w)
+            for number, (name, kind, vector, norm) in enumerate(
+                zip(templates.names, templates.kinds, templates.vectors, templates.norms)
             )
             for t, w in vector.items()
         ],
-        "license string, template int, length double, term string, part double",
+        "license string, windowed boolean, template int, length double, term string, part double",
     )
     weights = (
         texts.select(
@@ -193,14 +252,15 @@ def _matches(texts: DataFrame, templates: Templates) -> DataFrame:
     norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     products = (
         weights.join(F.broadcast(vectors), "term")
-        .groupBy("id", "template", "license", "length")
+        .groupBy("id", "template", "license", "windowed", "length")
         .agg(F.sum(F.col("w") * F.col("part")).alias("product"))
     )
     cosine = F.round(F.least(F.col("product") / (F.col("norm") * F.col("length")), F.lit(1.0)), 6)
+    scored = F.struct(cosine.alias("score"), "license")
     return (
         products.join(norms, "id")
         .groupBy("id")
-        .agg(F.max(F.struct(cosine.alias("score"), "license")).alias("match"))
+        .agg(F.max(scored).alias("match"), F.max(F.when(F.col("windowed"), scored)).alias("inside"))
     )
 
 
@@ -210,14 +270,18 @@ def scan_licenses(
     threshold: float = 0.8,
     header_lines: int = 20,
     licence_file: str = LICENCE_FILE,
+    windows: bool = False,
 ) -> DataFrame:
     """The licence of every file (path, text): its own, or that of the nearest directory above.
 
     Every line of the whole text, the header (its first `header_lines` lines as
     one) and, in licence files, the whole text are compared with the templates;
     the best cosine of at least `threshold` gives `own_license` and `own_score`
-    (of equal scores the last licence by name). A file without its own notice
-    takes the licence of the nearest directory, its own or one above, that has a
+    (of equal scores the last licence by name). With `windows`, files in which
+    these find nothing are also compared with headers and tags by every window
+    of the whole text that is as long as the template and has one of its
+    heaviest terms in place, so notices that are wrapped, inside a line or after
+    the header are found. A file without its own notice takes the licence of the nearest directory, its own or one above, that has a
     licence file with a recognised licence; of several there, the one with the
     best score. Adds directory, own_license, own_score, license and
     inherited_from (the directory; NULL for own and unknown licences), replaces
@@ -255,18 +319,31 @@ def scan_licenses(
         ),
         F.when(named, F.array("text")).otherwise(F.array().cast("array<string>")),
     )
+    texts = files.where(F.rlike("text", F.lit(telling))).select(
+        digest.alias("digest"),
+        F.array_distinct(notices).alias("notices"),
+        F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"), 1).alias("words"),
+    )
+    units = F.transform("notices", lambda n: F.struct(n.alias("notice"), F.lit(True).alias("unit")))
+    if windows:
+        cut = F.array_distinct(_windows(F.col("words"), templates.anchors(threshold)))
+        more = F.transform(cut, lambda n: F.struct(n.alias("notice"), F.lit(False).alias("unit")))
+        units = F.concat(units, more)
     noted = (
-        files.where(F.rlike("text", F.lit(telling)))
-        .select(digest.alias("digest"), F.explode(F.array_distinct(notices)).alias("notice"))
+        texts.select("digest", F.inline(units))
         .withColumn("id", F.unhex(F.sha2("notice", 256)))
     )
     matches = _matches(noted.select("id", "notice").dropDuplicates(["id"]), templates)
+    # Units go before windows: a licence's text may quote the notices of others.
     own = (
-        noted.select("digest", "id")
+        noted.select("digest", "id", "unit")
         .distinct()
-        .join(matches.where(F.col("match.score") >= threshold), "id")
+        .join(matches, "id")
+        .select("digest", "unit", F.when(F.col("unit"), F.col("match")).otherwise(F.col("inside")).alias("match"))
+        .where(F.col("match.score") >= threshold)
         .groupBy("digest")
-        .agg(F.max("match").alias("match"))
+        .agg(F.max(F.struct("unit", "match")).alias("best"))
+        .select("digest", F.col("best.match").alias("match"))
     )
     found = rows.join(own, "digest", "left").select(
         "row",

@@ -56,7 +56,7 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
         .alias("path"),
         "text",
     )
-    return licenses.scan_licenses(files)
+    return licenses.scan_licenses(files, windows=True)
 
 
 def _license_sql() -> str:

@@ -163,3 +163,27 @@ def test_whole_licence_files(spark):
     assert len(files) == 22
     for r in licenses.scan_licenses(spark.createDataFrame(files, "id string, path string, text string")).collect():
         assert r["license"] == r["id"]
+
+
+PROSE = "one two three four five six seven eight nine ten " * 12
+WINDOWS = [
+    (PROSE + "\nThis work is licensed under the GNU General\nPublic License, version 3.\n" + PROSE, "GPL-3.0"),
+    ("x\n" * 400 + "# Licensed under the Apache\n# License, Version 2.0.\n" + PROSE, "Apache-2.0"),
+    (PROSE + "Released under the MIT License. " + PROSE, "MIT"),
+    (PROSE + "/* SPDX-License-Identifier:\n   MPL-2.0 */ " + PROSE, "MPL-2.0"),
+    (PROSE + "the MIT License is shorter than others " + PROSE, None),
+    (PROSE + "licensed " * 500, None),
+    ("Mozilla", None),
+]
+
+
+def test_wrapped_inner_and_late_notices(spark):
+    mit = (licenses.TEXTS / "MIT.txt").read_text("utf-8")
+    gpl = (licenses.TEXTS / "GPL-3.0.txt").read_text("utf-8")
+    cases = [*WINDOWS, ("x = 1\n" * 40 + mit + PROSE, "MIT")]
+    files = [(str(k), f"{k}/x.py", text) for k, (text, _) in enumerate(cases)] + [("gpl", "gpl/LICENSE", "Copyright Jane Doe\n" + gpl)]
+    frame = spark.createDataFrame(files, "id string, path string, text string")
+    found = {r["id"]: r["own_license"] for r in licenses.scan_licenses(frame, windows=True).collect()}
+    assert found == {str(k): name for k, (_, name) in enumerate(cases)} | {"gpl": "GPL-3.0"}
+    without = {r["id"]: r["own_license"] for r in licenses.scan_licenses(frame).collect()}
+    assert [without[str(k)] for k in (0, 1, 2)] == [None] * 3
