@@ -24,6 +24,8 @@ MOST_PART = 0.1
 LEVELS = 12
 SUBSETS = 16
 DIGITS = 2
+#: Distinct words in the band that a text needs to be told by them alone.
+LEAST_TERMS = 8
 
 _SALTS = np.random.default_rng(41).integers(1, 2**63, SUBSETS, dtype=np.uint64)
 
@@ -82,8 +84,8 @@ def imatch(texts: pa.Array, band: np.ndarray) -> list[str]:
     """Fingerprint of each text: a hash of DIGITS hex digits for every level and subset.
 
     The distinct terms inside the band are sorted and hashed for every lexicon
-    subset; 0 stands for a subset without a term of the text. A text that has
-    words but none in the band is fingerprinted by all its words.
+    subset; 0 stands for a subset without a term of the text. A text with
+    fewer than LEAST_TERMS words in the band is fingerprinted by all its words.
     """
     prints: list[str] = []
     modulus = np.uint64(16**DIGITS - 1)
@@ -94,8 +96,8 @@ def imatch(texts: pa.Array, band: np.ndarray) -> list[str]:
         if len(band):
             place = np.minimum(np.searchsorted(band, term), len(band) - 1)
             inside = band[place] == term
-        without = np.bincount(owner[inside], minlength=count) == 0
-        inside |= without[owner]
+        few = np.bincount(owner[inside], minlength=count) < LEAST_TERMS
+        inside |= few[owner]
         owner, term = owner[inside], term[inside]
         table = np.zeros((count, LEVELS * SUBSETS), dtype=np.uint64)
         for k, salt in enumerate(_SALTS):

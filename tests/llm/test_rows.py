@@ -114,6 +114,15 @@ def test_fingerprint_lexicon_is_exact(spark, docs):
     assert fingerprints.lexicon(docs, least / len(texts), most / len(texts)).tolist() == expected
 
 
+def test_fingerprints_of_unlike_texts_that_share_their_band_words():
+    texts = ["shared rare1 rare2 rare3 rare4", "other1 other2 other3 shared other4 other5"]
+    words = Words(*utf8(pa.array(["shared " + " ".join(f"w{k}" for k in range(20))])))
+    a, b = fingerprints.imatch(pa.array(texts), np.sort(words.hash))
+    assert fingerprints.likeness(a, b) < 0.5
+    long = " ".join(f"w{k}" for k in range(8))  # told by the band alone, as before
+    assert len(set(fingerprints.imatch(pa.array([long, long + " rare1"]), np.sort(words.hash)))) == 1
+
+
 def test_fingerprints_of_odd_rows(spark):
     frame = odd(spark).where("doc_id IS NOT NULL")
     band = fingerprints.lexicon(frame)
