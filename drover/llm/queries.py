@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drover.llm import ctw, decontamination, fingerprints, language, licenses, near, packing, repeats, sharding, urls
+from drover.llm import (
+    ctw,
+    decontamination,
+    fingerprints,
+    language,
+    licenses,
+    near,
+    packing,
+    repeats,
+    sharding,
+    urls,
+    whitening,
+)
 from drover.llm.shipping import ship
 
 QUERIES = {}
@@ -270,3 +282,10 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    found = whitening.whiten(vectors, whitening.fit(vectors)).drop("embedding")
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
