@@ -12,6 +12,7 @@ from drover.llm import (
     fingerprints,
     language,
     licenses,
+    mixing,
     near,
     packing,
     repeats,
@@ -289,3 +290,49 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     found = whitening.whiten(vectors, whitening.fit(vectors)).drop("embedding")
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "source", mixing.count_words("text").alias("size"), mixing.draw(["doc_id", "text"]).alias("draw")
+    )
+    return mixing.mix(docs, by="draw").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _mixing_sql(rounds: int = 60) -> str:
+    """The mix in SQL, where running sums in order of the draws stand for the thresholds."""
+    return rf"""
+WITH RECURSIVE sized AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS bigint) AS size,
+        CAST('0x' || substr(md5('0|' || coalesce(CAST(doc_id AS varchar), '-') || '|' || coalesce(text, '-')), 1, 15)
+            AS bigint) AS draw
+    FROM documents),
+sources AS (
+    SELECT source, CAST(sum(size) AS double) AS words,
+        CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS double) AS weight
+    FROM sized GROUP BY source),
+levels(step, level) AS (
+    SELECT 0, (SELECT 1.5e0 * sum(words) / sum(weight) FROM sources)
+    UNION ALL
+    SELECT step + 1, (
+        SELECT coalesce(
+            (1.5e0 * sum(words) - 2e0 * sum(CASE WHEN weight * level > 2 * words THEN words ELSE 0 END))
+                / nullif(sum(CASE WHEN weight * level > 2 * words THEN 0 ELSE weight END), 0), level) FROM sources)
+    FROM levels WHERE step < {rounds}),
+targets AS (
+    SELECT source, words, least(2 * words, weight * level) AS target,
+        CASE WHEN words > 0 THEN least(floor(least(2 * words, weight * level) / words), 2) ELSE 0 END AS rounds
+    FROM sources, levels WHERE step = {rounds}),
+summed AS (
+    SELECT doc_id, s.source, size, words, target, rounds, target - rounds * words AS rest,
+        sum(size) OVER (PARTITION BY s.source ORDER BY draw ROWS UNBOUNDED PRECEDING) AS through
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, CAST(words AS bigint) AS source_size, target,
+    CAST(size * (rounds + CASE WHEN through <= rest OR through - size <= rest AND size < 2 * (rest - through + size)
+        THEN 1 ELSE 0 END) AS bigint) AS taken
+FROM summed
+"""
+
+
+SQL["op12_mixing"] = _mixing_sql()
