@@ -12,6 +12,7 @@ from drover.llm import (
     fingerprints,
     language,
     licenses,
+    manifest,
     mixing,
     near,
     packing,
@@ -336,3 +337,85 @@ FROM summed
 
 
 SQL["op12_mixing"] = _mixing_sql()
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose doc_id's CRC-32 is even are verified as copies that have lost their line breaks."""
+    docs = table(spark, folder, "documents")
+    names = ["doc_id", "source", "lang", "n_chars"]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    cut = F.when(F.coalesce(even, F.lit(False)), F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = manifest.manifest(docs, columns=[*names, "text"], candidate=[*names, cut])
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _manifest_sql() -> str:
+    """The manifest in SQL: every level of a tree as one list of digests."""
+    part = "coalesce(CAST(octet_length(encode({0})) AS varchar) || ':' || {0}, '-')".format
+    fixed = " || ".join(part(f"CAST({c} AS varchar)") for c in ("doc_id", "source", "lang", "n_chars"))
+    step = "xor(a >> 1, 3988292384 * (a & 1))"
+
+    def trees(name: str, start: str) -> str:
+        """All levels (tree, level, nodes) above the lists of `start`."""
+        return f"""{name}(tree, level, nodes) AS (
+    SELECT tree, 0, nodes FROM ({start})
+    UNION ALL
+    SELECT tree, level + 1, list_transform(range(0, (len(nodes) + 2) // 3),
+        lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))
+    FROM {name} WHERE len(nodes) > 1)"""
+
+    def paths(name: str, tree: str, leaves: str) -> str:
+        """For each leaf (tree, position) and level below the top what lies left and right in its run."""
+        return f"""{name} AS (
+    SELECT l.tree, position, level,
+        array_to_string(nodes[3 * (p // 3) + 1:p], '') AS before,
+        array_to_string(nodes[p + 2:3 * (p // 3) + 3], '') AS after
+    FROM (SELECT l.tree, position, level, nodes, CAST(position // CAST(pow(3, level) AS bigint) AS bigint) AS p
+        FROM {leaves} l JOIN {tree} t ON l.tree IS NOT DISTINCT FROM t.tree WHERE len(nodes) > 1) l)"""
+
+    return f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source AS tree, sha256({fixed} || {part('text')}) AS leaf,
+        sha256({fixed} || {part("CASE WHEN doc_id IS NOT NULL AND crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")}) AS candidate
+    FROM (SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(
+            string_split(CAST(doc_id AS varchar), ''), lambda c: CAST(ascii(c) AS bigint))),
+        lambda x, c: list_reduce(list_concat([xor(x, c)], range(8)), lambda a, b: {step})), 4294967295) AS crc
+        FROM documents)),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS position FROM leaves),
+{trees("lower_", "SELECT tree, list(leaf ORDER BY position) AS nodes FROM placed GROUP BY tree")},
+subroots AS (
+    SELECT tree AS source, nodes[1] AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS position, 1 AS tree
+    FROM lower_ WHERE len(nodes) = 1),
+{trees("upper_", "SELECT 1 AS tree, list(subroot ORDER BY position) AS nodes FROM subroots")},
+{paths("inner_path", "lower_", "placed")},
+{paths("outer_path", "upper_", "subroots")},
+steps AS (
+    SELECT tree, position, level, before, after FROM inner_path
+    UNION ALL
+    SELECT p.tree, p.position, 1000 + level, before, after
+    FROM placed p JOIN subroots s ON p.tree IS NOT DISTINCT FROM s.source
+        JOIN outer_path o ON s.position = o.position),
+ways AS (
+    SELECT tree, position, string_agg(before || after, '' ORDER BY level) AS siblings,
+        list(before ORDER BY level) AS befores, list(after ORDER BY level) AS afters
+    FROM steps GROUP BY tree, position),
+folded(doc_id, tree, position, node, climbed, befores, afters) AS (
+    SELECT doc_id, p.tree, p.position, candidate, 0, befores, afters
+    FROM placed p LEFT JOIN ways w ON p.tree IS NOT DISTINCT FROM w.tree AND p.position = w.position
+    UNION ALL
+    SELECT doc_id, tree, position, sha256(befores[climbed + 1] || node || afters[climbed + 1]), climbed + 1,
+        befores, afters
+    FROM folded WHERE climbed < len(befores))
+SELECT p.doc_id, leaf, subroot, u.nodes[1] AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+    node AS folded_root, node = u.nodes[1] AS verified
+FROM placed p
+JOIN subroots s ON p.tree IS NOT DISTINCT FROM s.source
+JOIN upper_ u ON len(u.nodes) = 1
+LEFT JOIN ways w ON p.tree IS NOT DISTINCT FROM w.tree AND p.position = w.position
+JOIN folded f ON p.tree IS NOT DISTINCT FROM f.tree AND p.position = f.position AND climbed = coalesce(len(w.befores), 0)
+"""
+
+
+SQL["op13_merkle_manifest"] = _manifest_sql()
