@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -18,78 +17,100 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from drover.llm.text import tidy
 
-#: Words whose ids a Python worker keeps; the store starts anew when it is full.
-KEPT_WORDS = 1_000_000
+#: Bytes that a Python worker's store of known words may take; it starts anew when it is full.
+KEPT_BYTES = 32 << 20
+#: Bytes that a word of the store takes besides its letters and ids.
+ENTRY_BYTES = 250
+#: Characters that are encoded at once; a longer text is cut at blanks.
+LOT = 1 << 20
+#: Letters below are lower-cased and composed alike by Python and the tokenizer, but for the dotted I.
+PLAIN = "\u0250"
 
-_tokenizers: dict[str, tuple[Tokenizer, dict[str, bytes]]] = {}
 _bytes_as_letters = ByteLevel(add_prefix_space=False, use_regex=False)
 
 
-def _encode_words(tokenizer: Tokenizer, words: list[str], store: dict[str, bytes]) -> None:
-    """Put the ids of each word into `store`, as little-endian unsigned 32-bit numbers.
-
-    A lower-case word of letters passes the tokenizer's normaliser and splitter
-    as it is, so it goes to the merges at once.
-    """
-    merges = tokenizer.model.tokenize
-    for word in words:
-        if word.isalpha() and word.islower():
-            letters = word if word.isascii() else _bytes_as_letters.pre_tokenize_str(word)[0][0]
-            ids = [token.id for token in merges(letters)]
-        else:
-            ids = tokenizer.encode(word, add_special_tokens=False).ids
-        store[word] = array("I", ids).tobytes()
-
-
-def _plain(text: str) -> str:
-    """The text in lower case where that is sure to leave its ids the same.
-
-    The tokenizer composes characters and lower-cases each by itself. Python
-    agrees on composed text but for the sigma at a word's end.
-    """
-    if text.isascii():
-        return text.lower()
-    if unicodedata.is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text:
-        return text.lower()
-    return text
-
-
-def _learn(tokenizer: Tokenizer, new: set[str], store: dict[str, bytes]) -> None:
-    """Store the ids of new words; a stop or comma after letters is a token of its own."""
-    ended = {w for w in new if w[-1:] in (".", ",") and w[:-1].isalpha()}
-    stems = new - ended | {w[:-1] for w in ended} | {".", ","}
-    _encode_words(tokenizer, sorted(stems - store.keys()), store)
-    for word in ended:
-        store[word] = store[word[:-1]] + store[word[-1]]
-
-
-def token_ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, and where each text's ids begin (one more: the end).
+class Encoder:
+    """Ids of texts, by way of their distinct words.
 
     The tokenizer splits at white space and drops it, so the ids of a text are
-    those of the parts between its blanks and line breaks, one after the other;
-    each distinct part is encoded once.
+    those of the parts between its blanks and line breaks, one after the other.
     """
-    if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer.from_file(path), {}
-    tokenizer, store = _tokenizers[path]
-    column = pa.array([_plain(text) for text in texts], pa.large_string())
-    split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
-    parts = pc.list_flatten(split).dictionary_encode()
-    words = parts.dictionary.to_pylist()
-    new = {word for word in words if word not in store}
-    if len(store) + len(new) > KEPT_WORDS:
-        store.clear()
-        new = set(words)
-    _learn(tokenizer, new, store)
-    known = [store[word] for word in words]
-    flat = np.frombuffer(b"".join(known), dtype="<u4")
-    size = np.array([len(ids) for ids in known], dtype=np.int64) // 4
-    begin = np.cumsum(size) - size
-    code = parts.indices.to_numpy()
-    ends = np.concatenate([[0], np.cumsum(size[code])])
-    ids = flat[np.repeat(begin[code] - ends[:-1], size[code]) + np.arange(ends[-1])]
-    return ids, ends[split.offsets.to_numpy()]
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.store: dict[str, bytes] = {}
+        self.size = 0
+
+    def _of_word(self, word: str) -> bytes:
+        """Ids of a part without blanks, as little-endian unsigned 32-bit numbers.
+
+        Plain letters pass the tokenizer's splitter as they are, so their lower
+        case goes to the merges at once; a stop or comma after them is a part of its own.
+        All else, special tokens too, is the tokenizer's.
+        """
+        if word[-1:] in (".", ",") and self._letters(word[:-1]):
+            return self._of_word(word[:-1]) + self.of(word[-1])
+        if self._letters(word):
+            lower = word.lower()
+            if lower != word:
+                return self.of(lower)
+            letters = lower if lower.isascii() else _bytes_as_letters.pre_tokenize_str(lower)[0][0]
+            ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    @staticmethod
+    def _letters(word: str) -> bool:
+        return word.isalpha() and (word.isascii() or max(word) < PLAIN and "\u0130" not in word)
+
+    def of(self, word: str) -> bytes:
+        known = self.store.get(word)
+        if known is None:
+            known = self.store[word] = self._of_word(word)
+            self.size += ENTRY_BYTES + 4 * len(word) + len(known)
+        return known
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text's ids begin (one more: the end)."""
+        if self.size > KEPT_BYTES:
+            self.store, self.size = {}, 0
+        column = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+        split = pc.split_pattern(column, " ")
+        parts = pc.list_flatten(split).dictionary_encode()
+        known = [self.of(word) for word in parts.dictionary.to_pylist()]
+        flat = np.frombuffer(b"".join(known), dtype="<u4")
+        size = np.array([len(ids) for ids in known], dtype=np.int64) // 4
+        begin = np.cumsum(size) - size
+        code = parts.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size[code])])
+        ids = flat[np.repeat(begin[code] - ends[:-1], size[code]) + np.arange(ends[-1])]
+        return ids, ends[split.offsets.to_numpy()]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a tokenizer file."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
+def cut(text: str, limit: int = LOT) -> Iterator[str]:
+    """The text in parts of about `limit` characters that end at blanks or line breaks."""
+    at = 0
+    while len(text) - at > limit:
+        end = max(text.rfind(" ", at, at + limit), text.rfind("\n", at, at + limit)) + 1
+        if not end:
+            ends = [e for e in (text.find(" ", at + limit), text.find("\n", at + limit)) if e >= 0]
+            if not ends:
+                break
+            end = min(ends) + 1
+        yield text[at:end]
+        at = end
+    yield text[at:]
 
 
 def lengths(total: int, longest: int) -> list[int]:
@@ -111,8 +132,10 @@ def pack(
     Returns doc_id, start, length, ids (if asked), ids_crc32, doc_tokens,
     sequence_id and offset (always 0); other columns are dropped. NULL and empty
     texts give one piece with the end id alone. Repeated rows and NULL ids are
-    packed as often as they occur; an empty table gives no piece. Rows never
-    move between tasks, and a task holds the texts of one Arrow batch.
+    packed as often as they occur; an empty table gives no piece. A special token
+    of the tokenizer that a text spells out, in its own case, is its id. Rows never
+    move between tasks; a task encodes about a million characters at a time and
+    holds the ids of one document.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
@@ -127,40 +150,55 @@ def pack(
             pa.field("doc_tokens", pa.int64()),
         ]
     )
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
-    def some(doc_ids: list, texts: list[str]) -> pa.RecordBatch:
+    def pieces(found: list[tuple[int | None, list[np.ndarray]]]) -> pa.RecordBatch:
+        """Documents with their ids as rows."""
         rows: list[tuple] = []
-        ids: list[np.ndarray] = []
-        flat, bounds = token_ids(tokenizer_path, texts)
-        for doc_id, low, high in zip(doc_ids, bounds, bounds[1:]):
-            found = flat[low:high].tobytes() + end
-            total, start = len(found) // 4, 0
-            for length in lengths(total, longest):
-                piece = found[4 * start : 4 * (start + length)]
-                rows.append((doc_id, start, length, zlib.crc32(piece), total))
-                if with_ids:
-                    ids.append(np.frombuffer(piece, dtype="<i4"))
+        kept: list[np.ndarray] = []
+        for doc_id, parts in found:
+            ids = np.concatenate([*parts, end])
+            start = 0
+            for length in lengths(len(ids), longest):
+                piece = ids[start : start + length]
+                rows.append((doc_id, start, length, zlib.crc32(piece), len(ids)))
+                kept.append(piece)
                 start += length
         columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
         if with_ids:
-            starts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            columns.insert(3, pa.ListArray.from_arrays(starts, pa.array(np.concatenate(ids))))
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in kept])]).astype(np.int32)
+            columns.insert(3, pa.ListArray.from_arrays(starts, pa.array(np.concatenate(kept).view("<i4"))))
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     @tidy
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc_ids, texts, size = [], [], 0
+        encode = encoder(tokenizer_path).encode
+        # Documents whose ids are wanted, the last one perhaps in part; `lot` has the parts still to encode.
+        waiting: list[tuple[int | None, list[np.ndarray]]] = []
+        lot: list[tuple[int, str]] = []
+        size = 0
+
+        def settle() -> None:
+            ids, bounds = encode([part for _, part in lot])
+            for (k, _), low, high in zip(lot, bounds, bounds[1:]):
+                waiting[k][1].append(ids[low:high])
+            lot.clear()
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                doc_ids.append(doc_id)
-                texts.append(text.as_py() or "")
-                size += len(texts[-1])
-                if size > 8_000_000:
-                    yield some(doc_ids, texts)
-                    doc_ids, texts, size = [], [], 0
-        if doc_ids:
-            yield some(doc_ids, texts)
+                waiting.append((doc_id, []))
+                for part in cut(text.as_py() or ""):
+                    if size + len(part) > LOT and lot:
+                        settle()
+                        size = 0
+                        if len(waiting) > 1:
+                            yield pieces(waiting[:-1])
+                            del waiting[:-1]
+                    lot.append((len(waiting) - 1, part))
+                    size += len(part)
+        if waiting:
+            settle()
+            yield pieces(waiting)
 
     packed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         task, from_arrow_schema(schema)

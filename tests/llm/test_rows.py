@@ -72,6 +72,50 @@ def test_packing_like_plain_encoding(spark, docs):
     assert all(r["length"] & (r["length"] - 1) == 0 and r["length"] <= 2048 for r in rows)
 
 
+ODD = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>x", "İ", "HEPSİ.", "İ,", "i\u0307.", "Σ", "ΟΔΟΣ.", "ς,", "ſ.",
+       "\t", "\u0301", "e\u0301.", "É,", "ÀÉ", "ǅ.", "ª,", "ŉ.", "it's", "I'LL", "''s", "12.", "a.b", "..", ".", ",", "“x”", "\u00a0",
+       "\u2028", "\x0b", "\x85", "\u200b", "ꟑ.", "\U00010d50.", "한글.", "ﬁ", "Ⅷ.", "²,", "x" * 300, "Z" * 70 + "."]
+
+
+def test_encoder_like_the_tokenizer():
+    tokenizer, encoder = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    rng = np.random.default_rng(5)
+    blanks = ["", " ", "\n", "  ", " \n"]
+    letters = [chr(c) for c in [*range(32, 0x260), *range(0x300, 0x370), *range(0x370, 0x400), 0x1E9E, 0x212A, 0x2160, 0xA7D0]]
+    texts = ["x <|ENDOFTEXT|> y", *ODD]
+    for _ in range(3000):
+        words = [rng.choice(ODD) if rng.random() < 0.6 else "".join(rng.choice(letters, rng.integers(1, 5))) for _ in range(6)]
+        texts.append("".join(w + rng.choice(blanks) for w in words))
+    ids, bounds = encoder.encode(texts)
+    for text, low, high in zip(texts, bounds, bounds[1:]):
+        assert ids[low:high].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_texts_are_cut_at_blanks():
+    for text in ["", "a", "a b c d e", "aaaaaaaa b", "aaaaaaaaaa", "a\nbbbbbbb c ", "     ", "ab cd\nef gh"]:
+        parts = list(packing.cut(text, 4))
+        assert "".join(parts) == text and all(p[-1] in " \n" for p in parts[:-1])
+
+
+def test_long_texts_and_many_lots(spark, docs, monkeypatch):
+    """Lots of a few characters and a store of a few words give the same pieces."""
+    frame = docs.select("doc_id", "text").limit(40)
+    rows = [tuple(r) for r in packing.pack(frame, PATH).drop("sequence_id").collect()]
+    text = " ".join(r["text"] or "" for r in docs.collect()) * 4
+    assert len(text) > packing.LOT
+    long = spark.createDataFrame([(1, text), (2, "x" * (packing.LOT + 5)), (3, None)], "doc_id long, text string")
+    whole = packing.pack(long, PATH).groupBy("doc_id").agg({"length": "sum"}).collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    assert {r[0]: r[1] - 1 for r in whole} == {
+        k: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for k, t in [tuple(r) for r in long.collect()]}
+    encoder = packing.Encoder(PATH)
+    monkeypatch.setattr(packing, "KEPT_BYTES", 1000)
+    for key, some in [tuple(r) for r in frame.collect()]:
+        parts = list(packing.cut(some or "", 50))
+        ids = np.concatenate([*(encoder.encode([p])[0] for p in parts), [1]])
+        assert len(ids) == next(r[5] for r in rows if r[0] == key)
+
+
 def test_packing_buckets_and_empty(spark, docs, tmp_path):
     packed = packing.pack(docs, PATH, longest=64)
     sizes = {r["length"]: r["tokens"] for r in packing.bucket_sizes(packed).collect()}
