@@ -18,13 +18,15 @@ from tokenizers.pre_tokenizers import ByteLevel
 from drover.llm.text import tidy
 
 #: Bytes that a Python worker's store of known words may take; it starts anew when it is full.
-KEPT_BYTES = 32 << 20
+KEPT_BYTES = 128 << 20
 #: Bytes that a word of the store takes besides its letters and ids.
 ENTRY_BYTES = 250
 #: Characters that are encoded at once; a longer text is cut at blanks.
 LOT = 1 << 20
-#: Letters below are lower-cased and composed alike by Python and the tokenizer, but for the dotted I.
+#: Letters below are lower-cased and composed alike here and by the tokenizer, but for the dotted I.
 PLAIN = "\u0250"
+#: A text with such a character, or with what may be a special token, is not lower-cased ahead.
+UNSAFE = "[^\u0000-\u024f\u2000-\u2069]|\u0130|<\\|"
 
 _bytes_as_letters = ByteLevel(add_prefix_space=False, use_regex=False)
 
@@ -75,10 +77,15 @@ class Encoder:
         """Ids of all texts one after the other, and where each text's ids begin (one more: the end)."""
         if self.size > KEPT_BYTES:
             self.store, self.size = {}, 0
-        column = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
-        split = pc.split_pattern(column, " ")
+        column = pa.array(texts, pa.large_string())
+        # Fewer different words; the tokenizer would do the same.
+        column = pc.if_else(pc.match_substring_regex(column, UNSAFE), column, pc.utf8_lower(column))
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
         parts = pc.list_flatten(split).dictionary_encode()
-        known = [self.of(word) for word in parts.dictionary.to_pylist()]
+        words = parts.dictionary.to_pylist()
+        known = list(map(self.store.get, words))
+        if None in known:
+            known = [self.of(word) if ids is None else ids for word, ids in zip(words, known)]
         flat = np.frombuffer(b"".join(known), dtype="<u4")
         size = np.array([len(ids) for ids in known], dtype=np.int64) // 4
         begin = np.cumsum(size) - size
