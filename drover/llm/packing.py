@@ -40,6 +40,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
         self.store: dict[str, bytes] = {}
         self.size = 0
 
@@ -51,13 +52,13 @@ class Encoder:
         All else, special tokens too, is the tokenizer's.
         """
         if word[-1:] in (".", ",") and self._letters(word[:-1]):
-            return self._of_word(word[:-1]) + self.of(word[-1])
+            return self.of(word[:-1]) + self.of(word[-1])
         if self._letters(word):
             lower = word.lower()
             if lower != word:
                 return self.of(lower)
             letters = lower if lower.isascii() else _bytes_as_letters.pre_tokenize_str(lower)[0][0]
-            ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
+            ids = [token.id for token in self.merges(letters)]
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return array("I", ids).tobytes()
