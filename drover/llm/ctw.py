@@ -308,9 +308,10 @@ def score(docs: DataFrame) -> DataFrame:
     lower-cased words and one end. `base_score` is the add-0.1 unigram model
     over the training tokens. NULL and empty texts are the end alone. Without
     training texts every bit has probability one half. Repeated rows are scored
-    each; NULL ids are kept; an empty table gives an empty one.
+    each; NULL ids are kept; a NULL `held_out` counts as held out; an empty table gives an empty one.
     """
-    blocks = _blocks(docs.select(F.col("doc_id").cast("long"), "text", "held_out"))
+    unseen = F.coalesce("held_out", F.lit(True)).alias("held_out")
+    blocks = _blocks(docs.select(F.col("doc_id").cast("long"), "text", unseen))
     spark = docs.sparkSession
     path = shared_path(spark, "ctw-counts")
     asked = _asked(blocks)

@@ -34,6 +34,7 @@ from pyspark.sql.window import Window
 
 from drover.llm.keyfilter import in_filter, key_filter
 from drover.llm.text import Prefix, lots, mix, runs, tidy, utf8
+from drover.operators.ordering import fresh
 from drover.session import stage
 
 LENGTH = 200
@@ -439,10 +440,13 @@ def remove_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     """The rows with repeated strings cut out of `text`, and `n_chars`, if there, counted again.
 
     Characters that are covered in part stay whole. Rows whose text goes
-    completely stay with an empty one; a NULL text stays NULL.
+    completely stay with an empty one; a NULL text stays NULL. Rows with equal texts are
+    cut alike; other columns go along whatever their names; an empty table gives an empty one.
     """
     names = docs.columns
-    row = F.struct(*(F.col(f"`{c}`") for c in names if c != "text"), F.lit(0).alias("_")).alias("row")
+    # Besides `text` there may be no column, but a struct has one at least.
+    other = F.lit(0).alias(fresh(names, "_"))
+    row = F.struct(*(F.col(f"`{c}`") for c in names if c != "text"), other).alias("row")
     frame = docs.select(row, "text")
     kind = frame.schema["row"].dataType.simpleString()
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from drover.llm.text import tidy
 from drover.session import stage
 
-#: Bytes of text that one bucket should hold.
+#: Bytes that one bucket should hold.
 BUCKET_BYTES = 32 << 20
 
 
@@ -23,13 +26,28 @@ def fisher_yates(count: int, rng: np.random.Generator) -> np.ndarray:
     return order
 
 
+def _bytes(schema: T.StructType) -> Column:
+    """About what a row takes in memory."""
+    sizes = [F.lit(1).cast("long")]
+    for field in schema.fields:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(value)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(F.struct(value)))
+        else:
+            size = F.lit(8)
+        sizes.append(F.coalesce(size, F.lit(0)).cast("long"))
+    return reduce(lambda a, b: a + b, sizes)
+
+
 def shuffle_rows(
     df: DataFrame, shards: int = 8, seed: int = 0, bucket_bytes: int = BUCKET_BYTES
 ) -> DataFrame:
     """All rows in a random order, dealt to `shards` shards whose counts differ by one at most.
 
     First pass: a seeded hash scatters the rows over buckets of about
-    `bucket_bytes` of text. The hash takes in the row's place in its input
+    `bucket_bytes`. The hash takes in the row's place in its input
     task, so equal rows and equal keys spread as well. Second pass: each bucket
     is sorted by hash, brought into Fisher-Yates order by a generator seeded
     with `seed` and the bucket, and written to the shared folder; a repeated
@@ -39,13 +57,12 @@ def shuffle_rows(
 
     Adds shard and slot, replacing columns of these names. NULLs, empty texts
     and repeated rows are rows like any other; an empty table gives an empty one.
-    `text` is optional and measures the rows.
+    Rows are measured by all their columns, whatever these are called.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
     df = df.drop("shard", "slot")
-    text = F.octet_length("text") if "text" in df.columns else F.lit(100)
-    total = df.agg(F.sum(F.coalesce(text, F.lit(0)).cast("long") + 1).alias("b")).first()["b"] or 0
+    total = df.agg(F.sum(_bytes(df.schema)).alias("b")).first()["b"] or 0
     buckets = max(1, -(-total // bucket_bytes))
 
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
@@ -69,10 +86,11 @@ def shuffle_rows(
             }
         )
 
-    row_type = keyed.schema["row"].dataType.simpleString()
-    placed = keyed.groupBy("bucket").applyInArrow(
-        shuffled, f"row {row_type}, bucket int, place long"
+    # The row's type as it is, columns that can't be NULL included.
+    schema = T.StructType(
+        [keyed.schema["row"], T.StructField("bucket", T.IntegerType()), T.StructField("place", T.LongType())]
     )
+    placed = keyed.groupBy("bucket").applyInArrow(shuffled, schema)
     placed = stage(placed, "shuffled")
     # One row per bucket, so this table is as small against the data as a row against a bucket.
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drover.operators.ordering import col, fresh
+
 #: Hex digits of the digest that the lookup joins on; full digests are compared after the join.
 PREFIX_DIGITS = 8
 
@@ -125,12 +127,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
             )
         ).alias("_best")
     )
-    judged = frame.alias("page").join(best.alias("hit"), F.expr("page.url = hit.url"), "left")
-    host, path = split_url(F.col("page.url"))
-    return judged.select(
-        *(F.col(f"page.`{name}`") for name in frame.columns),
+    # The grouped side is compared as a struct, so that Spark shuffles it anew and can split a hot URL.
+    # NULL URLs are no key: all of them would go to one task.
+    hit = fresh(frame.columns, "_hit")
+    found = best.select(F.struct(F.col("url").alias("_url"), "_best").alias(hit))
+    named = frame.where(F.col("url").isNotNull()).join(found, F.struct("url") == F.struct(F.col(hit)["_url"].alias("url")), "left")
+    nameless = frame.where(F.col("url").isNull()).withColumn(hit, F.lit(None).cast(found.schema[hit].dataType))
+    host, path = split_url(F.col("url"))
+    return named.unionByName(nameless).select(
+        *map(col, frame.columns),
         host.alias("host"),
         path.alias("path"),
-        F.col("hit._best.rule").alias("rule"),
-        F.coalesce(F.col("hit._best.verdict"), F.lit(default)).alias("verdict"),
+        F.col(hit)["_best"]["rule"].alias("rule"),
+        F.coalesce(F.col(hit)["_best"]["verdict"], F.lit(default)).alias("verdict"),
     )

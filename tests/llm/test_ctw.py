@@ -137,3 +137,9 @@ def test_query_beats_the_base_on_held_out_texts(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0) for r in rows)
     out = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+
+
+def test_unknown_held_out_is_held_out(spark):
+    rows = [(1, "a b", True), (2, "a c", False), (3, "b", None)]
+    found = {r.doc_id: r for r in ctw.score(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).collect()}
+    assert found[3].held_out and not found[2].held_out and {r.train_tokens for r in found.values()} == {3}

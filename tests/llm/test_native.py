@@ -6,6 +6,8 @@ from collections import Counter
 
 import duckdb
 import pytest
+from drover.session import stage
+from pyspark.sql import functions as F
 from drover.llm import licenses, urls
 from drover.llm.queries import QUERIES, SQL, URL_RULES
 
@@ -53,6 +55,37 @@ def test_urls_empty_table(spark):
     assert urls.filter_urls(spark.createDataFrame([], "url string"), listed).count() == 0
 
 
+def test_hot_urls_are_split(spark):
+    """NULL URLs aren't joined, and a URL in half the rows goes to several tasks."""
+    listed = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = spark.range(120_000).select(
+        "id", F.when(F.col("id") % 4 == 0, F.lit(None)).when(F.col("id") % 4 < 3, F.lit("http://a.net/x"))
+        .otherwise(F.concat(F.lit("http://b.org/fr/"), F.col("id").cast("string"))).alias("url"),
+        F.concat(*(F.sha2(F.concat(F.col("id").cast("string"), F.lit(k)), 512) for k in "abcd")).alias("more"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.files.maxPartitionBytes": "1MB",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        judged = urls.filter_urls(stage(pages.repartition(8)), listed)
+        parts = judged.groupBy(F.spark_partition_id().alias("p"), F.col("url").isNull().alias("n"))
+        parts = parts.agg(F.count(F.lit(1)).alias("count"), F.max(F.xxhash64("more")))
+        sizes = [r["count"] for r in parts.where("NOT n").collect()]
+        assert sum(sizes) == 90_000 and max(sizes) < 30_000
+        assert {tuple(r) for r in judged.groupBy("rule", "verdict").count().collect()} == {
+            (None, "allow", 30_000), ("net/", "block", 60_000), ("org/fr/", "allow", 30_000)}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_url_query_like_sql(spark):
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")

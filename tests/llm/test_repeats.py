@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from drover.llm import repeats
 from drover.llm.queries import QUERIES
 from drover.llm.shipping import ship
@@ -87,6 +88,14 @@ def test_removal_keeps_whole_characters(spark):
         assert gone == texts[k].replace("è" + shared + "ê", "") and rows[k]["n_chars"] == len(gone)
 
 
+def test_removal_with_clashing_names_and_no_nulls(spark):
+    text = "0123456789" * 30
+    df = spark.range(4).select(F.lit(text).alias("text"), F.col("id").alias("doc_id"), F.lit(1).alias("_"), F.lit(2).alias("row"),
+                               F.lit(3).alias("key"), F.lit(4).alias("low"))
+    out = repeats.remove_repeats(df, repeats.find_repeats(df.select("doc_id", "text")))
+    assert [tuple(r) for r in sorted(out.collect(), key=lambda r: r["doc_id"])] == [("", k, 1, 2, 3, 4) for k in range(4)]
+
+
 def test_refinement_sorts_and_measures():
     rng = np.random.default_rng(0)
     block = np.sort(rng.integers(0, 5, 200))

@@ -11,6 +11,7 @@ import public_tokenizers
 from drover.llm import fingerprints, language, packing, sharding
 from drover.llm.queries import QUERIES, TOKENIZER, held_out
 from drover.llm.text import Words, shingles, utf8
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 FOLDER = "/root/testdata/sf0.001"
@@ -195,6 +196,17 @@ def test_sharding(spark, docs):
         assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
+def test_sharding_of_columns_without_nulls_and_wide_ones(spark):
+    df = spark.range(500).select("id", F.lit("a").alias("text"), F.repeat(F.lit("x"), 2000).alias("wide"),
+                                 F.array("id").alias("list"), F.struct("id").alias("nested"))
+    assert not df.schema["id"].nullable
+    rows = sharding.shuffle_rows(df, 3, bucket_bytes=100_000)
+    assert sorted(r["id"] for r in rows.collect()) == list(range(500))
+    assert {len(r["wide"]) for r in rows.collect()} == {2000}
+    # A million bytes need ten buckets, whatever column they are in.
+    assert df.agg(F.sum(sharding._bytes(df.schema))).first()[0] > 1_000_000
+
+
 def test_sharding_is_repeatable_and_seeded(spark, docs):
     def order(seed):
         rows = sharding.shuffle_rows(docs, 2, seed, 30_000).collect()
