@@ -167,7 +167,7 @@ def run_dml(
     return outcome
 
 
-def report(outcome: Outcome, base: str) -> None:
+def report(outcome: Outcome, base: str, mode: str = "errorifexists") -> None:
     """Three CSV reports, which together hold every row: passed, failed, and without an outcome."""
     for name, part in outcome._asdict().items():
-        write_csv(part, f"{base}/{name}")
+        write_csv(part, f"{base}/{name}", mode)

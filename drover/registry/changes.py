@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators import dml, outcomes, quality, submit
+from drover.operators import dml, ledger, outcomes, quality, submit
 from drover.operators.reconcile import with_keys
 from drover.registry.base import Query, Tables, registrar
+from drover.session import shared_path
 
 QUERIES: dict[str, Query] = {}
 query = registrar(QUERIES)
@@ -209,6 +212,71 @@ def _inserted(t: Tables) -> DataFrame:
     return outcomes.perform("insert", target, rows, "o_orderkey").results
 
 
+def _order_service() -> submit.Submitter:
+    """Takes open orders, refuses closed ones, and says nothing of the last ten rows of a full batch."""
+
+    def answer(batch: pa.Table) -> pa.Table:
+        told = batch.slice(0, 990 if batch.num_rows == 1000 else batch.num_rows)
+        open_ = pc.not_equal(told.column("o_orderstatus"), "F")
+        key = pc.cast(told.column("o_orderkey"), pa.string())
+        return pa.table(
+            {
+                "success": open_,
+                "id": pc.if_else(open_, key, None),
+                "created": open_,
+                "errors": pc.if_else(open_, None, "CLOSED"),
+            }
+        )
+
+    return answer
+
+
+@query(BATCHES_SQL + """,
+    r AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY o_orderkey) > 990
+                    AND count(*) OVER (PARTITION BY batch_id) = 1000 AS untold FROM b)
+    SELECT o_orderkey, o_orderstatus, batch_id,
+           CASE WHEN NOT untold THEN o_orderstatus <> 'F' END AS "RESULTS_success",
+           CASE WHEN NOT untold AND o_orderstatus <> 'F' THEN CAST(o_orderkey AS varchar) END AS "RESULTS_id",
+           CASE WHEN NOT untold THEN o_orderstatus <> 'F' END AS "RESULTS_created",
+           CASE WHEN NOT untold AND o_orderstatus = 'F' THEN 'CLOSED' END AS "RESULTS_errors",
+           CAST(CASE WHEN batch_id = 0 THEN 1 ELSE 2 END AS integer) AS "RESULTS_attempt"
+    FROM r""")
+def submit_resumed(t: Tables):
+    """All orders in batches, stopped after the first batch and resumed; a third start has nothing to send."""
+    output = shared_path(t.spark, "submitted")
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+
+    def start(stop_after=None):
+        return ledger.run_resumable(
+            orders, _order_service(), "insert", "o_orderkey", output, "nightly", stop_after=stop_after
+        )
+
+    start(stop_after=1)
+    start()
+    return start().results
+
+
+@query(BATCHES_SQL + """,
+    n AS (SELECT batch_id, count(*) AS total, count(*) FILTER (WHERE o_orderstatus <> 'F') AS open_,
+                 row_number() OVER (ORDER BY batch_id) AS k FROM b GROUP BY batch_id),
+    told AS (SELECT batch_id, count(*) FILTER (WHERE o_orderstatus <> 'F') AS passed,
+                    count(*) FILTER (WHERE o_orderstatus = 'F') AS failed
+             FROM (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY o_orderkey) AS place FROM b)
+             JOIN n USING (batch_id) WHERE batch_id = 0 AND (total < 1000 OR place <= 990) GROUP BY batch_id)
+    SELECT batch_id, total AS rows, CASE WHEN passed IS NULL THEN 'waiting' ELSE 'done' END AS state,
+           CAST(CASE WHEN passed IS NOT NULL THEN 1 END AS integer) AS attempt,
+           coalesce(passed, 0) AS passed, coalesce(failed, 0) AS failed,
+           CASE WHEN passed IS NULL THEN 0 ELSE total - passed - failed END AS unknown,
+           CASE WHEN passed IS NULL THEN total ELSE 0 END AS unsent
+    FROM n LEFT JOIN told USING (batch_id)""")
+def submit_account(t: Tables):
+    """What became of each batch of a run that was stopped after the first one."""
+    output = shared_path(t.spark, "submitted")
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    ledger.run_resumable(orders, _order_service(), "insert", "o_orderkey", output, "daily", stop_after=1)
+    return ledger.account(t.spark, output, "insert", "daily")
+
+
 RESULTS_SQL = """
     WITH i AS (SELECT CASE WHEN o_orderkey % 50 <> 1 THEN o_orderkey END AS o_orderkey, o_orderstatus FROM orders),
     s AS (SELECT * FROM i UNION ALL SELECT * FROM i WHERE o_orderkey % 3 = 0),

@@ -1,0 +1,113 @@
+import uuid
+from collections import Counter
+from pathlib import Path
+
+import pyarrow as pa
+import pytest
+
+from drover.operators import ledger, submit
+
+
+
+def service(calls: str, dies=(), fails=(), short=()):
+    """Echoes ids, notes each call, and dies at, fails or cuts short the batches that begin with these ids."""
+
+    def answer(batch: pa.Table) -> pa.Table:
+        first = batch.column("id")[0].as_py()
+        if first in dies:
+            raise SystemExit("killed")
+        (Path(calls) / f"{first}-{uuid.uuid4().hex}").touch()
+        if first in fails:
+            raise RuntimeError("service down")
+        told = batch.num_rows - (2 if first in short else 0)
+        return pa.table({"success": [k % 3 > 0 for k in range(told)], "id": ["x"] * told})
+
+    return answer
+
+
+@pytest.fixture
+def calls(tmp_path):
+    (tmp_path / "calls").mkdir()
+    return str(tmp_path / "calls")
+
+
+def counted(calls) -> Counter:
+    return Counter(int(p.name.split("-")[0]) for p in Path(calls).iterdir())
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return spark.range(95).selectExpr("id", "IF(id % 7 = 0, NULL, 'v') AS value").repartition(4)
+
+
+def test_killed_run_sends_only_what_is_left(spark, rows, calls, tmp_path):
+    out = str(tmp_path / "out")
+    with pytest.raises(Exception, match="killed"):
+        ledger.run_resumable(rows, service(calls, dies=(70,)), "insert", "id", out, "r", 10)
+    first = counted(calls)
+    assert 70 not in first
+    state = {r.batch_id: r for r in ledger.account(spark, out, "insert", "r").collect()}
+    assert len(state) == 10 and state[7].state == "in_doubt" and state[7].unknown == 10
+    done = {b for b, r in state.items() if r.state == "done"}
+    assert done == {k // 10 for k in first}
+    assert all(r.passed + r.failed + r.unknown + r.unsent == r.rows for r in state.values())
+
+    run = ledger.run_resumable(rows, service(calls, short=(90,)), "insert", "id", out, "r", 10)
+    assert run.complete and run.sent == 10 - len(done)
+    assert counted(calls) == Counter({k * 10: 1 for k in range(10)})
+    outcome = submit.split_results(run.results)
+    parts = [part.count() for part in outcome]
+    assert sum(parts) == 95 and parts[2] == 2
+    assert {r[0] for r in run.results.select("batch_id").where(f"{ledger.ATTEMPT} = 1").collect()} == done
+    assert sorted(r.id for r in run.results.collect()) == list(range(95))
+    state = ledger.account(spark, out, "insert", "r")
+    assert {r.state for r in state.collect()} == {"done"}
+    base = tmp_path / "out" / "operation=insert" / "run_id=r"
+    assert [spark.read.csv(str(base / n), header=True).count() for n in outcome._fields] == parts
+
+    again = ledger.run_resumable(rows, service(calls), "insert", "id", out, "r", 10)
+    assert again.sent == 0 and again.complete and sum(counted(calls).values()) == 10
+
+
+def test_stops_and_goes_on_in_order(rows, calls, tmp_path):
+    out = str(tmp_path / "out")
+    left = []
+    for _ in range(4):
+        run = ledger.run_resumable(rows, service(calls), "update", "id", out, "r", 10, stop_after=3)
+        left.append((run.sent, run.left))
+    assert left == [(3, 7), (3, 4), (3, 1), (1, 0)]
+    attempts = {r[0]: r[1] for r in run.results.select("batch_id", ledger.ATTEMPT).collect()}
+    assert attempts == {b: b // 3 + 1 for b in range(10)}
+    assert counted(calls) == Counter({k * 10: 1 for k in range(10)})
+
+
+def test_rows_are_those_of_the_first_start(spark, rows, calls, tmp_path):
+    out = str(tmp_path / "out")
+    ledger.run_resumable(rows, service(calls), "insert", "id", out, "r", 10, stop_after=1)
+    more = spark.range(1000).selectExpr("id", "'new' AS value")
+    run = ledger.run_resumable(more, service(calls), "insert", "id", out, "r", 500)
+    assert run.results.count() == 95 and run.results.where("value = 'new'").count() == 0
+    with pytest.raises(ValueError, match="columns"):
+        ledger.run_resumable(more.drop("value"), service(calls), "insert", "id", out, "r")
+    other = ledger.run_resumable(rows, service(calls), "insert", "id", out, "r2", 50)
+    assert other.sent == 2
+
+
+def test_errors_and_empty_frames(rows, calls, tmp_path):
+    out = str(tmp_path / "out")
+    run = ledger.run_resumable(rows, service(calls, fails=(20,)), "insert", "id", "file:" + out, "r", 10)
+    failed = run.results.where("batch_id = 2")
+    assert {(r.RESULTS_success, r.RESULTS_errors) for r in failed.collect()} == {(False, "service down")}
+    assert ledger.run_resumable(rows.limit(0), service(calls), "insert", "id", out, "none") is None
+    assert not (tmp_path / "out" / "operation=insert" / "run_id=none").exists()
+    with pytest.raises(ValueError, match="operation"):
+        ledger.run_resumable(rows, service(calls), "merge", "id", out, "r")
+
+
+def test_repeated_task_does_not_send_again(rows, calls, tmp_path):
+    """A batch that is in the ledger is left alone even where the start doesn't know of it."""
+    entries = ledger.Ledger(str(tmp_path / "l"))
+    assert not entries.has("done") and not entries.committed(1_234_567)
+    entries.commit(1_234_567, pa.table({"a": [1]}))
+    assert entries.committed(1_234_567) and entries.has("done")
+    assert [entries.start(), entries.start(), entries.start()] == [1, 2, 3]
