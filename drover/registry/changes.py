@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -11,6 +13,7 @@ from drover.operators import dml, ledger, outcomes, quality, submit
 from drover.operators.reconcile import with_keys
 from drover.registry.base import Query, Tables, registrar
 from drover.session import shared_path
+from drover.sinks.ranged import RangedTable
 
 QUERIES: dict[str, Query] = {}
 query = registrar(QUERIES)
@@ -132,6 +135,24 @@ def upsert_external_id(t: Tables):
     return dml.upsert(t.customer, incoming, "c_custkey")
 
 
+@query("""
+    WITH u AS (
+      SELECT c_custkey, c_name, coalesce(s_acctbal, c_acctbal) AS c_acctbal
+      FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey),
+    d AS (SELECT * FROM u WHERE c_custkey NOT IN (SELECT n_nationkey FROM nation))
+    SELECT coalesce(c_custkey, p_partkey) AS c_custkey, coalesce(p_name, c_name) AS c_name, c_acctbal
+    FROM d FULL JOIN part ON c_custkey = p_partkey""")
+def publish_touched(t: Tables):
+    """Balances of the suppliers, deletion of the nations' keys and an upsert of all parts, each a commit."""
+    table = RangedTable(t.spark, f"customer_{uuid.uuid4().hex}")
+    table.create(t.customer.select("c_custkey", "c_name", "c_acctbal"), "c_custkey", rows_per_range=100)
+    balances = t.supplier.selectExpr("CAST(s_suppkey AS bigint) AS c_custkey", "s_acctbal AS c_acctbal")
+    table.update(balances, ["c_acctbal"])
+    table.delete(t.nation, "n_nationkey")
+    table.upsert(t.part.selectExpr("p_partkey AS c_custkey", "p_name AS c_name"))
+    return table.read()
+
+
 @query("""
     SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
     UNION ALL
