@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from drover.functions import scalars
 from drover.operators import dml, outcomes, reshape, submit
+from drover.operators.ordering import with_row_index
 from drover.plans import change, load, prepare
 from drover.registry.base import Query, Tables, registrar
 from drover.schemas import SOURCE_TABLES, STAGING_TABLES, TableSpec
@@ -17,6 +18,7 @@ from drover.session import shared_path, stage
 from drover.sinks import files as sinks
 from drover.sinks import tables
 from drover.sources import files as sources
+from drover.sources import paged
 from drover.streaming.landing import net_new_stream
 
 QUERIES: dict[str, Query] = {}
@@ -384,6 +386,31 @@ def query_result_read(t: Tables):
     return sources.read_query_result(t.spark, f"{path}/page=*", schema)
 
 
+@query("""
+    SELECT o_orderkey AS "Id", o_totalprice AS "Total", o_orderstatus AS "Status",
+           c_name AS "Account.Name", n_name AS "Account.Nation.Name"
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    WHERE o_orderpriority <> '5-LOW' AND o_orderstatus = 'O'""")
+def paged_source_read(t: Tables):
+    """All orders as pages of 200 records; open ones that aren't deleted are asked for."""
+    path = shared_path(t.spark, "pages")
+    record = F.expr("""struct(named_struct('type', 'Order') AS attributes, o_orderkey AS Id, o_totalprice AS Total,
+        o_orderstatus AS Status, o_orderpriority = '5-LOW' AS IsDeleted,
+        struct(c_name AS Name, struct(n_name AS Name) AS Nation) AS Account)""")
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    numbered = with_row_index(joined.select("o_orderkey", record.alias("record")), "o_orderkey", "n")
+    pages = numbered.groupBy(F.expr("n DIV 200").alias("page")).agg(
+        F.count(F.lit(1)).alias("totalSize"), F.collect_list("record").alias("records")
+    )
+    pages.repartition("page").write.partitionBy("page").json(path)
+    schema = """Id bigint, Total double, Status string, IsDeleted boolean,
+        Account struct<Name: string, Nation: struct<Name: string>>"""
+    found = paged.read_paged(t.spark, paged.PageFolder(path), schema, pages_per_task=10)
+    return found.filter("Status = 'O'").drop("IsDeleted")
+
+
 @query("SELECT o_orderkey FROM orders WHERE FALSE")
 def empty_submission(t: Tables):
     """Nothing is sent, and nothing written, for a frame without rows."""
