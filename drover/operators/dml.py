@@ -21,7 +21,6 @@ from drover.operators.reconcile import (
     repeated_keys,
     without_keys,
 )
-from drover.session import stage
 
 CREATED = "RESULTS_created"
 
@@ -149,15 +148,11 @@ def delete_one_each(
     """Each row of `keys` drops one document: a key listed n times drops its first n."""
     key, count = (fresh([*target.columns, on], n) for n in ("_key", "_n"))
     listed = keys.groupBy(col(keys_on or on).alias(key)).agg(F.count(F.lit(1)).alias(count))
-    # Joined once; the rows that were hit are ranked, the others go through.
-    joined = target.join(listed, match_grouped([on], [key], nulls_match=True), "left").drop(key)
-    joined = stage(joined, "delete-one-each")
-    rank = fresh([*joined.columns], "_rank")
-    touched = joined.filter(col(count).isNotNull())
-    survivors = rank_in_group(touched, on, target_order, rank, **chunking).filter(
-        col(rank) > col(count)
-    )
-    untouched = joined.filter(col(count).isNull())
+    # Only rows that were hit are ranked, and stored for it; the others go through.
+    hit = target.join(listed, match_grouped([on], [key], nulls_match=True), "inner").drop(key)
+    rank = fresh(hit.columns, "_rank")
+    survivors = rank_in_group(hit, on, target_order, rank, **chunking).filter(col(rank) > col(count))
+    untouched = without_keys(target, keys, on, keys_on, nulls_match=True)
     kept = [col(c) for c in target.columns]
     return untouched.select(*kept).unionByName(survivors.select(*kept))
 

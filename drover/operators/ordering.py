@@ -1,100 +1,47 @@
 """Row numbers, ranks and running sums without a single-task window.
 
 Every function deals its input to ranges of the full sort key, sorts inside the
-ranges and stores the result once in the shared folder. A row's place in its
-range is then fixed, so repeated tasks and rows with equal keys can't move it;
-what the earlier ranges carry over is one row per range. The number of ranges
+ranges and stores the result once (`chunks`). The number of ranges
 follows the number of rows, without an upper limit, and a group with a third of
 all rows is spread over a third of the ranges.
 
-`order_by` names ascending columns, NULL first. Rows with equal values keep an
-arbitrary order among themselves, but one order for good; all copies of a value
-fall into one range, so name enough columns to tell rows apart.
+`order_by` names ascending columns, NULL first. Rows with equal values go by a
+hash of the whole row; equal rows keep an arbitrary order among themselves, but one
+order for good, and all copies of a row fall into one range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drover.session import stage
+from drover.operators.chunks import (
+    ROWS_PER_CHUNK,
+    Ordered,
+    all_of,
+    col,
+    fresh,
+    in_order,
+    names,
+)
+from drover.operators.scans import number_rows, sum_rows
 
-ROWS_PER_CHUNK = 100_000
+__all__ = [
+    "ROWS_PER_CHUNK", "Ordered", "all_of", "col", "fresh", "in_order", "names",
+    "rank_in_group", "rows_between", "running_sums", "with_row_index",
+]
 
-
-def names(columns: str | Sequence[str]) -> list[str]:
-    return [columns] if isinstance(columns, str) else list(columns)
-
-
-def col(name: str) -> Column:
-    """Column by its exact name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
-def fresh(taken: Sequence[str], name: str) -> str:
-    """`name`, with underscores in front until no column has it."""
-    known = {c.lower() for c in taken}
-    while name.lower() in known:
-        name = "_" + name
-    return name
-
-
-@dataclass(frozen=True)
-class Ordered:
-    """Stored rows with the number of their chunk and their place in it, from 0."""
-
-    rows: DataFrame
-    columns: list[str]
-    chunk: str
-    place: str
-
-    def kept(self) -> list[Column]:
-        return [col(c) for c in self.columns]
-
-    def in_chunk(self) -> Window:
-        return Window.partitionBy(col(self.chunk)).orderBy(col(self.place))
-
-    def before(self, name: str) -> DataFrame:
-        """Rows of the earlier chunks, one row per chunk."""
-        sizes = self.rows.groupBy(col(self.chunk)).agg(F.count(F.lit(1)).alias(name))
-        earlier = Window.orderBy(col(self.chunk)).rowsBetween(Window.unboundedPreceding, -1)
-        return sizes.select(
-            col(self.chunk), F.coalesce(F.sum(col(name)).over(earlier), F.lit(0)).alias(name)
-        )
-
-
-def in_order(
-    df: DataFrame, order_by: str | Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK
-) -> Ordered:
-    """Store `df` in chunks of about `rows_per_chunk` rows along `order_by`."""
-    chunk = fresh(df.columns, "_chunk")
-    place = fresh([*df.columns, chunk], "_place")
-    order = [col(name) for name in names(order_by)]
-    chunks = max(1, -(-df.count() // rows_per_chunk))
-    dealt = df.repartitionByRange(chunks, *order) if chunks > 1 else df.repartition(1)
-    rows = dealt.sortWithinPartitions(*order).select(
-        *[col(c) for c in df.columns],
-        F.spark_partition_id().alias(chunk),
-        # The lower 33 bits count the rows of a partition.
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(place),
-    )
-    return Ordered(stage(rows, "ordered"), list(df.columns), chunk, place)
+#: Ranges whose rows are counted to find out which of them a slice touches.
+SLICE_RANGES = 1_000
 
 
 def _positions(ordered: Ordered, start: int = 0) -> tuple[DataFrame, Column]:
     """The rows beside what their chunk has before it, and the column of positions."""
-    before = fresh([*ordered.columns, ordered.chunk, ordered.place], "_before")
-    # One row per chunk, so it is as small against the rows as one against rows_per_chunk.
-    joined = ordered.rows.join(F.broadcast(ordered.before(before)), ordered.chunk)
-    return joined, col(ordered.place) + col(before) + F.lit(start)
+    before = fresh(ordered.rows.columns, "_before")
+    joined = ordered.with_carry(ordered.before(**{before: F.lit(1).cast("long")}))
+    return joined, col(ordered.place) + F.coalesce(col(before), F.lit(0)) + F.lit(start)
 
 
 def with_row_index(
@@ -117,12 +64,56 @@ def rows_between(
     stop: int,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Rows at positions [start, stop) in `order_by`."""
-    ordered = in_order(df, order_by, rows_per_chunk)
+    """Rows at positions [start, stop) in `order_by`.
+
+    The keys alone are dealt to ranges and counted; only rows of the ranges that the
+    slice touches are sorted and stored. `df` is read for each of these steps.
+    """
+    order = names(order_by)
+    total = df.count()
+    start, stop = max(start, 0), min(stop, total)
+    if start >= stop:
+        return df.limit(0)
+    ranges = min(SLICE_RANGES, max(1, -(-total // rows_per_chunk)))
+    if ranges > 1:
+        df, start, stop = _touched(df, order, start, stop, ranges)
+    ordered = in_order(df, order, rows_per_chunk)
     joined, position = _positions(ordered)
     return joined.filter((position >= start) & (position < stop)).select(*ordered.kept())
 
 
+def _touched(
+    df: DataFrame, order: Sequence[str], start: int, stop: int, ranges: int
+) -> tuple[DataFrame, int, int]:
+    """The rows of the key ranges that hold the slice, and the slice's place in them."""
+    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    keys = df.select(key.alias("key"))
+    dealt = keys.repartitionByRange(ranges, *[F.col(f"key.k{i}") for i in range(len(order))])
+    counted = dealt.groupBy(F.spark_partition_id().alias("range")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("key").alias("low")
+    )
+    found = sorted(counted.collect(), key=lambda r: r["range"])  # at most `ranges` rows
+    types = [df.schema[c].dataType for c in order]
+
+    def bound(low) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(low, types))])
+
+    before, skipped, low, high = 0, 0, None, None
+    for row in found:
+        if before + row["rows"] <= start:
+            skipped = before + row["rows"]
+        elif low is None:
+            low = row["low"]
+        if before >= stop and high is None:
+            high = row["low"]
+        before += row["rows"]
+    # Equal keys lie in one range, so bounds don't cut them apart.
+    part = df.filter(key >= bound(low))
+    if high is not None:
+        part = part.filter(key < bound(high))
+    return part, start - skipped, stop - skipped
+
+
 def rank_in_group(
     df: DataFrame,
     group_by: str | Sequence[str],
@@ -132,44 +123,12 @@ def rank_in_group(
 ) -> DataFrame:
     """Add 1, 2, .. within each group (NULLs form a group) in `order_by`.
 
-    Ranks are counted inside the part of a group that lies in one chunk; a group
-    that goes over several chunks adds the sizes of its parts before.
+    In order of group and `order_by` a group is one run; its rows are numbered
+    where they are sorted, and a run that goes over several chunks is carried on.
     """
     group, order = names(group_by), names(order_by)
-    ordered = in_order(df, group + order, rows_per_chunk)
-    taken = [*ordered.columns, ordered.chunk, ordered.place]
-    count, carried, number = (fresh(taken, n) for n in ("_rows", "_carried", "_rn"))
-    keys = [col(c) for c in group]
-    part = Window.partitionBy(col(ordered.chunk), *keys).orderBy(col(ordered.place))
-    ranked = ordered.rows.withColumn(number, F.row_number().over(part).cast("bigint"))
-    # Only the first group of a chunk can have begun before it.
-    parts = ordered.rows.groupBy(col(ordered.chunk), *keys).agg(
-        F.count(F.lit(1)).alias(count), F.min(col(ordered.place)).alias(ordered.place)
-    )
-    aliases = [fresh(taken, f"_group{i}") for i in range(len(group))]
-    earlier = (
-        Window.partitionBy(*keys).orderBy(col(ordered.chunk)).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    begun = (
-        parts.withColumn(carried, F.sum(col(count)).over(earlier))
-        .filter((col(ordered.place) == 0) & col(carried).isNotNull())
-        .select(
-            col(ordered.chunk),
-            *[k.alias(a) for k, a in zip(keys, aliases)],
-            col(carried),
-        )
-    )
-    other = fresh(taken, "_other")
-    begun = begun.withColumnRenamed(ordered.chunk, other)
-    same = all_of(
-        [
-            col(ordered.chunk) == col(other),
-            *[k.eqNullSafe(col(a)) for k, a in zip(keys, aliases)],
-        ]
-    )
-    # At most one row per chunk.
-    return ranked.join(F.broadcast(begun), same, "left").select(
-        *ordered.kept(), (col(number) + F.coalesce(col(carried), F.lit(0))).alias(name)
+    return number_rows(
+        df, group, group + order, name, base=1, step=1, rows_per_chunk=rows_per_chunk
     )
 
 
@@ -180,20 +139,4 @@ def running_sums(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add running totals `{new column: summed column}` in `order_by`."""
-    ordered = in_order(df, order_by, rows_per_chunk)
-    taken = [*ordered.columns, ordered.chunk, ordered.place]
-    totals = {new: fresh(taken, f"_total_{new}") for new in sums}
-    so_far = ordered.in_chunk().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.orderBy(col(ordered.chunk)).rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = ordered.rows.groupBy(col(ordered.chunk)).agg(
-        *[F.sum(col(source)).alias(totals[new]) for new, source in sums.items()]
-    )
-    carried = per_chunk.select(
-        col(ordered.chunk), *[F.sum(col(t)).over(earlier).alias(t) for t in totals.values()]
-    )
-    inside = {new: F.sum(col(source)).over(so_far) for new, source in sums.items()}
-    # One row per chunk is carried.
-    return ordered.rows.join(F.broadcast(carried), ordered.chunk).select(
-        *ordered.kept(),
-        *[(inside[new] + F.coalesce(col(totals[new]), F.lit(0))).alias(new) for new in sums],
-    )
+    return sum_rows(df, order_by, sums, rows_per_chunk)

@@ -4,19 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from drover.operators.ordering import (
-    ROWS_PER_CHUNK,
-    all_of,
-    col,
-    fresh,
-    in_order,
-    names,
-    rank_in_group,
-)
-from drover.session import stage
+from drover.operators.chunks import ROWS_PER_CHUNK, names
+from drover.operators.scans import number_rows
 
 
 def number_runs(
@@ -40,89 +31,16 @@ def number_runs(
     """
     if hold and changing is None:
         raise ValueError("hold needs changing columns")
-    group, order = names(group_by), names(order_by)
-    changes = names(changing) if changing is not None else []
-    ordered = in_order(df, order, rows_per_chunk)
-    watched = group + changes
-    chunk = col(ordered.chunk)
-    seen = F.struct(*[col(c).alias(f"w{i}") for i, c in enumerate(watched)])
-
-    def equal(now: str, before: str, at: range) -> Column:
-        return all_of([F.col(f"{now}.w{i}").eqNullSafe(F.col(f"{before}.w{i}")) for i in at])
-
-    in_group, in_changes = range(len(group)), range(len(group), len(watched))
-
-    def starts_run(now: str, before: str) -> Column:
-        new_group = ~equal(now, before, in_group)
-        return new_group if not changes or hold else new_group | equal(now, before, in_changes)
-
-    def advances(now: str, before: str) -> Column:
-        """Whether the row counts a step when it does not start a run."""
-        if not hold:
-            return F.lit(1).cast("bigint")
-        return (~equal(now, before, in_changes)).cast("bigint")
-
-    # The input's columns in one struct, so that no helper's name can clash.
-    found = ordered.rows.select(
-        F.struct(*ordered.kept()).alias("row"),
-        chunk.alias("chunk"),
-        col(ordered.place).alias("place"),
-        seen.alias("now"),
-    )
-    by_place = Window.partitionBy("chunk").orderBy("place")
-    so_far = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    compared = (
-        found.withColumn("prev", F.lag("now").over(by_place))
-        .withColumn("first", F.col("prev").isNull())
-        .withColumn("break", ~F.col("first") & starts_run("now", "prev"))
-        .withColumn("step", F.when(F.col("first"), F.lit(0)).otherwise(advances("now", "prev")))
-        .withColumn("steps", F.sum("step").over(so_far))
-        .withColumn("start", F.max(F.when(F.col("break"), F.col("steps"))).over(so_far))
-        .drop("prev", "break")
-    )
-    # Both the ends of the chunks and the result are read from here.
-    compared = stage(compared, "runs")
-
-    # One row per chunk, hence small: its ends, its steps and where its last run began.
-    ends = compared.groupBy("chunk").agg(
-        F.min_by("now", "place").alias("head"),
-        F.max_by("now", "place").alias("tail"),
-        F.sum("step").alias("total"),
-        F.max("start").alias("last_start"),
-    )
-    by_chunk = Window.orderBy("chunk")
-    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        ends.withColumn("before", F.lag("tail").over(by_chunk))
-        .withColumn("opens", F.col("before").isNull() | starts_run("head", "before"))
-        .withColumn(
-            "entry", F.when(F.col("before").isNull(), F.lit(0)).otherwise(advances("head", "before"))
-        )
-        .withColumn(
-            "offset",
-            F.coalesce(F.sum(F.col("total") + F.col("entry")).over(earlier), F.lit(0))
-            + F.col("entry"),
-        )
-        .withColumn(
-            "latest",
-            F.coalesce(
-                F.col("offset") + F.col("last_start"), F.when(F.col("opens"), F.col("offset"))
-            ),
-        )
-        .withColumn("open_start", F.last("latest", ignorenulls=True).over(earlier))
-        .select(
-            "chunk",
-            "offset",
-            F.when(F.col("opens"), F.col("offset"))
-            .otherwise(F.col("open_start"))
-            .alias("entry_start"),
-        )
-    )
-    began = F.coalesce(F.col("offset") + F.col("start"), F.col("entry_start"))
-    number = F.lit(base) + F.lit(step) * (F.col("offset") + F.col("steps") - began)
-    return compared.join(F.broadcast(carried), "chunk").select(
-        *[F.col("row").getField(c).alias(c) for c in df.columns],
-        number.cast("bigint").alias(name),
+    return number_rows(
+        df,
+        names(group_by),
+        order_by,
+        name,
+        names(changing) if changing is not None else (),
+        base,
+        step,
+        hold,
+        rows_per_chunk,
     )
 
 
@@ -136,7 +54,5 @@ def number_groups(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Sort by group and `order_by`, then number each group from `base` by `step`."""
-    rank = fresh(df.columns, "_rank")
-    ranked = rank_in_group(df, group_by, order_by, rank, rows_per_chunk)
-    number = F.lit(base) + F.lit(step) * (col(rank) - 1)
-    return ranked.select(*[col(c) for c in df.columns], number.cast("bigint").alias(name))
+    group, order = names(group_by), names(order_by)
+    return number_rows(df, group, group + order, name, (), base, step, rows_per_chunk=rows_per_chunk)

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from drover.operators import chunks
 from drover.operators.ordering import (
     in_order,
     rank_in_group,
@@ -128,3 +129,78 @@ def test_empty(spark):
     assert with_row_index(df, "id").count() == 0
     assert rank_in_group(df, "g", "id").count() == 0
     assert rows_between(df, "id", 0, 5).count() == 0
+
+
+def test_carries_in_a_tree(spark, rows, monkeypatch):
+    """Windows over three chunks each give what one window over all of them gives."""
+    monkeypatch.setattr(chunks, "FANOUT", 3)
+    monkeypatch.setattr(chunks, "BROADCAST_CHUNKS", 5)
+    test_row_index(rows, 7)
+    test_rank_in_group(rows, 7)
+    test_running_sums(rows, 7)
+
+
+def test_running_sums_of_all_kinds_and_nulls(spark):
+    data = [(i, None if i < 25 or i % 3 else i, None if i % 4 else Decimal(i) / 8, None if i < 40 else i / 4) for i in range(90)]
+    df = spark.createDataFrame(data, "id int, a int, b decimal(10,3), c double").repartition(4)
+    sums = {"x": "a", "y": "b", "z": "c"}
+    got = running_sums(df, "id", sums, rows_per_chunk=8)
+    kinds = df.agg(*[F.sum(c).alias(n) for n, c in sums.items()]).schema
+    assert [got.schema[n].dataType for n in sums] == [kinds[n].dataType for n in sums]
+    found = {r["id"]: (r["x"], r["y"], r["z"]) for r in got.collect()}
+    for i in range(90):
+        for k in (1, 2, 3):
+            known = [r[k] for r in data[: i + 1] if r[k] is not None]
+            assert found[i][k - 1] == (sum(known) if known else None)
+
+
+def test_one_shuffle_and_no_window_for_the_rows(spark, rows, monkeypatch):
+    """What is stored comes from one range shuffle; what is read back is joined to one row per chunk."""
+    _, df = rows
+    plans = []
+    real = chunks.stage
+
+    def noted(frame, purpose="stage"):
+        plans.append(frame._jdf.queryExecution().toString())
+        return real(frame, purpose)
+
+    monkeypatch.setattr(chunks, "stage", noted)
+    for made in (rank_in_group(df, "g", "v", "n", 60), running_sums(df, "id", {"t": "v"}, 60), with_row_index(df, "id")):
+        stored = plans.pop().partition("== Physical Plan ==")[2]
+        assert stored.count("Exchange rangepartitioning") <= 1 and "hashpartitioning" not in stored and "Window" not in stored
+        read = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(id" not in read and read.count("BroadcastHashJoin") >= 1
+    assert not plans
+
+
+def test_hot_key_is_spread_by_the_rest_of_the_row(spark):
+    df = spark.range(3_000).select(F.lit(1).alias("k"), "id")
+    ordered = in_order(df, "k", rows_per_chunk=100)
+    assert max(r["count"] for r in ordered.rows.groupBy(ordered.chunk).count().collect()) < 400
+
+
+@pytest.mark.parametrize("start,stop", [(0, 5), (97, 113), (295, 400), (-5, 3)])
+def test_slices_of_ties_and_nulls(spark, start, stop):
+    """Equal keys are never cut apart by the ranges, whatever their values."""
+    data = [(None if i % 7 == 0 else float("nan") if i % 5 == 0 else float(i % 40), "x" * (i % 3) if i % 4 else None, i) for i in range(300)]
+    df = spark.createDataFrame(data, "d double, s string, id int").repartition(4)
+    whole = {r["id"]: r["at"] for r in with_row_index(df, ["d", "s", "id"], "at").collect()}
+    got = rows_between(df, ["d", "s", "id"], start, stop, rows_per_chunk=9)
+    assert sorted(whole[r["id"]] for r in got.collect()) == list(range(max(start, 0), min(stop, 300)))
+    assert rows_between(df, ["d", "s"], start, stop, rows_per_chunk=9).count() == min(stop, 300) - max(start, 0)
+
+
+def test_a_deep_slice_stores_only_what_it_touches(spark, monkeypatch):
+    sizes = []
+    real = chunks.stage
+
+    def noted(frame, purpose="stage"):
+        stored = real(frame, purpose)
+        sizes.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(chunks, "stage", noted)
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("k"), "id").repartition(5)
+    want = sorted(r[0] for r in df.select("k").collect())[12_000:12_100]
+    assert sorted(r["k"] for r in rows_between(df, "k", 12_000, 12_100, rows_per_chunk=500).collect()) == want
+    assert sizes and max(sizes) < 2_500

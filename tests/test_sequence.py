@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from drover.operators import chunks
 from drover.operators.sequence import number_groups, number_runs
 
 
@@ -71,3 +72,37 @@ def test_number_groups(spark, chunk):
 def test_hold_needs_changing(spark):
     with pytest.raises(ValueError):
         number_runs(spark.range(1), "id", "id", "seq", hold=True)
+
+
+@pytest.mark.parametrize("fanout", [2, 7])
+def test_runs_carried_through_a_tree(spark, monkeypatch, fanout):
+    """Many small chunks, whose summaries meet in windows of a few: rows of one long run lie in most of them."""
+    monkeypatch.setattr(chunks, "FANOUT", fanout)
+    rng = random.Random(fanout)
+    rows, g = [], "a"
+    for i in range(400):
+        if rng.random() < (0.0 if 80 < i < 300 else 0.3):
+            g = rng.choice(["a", "b", None])
+        rows.append((i, g, rng.choice([1, 2, None]) if i % 90 > 30 else 5))
+    df = spark.createDataFrame(rows, "at int, g string, c int").repartition(4)
+    assert numbers(number_runs(df, "g", "at", "seq", rows_per_chunk=6)) == loop(rows)
+    got = numbers(number_runs(df, "g", "at", "seq", changing="c", rows_per_chunk=6))
+    assert got == loop(rows, changing=True)
+    got = numbers(number_runs(df, "g", "at", "seq", changing="c", hold=True, rows_per_chunk=6))
+    assert got == loop(rows, changing=True, hold=True)
+
+
+def test_values_of_all_kinds_are_compared(spark):
+    """Zeros of both signs and not-a-numbers are equal, times differ by a microsecond, texts by their parts."""
+    df = spark.sql("""
+        SELECT * FROM VALUES
+          (1, CAST(0.0 AS double), TIMESTAMP'2024-01-01 00:00:00.000001', 'a', 'bc', array(1, NULL), X'00'),
+          (2, CAST(-0.0 AS double), TIMESTAMP'2024-01-01 00:00:00.000001', 'a', 'bc', array(1, NULL), X'00'),
+          (3, CAST('NaN' AS double), TIMESTAMP'2024-01-01 00:00:00.000002', 'ab', 'c', array(1), X'01'),
+          (4, CAST('NaN' AS double), TIMESTAMP'2024-01-01 00:00:00.000002', 'ab', 'c', array(1), X'01'),
+          (5, NULL, NULL, '-', NULL, NULL, NULL),
+          (6, NULL, NULL, '-', NULL, NULL, NULL)
+        AS t(at, d, t, s, u, l, b)""")
+    for group in ("d", "t", ["s", "u"], "l", "b", ["d", "t", "s", "u", "l", "b"]):
+        got = numbers(number_runs(df, group, "at", "seq", rows_per_chunk=2))
+        assert [got[k] for k in range(1, 7)] == [10, 20] * 3, group
