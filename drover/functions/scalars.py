@@ -172,6 +172,30 @@ SHORT_ESCAPES = {"\\": "\\\\", "\t": "\\t", "\n": "\\n", "\r": "\\r"}
 FEW_KINDS = 32
 
 
+#: NULL in a text that `to_one_line` made; no other text becomes this one.
+NULL_MARK = "\\N"
+
+
+def to_one_line(value: Column) -> Column:
+    """Any text, NULL included, as one without line breaks; `from_one_line` gives it back."""
+    for found, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        value = F.replace(value, F.lit(found), F.lit(escaped))
+    return F.coalesce(value, F.lit(NULL_MARK))
+
+
+def from_one_line(value: Column) -> Column:
+    """The text that `to_one_line` was given."""
+
+    def breaks(part: Column) -> Column:
+        for escaped, plain in (("\\n", "\n"), ("\\r", "\r")):
+            part = F.replace(part, F.lit(escaped), F.lit(plain))
+        return part
+
+    # Pairs of backslashes are taken from the left, so what follows one is no escape.
+    whole = F.array_join(F.transform(F.split(value, r"\\\\"), breaks), "\\")
+    return F.when(value != NULL_MARK, F.when(F.contains(value, F.lit("\\")), whole).otherwise(value))
+
+
 def escape_text(c: Column) -> Column:
     """Backslash escapes for all but printable ASCII.
 

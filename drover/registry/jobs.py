@@ -126,22 +126,31 @@ def load_and_stage_contracts(t: Tables):
 
 
 @query("""
-    WITH k AS (SELECT 'K' || o_orderkey AS contract_number,
+    WITH k AS (SELECT 'K' || o_orderkey AS contract_number, lower(c_mktsegment) AS sla,
                       row_number() OVER (ORDER BY 'K' || o_orderkey) AS n
                FROM orders JOIN customer ON o_custkey = c_custkey),
          g AS (SELECT 'G' || p_partkey AS contract_line_number, p_brand || '-' || p_type AS product,
-                      row_number() OVER (ORDER BY 'G' || p_partkey) AS n FROM part)
-    SELECT contract_line_number, contract_number, product, 1 AS quantity FROM g JOIN k USING (n)
-    WHERE length(product) <= 50""")
+                      row_number() OVER (ORDER BY 'G' || p_partkey) AS n FROM part),
+         i AS (SELECT 'I' || s_suppkey AS contract_line_number, 'install - ' || s_name AS product,
+                      row_number() OVER (ORDER BY 'I' || s_suppkey) AS n FROM supplier),
+         l AS (SELECT 'S' || c_custkey AS contract_line_number,
+                      row_number() OVER (ORDER BY 'S' || c_custkey) AS n FROM customer),
+         a AS (SELECT contract_line_number, contract_number, product FROM g JOIN k USING (n)
+               UNION ALL SELECT contract_line_number, contract_number, product FROM i JOIN k USING (n)
+               UNION ALL SELECT contract_line_number, contract_number, 'sla - ' || sla FROM l JOIN k USING (n))
+    SELECT *, 1 AS quantity FROM a WHERE length(product) <= 50""")
 def load_and_stage_contract_lines(t: Tables):
-    """Generator lines of the contracts, in the order of their numbers."""
-    accounts = t.customer.selectExpr("c_name AS account_number_external_id", "'Gold' AS sla")
+    """Generator, installation and service level lines of the contracts, in the order of their numbers."""
+    accounts = t.customer.selectExpr("c_name AS account_number_external_id", "lower(c_mktsegment) AS sla")
     generators = t.part.selectExpr(
         "concat('G', p_partkey) AS contract_line_number", "p_brand AS gen_type", "p_type AS gen_type_capacity"
     )
-    none = t.part.limit(0).selectExpr("concat('I', p_partkey) AS contract_line_number", "p_name AS installation")
+    installations = t.supplier.selectExpr(
+        "concat('I', s_suppkey) AS contract_line_number", "s_name AS installation"
+    )
+    levels = t.customer.selectExpr("concat('S', c_custkey) AS contract_line_number")
     lines = prepare.contract_lines(
-        accounts, stage(_contracts(t), "contracts"), generators, none, none.drop("installation")
+        accounts, stage(_contracts(t), "contracts"), generators, installations, levels
     )
     return _loaded_and_staged(t, lines, "contract_lines")
 
@@ -341,10 +350,10 @@ def dml_reports(t: Tables):
 
 @query("SELECT doc_id, text FROM documents")
 def csv_text_round_trip(t: Tables):
-    """Whole texts with quotes, commas, line breaks and outer blanks through a CSV file."""
+    """Whole texts with quotes, commas, line breaks and outer blanks through a CSV file that splits."""
     path = shared_path(t.spark, "csv-texts")
-    sinks.write_csv(t.documents.select("doc_id", "text"), path)
-    return sources.read_csv(t.spark, path, "doc_id bigint, text string")
+    sinks.write_csv(t.documents.select("doc_id", "text"), path, one_line=True)
+    return sources.read_csv(t.spark, path, "doc_id bigint, text string", one_line=True)
 
 
 @query("""
@@ -495,14 +504,23 @@ def net_new_state(t: Tables):
 
 
 @query("""
-    SELECT c_custkey, c_name, c_acctbal AS "Amount_Paid__c", TRUE AS "Migrated_Record__c"
-    FROM customer ORDER BY c_custkey LIMIT 10 OFFSET 5""")
+    WITH target AS (SELECT s_suppkey + 10 AS c_custkey, s_name AS c_name, s_acctbal AS "Amount_Paid__c",
+                           FALSE AS "Migrated_Record__c" FROM supplier),
+         s AS (SELECT c_custkey, c_name, c_acctbal AS "Amount_Paid__c", TRUE AS "Migrated_Record__c"
+               FROM customer ORDER BY c_custkey LIMIT 10 OFFSET 5)
+    SELECT * FROM target
+    UNION ALL
+    SELECT * FROM s WHERE c_custkey NOT IN (SELECT c_custkey FROM target)""")
 def slice_insert_state(t: Tables):
+    """A target that holds some of the slice's keys already keeps its own rows of these."""
     rows = t.customer.selectExpr(
         "c_custkey", "c_name", "c_acctbal AS AmountPaid", "true AS IsActive", "c_nationkey AS CreatedDate"
     )
     wanted = change.slice_to_insert(rows, "c_custkey", 5, 10)
-    return outcomes.perform("insert", wanted.limit(0), wanted, "c_custkey").state
+    target = t.supplier.selectExpr(
+        "s_suppkey + 10 AS c_custkey", "s_name AS c_name", "s_acctbal AS Amount_Paid__c", "false AS Migrated_Record__c"
+    )
+    return outcomes.perform("insert", target, wanted, "c_custkey").state
 
 
 @query("""

@@ -7,16 +7,25 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from drover.functions.scalars import to_one_line
 from drover.operators.keylists import in_lists
+from drover.operators.ordering import col
 
 MANIFEST = "_manifest"
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_csv(
+    df: DataFrame, path: str, mode: str = "errorifexists", one_line: bool = False
+) -> None:
     """CSV with a header; `path` is a folder on any file system Spark can reach.
 
     Outer blanks, quotes and line breaks are kept; `read_csv` reads them back.
+    With `one_line` every record is one line of the file, line breaks being escaped
+    and NULL marked; read such files with `read_csv(.., one_line=True)`,
+    which splits large ones among tasks and gives back every text as it was.
     """
+    if one_line:
+        df = df.select(*[to_one_line(col(c).cast("string")).alias(c) for c in df.columns])
     writer = df.write.mode(mode).option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.csv(path, header=True)

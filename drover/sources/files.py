@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drover.functions.scalars import nan_to_null
+from drover.functions.scalars import NULL_MARK, from_one_line, nan_to_null
 from drover.operators.ordering import col
 from drover.operators.reconcile import visible
 from drover.operators.reshape import flatten
@@ -44,11 +44,14 @@ def read_csv(
     strict: bool = True,
     file_column: str | None = None,
     multi_line: bool = True,
+    one_line: bool = False,
 ) -> DataFrame:
     """CSV with a header from any file system Spark can reach.
 
     Quoted line breaks belong to their value. A file is then read by one task;
     turn `multi_line` off for files that have none, so that large ones are split.
+    `one_line` is for files that `write_csv(.., one_line=True)` wrote: these are split
+    as well, and all texts come back as they were, NULL, empty and missing-value texts too.
 
     With a schema its columns are picked by name and read as text, missing-value
     texts become NULL, and then the columns are cast: bad values raise, or
@@ -57,12 +60,23 @@ def read_csv(
     Without a schema types are inferred, which costs another pass over the
     files. `file_column` adds the path of the row's file.
     """
+    multi_line = multi_line and not one_line
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+
+    if one_line:
+        # Otherwise an empty text would be read as NULL.
+        reader = reader.option("nullValue", NULL_MARK)
+
+    def text(name: str) -> Column:
+        if one_line:
+            return from_one_line(col(name))
+        return F.when(~col(name).isin(*MISSING_TEXTS), col(name))
+
     if schema is None:
-        df = reader.option("inferSchema", True).csv(paths)
+        df = reader.option("inferSchema", not one_line).csv(paths)
         texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
         values = [
-            F.when(~col(c).isin(*MISSING_TEXTS), col(c)).alias(c) if c in texts else col(c)
+            text(c).alias(c) if c in texts else col(c)
             for c in df.columns
         ]
     else:
@@ -74,7 +88,7 @@ def read_csv(
         df = reader.option("multiLine", multi_line).option("enforceSchema", False).schema(header).csv(paths)
         values = []
         for f in wanted.fields:
-            value = F.when(~col(f.name).isin(*MISSING_TEXTS), col(f.name))
+            value = text(f.name)
             typed = value.cast(f.dataType) if strict else value.try_cast(f.dataType)
             values.append(typed.alias(f.name))
     if file_column:

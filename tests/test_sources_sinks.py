@@ -1,4 +1,6 @@
+import glob
 import json
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -190,3 +192,35 @@ def test_shared_folder(spark, tmp_path):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     staged = stage(df)
     assert staged.schema == df.schema and rows(staged) == rows(df)
+
+
+TEXTS = ["", None, "NA", "\\N", "\\\\N", "\\", "a\\", "\\n", "\n", "\r\n", "\\\n", "\\\\n", " a ", '"', 'a"b,c', "é\u2028x", "#", "\t", "\\r\r"]
+
+
+def test_one_line_csv_gives_back_every_text(spark, tmp_path):
+    rng = random.Random(7)
+    texts = TEXTS + ["".join(rng.choice('\\nr\n\r"N, ') for _ in range(rng.randrange(8))) for _ in range(400)]
+    rows = [(i, t, None if i % 3 else i / 7, None if i % 2 else date(2024, 1, 1 + i % 28)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, text string, x double, day date")
+    path = str(tmp_path / "csv")
+    sinks.write_csv(df.repartition(2), path, one_line=True)
+    lines = sum(open(f, newline="").read().count("\n") for f in glob.glob(path + "/*.csv"))
+    assert lines == len(rows) + 2
+    got = sources.read_csv(spark, path, "id int, text string, x double, day date", one_line=True)
+    assert sorted(map(tuple, got.collect())) == rows
+    plain = sources.read_csv(spark, path, one_line=True)
+    assert {(r["id"], r["text"]) for r in plain.collect()} == {(str(i), t) for i, t, *_ in rows}
+
+
+def test_one_line_csv_is_split_among_tasks(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    df = spark.range(20_000).selectExpr("id", "concat('line ', id, '\\n\"x\", ') AS text")
+    sinks.write_csv(df.coalesce(1), path, one_line=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        got = sources.read_csv(spark, path, "id bigint, text string", one_line=True)
+        assert got.rdd.getNumPartitions() > 5 * len(glob.glob(path + "/*.csv"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
