@@ -1,7 +1,8 @@
 """Whole jobs on small tables with the layout of the real ones."""
 
 import random
-from datetime import date
+import time
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -12,7 +13,7 @@ from drover.operators import submit
 from drover.plans import change, load, prepare
 from drover.schemas import ACCOUNTS, SOURCE_TABLES, STAGING_TABLES
 from drover.sinks import tables
-from drover.streaming.landing import net_new_stream
+from drover.streaming.landing import land_target_keys, net_new_stream
 
 
 def rows(df):
@@ -199,3 +200,64 @@ def test_hot_keys_give_whole_results(spark):
     merged = reconcile.merge(df, keys.distinct(), "k", "k", how="outer", indicator=True)
     assert merged.filter("_merge = 'both' AND k = 'hot'").count() == hot
     assert merged.count() == len(data)
+
+
+def landed(spark, tmp_path, df, name="landing"):
+    df.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+
+
+def stream(spark, tmp_path, schema, target, **more):
+    query = net_new_stream(
+        spark, str(tmp_path / "landing"), schema, target, "key", "k", "id",
+        str(tmp_path / "out"), str(tmp_path / "checkpoint"), **more,
+    )
+    query.awaitTermination()
+    return spark.read.schema(schema).parquet(str(tmp_path / "out")).drop("batch")
+
+
+def test_stream_state_holds_keys_alone_and_survives_a_restart(spark, tmp_path):
+    schema = "id bigint, key string, text string, at timestamp, amount decimal(20,4), big bigint, list array<int>"
+    df = spark.createDataFrame(
+        [(2**60 + 1, "a", "x" * 500, datetime(2024, 1, 1, 2, 3, 4, 5), Decimal("1.2345"), None, [1, None]),
+         (2**60, "a", None, None, None, 2**60 + 7, None), (5, "old", "y", None, None, None, None)], schema)
+    target = spark.createDataFrame([("old",)], "k string")
+    landed(spark, tmp_path, df)
+    got = stream(spark, tmp_path, df.schema, target)
+    assert [tuple(r) for r in got.collect()] == [(2**60, "a", None, None, None, 2**60 + 7, None)]
+    state = spark.read.format("statestore").load(str(tmp_path / "checkpoint"))
+    names = [f.name for f in state.schema["value"].dataType.fields]
+    assert state.count() == 2 and {r["key"]["key"] for r in state.collect()} == {"a", "old"}
+    text = state.schema.simpleString()
+    assert "decimal" not in text and "amount" not in text and names
+
+    # A new start knows all keys, the target's too, though the target is not read again.
+    more = spark.createDataFrame([(9, "a"), (8, "old"), (7, "new"), (6, None)], "id bigint, key string")
+    landed(spark, tmp_path, more)
+    got = stream(spark, tmp_path, df.schema, spark.createDataFrame([], "k string"))
+    assert sorted((r["key"] or "", r["id"]) for r in got.collect()) == [("", 6), ("a", 2**60), ("new", 7)]
+
+
+def test_stream_forgets_keys_and_takes_in_later_ones(spark, tmp_path):
+    schema = spark.createDataFrame([], "id bigint, key string").schema
+    none = spark.createDataFrame([], "k string")
+
+    def send(*rows, **more):
+        landed(spark, tmp_path, spark.createDataFrame(rows, schema))
+        return sorted((r["key"], r["id"]) for r in stream(spark, tmp_path, schema, none, **more).collect())
+
+    assert send((1, "a"), expire_after=3600) == [("a", 1)]
+    assert send((2, "a"), expire_after=3600) == [("a", 1)]
+    time.sleep(0.3)
+    assert send((3, "a"), (4, "b"), expire_after=0.2) == [("a", 1), ("a", 3), ("b", 4)]
+    land_target_keys(spark.createDataFrame([("c",), ("d",)], "k string"), "k", str(tmp_path / "checkpoint"))
+    assert send((5, "c"), (6, "b"), (7, "e"), expire_after=3600) == [("a", 1), ("a", 3), ("b", 4), ("e", 7)]
+
+
+def test_stream_with_a_hot_key(spark, tmp_path):
+    """Half of all rows have one key; few of them leave their task."""
+    df = spark.range(20_000).selectExpr("20000 - id AS id", "IF(id % 2 = 0, 'hot', CONCAT('k', id % 50)) AS key")
+    df.repartition(4).write.parquet(str(tmp_path / "landing"))
+    got = stream(spark, tmp_path, df.schema, spark.createDataFrame([("k1",)], "k string"), files_per_batch=4)
+    first = {r["key"]: r["id"] for r in df.groupBy("key").agg(F.min("id").alias("id")).collect()}
+    first.pop("k1")
+    assert {r["key"]: r["id"] for r in got.collect()} == first
