@@ -8,13 +8,15 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from drover.functions.scalars import to_one_line
 from drover.operators.ordering import ROWS_PER_CHUNK, col, running_sums, with_row_index
 from drover.session import stage
 from drover.sinks.files import write_csv
+from drover.sources.files import read_csv
 
 # Workers get these functions with the task, so they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -22,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BATCH_SIZE = 1_000
 BATCH = "batch_id"
 ROW = "_row"
+REPORT = "report"
 
 # The outcome columns of a submitted row.
 RESULT_FIELDS = (
@@ -167,6 +170,29 @@ def run_dml(
     return outcome
 
 
+def write_reports(results: DataFrame, base: str, mode: str = "errorifexists") -> str:
+    """The three reports in one pass over the results: `base`/reports/report=<success, fallout, unknown>.
+
+    Records are one line each, so large reports are read by many tasks, and what
+    `read_reports` gives back is what was sent. An outcome that no row had has no folder.
+    """
+    flag = F.col(SUCCESS)
+    name = F.when(flag, "success").when(~flag, "fallout").otherwise("unknown")
+    path = f"{base}/reports"
+    columns = [to_one_line(col(c).cast("string")).alias(c) for c in results.columns]
+    writer = results.select(*columns, name.alias(REPORT)).write.mode(mode).partitionBy(REPORT)
+    writer = writer.option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(path, header=True)
+    return path
+
+
+def read_reports(spark: SparkSession, base: str, schema: T.StructType | str) -> DataFrame:
+    """All rows of the reports that `write_reports` wrote, with the name of their `report`."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    with_report = T.StructType([*wanted.fields, T.StructField(REPORT, T.StringType())])
+    return read_csv(spark, f"{base}/reports", with_report, one_line=True)
+
+
 def report(outcome: Outcome, base: str, mode: str = "errorifexists") -> None:
     """Three CSV reports, which together hold every row: passed, failed, and without an outcome."""
     for name, part in outcome._asdict().items():

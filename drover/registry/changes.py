@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from drover.operators import dml, ledger, outcomes, quality, submit
 from drover.operators.reconcile import with_keys
 from drover.registry.base import Query, Tables, registrar
-from drover.session import shared_path
+from drover.session import shared_path, stage
+from drover.sinks import bucketed
 from drover.sinks.ranged import RangedTable
 
 QUERIES: dict[str, Query] = {}
@@ -186,6 +188,49 @@ def insert_pk_check(t: Tables):
     return tagged.select(F.expr("* EXCEPT (reject_reasons)"), text.alias("reasons"))
 
 
+@contextmanager
+def _bucketed(t: Tables, **tables: tuple[DataFrame, list[str]]):
+    """Names of bucketed tables, which are dropped in the end."""
+    made = {name: f"{name}_{uuid.uuid4().hex}" for name in tables}
+    try:
+        for name, (df, key) in tables.items():
+            bucketed.write_bucketed(df, made[name], key, 8)
+        yield made
+    finally:
+        for name in made.values():
+            t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT event_id FROM events)")
+def net_new_bucketed(t: Tables):
+    """Orders whose number is no event's, bucket by bucket."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    events = t.events.select(F.col("event_id").cast(orders.schema["o_orderkey"].dataType).alias("event_id"))
+    with _bucketed(t, staging=(orders, ["o_orderkey"]), target=(events, ["event_id"])) as made:
+        return stage(bucketed.net_new_rows(t.spark, made["staging"], made["target"]), "net-new")
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, concat_ws(';',
+             CASE WHEN count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 THEN 'duplicate_key' END,
+             CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_custkey = l_linenumber)
+                  THEN 'key_exists' END) AS reasons
+    FROM lineitem""")
+def pk_check_bucketed(t: Tables):
+    """Repeated and known keys of all lines, counted and looked up in their buckets."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    kinds = {f.name: f.dataType for f in lines.schema.fields}
+    target = t.orders.select(
+        F.col("o_orderkey").cast(kinds["l_orderkey"]), F.col("o_custkey").cast(kinds["l_linenumber"])
+    )
+    keys = {"staging": (lines, ["l_orderkey", "l_linenumber"]), "target": (target, ["o_orderkey", "o_custkey"])}
+    with _bucketed(t, **keys) as made:
+        found = bucketed.check_keys(t.spark, made["staging"], made["target"])
+        return stage(
+            found.select(*lines.columns, F.array_join("reject_reasons", ";").alias("reasons")), "checked"
+        )
+
+
 @query("""
     SELECT p_partkey, concat_ws(';',
              CASE WHEN nullif(p_type, 'ECONOMY') IS NULL THEN 'null:p_type' END,

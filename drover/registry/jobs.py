@@ -328,24 +328,21 @@ def publish_state(t: Tables):
 
 
 @query("""
-    WITH r AS (SELECT o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 5) AS known FROM orders)
-    SELECT 'success' AS report, CAST(count(*) AS bigint) AS n_rows FROM r WHERE known
-    UNION ALL
-    SELECT 'fallout', count(*) FROM r WHERE NOT known
-    UNION ALL
-    SELECT 'unknown', 0 FROM r WHERE FALSE""")
+    WITH r AS (SELECT o_orderkey, o_orderstatus,
+                      o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 5) AS known FROM orders)
+    SELECT o_orderkey, o_orderstatus, known AS "RESULTS_success",
+           CASE WHEN known THEN CAST(o_orderkey AS varchar) END AS "RESULTS_id", FALSE AS "RESULTS_created",
+           CASE WHEN NOT known THEN 'unknown_key' END AS "RESULTS_errors",
+           CASE WHEN known THEN 'success' ELSE 'fallout' END AS report
+    FROM r""")
 def dml_reports(t: Tables):
     """The reports of a delete, read back: every row that was sent is in one of them."""
     output = shared_path(t.spark, "dml")
     target = t.lineitem.filter("l_linenumber = 5").selectExpr("l_orderkey AS o_orderkey")
     orders = t.orders.select("o_orderkey", "o_orderstatus")
     results = outcomes.perform("delete", target, orders, "o_orderkey").results
-    submit.report(submit.split_results(results), output)
-    read = [
-        sources.read_csv(t.spark, f"{output}/{name}", "o_orderkey bigint").withColumn("report", F.lit(name))
-        for name in ("success", "fallout", "unknown")
-    ]
-    return reshape.union_all(read).groupBy("report").agg(F.count(F.lit(1)).alias("n_rows"))
+    submit.write_reports(results, output)
+    return submit.read_reports(t.spark, output, results.schema)
 
 
 @query("SELECT doc_id, text FROM documents")

@@ -65,6 +65,20 @@ def test_totals(sent):
     assert rows == [(0, 7, 3, 7, 3), (1, 8, 2, 15, 5), (2, 3, 2, 18, 7)]
 
 
+def test_reports_in_one_write(spark, tmp_path):
+    rows = [(1, "NA", True, None), (2, "", False, "line\nbreak"), (3, None, None, None), (4, "\\N", False, '"q",')]
+    df = spark.createDataFrame(rows, "id int, text string, RESULTS_success boolean, RESULTS_errors string")
+    submit.write_reports(df, str(tmp_path))
+    names = {True: "success", False: "fallout", None: "unknown"}
+    assert {p.name for p in (tmp_path / "reports").iterdir() if p.is_dir()} == {f"report={n}" for n in names.values()}
+    got = submit.read_reports(spark, str(tmp_path), df.schema)
+    assert sorted(map(tuple, got.collect())) == [(*r, names[r[2]]) for r in rows]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        submit.write_reports(df, str(tmp_path))
+    submit.write_reports(df.filter("id = 1"), str(tmp_path), "overwrite")
+    assert submit.read_reports(spark, str(tmp_path), df.schema).count() == 1
+
+
 def test_run_dml_sends_once(spark, sent, tmp_path):
     log = tmp_path / "calls"
     log.mkdir()
