@@ -9,6 +9,7 @@ is verified by the overlap of its question and answer with the passage.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ OVERLAP = 0.5
 #: A question that is found to this part needs no answer.
 SURE = 0.8
 BLOCK = 16
-#: Bytes of items that one index holds; more items take more passes, each with its own broadcast.
+#: Words of the shortest passages' step; longer items have steps of the next power of two.
+LEAST_STEP = 8
+#: Bytes of items that are searched at once; more items take more passes, each with its own broadcast.
 INDEX_BYTES = 16 << 20
 
 
@@ -63,14 +66,17 @@ def _word_runs(words: np.ndarray) -> np.ndarray:
 class Index:
     """Inverted index of items with normalised impacts, their maxima by list and by block."""
 
-    def __init__(self, items: list[tuple], frequency: dict[int, int], total: int, average: float, threshold: float):
+    def __init__(
+        self, items: list[tuple], frequency: dict[int, int], total: int, average: float, threshold: float,
+        step: int = LEAST_STEP,
+    ):
+        self.step = step
         self.ids = [item[0] for item in items]
         questions = _word_lists([item[1] for item in items])
         answers = _word_lists([item[2] for item in items])
         self.questions = [_word_runs(q) for q in questions]
         self.answers = [_word_runs(a) for a in answers]
         self.threshold = threshold
-        self.longest = max((len(q) + len(a) for q, a in zip(questions, answers)), default=0)
         owners, terms, weights = [], [], []
         for item, (q, a) in enumerate(zip(questions, answers)):
             words = np.concatenate([q, a])
@@ -169,43 +175,40 @@ class Index:
             cursors = moved
         return found
 
-    def leaks(self, column: pa.Array) -> Iterator[tuple[int, int, float, float, float, int]]:
-        """Of a text column: row, item, score, question and answer overlap, passage's first word.
+    def leaks(self, words: Words) -> Iterator[tuple[int, int, float, float, float, int]]:
+        """Of some texts' words: text, item, score, question and answer overlap, passage's first word.
 
-        Passages are runs of twice the longest item's words that start at every
-        multiple of its words, so each place where an item could stand lies
-        within one of them.
+        Passages are runs of two steps that start at every multiple of a step. No item
+        has more words than a step, so each place where one could stand lies
+        within a passage.
         """
         if not len(self.terms):
             return
-        step = max(self.longest, 8)
-        for low, _, data, offsets in lots(column):
-            words = Words(data, offsets)
-            if not len(words.hash):
-                continue
-            place = np.minimum(np.searchsorted(self.terms, words.hash), len(self.terms) - 1)
-            known = self.terms[place] == words.hash
-            start = np.cumsum(words.counts) - words.counts
-            rows, first = self._able(words, place, known, start, step)
-            end = np.minimum(first + 2 * step, start[rows] + words.counts[rows])
-            best: dict[tuple[int, int], tuple] = {}
-            for row, a, b in zip(rows.tolist(), first.tolist(), end.tolist()):
-                query = np.unique(place[a:b][known[a:b]])
-                passage = None
-                for item, score in self.search(query.tolist()):
-                    if passage is None:
-                        passage = _word_runs(words.hash[a:b])
-                    question, answer = (
-                        self._overlap(x, passage, words.hash[a:b]) for x in (self.questions[item], self.answers[item])
-                    )
-                    if question < OVERLAP or (answer < OVERLAP and question < SURE):
-                        continue
-                    value = (min(score * self.threshold, 1.0), question, answer, a - int(start[row]))
-                    key = (row, item)
-                    if key not in best or value[:3] > best[key][:3]:
-                        best[key] = value
-            for (row, item), value in sorted(best.items()):
-                yield low + row, item, *value
+        step = self.step
+        place = np.minimum(np.searchsorted(self.terms, words.hash), len(self.terms) - 1)
+        known = self.terms[place] == words.hash
+        start = np.cumsum(words.counts) - words.counts
+        rows, first = self._able(words, place, known, start, step)
+        end = np.minimum(first + 2 * step, start[rows] + words.counts[rows])
+        best: dict[tuple[int, int], tuple] = {}
+        for row, a, b in zip(rows.tolist(), first.tolist(), end.tolist()):
+            query = np.unique(place[a:b][known[a:b]])
+            passage = None
+            for item, score in self.search(query.tolist()):
+                if passage is None:
+                    passage = _word_runs(words.hash[a:b])
+                question, answer = (
+                    self._overlap(x, passage, words.hash[a:b]) for x in (self.questions[item], self.answers[item])
+                )
+                if question < OVERLAP or (answer < OVERLAP and question < SURE):
+                    continue
+                value = (min(score * self.threshold, 1.0), question, answer, a - int(start[row]))
+                key = (row, item)
+                # Of equal passages the first one stays.
+                if key not in best or value[:3] > best[key][:3]:
+                    best[key] = value
+        for (row, item), value in sorted(best.items()):
+            yield row, item, *value
 
     def _able(self, words: Words, place, known, start, step) -> tuple[np.ndarray, np.ndarray]:
         """Passages (text and first word) in which some item may reach one.
@@ -249,13 +252,35 @@ class Index:
         return float(found.mean())
 
 
-def build_indexes(items: DataFrame, threshold: float = THRESHOLD, index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
-    """Indexes over all items (item_id, question, answer), each of about `index_bytes` of text at most.
+class Indexes:
+    """Indexes of several item lengths, which go over a task's texts together."""
+
+    def __init__(self, parts: list[Index]):
+        self.parts = parts
+
+    def leaks(self, column: pa.Array) -> Iterator[tuple]:
+        """Of a text column: row, item's id, score, question and answer overlap, passage's first word."""
+        for low, _, data, offsets in lots(column):
+            words = Words(data, offsets)
+            if len(words.hash):
+                for index in self.parts:
+                    for row, item, *value in index.leaks(words):
+                        yield low + row, index.ids[item], *value
+
+
+def build_indexes(items: DataFrame, threshold: float = THRESHOLD, index_bytes: int = INDEX_BYTES) -> Iterator[Indexes]:
+    """Indexes over all items (item_id, question, answer), together about `index_bytes` of text at a time.
 
-    Document frequencies and the average length are those of all items.
+    Items are indexed by their length: the passages of an item have twice as many
+    words as the next power of two above its own, so what is found of
+    it does not depend on other items. Document frequencies and the average length are those
+    of all items. Which items lie in one index changes nothing either.
     """
     text = F.concat_ws(" ", "question", "answer")
     frame = items.select("item_id", "question", "answer").withColumn("text", text)
+    words = F.greatest(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(LEAST_STEP))
+    digits = F.length(F.bin(words.cast("long") - 1))
+    frame = frame.withColumn("step", F.pow(F.lit(2), digits).cast("int"))
 
     @tidy
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,15 +306,29 @@ def build_indexes(items: DataFrame, threshold: float = THRESHOLD, index_bytes: i
 
     words = frame.select("text").mapInArrow(lengths, "words long").agg(F.sum("words").alias("w")).first()["w"]
     average = max((words or 0) / sizes["items"], 1.0)
-    parts = 1 + (sizes["bytes"] or 0) // index_bytes
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    for k in range(parts):
-        some = frame.where(part == k) if parts > 1 else frame
+    # What is collected here is at most one row for each length class, then `index_bytes` of items at a time.
+    classes = frame.groupBy("step").agg(F.sum(F.octet_length("text")).alias("bytes")).orderBy("step").collect()
+    units = []
+    for row in classes:
+        parts = 1 + (row["bytes"] or 0) // index_bytes
+        units += [(row["step"], k, parts, (row["bytes"] or 0) / parts) for k in range(parts)]
+    while units:
+        chosen, size = [units.pop(0)], 0.0
+        while units and size + chosen[-1][3] + units[0][3] <= index_bytes:
+            size += chosen[-1][3]
+            chosen.append(units.pop(0))
+        part = F.xxhash64("item_id", "text")
+        some = frame.where(
+            reduce(lambda a, b: a | b, ((F.col("step") == s) & (F.pmod(part, F.lit(n)) == k) for s, k, n, _ in chosen))
+        )
         own = some.select("text").mapInArrow(terms, "term long, length long").select("term").distinct()
         frequency = {r["term"] % 2**64: r["count"] for r in own.join(held, "term").collect()}
-        rows = [(r["item_id"], r["question"], r["answer"]) for r in some.collect()]
-        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2] or ""))
-        yield Index(rows, frequency, sizes["items"], average, threshold)
+        rows = [(r["step"], r["item_id"], r["question"], r["answer"]) for r in some.collect()]
+        rows.sort(key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2] or "", r[3] or ""))
+        steps = {s: [r[1:] for r in rows if r[0] == s] for s in dict.fromkeys(r[0] for r in rows)}
+        yield Indexes(
+            [Index(own_rows, frequency, sizes["items"], average, threshold, s) for s, own_rows in steps.items()]
+        )
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -298,9 +337,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     An item is found if some passage reaches `threshold` of the BM25 score that
     the item's own text gets, and holds enough of its question and answer: runs
     of RUN words, OVERLAP of both, or SURE of the question. `first_word` is where
-    the best such passage starts. All words of all texts are searched. NULL and
-    empty texts and items hold nothing; repeated rows are reported again;
-    without items or documents there are no rows.
+    the best such passage starts, the first of equal ones. All words of all texts are searched. NULL and
+    empty texts and items hold nothing; repeated rows are reported again, as are
+    items with equal ids; without items or documents there are no rows.
     """
     spark = docs.sparkSession
     schema = (
@@ -320,7 +359,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(columns[0], pa.int64())),
-                        pa.array([state.value.ids[k] for k in columns[1]], pa.int64()),
+                        pa.array(columns[1], pa.int64()),
                         *(pa.array(c, pa.float64()) for c in columns[2:5]),
                         pa.array(columns[5], pa.int64()),
                     ],

@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 from drover.llm.components import components
 from drover.llm.keyfilter import in_filter, key_filter
 from drover.llm.text import Words, lots, mix, runs, shingles, tidy
+from drover.operators.reconcile import match_grouped
 from drover.session import stage
 
 WORDS = 5
@@ -384,7 +385,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "key", "least", F.coalesce("root", "key").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("key", "component_id")
+    # Compared as structs, so that Spark shuffles the grouped side anew and can split a group of many classes.
+    least = least.withColumnRenamed("root", "group")
+    named = rooted.join(least, match_grouped(["root"], ["group"])).select("key", "component_id")
     linked = rows.where("n > 0").join(named, "key")
     alone = rows.where("n = 0")
     return linked.selectExpr(
