@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -24,10 +24,12 @@ MOST_PART = 0.1
 LEVELS = 12
 SUBSETS = 16
 DIGITS = 2
-#: Distinct words in the band that a text needs to be told by them alone.
-LEAST_TERMS = 8
+#: Levels whose subsets hold one term in SUBSETS or less. At these all words are hashed too, dealt to
+#: subsets that share no word, and at these fingerprints are compared.
+SPARSE = SUBSETS.bit_length() - 1
+WIDTH = (2 * LEVELS - SPARSE) * SUBSETS
 
-_SALTS = np.random.default_rng(41).integers(1, 2**63, SUBSETS, dtype=np.uint64)
+_SALTS = np.random.default_rng(41).integers(1, 2**63, SUBSETS + 1, dtype=np.uint64)
 
 
 def distinct_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,27 +82,43 @@ def lexicon(docs: DataFrame, least_part: float = LEAST_PART, most_part: float =
     return np.sort(found.column("term").to_numpy().view(np.uint64))
 
 
-def imatch(texts: pa.Array, band: np.ndarray) -> list[str]:
-    """Fingerprint of each text: a hash of DIGITS hex digits for every level and subset.
+def _digest(drawn: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """1 to 255 for each run of drawn terms."""
+    modulus = np.uint64(16**DIGITS - 1)
+    return mix(np.add.reduceat(mix(drawn), first)) % modulus + np.uint64(1)
+
 
-    The distinct terms inside the band are sorted and hashed for every lexicon
-    subset; 0 stands for a subset without a term of the text. A text with
-    fewer than LEAST_TERMS words in the band is fingerprinted by all its words.
+def imatch(texts: pa.Array, band: np.ndarray) -> np.ndarray:
+    """Fingerprints as a table of bytes: a row for each text, WIDTH columns.
+
+    The distinct terms inside the band are sorted and hashed for every level and
+    lexicon subset; 0 stands for a subset without a term of the text. Then, for
+    every text alike, all its distinct words are hashed at the sparse levels, so
+    that texts which share the few words that they have in the band differ.
     """
-    prints: list[str] = []
-    modulus = np.uint64(16**DIGITS - 1)
+    parts = [np.zeros((0, WIDTH), dtype=np.uint8)]
     for at, end, data, offsets in lots(texts):
         owner, term = distinct_terms(data, offsets)
-        count = end - at
+        table = np.zeros((end - at, WIDTH), dtype=np.uint8)
+        drawn = mix(term ^ _SALTS[SUBSETS])
+        cell = owner * SUBSETS + (drawn % np.uint64(SUBSETS)).astype(np.int64)
+        order = np.argsort(cell, kind="stable")
+        drawn, cell = drawn[order], cell[order]
+        for level in range(SPARSE, LEVELS):
+            if level > SPARSE:
+                chosen = (drawn & np.uint64(1 << (level - 1))) == 0
+                drawn, cell = drawn[chosen], cell[chosen]
+            first = runs(cell)
+            if not len(first):
+                break
+            row, subset = np.divmod(cell[first], SUBSETS)
+            table[row, (LEVELS + level - SPARSE) * SUBSETS + subset] = _digest(drawn, first)
         inside = np.zeros(len(term), dtype=bool)
         if len(band):
             place = np.minimum(np.searchsorted(band, term), len(band) - 1)
             inside = band[place] == term
-        few = np.bincount(owner[inside], minlength=count) < LEAST_TERMS
-        inside |= few[owner]
         owner, term = owner[inside], term[inside]
-        table = np.zeros((count, LEVELS * SUBSETS), dtype=np.uint64)
-        for k, salt in enumerate(_SALTS):
+        for k, salt in enumerate(_SALTS[:SUBSETS]):
             drawn, who = mix(term ^ salt), owner
             for level in range(LEVELS):
                 if level:  # one more zero bit: half of the terms stay
@@ -109,46 +127,65 @@ def imatch(texts: pa.Array, band: np.ndarray) -> list[str]:
                 first = runs(who)
                 if not len(first):
                     break
-                sums = mix(np.add.reduceat(mix(drawn), first))
-                table[who[first], level * SUBSETS + k] = sums % modulus + np.uint64(1)
-        prints += [row.tobytes().hex() for row in table.astype(np.uint8)]
-    return prints
+                table[who[first], level * SUBSETS + k] = _digest(drawn, first)
+        parts.append(table)
+    return np.concatenate(parts)
 
 
-def likeness(a: str, b: str) -> float:
-    """Part of the lexicon subsets on which two fingerprints agree, 0 to 1.
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Part of the lexicon subsets on which fingerprints agree, 0 to 1, row by row.
 
-    Taken at the sparsest level where half of the subsets have a term of either
-    text: subsets with about one term each survive small edits. Equal
-    fingerprints have likeness 1, also empty ones.
+    Both for the band and for all words, subsets are compared at the sparsest
+    level where half of them have a term of either text: subsets with about one
+    term each survive small edits. Where no level has that many, the first
+    sparse one is taken, whose subsets number about as many as the terms; so a
+    band with few terms of the two texts says little. Equal fingerprints have
+    likeness 1, also empty ones.
     """
-    if a == b:
-        return 1.0
-    empty = "0" * DIGITS
-    for level in reversed(range(LEVELS)):
-        places = range(level * SUBSETS * DIGITS, (level + 1) * SUBSETS * DIGITS, DIGITS)
-        pairs = [(a[i : i + DIGITS], b[i : i + DIGITS]) for i in places]
-        held = [x == y for x, y in pairs if (x, y) != (empty, empty)]
-        if 2 * len(held) >= SUBSETS:
-            return sum(held) / len(held)
-    return 0.0
+    held = np.zeros(len(a), dtype=np.int64)
+    same = np.zeros(len(a), dtype=np.int64)
+    shape = (len(a), LEVELS - SPARSE, SUBSETS)
+    for begin in (SPARSE * SUBSETS, LEVELS * SUBSETS):
+        x, y = (t[:, begin : begin + shape[1] * SUBSETS].reshape(shape) for t in (a, b))
+        some = (x | y) != 0
+        filled = some.sum(axis=2)
+        enough = 2 * filled >= SUBSETS
+        level = np.where(enough.any(axis=1), shape[1] - 1 - enough[:, ::-1].argmax(axis=1), 0)
+        row = np.arange(len(a))
+        held += filled[row, level]
+        same += ((x == y) & some).sum(axis=2)[row, level]
+    equal = (a == b).all(axis=1)
+    return np.where(equal, 1.0, same / np.maximum(held, 1))
+
+
+def _binary(table: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in table], pa.binary())
 
 
 def fingerprint(docs: DataFrame, band: np.ndarray) -> DataFrame:
-    """Adds `fingerprint`, in place of a column of that name; NULL texts count as empty."""
+    """Adds `fingerprint` as hex digits, in place of a column of that name.
+
+    NULL texts count as empty, whose fingerprint is all zeros. Rows with equal
+    texts get equal fingerprints; an empty table gives an empty one.
+    """
     docs = docs.drop("fingerprint")
     state = docs.sparkSession.sparkContext.broadcast(band)
 
     @tidy
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = pa.array(imatch(batch.column(1), state.value), pa.string())
+            prints = _binary(imatch(batch.column(1), state.value))
             yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["row", "fingerprint"])
 
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     frame = docs.select(row, "text")
     kind = frame.schema["row"].dataType.simpleString()
-    return frame.mapInArrow(task, f"row {kind}, fingerprint string").select("row.*", "fingerprint")
+    found = frame.mapInArrow(task, f"row {kind}, fingerprint binary")
+    return found.select("row.*", _hex("fingerprint"))
+
+
+def _hex(name: str) -> Column:
+    return F.lower(F.hex(name)).alias(name)
 
 
 EDIT_FIELDS = pa.schema(
@@ -156,8 +193,8 @@ EDIT_FIELDS = pa.schema(
         ("doc_id", pa.int64()),
         ("n_chars", pa.int64()),
         ("edited_sha256", pa.string()),
-        ("fingerprint", pa.string()),
-        ("edited_fingerprint", pa.string()),
+        ("fingerprint", pa.binary()),
+        ("edited_fingerprint", pa.binary()),
         ("near_edited", pa.float64()),
         ("near_next", pa.float64()),
         ("task", pa.int32()),
@@ -174,10 +211,11 @@ def _compare(ids: list, texts: list[str], band: np.ndarray) -> list[tuple]:
         part = len(text) // 4
         edited.append(text[: len(text) - part] + after[:part])
     prints = imatch(pa.array(edited, pa.string()), band)
+    near_edited, near_next = likeness(own[:-1], prints), likeness(own[:-1], own[1:])
     return [
         (
-            ids[k], len(texts[k]), hashlib.sha256(edited[k].encode()).hexdigest(), own[k], prints[k],
-            likeness(own[k], prints[k]), likeness(own[k], own[k + 1]),
+            ids[k], len(texts[k]), hashlib.sha256(edited[k].encode()).hexdigest(), own[k].tobytes(),
+            prints[k].tobytes(), float(near_edited[k]), float(near_next[k]),
         )
         for k in range(len(edited))
     ]
@@ -266,4 +304,7 @@ def compare_with_edits(docs: DataFrame, band: np.ndarray) -> DataFrame:
                 yield batch_of([(*r, None, None) for r in _compare([doc_id] * 2, both, state.value)])
 
     whole = found.where("packed IS NULL").unionByName(pairs.mapInArrow(across, schema))
-    return whole.drop("task", "packed")
+    return whole.select(
+        "doc_id", "n_chars", "edited_sha256", _hex("fingerprint"), _hex("edited_fingerprint"),
+        "near_edited", "near_next",
+    )

@@ -159,13 +159,79 @@ def test_fingerprint_lexicon_is_exact(spark, docs):
     assert fingerprints.lexicon(docs, least / len(texts), most / len(texts)).tolist() == expected
 
 
-def test_fingerprints_of_unlike_texts_that_share_their_band_words():
-    texts = ["shared rare1 rare2 rare3 rare4", "other1 other2 other3 shared other4 other5"]
-    words = Words(*utf8(pa.array(["shared " + " ".join(f"w{k}" for k in range(20))])))
-    a, b = fingerprints.imatch(pa.array(texts), np.sort(words.hash))
-    assert fingerprints.likeness(a, b) < 0.5
-    long = " ".join(f"w{k}" for k in range(8))  # told by the band alone, as before
-    assert len(set(fingerprints.imatch(pa.array([long, long + " rare1"]), np.sort(words.hash)))) == 1
+def plain_mix(value):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        value = (value ^ value >> shift) * factor % 2**64
+    return value
+
+
+def plain_print(terms, band):
+    """Fingerprint of a set of word hashes, subset by subset."""
+    *salts, last = fingerprints._SALTS.tolist()
+    sixteen, levels = fingerprints.SUBSETS, fingerprints.LEVELS
+
+    def entry(drawn):
+        total = plain_mix(sum(map(plain_mix, drawn)) % 2**64)
+        return total % 255 + 1 if drawn else 0
+
+    out = []
+    for level in range(levels):
+        for salt in salts:
+            drawn = [plain_mix(t ^ salt) for t in terms if t in band]
+            out.append(entry([d for d in drawn if d % 2**level == 0]))
+    for level in range(fingerprints.SPARSE, levels):
+        for subset in range(sixteen):
+            drawn = [d for d in (plain_mix(t ^ last) for t in terms) if d % sixteen == subset]
+            out.append(entry([d for d in drawn if (d >> 4) % 2 ** (level - 4) == 0]))
+    return out
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    pairs, sixteen = [], fingerprints.SUBSETS
+    for begin in (4 * sixteen, fingerprints.LEVELS * sixteen):
+        found = []
+        for level in range(fingerprints.LEVELS - 4):
+            at = begin + level * sixteen
+            held = [(x, y) for x, y in zip(a[at : at + sixteen], b[at : at + sixteen]) if x or y]
+            if level == 0 or 2 * len(held) >= sixteen:
+                found = held
+        pairs += found
+    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+
+def test_fingerprints_like_plain_ones(spark, docs):
+    band = fingerprints.lexicon(docs)
+    held, texts = set(band.tolist()), [r["text"] or "" for r in docs.collect()][:40] + [t or "" for t in TEXTS]
+    words = Words(*utf8(pa.array(texts)))
+    table = fingerprints.imatch(pa.array(texts), band)
+    assert table.shape == (len(texts), fingerprints.WIDTH)
+    plain = [plain_print(set(words.hash[words.text == t].tolist()), held) for t in range(len(texts))]
+    assert table.tolist() == plain
+    near = fingerprints.likeness(table, np.roll(table, -1, axis=0))
+    expected = [plain_likeness(a, b) for a, b in zip(plain, [*plain[1:], plain[0]])]
+    assert near.tolist() == pytest.approx(expected)
+    columns = docs.limit(30).select("doc_id", "text")
+    shown = {r["doc_id"]: (r["text"], r["fingerprint"]) for r in fingerprints.fingerprint(columns, band).collect()}
+    for text, hexed in shown.values():
+        assert hexed == bytes(fingerprints.imatch(pa.array([text], pa.string()), band)[0]).hex()
+
+
+def test_likeness_is_steady_as_band_words_come_and_go():
+    rng = np.random.default_rng(3)
+    band = [f"b{k}" for k in range(20)]
+    hashes = np.sort(Words(*utf8(pa.array([" ".join(band)]))).hash)
+    for count in range(0, 13):  # an edit that takes one of the band words away
+        texts = []
+        for _ in range(40):
+            rare = [f"r{x}" for x in rng.integers(0, 10**9, 60)]
+            inside = list(rng.choice(band, count, replace=False))
+            texts += [" ".join(inside + rare), " ".join(inside[1:] + rare), " ".join(inside + [f"q{x}" for x in rng.integers(0, 10**9, 60)])]
+        table = fingerprints.imatch(pa.array(texts), hashes)
+        assert fingerprints.likeness(table[0::3], table[1::3]).mean() > 0.7
+        # Unlike texts that share all their words in the band agree on those alone.
+        assert fingerprints.likeness(table[0::3], table[2::3]).mean() < 0.7
 
 
 def test_fingerprints_of_odd_rows(spark):
