@@ -1,10 +1,11 @@
 """Joins that tell where a row came from, diffs, lookup filters and key checks.
 
-Keys match null-safely: a NULL key finds a NULL key. Outer joins are put
-together from an inner join and anti joins against distinct keys, because
-Spark can split a hot key of either side in an inner join and of the probed
-side in an anti join, but not in a full outer join. The distinct keys are
-pre-aggregated before they are shuffled.
+Keys match null-safely: a NULL key finds a NULL key. Spark can split a hot key
+of either side in an inner join and of the probed side in an anti join, but
+not in a full outer join. So a sketch of both sides finds the heavy keys
+first: their rows are dealt to many tasks in an inner join, and all others go
+through one outer join. Diffs, and merges on keys that can't be hashed alike, are
+put together from an inner join and anti joins against distinct keys.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drover.operators.ordering import all_of, col, names
+from drover.operators import heavy
+from drover.operators.ordering import all_of, col, fresh, names
 
 PROVENANCE = "_merge"
 
@@ -122,6 +124,53 @@ class _Layout:
         return self.select(joined, ("left", "right"), tag if provenance else None)
 
 
+    def keys(self, side: str) -> list[Column]:
+        return [self.value(side, k) for k in self.on[side]]
+
+    def rest(self, left: DataFrame, right: DataFrame, how: str, provenance: bool) -> DataFrame:
+        """One plain outer join of rows of the two sides."""
+        found = fresh([*left.columns, *right.columns], "_found")
+        sides = [df.withColumn(found, F.lit(True)).alias(a) for df, a in ((left, "_l"), (right, "_r"))]
+        joined = sides[0].join(sides[1], self.condition(), "full" if how == "outer" else how)
+        tag = (
+            F.when(F.col(f"_l.{found}").isNull(), "right_only")
+            .when(F.col(f"_r.{found}").isNull(), "left_only")
+            .otherwise("both")
+        )
+        return self.select(joined, ("left", "right"), tag if provenance else None)
+
+    def outer(self, how: str, provenance: bool, least_rows: int) -> DataFrame:
+        """A left, right or full join: heavy keys dealt to many tasks, one plain join of all others."""
+        counts = {s: heavy.heavy_keys(df, self.keys(s), least_rows=least_rows) for s, df in self.sides()}
+        found = counts["left"] | counts["right"]
+        if not found:
+            return self.rest(self.left, self.right, how, provenance)
+        key = {s: heavy.key_hash(self.keys(s)) for s in ("left", "right")}
+        cut = {s: heavy.split(df, key[s], found) for s, df in self.sides()}
+        merged = self.rest(cut["left"][1], cut["right"][1], how, provenance)
+
+        salted = heavy.salted(
+            cut["left"][0], cut["right"][0], key["left"], key["right"], counts["left"], counts["right"]
+        )
+        meet = self.condition() & F.expr("_l._a = _r._a AND _l._b = _r._b")
+        both = self.select(
+            salted[0].join(salted[1], meet, "inner"), ("left", "right"), "both" if provenance else None
+        )
+        merged = merged.unionByName(both)
+        for side, other in (("left", "right"), ("right", "left")):
+            if how in (side, "outer"):
+                # Distinct heavy keys: at most as many as the sketch may find, so they can be sent to all.
+                listed = cut[other][0].select(*self.keys(other)).distinct().alias(f"_{other[0]}")
+                alone = cut[side][0].join(F.broadcast(listed), self.condition(), "left_anti")
+                merged = merged.unionByName(
+                    self.select(alone, (side,), f"{side}_only" if provenance else None)
+                )
+        return merged
+
+    def sides(self) -> tuple[tuple[str, DataFrame], tuple[str, DataFrame]]:
+        return ("left", self.left), ("right", self.right)
+
+
 def null_safe(left_on: Sequence[str], right_on: Sequence[str]) -> Column:
     return all_of([col(a).eqNullSafe(col(b)) for a, b in zip(left_on, right_on)])
 
@@ -154,13 +203,15 @@ def merge(
     suffixes: tuple[str, str] = ("_left", "_right"),
     indicator: bool = True,
     validate: str | None = None,
+    least_heavy: int = heavy.LEAST_ROWS,
 ) -> DataFrame:
     """Equi-join on paired keys, with `_merge` saying which side a row was found in.
 
     `how` is inner, left, right or outer. `validate` takes '1:1', '1:m',
     'm:1' or 'm:m' and raises `CardinalityError` if a "1" side repeats a key;
     it also lets a left or right join go as one plain join, and an outer join as
-    two in place of three.
+    two. Without it a sketch of each side's keys is taken first. Keys with less than
+    `least_heavy` rows aren't split, so that small frames join in one piece.
     """
     layout = _Layout(left, right, left_on, right_on, suffixes)
     left_is_unique = right_is_unique = False
@@ -182,6 +233,10 @@ def merge(
     parts = {"left": ("left",), "right": ("right",), "outer": ("left", "right")}
     if how not in parts:
         raise ValueError(f"unknown join: {how}")
+    if not (left_is_unique or right_is_unique) and heavy.hashable(
+        left, right, layout.on["left"], layout.on["right"]
+    ):
+        return layout.outer(how, indicator, least_heavy)
     other_is_unique = {"left": right_is_unique, "right": left_is_unique}
     if how == "outer" and (left_is_unique or right_is_unique):
         # One join keeps all rows of one side; only the other side's rest is missing.
