@@ -18,16 +18,17 @@ from drover.operators.ordering import col, fresh
 from drover.operators.quality import REASONS, tag_rejects
 from drover.operators.reconcile import match_grouped
 from drover.operators.submit import OPERATIONS, RESULT_PREFIX, SUCCESS
-from drover.session import stage
+from drover.session import stage_counted
 
 ERRORS = RESULT_PREFIX + "errors"
 
 
 class Applied(NamedTuple):
-    """Stored outcomes of every row, and the target's next rows."""
+    """Stored outcomes of every row, the target's next rows, and how many rows passed, failed and were created."""
 
     results: DataFrame
     state: DataFrame
+    totals: dict[str, int]
 
 
 def outcomes(
@@ -73,8 +74,17 @@ def perform(
     key: str,
     rules: Sequence[Column] = (),
 ) -> Applied:
-    """Outcomes of all rows, stored, and the target after the rows that succeeded."""
-    results = stage(outcomes(operation, rows, target, key, rules), f"{operation}-results")
+    """Outcomes of all rows, stored, and the target after the rows that succeeded.
+
+    The totals are counted by the tasks that store the outcomes.
+    """
+    results, totals = stage_counted(
+        outcomes(operation, rows, target, key, rules),
+        f"{operation}-results",
+        passed=col(SUCCESS),
+        failed=~col(SUCCESS),
+        created=col(RESULT_PREFIX + "created"),
+    )
     accepted = results.filter(SUCCESS).select(*[col(c) for c in rows.columns])
     if operation == "insert":
         state = dml.append_rows(target, accepted)
@@ -85,4 +95,4 @@ def perform(
         state = dml.keyed_update(target, accepted, key, changed, order_by=key)
     else:
         state = dml.delete_keys(target, accepted, key)
-    return Applied(results, state)
+    return Applied(results, state, totals)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from drover.operators.ordering import col, fresh, names
 from drover.operators.reconcile import match_grouped, repeated_keys
 from drover.schemas import TableSpec
-from drover.session import stage
+from drover.session import stage_counted
 
 REASONS = "reject_reasons"
 
@@ -22,6 +22,15 @@ class Checked(NamedTuple):
     rejected: DataFrame
 
 
+class Settled(NamedTuple):
+    """Stored parts, and the rows in each as counted when they were stored."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    n_accepted: int
+    n_rejected: int
+
+
 class ConstraintError(ValueError):
     """A frame breaks a rule of the table it is written to."""
 
@@ -96,13 +105,29 @@ def check_rows(
     check twice and a later change of the target does not change the outcome.
     Columns that the table lacks raise.
     """
+    if settle:
+        return Checked(*settled_rows(df, spec, target)[:2])
+    return _parts(_tagged(df, spec, target), spec)
+
+
+def settled_rows(df: DataFrame, spec: TableSpec, target: DataFrame | None = None) -> Settled:
+    """`check_rows` with `settle`, and the counts that the write took along."""
+    passed = F.size(REASONS) == 0
+    tagged, counts = stage_counted(
+        _tagged(df, spec, target), f"checked-{spec.name}", accepted=passed, rejected=~passed
+    )
+    return Settled(*_parts(tagged, spec), counts["accepted"], counts["rejected"])
+
+
+def _tagged(df: DataFrame, spec: TableSpec, target: DataFrame | None) -> DataFrame:
     unknown = [c for c in df.columns if c not in spec.columns]
     if unknown:
         raise ConstraintError(f"{spec.name} has no columns {unknown}")
     aligned = df.select(*[col(c) for c in spec.columns])
-    tagged = tag_rejects(aligned, spec_reasons(spec), spec.key, target)
-    if settle:
-        tagged = stage(tagged, f"checked-{spec.name}")
+    return tag_rejects(aligned, spec_reasons(spec), spec.key, target)
+
+
+def _parts(tagged: DataFrame, spec: TableSpec) -> Checked:
     good = tagged.filter(F.size(REASONS) == 0)
     typed = good.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
     return Checked(typed, tagged.filter(F.size(REASONS) > 0))
@@ -110,8 +135,15 @@ def check_rows(
 
 def require_valid(df: DataFrame, spec: TableSpec, target: DataFrame | None = None) -> DataFrame:
     """The typed rows, or `ConstraintError` if any row breaks a rule."""
-    accepted, rejected = check_rows(df, spec, target, settle=True)
-    sample = rejected.select(*[col(k) for k in spec.key], REASONS).limit(5).collect()
-    if sample:
-        raise ConstraintError(f"{spec.name}: {[r.asDict() for r in sample]}")
-    return accepted
+    return required_valid(df, spec, target).accepted
+
+
+def required_valid(df: DataFrame, spec: TableSpec, target: DataFrame | None = None) -> Settled:
+    """`require_valid` with counts; rejected rows are read for examples only if there are any."""
+    found = settled_rows(df, spec, target)
+    if found.n_rejected:
+        sample = found.rejected.select(*[col(k) for k in spec.key], REASONS).limit(5).collect()
+        raise ConstraintError(
+            f"{spec.name}: {found.n_rejected} rows, e.g. {[r.asDict() for r in sample]}"
+        )
+    return found

@@ -169,6 +169,45 @@ def stage_rejects(t: Tables):
     )
 
 
+@query("""
+    SELECT CAST(count(CASE WHEN c_nationkey <> 5 THEN 1 END) AS bigint) AS n_inserted,
+           CAST(count(CASE WHEN c_nationkey = 5 THEN 1 END) AS bigint) AS n_rejected FROM customer""")
+def insert_counts(t: Tables):
+    tag = uuid.uuid4().hex
+    staged = tables.create_table(t.spark, STAGING_TABLES["accounts"], f"stg_accounts_{tag}")
+    try:
+        rows = load.staged_rows(load.source_rows(_accounts(t)), "accounts")
+        found = tables.insert_counted(rows, STAGING_TABLES["accounts"], staged, mode="quarantine")
+    finally:
+        tables.drop_table(t.spark, staged)
+    return t.spark.createDataFrame([found[1:]], "n_inserted long, n_rejected long")
+
+
+@query("""
+    WITH rows AS (
+        SELECT c_custkey, c_custkey % 4 = 0 OR EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS known
+        FROM customer)
+    SELECT CAST(count(*) AS bigint) AS passed, CAST(0 AS bigint) AS failed,
+           CAST(count(CASE WHEN NOT known THEN 1 END) AS bigint) AS created, 'upsert' AS operation FROM rows
+    UNION ALL SELECT count(CASE WHEN known THEN 1 END), count(CASE WHEN NOT known THEN 1 END), 0, 'update' FROM rows
+    UNION ALL SELECT count(CASE WHEN NOT known THEN 1 END), count(CASE WHEN known THEN 1 END),
+                     count(CASE WHEN NOT known THEN 1 END), 'insert' FROM rows""")
+def dml_totals(t: Tables):
+    target = (
+        t.customer.filter("c_custkey % 4 = 0")
+        .select("c_custkey")
+        .union(t.orders.selectExpr("o_custkey AS c_custkey"))
+        .distinct()
+        .withColumn("c_name", F.lit("known"))
+    )
+    rows = t.customer.select("c_custkey", "c_name")
+    found = []
+    for operation in ("upsert", "update", "insert"):
+        totals = outcomes.perform(operation, target, rows, "c_custkey").totals
+        found.append((totals["passed"], totals["failed"], totals["created"], operation))
+    return t.spark.createDataFrame(found, "passed long, failed long, created long, operation string")
+
+
 @query("""
     SELECT o_orderkey, c_name AS account_number_external_id, CAST(o_orderdate AS date) AS start_date,
            CAST(CAST(o_orderdate AS date) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS date) AS end_date

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,7 +47,25 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     Cuts the lineage before operators that pass over their input several
     times, and pins the outcome of steps that must not run twice.
     """
+    return stage_counted(df, purpose)[0]
+
+
+def stage_counted(
+    df: DataFrame, purpose: str = "stage", **conditions: Column
+) -> tuple[DataFrame, dict[str, int]]:
+    """`stage`, and how many of the rows meet each condition.
+
+    The counts are taken by the tasks that write, so they cost no pass of their
+    own. A task that is repeated counts once.
+    """
     spark = df.sparkSession
     path = shared_path(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    counts = {}
+    if conditions:
+        seen = Observation(f"{purpose}-{uuid.uuid4().hex}")
+        metrics = [F.count(F.when(c, True)).alias(n) for n, c in conditions.items()]
+        df.observe(seen, *metrics).write.parquet(path)
+        counts = seen.get
+    else:
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), {n: counts.get(n, 0) for n in conditions}

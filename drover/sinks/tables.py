@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
 from drover.operators.ordering import col
-from drover.operators.quality import check_rows, require_valid
+from drover.operators.quality import required_valid, settled_rows
 from drover.schemas import TableSpec
 
 
+class Inserted(NamedTuple):
+    """Rows that the table did not take, and how many rows it did and did not take."""
+
+    rejected: DataFrame
+    n_inserted: int
+    n_rejected: int
+
+
 def create_table(
     spark: SparkSession, spec: TableSpec, name: str | None = None, location: str | None = None
 ) -> str:
@@ -33,17 +42,25 @@ def insert(
     `fail` writes nothing if any row is bad. `quarantine` writes the good rows
     and returns the others with their reasons.
     """
+    rejected = insert_counted(df, spec, name, mode).rejected
+    return rejected if mode == "quarantine" else None
+
+
+def insert_counted(
+    df: DataFrame, spec: TableSpec, name: str | None = None, mode: str = "fail"
+) -> Inserted:
+    """`insert`, with the counts that the tasks took while they wrote the checked rows."""
     spark = df.sparkSession
     name = name or spec.name
     target = spark.table(name)
     if mode == "fail":
-        rows, rejected = require_valid(df, spec, target), None
+        found = required_valid(df, spec, target)
     elif mode == "quarantine":
-        rows, rejected = check_rows(df, spec, target, settle=True)
+        found = settled_rows(df, spec, target)
     else:
         raise ValueError(f"unknown mode: {mode}")
-    rows.select(*[col(c) for c in target.columns]).write.insertInto(name)
-    return rejected
+    found.accepted.select(*[col(c) for c in target.columns]).write.insertInto(name)
+    return Inserted(found.rejected, found.n_accepted, found.n_rejected)
 
 
 def _states(spark: SparkSession, name: str) -> str:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from drover.operators import quality
 from drover.schemas import ACCOUNTS, CONTACTS, CONTRACT_LINES, STAGING_TABLES
@@ -64,3 +65,20 @@ def test_require_valid(spark, lines):
         quality.require_valid(lines, CONTRACT_LINES)
     good = lines.filter("contract_line_number = '1'")
     assert quality.require_valid(good, CONTRACT_LINES).count() == 1
+
+
+def test_counts_come_with_the_write(spark):
+    from drover.session import stage_counted
+
+    df = spark.range(1000, numPartitions=7)
+    stored, counts = stage_counted(df, "counted", even=F.col("id") % 2 == 0, none=F.col("id") < 0, unknown=F.lit(None) > 1)
+    assert counts == {"even": 500, "none": 0, "unknown": 0} and stored.count() == 1000
+    stored, counts = stage_counted(df.limit(0), "counted", all=F.lit(True))
+    assert counts == {"all": 0} and stored.isEmpty()
+    lines = spark.createDataFrame([("a",), (None,)], "contract_line_number string")
+    for c in CONTRACT_LINES.columns:
+        if c not in lines.columns:
+            lines = lines.withColumn(c, F.lit(None).cast("string"))
+    found = quality.settled_rows(lines, CONTRACT_LINES)
+    assert (found.n_accepted, found.n_rejected) == (found.accepted.count(), found.rejected.count())
+    assert found.n_accepted + found.n_rejected == 2
