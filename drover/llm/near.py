@@ -348,7 +348,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     `component_id` is the least doc_id that links lead to, the own one included.
     Equal sets share a `class_key`. NULL, empty and blank texts have no set, a
     NULL key and no link. Repeated rows are one class, NULL ids count as larger
-    than others; an empty table gives an empty one. Whole texts are compared.
+    than others; an empty table gives an empty one. Whole texts are compared. Ranks
+    have 25 bits and sizes 27: a text of over 134 million distinct shingles isn't handled.
 
     Passes over the texts: one for sizes and frequencies, one for prefixes, two
     to fetch the sets that are compared. Fixed-size tables are broadcast.

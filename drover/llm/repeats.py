@@ -312,6 +312,7 @@ def find_repeats(docs: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
     once; for the others `low` and `high` are arrays of byte runs, which may
     overlap. Texts with nothing to remove have no row; NULL counts as empty, and
     texts shorter than LENGTH bytes keep everything. An empty table gives no row.
+    Places have 28 bits: in a text above 268 MB repeats can be missed.
     """
     copied = stage(_copied(docs), "repeats-copied")
     found = stage(_occurrences(docs), "repeats-anchors")
