@@ -40,6 +40,21 @@ def diff_provenance(t: Tables):
     return reconcile.merge(left, right, "c_custkey", "o_custkey", how="outer")
 
 
+@query("""
+    WITH l AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END AS k FROM orders),
+         r AS (SELECT c_name AS name, c_custkey AS k FROM customer WHERE c_custkey % 3 <> 0
+               UNION ALL SELECT s_name, -1 FROM supplier)
+    SELECT coalesce(l.k, r.k) AS k, o_orderkey, name,
+           CASE WHEN r.k IS NULL THEN 'left_only' WHEN l.k IS NULL THEN 'right_only' ELSE 'both' END AS _merge
+    FROM l FULL JOIN r ON l.k = r.k""")
+def merge_heavy_keys(t: Tables):
+    """One customer holds half of the orders, and one key without orders all suppliers."""
+    left = t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END AS k")
+    customers = t.customer.filter("c_custkey % 3 <> 0").selectExpr("c_name AS name", "c_custkey AS k")
+    right = customers.unionByName(t.supplier.selectExpr("s_name AS name", "-1L AS k"))
+    return reconcile.merge(left, right, "k", "k", how="outer", least_heavy=10)
+
+
 @query(DIFF_SQL + " WHERE _merge = 'both'")
 def diff_both(t: Tables):
     left, right = _credit_and_urgent(t)
