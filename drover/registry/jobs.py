@@ -180,7 +180,10 @@ def insert_counts(t: Tables):
         found = tables.insert_counted(rows, STAGING_TABLES["accounts"], staged, mode="quarantine")
     finally:
         tables.drop_table(t.spark, staged)
-    return t.spark.createDataFrame([found[1:]], "n_inserted long, n_rejected long")
+    return t.spark.range(1).select(
+        F.lit(found.n_inserted).cast("long").alias("n_inserted"),
+        F.lit(found.n_rejected).cast("long").alias("n_rejected"),
+    )
 
 
 @query("""
@@ -204,8 +207,9 @@ def dml_totals(t: Tables):
     found = []
     for operation in ("upsert", "update", "insert"):
         totals = outcomes.perform(operation, target, rows, "c_custkey").totals
-        found.append((totals["passed"], totals["failed"], totals["created"], operation))
-    return t.spark.createDataFrame(found, "passed long, failed long, created long, operation string")
+        counts = [F.lit(n).cast("long").alias(name) for name, n in totals.items()]
+        found.append(t.spark.range(1).select(*counts, F.lit(operation).alias("operation")))
+    return reshape.union_all(found)
 
 
 @query("""

@@ -5,6 +5,7 @@ import re
 import oracle
 import pytest
 
+from drover.operators import reconcile
 from drover.registry import ALL
 
 # Large enough for several chunks of events, orders and lines.
@@ -45,14 +46,22 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in plan
 
 
-def test_one_shuffle_per_side_in_a_full_merge(spark):
-    """The parts of an outer merge read the same shuffles."""
+@pytest.mark.parametrize("hashed", [True, False])
+def test_one_shuffle_per_side_in_a_full_merge(spark, hashed):
+    """An outer merge is one join; where keys can't be hashed alike, its parts read the same shuffles."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = ALL["diff_provenance"].run(spark, FOLDER)
+        if not hashed:
+            left = spark.read.parquet(f"{FOLDER}/customer.parquet").selectExpr("double(c_custkey) AS c", "c_name")
+            right = spark.read.parquet(f"{FOLDER}/orders.parquet").selectExpr("double(o_custkey) AS o", "o_orderkey")
+            df = reconcile.merge(left, right, "c", "o", how="outer")
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert plan.count("ReusedExchange") == 2
+        if hashed:
+            assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 2
+        else:
+            assert plan.count("ReusedExchange") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
