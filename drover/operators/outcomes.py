@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from drover.operators import dml
 from drover.operators.ordering import col, fresh
 from drover.operators.quality import REASONS, tag_rejects
-from drover.operators.reconcile import match_grouped
+from drover.operators.reconcile import match_grouped, with_keys, without_keys
 from drover.operators.submit import OPERATIONS, RESULT_PREFIX, SUCCESS
 from drover.session import stage_counted
 
@@ -45,17 +45,15 @@ def outcomes(
     """
     if operation not in OPERATIONS:
         raise ValueError(f"unknown operation: {operation}")
-    known = fresh([*rows.columns, REASONS], "_known")
-    listed = target.select(col(key).alias("_listed")).filter(F.col("_listed").isNotNull()).distinct()
-    flagged = rows.join(
-        listed.withColumn(known, F.lit(True)), match_grouped([key], ["_listed"]), "left"
-    ).drop("_listed")
-    reasons = [*rules, F.when(col(key).isNull(), f"null:{key}")]
+    listed, repeats, known = (fresh([*rows.columns, REASONS], n) for n in ("_listed", "_repeats", "_known"))
+    found = _found_keys(rows, target, key, listed, repeats, known)
+    flagged = rows.join(found, match_grouped([key], [listed]), "left").drop(listed)
+    reasons = [*rules, F.when(col(key).isNull(), f"null:{key}"), F.when(col(repeats), "duplicate_key")]
     if operation == "insert":
         reasons.append(F.when(col(known), "key_exists"))
     elif operation != "upsert":
         reasons.append(F.when(col(key).isNotNull() & col(known).isNull(), "unknown_key"))
-    tagged = tag_rejects(flagged, reasons, key)
+    tagged = tag_rejects(flagged, reasons)
     passed = F.size(REASONS) == 0
     created = {"insert": passed, "upsert": passed & col(known).isNull()}.get(operation, F.lit(False))
     return tagged.select(
@@ -67,6 +65,28 @@ def outcomes(
     )
 
 
+def _found_keys(
+    rows: DataFrame, target: DataFrame, key: str, listed: str, repeats: str, known: str
+) -> DataFrame:
+    """Each key of the rows once, with whether it repeats there and whether the target holds it (else NULL).
+
+    Both are told in one shuffle of the two sides' keys, folded before it.
+    """
+    asked = rows.select(col(key).alias(listed))
+    held = target.select(col(key).alias(listed))
+    if held.schema[listed].dataType != asked.schema[listed].dataType:
+        # Keys of other types are compared as the join does it.
+        held = with_keys(asked.distinct(), target, listed, key)
+    n = fresh([listed, repeats, known], "_n")
+    sides = asked.select(listed, F.lit(1).alias(n), F.lit(None).cast("boolean").alias(known)).unionByName(
+        held.select(listed, F.lit(0).alias(n), F.lit(True).alias(known))
+    )
+    counted = sides.filter(col(listed).isNotNull()).groupBy(listed).agg(
+        F.sum(n).alias(n), F.max(known).alias(known)
+    )
+    return counted.filter(col(n) > 0).select(listed, (col(n) > 1).alias(repeats), known)
+
+
 def perform(
     operation: str,
     target: DataFrame,
@@ -94,5 +114,6 @@ def perform(
         changed = [c for c in rows.columns if c != key]
         state = dml.keyed_update(target, accepted, key, changed, order_by=key)
     else:
-        state = dml.delete_keys(target, accepted, key)
+        # No key is accepted twice.
+        state = without_keys(target, accepted, key, unique=True)
     return Applied(results, state, totals)

@@ -105,6 +105,29 @@ def rows_to_purge(
     return rows.select(col(id_column))
 
 
+def _selected(
+    tables: Mapping[str, DataFrame], purges: Sequence[Purge], id_column: str = "Id"
+) -> dict[str, DataFrame]:
+    """Stored ids of every purge.
+
+    Rows whose parent is purged for the same ancestor's flag are found by the parent's stored ids.
+    """
+    selected: dict[str, DataFrame] = {}
+    stored: dict[Purge, DataFrame] = {}
+    for purge in purges:
+        above = None
+        if purge.path:
+            fk, parent = purge.path[0]
+            above = stored.get(Purge(parent, purge.path[1:]))
+        if above is None:
+            wanted = rows_to_purge(tables, purge, id_column=id_column)
+        else:
+            found = filter_by_lookup(tables[purge.table], [(fk, above, id_column)], F.lit(True))
+            wanted = found.select(col(id_column))
+        stored[purge] = selected[purge.table] = stage(wanted, f"purge-{purge.table}")
+    return selected
+
+
 def purge_all(
     tables: Mapping[str, DataFrame],
     submitter: Submitter,
@@ -114,7 +137,7 @@ def purge_all(
 ) -> dict[str, Outcome | None]:
     """Select the rows of every purge first, then delete them object by object, children last
     in the list going first."""
-    selected = {p.table: stage(rows_to_purge(tables, p), f"purge-{p.table}") for p in purges}
+    selected = _selected(tables, purges)
     return {
         p.table: run_dml(
             selected[p.table], submitter, "delete", "Id", f"{output}/{p.table}", run_id
@@ -174,7 +197,7 @@ def purge_states(
 
     All rows are selected, and stored, before the first delete.
     """
-    selected = {p.table: stage(rows_to_purge(tables, p), f"purge-{p.table}") for p in purges}
+    selected = _selected(tables, purges, id_column)
     return {
         p.table: perform("delete", tables[p.table], selected[p.table], id_column)
         for p in reversed(purges)

@@ -487,7 +487,8 @@ OBJECTS_SQL = """
 
 def _objects(t: Tables) -> dict[str, DataFrame]:
     line = "concat_ws('-', l_orderkey, l_linenumber, l_partkey)"
-    lines = t.lineitem.selectExpr("l_orderkey", f"{line} AS id").distinct()
+    # Two objects hold the lines, and each is read for its selection, its outcomes and its state.
+    lines = stage(t.lineitem.selectExpr("l_orderkey", f"{line} AS id").distinct(), "lines")
     flag = "AS Migrated_Record__c"
     return {
         "accounts": t.customer.selectExpr("concat('é', c_custkey) AS Id", f"c_mktsegment = 'MACHINERY' {flag}"),
