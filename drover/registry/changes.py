@@ -190,11 +190,12 @@ def insert_pk_check(t: Tables):
 
 @contextmanager
 def _bucketed(t: Tables, **tables: tuple[DataFrame, list[str]]):
-    """Names of bucketed tables, which are dropped in the end."""
+    """Names of bucketed tables, which are dropped in the end; buckets grow in number with the rows, not in size."""
     made = {name: f"{name}_{uuid.uuid4().hex}" for name in tables}
+    buckets = bucketed.buckets_for(*[df for df, _ in tables.values()], least=8)
     try:
         for name, (df, key) in tables.items():
-            bucketed.write_bucketed(df, made[name], key, 8)
+            bucketed.write_bucketed(df, made[name], key, buckets)
         yield made
     finally:
         for name in made.values():

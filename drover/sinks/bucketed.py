@@ -10,12 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from drover.operators.chunks import all_of, col, fresh, names
 
 BUCKETS = 200
+#: Rows that one task sorts and counts without needing more than some tens of MB.
+ROWS_PER_BUCKET = 500_000
+
+
+def buckets_for(*tables: DataFrame, least: int = 1, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """How many buckets tables that are checked against each other need, so that none outgrows a task.
+
+    Follows the rows of the largest one, without an upper limit.
+    """
+    rows = max(df.count() for df in tables)
+    return max(least, -(-rows // rows_per_bucket))
 
 
 def write_bucketed(df: DataFrame, name: str, key: str | Sequence[str], buckets: int = BUCKETS) -> str:
@@ -84,12 +95,11 @@ def check_keys(spark: SparkSession, staging: str, target: str, reasons: str = "r
     keys = _pair(spark, staging, target)
     rows = spark.table(staging)
     many, known = (fresh(rows.columns, n) for n in ("_many", "_known"))
-    counted = _keys_of(spark, staging).groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
-        F.count(F.lit(1)).alias(many)
-    )
+    # The count and the join use one sort of the bucket.
+    counted = rows.withColumn(many, F.count(F.lit(1)).over(Window.partitionBy(*map(col, keys))))
     held = _keys_of(spark, target).distinct().withColumn(known, F.lit(True))
-    found = rows.join(counted.hint("merge"), _same(keys), "left").drop(*[f"_k{i}" for i in range(len(keys))])
-    found = found.join(held.hint("merge"), _same(keys), "left")
+    found = counted.join(held.hint("merge"), _same(keys), "left")
     rules = [F.when(col(k).isNull(), f"null:{k}") for k in keys]
-    rules += [F.when(F.col(many) > 1, "duplicate_key"), F.when(F.col(known), "key_exists")]
+    repeated = all_of([col(k).isNotNull() for k in keys]) & (F.col(many) > 1)
+    rules += [F.when(repeated, "duplicate_key"), F.when(F.col(known), "key_exists")]
     return found.select(*map(col, rows.columns), F.array_compact(F.array(*rules)).alias(reasons))

@@ -77,3 +77,17 @@ def test_empty_tables(spark, table):
     assert bucketed.net_new_rows(spark, one, empty).count() == 2
     assert bucketed.net_new_rows(spark, empty, one).count() == 0
     assert bucketed.check_keys(spark, empty, one).count() == 0
+
+
+def test_buckets_follow_the_rows(spark):
+    few, many = spark.range(10), spark.range(1001)
+    assert bucketed.buckets_for(few, many, rows_per_bucket=100) == bucketed.buckets_for(many, rows_per_bucket=100) == 11
+    assert bucketed.buckets_for(few, least=8) == 8 and bucketed.buckets_for(spark.range(0)) == 1
+    assert bucketed.buckets_for(spark.range(50_000_000)) == 100
+
+
+def test_key_check_sorts_each_bucket_once(spark, pair):
+    _, staging, target = pair
+    text = plan(bucketed.check_keys(spark, staging, target)).partition("== Initial Plan")[0]
+    # One sort of the rows, for their count and their join, and one of the known keys.
+    assert text.count("Sort [") == 2 and text.count("SortMergeJoin") == 1
