@@ -32,6 +32,9 @@ from drover.operators.ordering import col, rank_in_group
 from drover.operators.reconcile import CardinalityError, repeated_keys
 
 ROWS_PER_RANGE = 1_000_000
+#: Ranges and rows that one task writes: small ranges share a task, whose start costs more than they do.
+RANGES_PER_TASK = 50
+ROWS_PER_TASK = 1_000_000
 RANGE = "_range"
 FOLDER = "_folder"
 END = "end"
@@ -138,14 +141,29 @@ class RangedTable:
         schema = json.dumps(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]).jsonValue())
         version = Version(0, key, schema, rows_per_range, ())
         ranges = max(1, -(-df.count() // rows_per_range))
-        dealt = self._dealt(df, key, ranges).withColumn(RANGE, F.spark_partition_id())
+        dealt = self._dealt(df, key, ranges, rows_per_range)
         return self._commit(replace(version, ranges=self._in_order(self._write(dealt, key, version))))
 
     @staticmethod
-    def _dealt(df: DataFrame, key: str, ranges: int) -> DataFrame:
+    def _tasks(ranges: int, rows_per_range: int) -> int:
+        """Tasks that write so many ranges, each some of them or at least one."""
+        together = max(1, min(RANGES_PER_TASK, ROWS_PER_TASK // rows_per_range))
+        return max(1, -(-ranges // together))
+
+    @classmethod
+    def _dealt(cls, df: DataFrame, key: str, ranges: int, rows_per_range: int) -> DataFrame:
+        """The rows with their RANGE, some ranges to a task, which cuts them by the place of its sorted rows."""
         # The rows of a hot key are told apart by their hash.
         order = [col(key), F.xxhash64(*map(col, df.columns))]
-        return df.repartitionByRange(ranges, *order) if ranges > 1 else df.repartition(1)
+        tasks = cls._tasks(ranges, rows_per_range)
+        dealt = df.repartitionByRange(tasks, *order) if tasks > 1 else df.repartition(1)
+        if tasks == ranges:
+            return dealt.withColumn(RANGE, F.spark_partition_id().cast("long"))
+        numbered = dealt.sortWithinPartitions(*order)
+        # The upper bits number the partition, the lower 33 its rows.
+        place = F.monotonically_increasing_id()
+        inside = F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(rows_per_range))
+        return numbered.withColumn(RANGE, F.shiftright(place, 33) * F.lit(1 << 33) + inside)
 
     def _write(self, rows: DataFrame, key: str, version: Version, then: Sequence[str] = ()) -> list[Range]:
         """Write rows by RANGE (and `then`) and describe what was written."""
@@ -224,19 +242,20 @@ class RangedTable:
             old = self._of(version, []).withColumn(FOLDER, F.lit("").cast("string"))
         # New keys of an empty table, and NULL ones, make a range of their own.
         place = {r.folder: k for k, r in enumerate(hit)}
-        numbers = F.from_json(F.lit(json.dumps(place)), "map<string,int>")
-        number = F.coalesce(F.element_at(numbers, col(FOLDER)), F.lit(len(hit)))
+        number = self._looked_up(place, col(FOLDER))
         if new and hit:
             kind = T.StructType.fromJson(json.loads(version.schema))[key].dataType.simpleString()
             # The last range at or below the key, of all ranges; it is among the touched ones.
             ranges = self._bounded(version)
-            folders = F.from_json(F.lit(json.dumps([r.folder for r in ranges])), "array<string>")
+            numbers = F.from_json(F.lit(json.dumps([place.get(r.folder) for r in ranges])), "array<int>")
             at = F.greatest(self._below([r.low for r in ranges], col(key), kind, strict=False) - 1, F.lit(0))
-            own = F.coalesce(col(FOLDER), F.when(col(key).isNotNull(), F.get(folders, at)))
-            number = F.coalesce(F.element_at(numbers, own), F.lit(len(hit)))
+            number = F.coalesce(number, F.when(col(key).isNotNull() & col(FOLDER).isNull(), F.get(numbers, at)))
+        number = F.coalesce(number, F.lit(len(hit)))
         columns = [f["name"] for f in json.loads(version.schema)["fields"]]
         after = apply(old).withColumn(RANGE, number.cast("long")).select(*map(col, columns), RANGE)
-        written = self._write(after.repartition(RANGE), key, version)
+        # A given number of tasks, because few bytes may be many files.
+        tasks = self._tasks(len(hit) + 1, version.rows_per_range)
+        written = self._write(after.repartition(tasks, RANGE), key, version)
         written = self._split(written, key, version)
         gone = set(place)
         kept = [r for r in version.ranges if r.folder not in gone]
@@ -244,6 +263,17 @@ class RangedTable:
             replace(version, number=version.number + 1, ranges=self._in_order([*kept, *written]))
         )
 
+    def _looked_up(self, place: dict[str, int], folder: Column) -> Column:
+        """The number of a folder, NULL if it has none, by halving the sorted folders: a map would be gone through row by row."""
+        if not place:
+            return F.lit(None).cast("int")
+        # Spark compares texts by their bytes.
+        folders = sorted(place, key=str.encode)
+        known = F.from_json(F.lit(json.dumps(folders)), "array<string>")
+        numbers = F.from_json(F.lit(json.dumps([place[f] for f in folders])), "array<int>")
+        at = self._below(folders, folder, "string", strict=False) - 1
+        return F.when(F.get(known, at) == folder, F.get(numbers, at))
+
     def _split(self, written: list[Range], key: str, version: Version) -> list[Range]:
         """Deal ranges with more than twice the wanted rows to several."""
         large = [r for r in written if r.rows > 2 * version.rows_per_range]
@@ -253,7 +283,9 @@ class RangedTable:
         rows = self._of(version, large).select("*", folder.cast("long").alias(RANGE))
         ranked = rank_in_group(rows, RANGE, key, "_rank")
         piece = F.expr(f"(_rank - 1) DIV {version.rows_per_range}")
-        dealt = ranked.withColumn("_piece", piece).drop("_rank").repartition(RANGE, "_piece")
+        dealt = ranked.withColumn("_piece", piece).drop("_rank")
+        pieces = sum(-(-r.rows // version.rows_per_range) for r in large)
+        dealt = dealt.repartition(self._tasks(pieces, version.rows_per_range), RANGE, "_piece")
         return [r for r in written if r not in large] + self._write(dealt, key, version, ["_piece"])
 
     def update(

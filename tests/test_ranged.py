@@ -121,3 +121,23 @@ def test_removing_superseded(spark, table):
     assert state(table) == before and files(table) == kept and table.remove_superseded() == 0
     with pytest.raises(ValueError):
         table.version(0)
+
+
+def test_small_ranges_share_tasks_and_folders_are_found_by_halving(spark, table):
+    first = table.create(rows(spark, 6000), "id", 10)
+    # 600 ranges by 12 tasks; a task may leave a range that isn't full.
+    assert 600 <= len(first.ranges) <= 612 and first.rows == 6000 and max(r.rows for r in first.ranges) == 10
+    assert all(a.high < b.low for a, b in zip(first.ranges, first.ranges[1:]))
+    assert {f.rpartition("-")[0][:10] for part in files(table).values() for f in part} == {f"part-{k:05d}" for k in range(12)}
+    plans = []
+    kept = table._write
+    table._write = lambda df, *more: plans.append(df) or kept(df, *more)
+    incoming = spark.range(0, 13000, 5).selectExpr("id", "CONCAT('u', id) AS name", "1L AS n")
+    second = table.upsert(incoming)
+    text = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "element_at(" not in text and plans[0].rdd.getNumPartitions() == 13
+    expected = {2 * k: (f"n{k}", k % 7) for k in range(6000)} | {k: (f"u{k}", 1) for k in range(0, 13000, 5)}
+    assert state(table) == expected and second.rows == len(expected)
+    assert max(r.rows for r in second.ranges) <= 20
+    bounded = [r for r in second.ranges if r.low is not None]
+    assert all(a.high < b.low for a, b in zip(bounded, bounded[1:]))
