@@ -453,7 +453,7 @@ def paged_source_read(t: Tables):
     pages = numbered.groupBy(F.expr("n DIV 200").alias("page")).agg(
         F.count(F.lit(1)).alias("totalSize"), F.collect_list("record").alias("records")
     )
-    pages.repartition("page").write.partitionBy("page").json(path)
+    paged.store_pages(pages, path)
     schema = """Id bigint, Total double, Status string, IsDeleted boolean,
         Account struct<Name: string, Nation: struct<Name: string>>"""
     found = paged.read_paged(t.spark, paged.PageFolder(path), schema, pages_per_task=10)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -18,7 +19,7 @@ from typing import Protocol
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -190,6 +191,15 @@ class PageFolder:
         found = [f.base_name for f in system.get_file_info(fs.FileSelector(path)) if f.base_name.startswith("page=")]
         return 1 + max((int(name[5:]) for name in found), default=-1)
 
+    def put(self, page: int, text: str) -> None:
+        """Store a page as one file, which readers see whole or not at all."""
+        system, path = self._at(f"page={page}")
+        system.create_dir(path, recursive=True)
+        aside = f"{path}/.{uuid.uuid4().hex}"
+        with system.open_output_stream(aside) as stream:
+            stream.write(text.encode() + b"\n")
+        system.move(aside, f"{path}/page.json")
+
     def understands(self, condition: Condition) -> bool:
         """JSON holds texts, whole numbers and booleans as such; dates and decimals are left to Spark."""
         values = condition.value if isinstance(condition.value, (list, tuple)) else [condition.value]
@@ -206,6 +216,24 @@ class PageFolder:
         return [r for r in found if all(meets(r.get(c.column), c) for c in conditions)]
 
 
+def store_pages(pages: DataFrame, folder: str) -> None:
+    """Store each row as the JSON object of its `page`, the way `PageFolder` reads them; `page` is unique.
+
+    The tasks write by the file system that the pages are read by. Spark's writer has a
+    folder and a commit for each of so many small files, and its driver moves them one by one.
+    A repeated task puts the same pages in place again.
+    """
+    service = PageFolder(folder)
+    service._at()[0].create_dir(service._at()[1], recursive=True)
+    body = F.to_json(F.struct(*[col(c) for c in pages.columns if c != "page"]))
+
+    def store(rows: Iterator[Row]) -> None:
+        for page, text in rows:
+            service.put(page, text)
+
+    pages.select("page", body.alias("body")).foreachPartition(store)
+
+
 def meets(value: object, condition: Condition) -> bool:
     """Whether a record's value meets a condition, as in SQL: unknown is no."""
     op, other = condition.op, condition.value

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from drover.sources import paged
 from drover.sources.paged import Condition, PageFolder, read_paged
@@ -129,3 +130,20 @@ def test_conditions_are_as_in_sql():
     assert meets(None, Condition("a", "<=>", None)) and not meets(None, Condition("a", "<=>", None, False))
     assert meets(None, Condition("a", "null")) and meets(1, Condition("a", "null", wanted=False))
     assert not meets(1, Condition("a", "in", (2, None), False)) and meets(1, Condition("a", "in", (2,), False))
+
+
+def test_stored_pages_are_read_again(spark, tmp_path):
+    pages = spark.range(0, 1000).selectExpr("id DIV 10 AS page", "named_struct('Id', id, 'Status', IF(id % 3 = 0, NULL, 'é\n')) AS r")
+    pages = pages.groupBy("page").agg(F.count("r").alias("totalSize"), F.collect_list("r").alias("records"))
+    for folder in (str(tmp_path / "a"), "file://" + str(tmp_path / "b")):
+        paged.store_pages(pages, folder)
+        paged.store_pages(pages, folder)  # a repeated task puts the same pages in place
+        service = PageFolder(folder)
+        assert service.pages() == 100 and sorted(r["Id"] for r in service.fetch(3, [])) == list(range(30, 40))
+        df = read_paged(spark, service, "Id bigint, Status string", pages_per_task=7)
+        assert sorted(tuple(r) for r in df.collect()) == [(k, None if k % 3 == 0 else "é\n") for k in range(1000)]
+    # No folders of attempts and no file beside the page's own.
+    assert sorted(p.name for p in (tmp_path / "a").iterdir()) == sorted(f"page={k}" for k in range(100))
+    assert all([f.name for f in p.iterdir()] == ["page.json"] for p in (tmp_path / "a").iterdir())
+    paged.store_pages(pages.limit(0), str(tmp_path / "none"))
+    assert PageFolder(str(tmp_path / "none")).pages() == 0
