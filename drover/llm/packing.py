@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -17,18 +19,26 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from drover.llm.text import tidy
 
-#: Bytes that a Python worker's store of known words may take; it starts anew when it is full.
+#: Bytes that a Python worker's known words may take: half for those met lately, half for those before.
 KEPT_BYTES = 128 << 20
 #: Bytes that a word of the store takes besides its letters and ids.
 ENTRY_BYTES = 250
 #: Characters that are encoded at once; a longer text is cut at blanks.
 LOT = 1 << 20
-#: Letters below are lower-cased and composed alike here and by the tokenizer, but for the dotted I.
-PLAIN = "\u0250"
+#: A longer word is left whole to the tokenizer, so that its parts don't fill the store.
+LONG = 1000
+#: Visible characters that Python and the tokenizer lower-case, compose and classify alike: no dotted I.
+PLAIN = "".join(chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x250)] if c != 0x130)
 #: A text with such a character, or with what may be a special token, is not lower-cased ahead.
 UNSAFE = "[^\u0000-\u024f\u2000-\u2069]|\u0130|<\\|"
 
-_bytes_as_letters = ByteLevel(add_prefix_space=False, use_regex=False)
+_LETTERS, _DIGITS = ("".join(c for c in PLAIN if unicodedata.category(c)[0] == kind) for kind in "LN")
+_is_plain = re.compile(f"[{re.escape(PLAIN)}]+").fullmatch
+#: The tokenizer's splitter, for plain characters.
+_split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+").findall
+_byte_level = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+#: The bytes of a plain character as the letters that the merges know.
+_BYTES = {ord(c): _byte_level(c)[0][0] for c in PLAIN}
 
 
 class Encoder:
@@ -41,58 +51,57 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model.tokenize
+        # Words met lately; when they fill their half they become the older ones, and those go.
         self.store: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.size = 0
 
     def _of_word(self, word: str) -> bytes:
         """Ids of a part without blanks, as little-endian unsigned 32-bit numbers.
 
-        Plain letters pass the tokenizer's splitter as they are, so their lower
-        case goes to the merges at once; a stop or comma after them is a part of its own.
-        All else, special tokens too, is the tokenizer's.
+        Plain words are split here, and each part in lower case goes to the merges at once;
+        a part is split no further. All else, special tokens too, is the tokenizer's.
         """
-        if word[-1:] in (".", ",") and self._letters(word[:-1]):
-            return self.of(word[:-1]) + self.of(word[-1])
-        if self._letters(word):
+        if not (word.isascii() and word.isalpha() and word.islower()):
             lower = word.lower()
+            if len(word) > LONG or not (_is_plain(lower) and _is_plain(word)) or "<|" in word:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+                return array("I", ids).tobytes()
+            parts = _split(lower)
+            if len(parts) > 1:
+                return b"".join(map(self.of, parts))
             if lower != word:
                 return self.of(lower)
-            letters = lower if lower.isascii() else _bytes_as_letters.pre_tokenize_str(lower)[0][0]
-            ids = [token.id for token in self.merges(letters)]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
-
-    @staticmethod
-    def _letters(word: str) -> bool:
-        return word.isalpha() and (word.isascii() or max(word) < PLAIN and "\u0130" not in word)
+            if not word.isascii():
+                word = word.translate(_BYTES)
+        return array("I", [token.id for token in self.merges(word)]).tobytes()
 
     def of(self, word: str) -> bytes:
         known = self.store.get(word)
         if known is None:
-            known = self.store[word] = self._of_word(word)
+            known = self.older.get(word)
+            if known is None:
+                known = self._of_word(word)
+            self.store[word] = known
             self.size += ENTRY_BYTES + 4 * len(word) + len(known)
         return known
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids begin (one more: the end)."""
-        if self.size > KEPT_BYTES:
-            self.store, self.size = {}, 0
+        if self.size > KEPT_BYTES // 2:
+            self.older, self.store, self.size = self.store, {}, 0
         column = pa.array(texts, pa.large_string())
         # Fewer different words; the tokenizer would do the same.
         column = pc.if_else(pc.match_substring_regex(column, UNSAFE), column, pc.utf8_lower(column))
         split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
         parts = pc.list_flatten(split).dictionary_encode()
-        words = parts.dictionary.to_pylist()
+        words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = list(map(self.store.get, words))
         if None in known:
             known = [self.of(word) if ids is None else ids for word, ids in zip(words, known)]
-        flat = np.frombuffer(b"".join(known), dtype="<u4")
-        size = np.array([len(ids) for ids in known], dtype=np.int64) // 4
-        begin = np.cumsum(size) - size
-        code = parts.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(size[code])])
-        ids = flat[np.repeat(begin[code] - ends[:-1], size[code]) + np.arange(ends[-1])]
+        placed = pa.array(known, pa.large_binary()).take(parts.indices)
+        ends = np.frombuffer(placed.buffers()[1], dtype=np.int64)[: len(placed) + 1] // 4
+        ids = np.frombuffer(placed.buffers()[2] or b"", dtype="<u4")[: ends[-1]]
         return ids, ends[split.offsets.to_numpy()]
 
 

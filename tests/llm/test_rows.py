@@ -92,6 +92,47 @@ def test_encoder_like_the_tokenizer():
         assert ids[low:high].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+class Counted:
+    """A function that keeps what it was called with."""
+
+    def __init__(self, function):
+        self.function, self.calls = function, []
+
+    def __call__(self, word, **more):
+        self.calls.append(word)
+        return self.function(word, **more)
+
+
+def test_words_met_lately_stay_known(monkeypatch):
+    """A full store loses the words that no lot has had since the last time, not those that come again and again."""
+    monkeypatch.setattr(packing, "KEPT_BYTES", 40_000)
+    encoder = packing.Encoder(PATH)
+    encoder.merges = Counted(encoder.merges)
+    rare = ["".join(chr(97 + k // 26**i % 26) for i in range(4)) for k in range(2000)]
+    for k in range(0, 2000, 40):
+        encoder.encode([" ".join(["often", "again", *rare[k : k + 40]])])
+    calls = Counter(encoder.merges.calls)
+    assert calls["often"] == calls["again"] == 1 and set(rare) <= set(calls)
+    assert len(encoder.store) + len(encoder.older) < 300
+
+
+def test_plain_words_are_split_like_the_tokenizer_does():
+    """Only words with other characters, with what may be a special token, or very long ones take the whole tokenizer."""
+    plain = ["it's", "I'LL", "''s", "'re''ve", "x'", "rent***", "by.!!", "a.b,", "(363)", "12.5", "a1b2", "½x²", "ªº", "ß§,", "ÀÉ'S",
+             "Straße.", "niño,***", "été&&&", "×÷", "\u00adx", "<a|b>", "|<", *packing.PLAIN]
+    other = ["İx", "e\u0301.", "a\tb", "x\u00a0y", "\u0181.", "\u212a,", "<|endoftext|>", "a<|b", "\x1cx", "\x85", "ΟΔΟΣ.", "Ab1," * 300]
+    rng = np.random.default_rng(7)
+    plain += ["".join(rng.choice(list("'sdm.lvert1é²À-"), rng.integers(2, 9))) for _ in range(3000)]
+    tokenizer, encoder = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    encoder.tokenizer = whole = Counted(tokenizer.encode)
+    whole.encode = whole
+    for word in plain + other:
+        ids = np.frombuffer(encoder.of(word), dtype="<u4")
+        assert ids.tolist() == tokenizer.encode(word, add_special_tokens=False).ids, word
+    beyond = [c for c in packing.PLAIN if max(c.lower()) > "\u024f"]
+    assert set(whole.calls) == {*other, *beyond}
+
+
 def test_texts_are_cut_at_blanks():
     for text in ["", "a", "a b c d e", "aaaaaaaa b", "aaaaaaaaaa", "a\nbbbbbbb c ", "     ", "ab cd\nef gh"]:
         parts = list(packing.cut(text, 4))
